@@ -214,8 +214,8 @@ def equal_bins(df: DataFrame, keys: Sequence[str], order_by: str, tie: str | Non
 
 def attach_quantile_bin(rows: DataFrame, edges: DataFrame, keys: Sequence[str], value: str,
                         n_bins: int, fits: bool, out: str) -> DataFrame:
-    """0-based bin of each row by its group's edges (rows of groups without edges drop out)."""
+    """0-based bin of each row by its group's edges; rows of groups without edges are kept."""
     joined = attach(rows, edges.select(*keys, F.col("edges").alias("_bin_edges")), keys, fits,
-                    spread=[value])
+                    how="left", spread=[value])
     return (joined.withColumn(out, edges_below(F.col(value), F.col("_bin_edges"), n_bins - 1))
             .drop("_bin_edges"))
