@@ -87,12 +87,9 @@ def baseline_rows(mart: DataFrame, spec: Monitoring,
             return rows.filter(F.col("reporting_month").isin(*reporting_months))
         spine = reporting_spine(mart, spec, None)
         return rows.join(spine, "reporting_month", "left_semi")
-    first = (rows.select(spec.source.month).distinct()
-             .orderBy(spec.source.month).limit(setting.months))
-    window = first.agg(F.min(spec.source.month).alias("_start"), F.max(spec.source.month).alias("_end"))
-    # One row by construction: a global aggregate.
-    return (rows.join(F.broadcast(window), month.between(F.col("_start"), F.col("_end")))
-            .drop("_start", "_end"))
+    # At most ``months`` rows by construction.
+    first = rows.select(spec.source.month).distinct().orderBy(spec.source.month).limit(setting.months)
+    return rows.join(F.broadcast(first), spec.source.month, "left_semi")
 
 
 def baseline_info(mart: DataFrame, spec: Monitoring,
@@ -131,13 +128,18 @@ def usable_maturities(outcomes: DataFrame, spec: Monitoring) -> list[Maturity]:
 
 def _by_maturity(joined: DataFrame, maturities: Sequence[Maturity], month: str,
                  outcomes: DataFrame) -> DataFrame:
-    """One row per account and outcome window, with the reporting month it falls in."""
+    """One row per account and outcome window, with the reporting month it falls in
+    (baseline rows that already belong to a reporting month keep theirs)."""
     def outcome(name: str):
         return F.col(name).cast("int") if name in outcomes.columns else F.lit(None).cast("int")
 
+    def aligned(m: Maturity) -> list:
+        if "reporting_month" in joined.columns:
+            return []
+        return [shift_month_col(F.col(month), m.months_back).alias("reporting_month")]
+
     windows = F.array(*[
-        F.struct(F.lit(m.label).alias("maturity"),
-                 shift_month_col(F.col(month), m.months_back).alias("reporting_month"),
+        F.struct(F.lit(m.label).alias("maturity"), *aligned(m),
                  outcome(m.edr).alias("edr"), outcome(m.bad).alias("bad"),
                  F.col(m.flag).alias("is_mature")) for m in maturities])
     outcome_columns = [c for m in maturities for c in (m.edr, m.bad, m.flag) if c in joined.columns]

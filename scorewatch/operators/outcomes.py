@@ -77,6 +77,18 @@ def performance(cohorts: DataFrame, spec: Monitoring) -> DataFrame:
         F.avg("bad").alias("bad_rate"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad_count"))
 
 
+def baseline_performance(baseline_cohorts: DataFrame, spec: Monitoring,
+                         baseline_by: Sequence[str] = ()) -> DataFrame:
+    """Early default rate of the baseline accounts per outcome window, scorecard and channel."""
+    source = spec.source
+    keep = [*baseline_by, "maturity", source.channel, "edr",
+            *([spec.scorecard] if spec.scorecard else [])]
+    rows = over_scopes(baseline_cohorts.select(*keep), source.channel, source.channels,
+                       spec.scorecard)
+    return rows.groupBy(*baseline_by, "maturity", "scorecard", "channel").agg(
+        F.avg("edr").alias("edr"))
+
+
 def performance_report(perf: DataFrame, baseline_perf: DataFrame, info: DataFrame) -> DataFrame:
     """Performance rows with the change of the early default rate against the baseline
     cohort of the same window, and a note row for each unavailable window."""

@@ -82,12 +82,15 @@ def feature_missing(current: DataFrame, spec: Monitoring) -> DataFrame:
             .withColumnRenamed("column_name", "feature_name"))
 
 
-def portfolio_accounts(stability: DataFrame, baseline_count: DataFrame) -> DataFrame:
+def portfolio_summary(stability: DataFrame, baseline: DataFrame, spec: Monitoring,
+                      baseline_by: Sequence[str] = ()) -> DataFrame:
     """Current and baseline accounts and the average score per reporting month and scorecard."""
-    rows = stability.filter(F.col("channel") == ALL_CHANNELS)
-    keys = [k for k in baseline_count.columns if k != "account_count"]
-    base = baseline_count.select(*keys, F.col("account_count").alias("baseline_accounts"))
-    joined = rows.join(base, keys, "left") if keys else rows.join(F.broadcast(base))
-    return joined.select("reporting_month", "scorecard",
-                         F.col("account_count").alias("current_accounts"), "baseline_accounts",
-                         "mean_score")
+    keys = [*baseline_by, "scorecard"]
+    narrow = baseline.select(*baseline_by, *([spec.scorecard] if spec.scorecard else []),
+                             F.lit(1).alias("_row"))
+    base = (over_scopes(narrow, None, (), spec.scorecard).groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias("baseline_accounts")))
+    return (stability.filter(F.col("channel") == ALL_CHANNELS).join(base, keys, "left")
+            .select("reporting_month", "scorecard", F.col("account_count").alias("current_accounts"),
+                    F.coalesce("baseline_accounts", F.lit(0)).alias("baseline_accounts"),
+                    "mean_score"))
