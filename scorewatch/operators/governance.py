@@ -12,9 +12,9 @@ from scorewatch.spec import LOWER_IS_WORSE, Thresholds
 
 ALERT, WARNING, OK, NOT_JUDGED = "ALERT", "WARNING", "OK", "N/A"
 
-# Reasons shown for a section without figures.
-NO_ACTUALS = "No actuals available"
-NOT_MATURE = "Maturity window not reached"
+# Reason codes of a section without figures.
+NO_ACTUALS = "NOT_AVAILABLE_NO_ACTUALS"
+NOT_MATURE = "NOT_AVAILABLE_MATURITY"
 
 
 def threshold_table(spark: SparkSession, thresholds: Thresholds) -> DataFrame:

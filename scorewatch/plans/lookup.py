@@ -1,4 +1,4 @@
-"""Joining small per-group tables onto large row tables, and where jobs keep scratch tables.
+"""Joining small per-group tables onto large row tables.
 
 A per-group table (quantile edges, cut points) is broadcast only after its groups
 have been counted and found to fit. Past that bound the rows are joined by shuffle
@@ -6,12 +6,11 @@ on salted keys, so that one hot group is still spread over many tasks.
 """
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_BYTES = 128 * 1024 * 1024
@@ -68,19 +67,3 @@ def attach(rows: DataFrame, small: DataFrame, keys: Sequence[str], fits: bool, *
     rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
     on = reduce(lambda a, b: a & b, [F.col("_salt") == F.col("_salt_small"), *matches])
     return rows.join(salted.hint("merge"), on, how).drop("_salt", "_salt_small", *dropped)
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's folder for cut lineage and written intermediates.
-
-    Taken from the session. Only a local session without one gets a folder of
-    its own; on a cluster a missing setting is an error.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="scorewatch-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return spark.sparkContext.getCheckpointDir()

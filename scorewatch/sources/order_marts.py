@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorewatch.functions.columns import indicator, shift_month_col
-from scorewatch.plans.lookup import shared_folder
 from scorewatch.plans.ranking import equal_bins, ntile_ranks
+from scorewatch.plans.staging import staged
 from scorewatch.spec import MATURITIES
 
 # Outcomes are known up to this month; later months of the mart are not mature.
@@ -77,26 +77,9 @@ def performance_mart(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _BUILDERS = {"score_mart": score_mart, "performance_mart": performance_mart}
-_written: dict[tuple[str, str, str], str] = {}
 
 
 def stored(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """The mart as a table partitioned by month, written once per application.
-
-    Jobs scan a mart several times, so its joins should run once; written out in
-    the shared folder it also prunes by month and column and survives executors.
-    """
-    key = (spark.sparkContext.applicationId, os.path.abspath(folder), name)
-    mart = None
-    if key not in _written:
-        mart = _BUILDERS[name](spark, folder)
-        slot = os.path.abspath(folder).strip("/").replace("/", "_")
-        path = f"{shared_folder(spark).rstrip('/')}/{key[0]}/{slot}/{name}"
-        (mart.hint("rebalance", F.col("score_month")).write.mode("overwrite")
-         .partitionBy("score_month").parquet(path))
-        _written[key] = path
-        _schemas[key] = mart.schema
-    return spark.read.schema(_schemas[key]).parquet(_written[key])
-
-
-_schemas: dict[tuple[str, str, str], object] = {}
+    """The mart as a table partitioned by month, written once per application."""
+    return staged(spark, f"{os.path.abspath(folder)}:{name}",
+                  lambda: _BUILDERS[name](spark, folder), ["score_month"])
