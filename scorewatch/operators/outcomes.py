@@ -232,6 +232,13 @@ def odds(cohorts: DataFrame, spec: Monitoring) -> DataFrame:
                         "is_monotonic", total.alias("total_misranks"))
 
 
+def with_odds_order(separated: DataFrame, odds_rows: DataFrame) -> DataFrame:
+    """Separation rows with the number of bins out of order."""
+    order = odds_rows.groupBy(*COHORT).agg(F.max("total_misranks").alias("misrank_count"))
+    return (separated.join(order, COHORT, "left")
+            .withColumn("odds_monotonic", F.col("misrank_count") == 0))
+
+
 def ks_table(cohorts: DataFrame, spec: Monitoring) -> DataFrame:
     """Equal-frequency score tiers with cumulative goods and bads, plus a TOTAL row."""
     source, tiers = spec.source, spec.ks_bins

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from scorewatch.operators import (checks, cohorts, drift, enrich, governance, mix, outcomes, quality,
                                   reports, stability, summaries)
+from scorewatch.plans.spine import over_scopes
 from scorewatch.plans.staging import stage
 from scorewatch.sources.tables import (check_performance_mart, check_score_mart, require_columns,
                                        stamp)
@@ -82,6 +83,15 @@ def run_checks(source_rows: DataFrame, tables: dict[str, DataFrame], source: Sou
                                    enrichment.decile_col, enrichment.n_bins)
 
 
+def _pruned(cohort: DataFrame, spec: Monitoring) -> DataFrame:
+    """The cohort columns that outcome tables read."""
+    source = spec.source
+    wanted = dict.fromkeys(["reporting_month", "maturity", source.keys[0], source.month, source.score,
+                            source.channel, spec.scorecard, spec.decile_col,
+                            *spec.attribution.drivers, "edr", "bad"])
+    return cohort.select(*[c for c in wanted if c in cohort.columns])
+
+
 def run_monitoring(score_mart: DataFrame, performance_mart: DataFrame | None, spec: Monitoring,
                    reporting_months: Sequence[str] | None = None,
                    write: Writer | None = None) -> dict[str, DataFrame]:
@@ -109,11 +119,14 @@ def run_monitoring(score_mart: DataFrame, performance_mart: DataFrame | None, sp
     out["feature_stability"] = governance.judge(
         stability.feature_stability(current, baseline, spec, by), spec.thresholds,
         F.lit("feature_psi"), F.col("psi")).cache()
-    out["psi_table"] = drift.psi_table(baseline, current, by, extra, source.score, spec.intervals)
-    out["csi_table"] = drift.csi_table(baseline, current, by, extra, source.features, spec.n_bins)
+    scoped = over_scopes(current, None, (), spec.scorecard)
+    scoped_base = over_scopes(baseline, None, (), spec.scorecard)
+    out["psi_table"] = drift.psi_table(scoped_base, scoped, [*by, "scorecard"], extra, source.score,
+                                       spec.intervals)
+    out["csi_table"] = drift.csi_table(scoped_base, scoped, [*by, "scorecard"], extra,
+                                       source.features, spec.n_bins)
     out["score_quality"] = stability.score_quality(current, spec)
     out["feature_missing"] = stability.feature_missing(current, spec)
-    scoped = stability.over_scopes(current, None, (), spec.scorecard)
     columns = [source.score, source.channel, *source.features]
     out["column_quality"] = governance.judge(
         quality.column_quality(scoped, ["reporting_month", "scorecard"], columns,
@@ -131,17 +144,17 @@ def run_monitoring(score_mart: DataFrame, performance_mart: DataFrame | None, sp
         warnings = check_performance_mart(performance_mart, spec)
         if warnings:
             raise ValueError("; ".join(warnings))
-        cohort = stage(cohorts.performance_cohorts(score_mart, performance_mart, spec, months),
-                       "cohorts", ["reporting_month"])
-        base = stage(cohorts.with_outcomes(baseline, performance_mart, spec), "baseline_cohorts")
-        if "reporting_month" not in by:
-            base = base.drop("reporting_month")
+        cohort = stage(_pruned(cohorts.performance_cohorts(score_mart, performance_mart, spec, months),
+                               spec), "cohorts", ["reporting_month"])
+        base = stage(_pruned(cohorts.with_outcomes(baseline, performance_mart, spec), spec),
+                     "baseline_cohorts")
         out["cohort_info"] = cohorts.cohort_info(score_mart, performance_mart, spec, months,
                                                  cohort).cache()
         out["separation"] = governance.judge(
             outcomes.ks_drop(outcomes.separation(cohort, spec), base, spec, by), spec.thresholds,
             F.lit("ks_drop"), F.col("ks_drop"), "ks_drop_status").cache()
-        out["odds"] = outcomes.odds(cohort, spec)
+        out["odds"] = outcomes.odds(cohort, spec).cache()
+        out["separation"] = outcomes.with_odds_order(out["separation"], out["odds"])
         out["ks_table"] = outcomes.ks_table(cohort, spec)
         out["performance"] = governance.judge(
             outcomes.performance_report(outcomes.performance(cohort, spec),
