@@ -48,7 +48,7 @@ def score_mart(spark: SparkSession, folder: str) -> DataFrame:
                   F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED",
                          F.col("o_orderpriority")).alias("source"),
                   F.col("c_mktsegment").alias("line"),
-                  F.when(price >= 6000, price / 480000).alias("lfs_score"),
+                  F.when(price >= 6000, price / 479909).alias("lfs_score"),
                   F.when(F.col("c_nationkey") < 12, "SC001").otherwise("SC002").alias("scorecard_id"),
                   indicator(F.col("c_acctbal") < -900).alias("is_excluded_from_monitoring"),
                   price.alias("saleamount"),
