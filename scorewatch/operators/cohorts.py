@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorewatch.functions.columns import indicator, shift_month_col
+from scorewatch.plans.lookup import keep_listed
 from scorewatch.spec import MATURITIES, Baseline, Maturity, Monitoring, shift_month
 
 log = logging.getLogger(__name__)
@@ -85,8 +86,7 @@ def baseline_rows(mart: DataFrame, spec: Monitoring,
         rows = rows.withColumn("reporting_month", F.explode(ahead))
         if reporting_months is not None:
             return rows.filter(F.col("reporting_month").isin(*reporting_months))
-        spine = reporting_spine(mart, spec, None)
-        return rows.join(spine, "reporting_month", "left_semi")
+        return keep_listed(rows, reporting_spine(mart, spec, None), "reporting_month")
     # At most ``months`` rows by construction.
     first = rows.select(spec.source.month).distinct().orderBy(spec.source.month).limit(setting.months)
     return rows.join(F.broadcast(first), spec.source.month, "left_semi")
@@ -174,7 +174,7 @@ def performance_cohorts(mart: DataFrame, outcomes: DataFrame, spec: Monitoring,
     cohorts = with_outcomes(rows, outcomes, spec)
     if reporting_months is not None:
         return cohorts.filter(F.col("reporting_month").isin(*reporting_months))
-    return cohorts.join(reporting_spine(mart, spec, None), "reporting_month", "left_semi")
+    return keep_listed(cohorts, reporting_spine(mart, spec, None), "reporting_month")
 
 
 def cohort_info(mart: DataFrame, outcomes: DataFrame, spec: Monitoring,

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from scorewatch.functions.columns import (edges_reached, floored_share, interval_index,
                                           interval_label, melt, or_zero)
 from scorewatch.operators.binning import bin_fractions
-from scorewatch.plans.distribution import ks_to_reference, paired_histograms, psi
-from scorewatch.plans.lookup import attach, measure
+from scorewatch.plans.distribution import ks_to_reference, paired_histograms, psi, tag_sides
+from scorewatch.plans.lookup import Sizing, attach, measure
 from scorewatch.plans.ranking import attach_quantile_bin, quantiles
 from scorewatch.plans.spine import expected_groups
 from scorewatch.spec import DriftSpec, Source, as_fraction
@@ -21,7 +21,7 @@ PSI = psi(F.col("ref_counts"), F.col("ref_n"), F.col("counts"), F.col("n"))
 
 def population_shift(reference: DataFrame, sample: DataFrame, ref_keys: Sequence[str],
                      extra_keys: Sequence[str], value: str, n_bins: int,
-                     accuracy: int | None = None) -> DataFrame:
+                     accuracy: int | None = None, sizing: Sizing | None = None) -> DataFrame:
     """Stability index by reference quantile bins, with both sides' means and deviations.
 
     One row per sample group: ``ref_keys, extra_keys, psi, baseline_mean,
@@ -29,14 +29,14 @@ def population_shift(reference: DataFrame, sample: DataFrame, ref_keys: Sequence
     """
     reference = reference.filter(F.col(value).isNotNull())
     sample = sample.filter(F.col(value).isNotNull())
-    sizing = measure(reference, ref_keys)
-    fits = sizing.broadcast_fits(8 * n_bins + 256)
+    sizing = sizing or measure(reference, ref_keys)
     edges = quantiles(reference, ref_keys, value, bin_fractions(n_bins), accuracy=accuracy,
                       sizing=sizing)
-    pairs = paired_histograms(
-        attach_quantile_bin(reference, edges, ref_keys, value, n_bins, fits, "bin"),
-        attach_quantile_bin(sample, edges, ref_keys, value, n_bins, fits, "bin"),
-        ref_keys, extra_keys, "bin", n_bins, value)
+    sides = tag_sides(reference.select(*ref_keys, value),
+                      sample.select(*ref_keys, *extra_keys, value), extra_keys)
+    binned = attach_quantile_bin(sides, edges, ref_keys, value, n_bins,
+                                 sizing.broadcast_fits(8 * n_bins + 256), "bin")
+    pairs = paired_histograms(binned, ref_keys, extra_keys, "bin", n_bins, value)
     return pairs.select(*ref_keys, *extra_keys, PSI.alias("psi"),
                         F.col("ref_mean").alias("baseline_mean"), F.col("mean").alias("current_mean"),
                         F.col("ref_std").alias("baseline_std"), F.col("std").alias("current_std"),
@@ -60,12 +60,14 @@ def score_drift(current: DataFrame, baseline: DataFrame, source: Source, spec: D
     then = _configured(baseline, source, [score]).filter(F.col(score).isNotNull())
     group = ["vintage_month", "channel"]
 
-    shift = population_shift(then, now, ["channel"], ["vintage_month"], score, spec.n_bins)
-    ks = ks_to_reference(then, now, ["channel"], ["vintage_month"], score)
+    now_sizing, then_sizing = measure(now, group), measure(then, ["channel"])
+
+    shift = population_shift(then, now, ["channel"], ["vintage_month"], score, spec.n_bins,
+                             sizing=then_sizing)
+    ks = ks_to_reference(then, now, ["channel"], ["vintage_month"], score, now_sizing)
 
     tops = [1 - as_fraction(p) for p in spec.top_shares]
     own = [as_fraction(q) for q in spec.quantiles]
-    now_sizing, then_sizing = measure(now, group), measure(then, ["channel"])
     own_edges = quantiles(now, group, score, own + tops, sizing=now_sizing)
     tails = quantiles(then, ["channel"], score, spec.tail_quantiles, sizing=then_sizing)
     rows = attach(now, own_edges.select(*group, F.col("edges").alias("_own")), group,
@@ -133,12 +135,11 @@ def psi_table(reference: DataFrame, sample: DataFrame, ref_keys: Sequence[str],
               extra_keys: Sequence[str], score: str,
               intervals: Sequence[tuple[float, float]]) -> DataFrame:
     """Counts and shares per fixed score interval; empty intervals are listed too."""
-    def binned(df: DataFrame) -> DataFrame:
-        return (df.filter(F.col(score).isNotNull())
-                .withColumn("bin", interval_index(F.col(score), intervals)))
-
-    pairs = paired_histograms(binned(reference), binned(sample), ref_keys, extra_keys, "bin",
-                              len(intervals))
+    sides = tag_sides(reference.select(*ref_keys, score),
+                      sample.select(*ref_keys, *extra_keys, score), extra_keys)
+    binned = (sides.filter(F.col(score).isNotNull())
+              .withColumn("bin", interval_index(F.col(score), intervals)))
+    pairs = paired_histograms(binned, ref_keys, extra_keys, "bin", len(intervals))
     keys = [*ref_keys, *extra_keys]
     bounds = F.array(*[F.struct(F.lit(float(low)).alias("low"), F.lit(float(high)).alias("high"))
                        for low, high in intervals])
@@ -164,13 +165,10 @@ def csi_table(reference: DataFrame, sample: DataFrame, ref_keys: Sequence[str],
     edges = (quantiles(then, keys, "value", bin_fractions(n_bins), sizing=sizing)
              .select(*keys, F.array_distinct("edges").alias("_edges")))
     fits = sizing.broadcast_fits(8 * n_bins + 256)
-
-    def binned(df: DataFrame) -> DataFrame:
-        return (attach(df, edges, keys, fits, spread=["value"])
-                .withColumn("bin", edges_reached(F.col("value"), F.col("_edges"), n_bins - 1))
-                .drop("_edges"))
-
-    pairs = (paired_histograms(binned(then), binned(now), keys, extra_keys, "bin", n_bins, "value")
+    binned = (attach(tag_sides(then, now, extra_keys), edges, keys, fits, spread=["value"])
+              .withColumn("bin", edges_reached(F.col("value"), F.col("_edges"), n_bins - 1))
+              .drop("_edges"))
+    pairs = (paired_histograms(binned, keys, extra_keys, "bin", n_bins, "value")
              .join(edges, keys)
              .withColumn("_bounds", F.concat(F.array(F.least("ref_low", "low")), "_edges",
                                              F.array(F.greatest("ref_high", "high")))))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorewatch.functions.columns import melt, or_zero, ratio, ratio_or_zero, shift_month_col
-from scorewatch.plans.distribution import paired_histograms
+from scorewatch.plans.distribution import paired_histograms, tag_sides
 from scorewatch.spec import Attribution, Segment, Source
 
 UNKNOWN = "Unknown"
@@ -38,9 +38,10 @@ def mix_shift(reference: DataFrame, sample: DataFrame, ref_keys: Sequence[str],
 
     Shares are of all rows, those without a decile included.
     """
-    pairs = paired_histograms(reference.withColumn("_bin", F.col(decile) - 1),
-                              sample.withColumn("_bin", F.col(decile) - 1),
-                              ref_keys, extra_keys, "_bin", n_bins)
+    sides = tag_sides(reference.select(*ref_keys, decile),
+                      sample.select(*ref_keys, *extra_keys, decile), extra_keys)
+    pairs = paired_histograms(sides.withColumn("_bin", F.col(decile) - 1), ref_keys, extra_keys,
+                              "_bin", n_bins)
     rows = (pairs.withColumn("score_bin", F.explode(F.sequence(F.lit(1), F.lit(n_bins))))
             .withColumn("_then", F.coalesce(F.get("ref_counts", F.col("score_bin") - 1), F.lit(0)))
             .withColumn("_now", F.get("counts", F.col("score_bin") - 1))

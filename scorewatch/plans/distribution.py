@@ -23,17 +23,15 @@ def tag_sides(reference: DataFrame, sample: DataFrame, extra_keys: Sequence[str]
     return left.unionByName(sample.withColumn("is_ref", F.lit(False)))
 
 
-def paired_histograms(reference: DataFrame, sample: DataFrame, ref_keys: Sequence[str],
-                      extra_keys: Sequence[str], bin_col: str, n_bins: int,
-                      value: str | None = None) -> DataFrame:
+def paired_histograms(sides: DataFrame, ref_keys: Sequence[str], extra_keys: Sequence[str],
+                      bin_col: str, n_bins: int, value: str | None = None) -> DataFrame:
     """Per sample group: both sides' row counts, counts per 0-based bin and value moments.
 
-    Gives ``ref_keys, extra_keys, ref_n, ref_counts, n, counts`` and, with a value
-    column, ``mean, std, low, high`` of both sides (``ref_`` for the reference).
-    Rows whose bin is null count in ``n`` only.
+    ``sides`` are tagged rows with their bin. Gives ``ref_keys, extra_keys, ref_n,
+    ref_counts, n, counts`` and, with a value column, ``mean, std, low, high`` of
+    both sides (``ref_`` for the reference). Rows whose bin is null count in ``n``
+    only.
     """
-    keep = [*ref_keys, bin_col, *([value] if value else [])]
-    sides = tag_sides(reference.select(*keep), sample.select(*keep, *extra_keys), extra_keys)
     counts = F.array(*[F.sum(indicator(F.col(bin_col) == i)) for i in range(n_bins)])
     measures = {"n": F.count(F.lit(1)), "counts": counts}
     if value:
@@ -76,7 +74,8 @@ def _in_cells(rows: DataFrame, keys: Sequence[str], value: str, sizing: Sizing,
 
 
 def ks_to_reference(reference: DataFrame, sample: DataFrame, ref_keys: Sequence[str],
-                    extra_keys: Sequence[str], value: str) -> DataFrame:
+                    extra_keys: Sequence[str], value: str,
+                    sample_sizing: Sizing | None = None) -> DataFrame:
     """Two-sample KS of every sample group against its reference: ``ref_keys, extra_keys, ks``.
 
     Rows are first counted per distinct value. Running counts are taken inside
@@ -89,7 +88,7 @@ def ks_to_reference(reference: DataFrame, sample: DataFrame, ref_keys: Sequence[
     sample = sample.select(*keys, *extra, value).filter(F.col(value).isNotNull())
     sides = tag_sides(reference, sample, extra)
     sizing = measure(sides, keys)
-    sample_sizing = measure(sample, [*keys, *extra])
+    sample_sizing = sample_sizing or measure(sample, [*keys, *extra])
     own_total = sample.groupBy(*keys, *extra).agg(F.count(F.lit(1)).alias("_own_total"))
     placed = _in_cells(sides, keys, value, sizing, {"_ref_total": F.count_if("is_ref")})
     by_value = (placed.groupBy(*keys, *extra, "is_ref", "_ref_total", "_cell", value)

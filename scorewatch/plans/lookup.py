@@ -67,3 +67,9 @@ def attach(rows: DataFrame, small: DataFrame, keys: Sequence[str], fits: bool, *
     rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
     on = reduce(lambda a, b: a & b, [F.col("_salt") == F.col("_salt_small"), *matches])
     return rows.join(salted.hint("merge"), on, how).drop("_salt", "_salt_small", *dropped)
+
+
+def keep_listed(rows: DataFrame, listed: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is listed; the list is broadcast once counted and found small."""
+    fits = Sizing(listed.limit(MAX_BROADCAST_BYTES // 256 + 1).count(), 1).broadcast_fits(256)
+    return rows.join(F.broadcast(listed) if fits else listed, key, "left_semi")
