@@ -16,8 +16,6 @@ from scorewatch.plans.ranking import attach_quantile_bin, quantiles
 from scorewatch.plans.spine import expected_groups
 from scorewatch.spec import DriftSpec, Source, as_fraction
 
-PSI = psi(F.col("ref_counts"), F.col("ref_n"), F.col("counts"), F.col("n"))
-
 
 def population_shift(reference: DataFrame, sample: DataFrame, ref_keys: Sequence[str],
                      extra_keys: Sequence[str], value: str, n_bins: int,
@@ -37,7 +35,8 @@ def population_shift(reference: DataFrame, sample: DataFrame, ref_keys: Sequence
     binned = attach_quantile_bin(sides, edges, ref_keys, value, n_bins,
                                  sizing.broadcast_fits(8 * n_bins + 256), "bin")
     pairs = paired_histograms(binned, ref_keys, extra_keys, "bin", n_bins, value)
-    return pairs.select(*ref_keys, *extra_keys, PSI.alias("psi"),
+    index = psi(F.col("ref_counts"), F.col("ref_n"), F.col("counts"), F.col("n"))
+    return pairs.select(*ref_keys, *extra_keys, index.alias("psi"),
                         F.col("ref_mean").alias("baseline_mean"), F.col("mean").alias("current_mean"),
                         F.col("ref_std").alias("baseline_std"), F.col("std").alias("current_std"),
                         F.col("ref_n").alias("baseline_count"), F.col("n").alias("current_count"))
