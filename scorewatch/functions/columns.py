@@ -35,8 +35,13 @@ def add_all(terms: Sequence[Column]) -> Column:
     return reduce(lambda left, right: left + right, terms)
 
 
-def shift_month_col(month: Column, months: int | Column) -> Column:
-    return F.date_format(F.add_months(F.to_date(month, "yyyy-MM"), months), "yyyy-MM")
+def shift_month_col(month: Column, months: int) -> Column:
+    """``yyyy-MM`` moved by whole months, by integer arithmetic; null if it is no month."""
+    index = (F.substring(month, 1, 4).try_cast("int") * 12
+             + F.substring(month, 6, 2).try_cast("int") + (months - 1))
+    number = F.pmod(index, F.lit(12))
+    year = ((index - number) / 12).cast("int").cast("string")
+    return F.concat(F.lpad(year, 4, "0"), F.lit("-"), F.lpad((number + 1).cast("string"), 2, "0"))
 
 
 def is_missing(df: DataFrame, name: str) -> Column:

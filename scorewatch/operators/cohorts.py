@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -155,8 +156,7 @@ def with_outcomes(rows: DataFrame, outcomes: DataFrame, spec: Monitoring) -> Dat
     keys = [spec.source.keys[0], spec.source.month]
     wanted = [c for m in maturities for c in (m.flag, m.edr, m.bad) if c in outcomes.columns]
     slim = outcomes.select(*keys, *wanted)
-    mature = (F.array_max(F.array(*[indicator(F.col(m.flag) == 1) for m in maturities])) == 1
-              if len(maturities) > 1 else indicator(F.col(maturities[0].flag) == 1) == 1)
+    mature = reduce(lambda a, b: a | b, [F.col(m.flag) == 1 for m in maturities], F.lit(False))
     joined = rows.join(slim.filter(mature), keys)
     return (_by_maturity(joined, maturities, spec.source.month, slim)
             .filter(F.col("is_mature") == 1).drop("is_mature"))

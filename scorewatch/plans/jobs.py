@@ -83,7 +83,7 @@ def run_checks(source_rows: DataFrame, tables: dict[str, DataFrame], source: Sou
                                    enrichment.decile_col, enrichment.n_bins)
 
 
-def _pruned(cohort: DataFrame, spec: Monitoring) -> DataFrame:
+def cohort_columns(cohort: DataFrame, spec: Monitoring) -> DataFrame:
     """The cohort columns that outcome tables read."""
     source = spec.source
     wanted = dict.fromkeys(["reporting_month", "maturity", source.keys[0], source.month, source.score,
@@ -144,10 +144,11 @@ def run_monitoring(score_mart: DataFrame, performance_mart: DataFrame | None, sp
         warnings = check_performance_mart(performance_mart, spec)
         if warnings:
             raise ValueError("; ".join(warnings))
-        cohort = stage(_pruned(cohorts.performance_cohorts(score_mart, performance_mart, spec, months),
-                               spec), "cohorts", ["reporting_month"])
-        base = stage(_pruned(cohorts.with_outcomes(baseline, performance_mart, spec), spec),
-                     "baseline_cohorts")
+        cohort = stage(cohort_columns(
+            cohorts.performance_cohorts(score_mart, performance_mart, spec, months), spec),
+            "cohorts", ["reporting_month"])
+        base = stage(cohort_columns(
+            cohorts.with_outcomes(baseline, performance_mart, spec), spec), "baseline_cohorts")
         out["cohort_info"] = cohorts.cohort_info(score_mart, performance_mart, spec, months,
                                                  cohort).cache()
         out["separation"] = governance.judge(

@@ -88,11 +88,15 @@ def base(spark: SparkSession, folder: str, spec=SPEC) -> DataFrame:
 
 
 def cohort(spark: SparkSession, folder: str) -> DataFrame:
-    return cohorts.performance_cohorts(marts(spark, folder), outcome_mart(spark, folder), SPEC)
+    """The outcome cohorts of every reporting month, staged once as a run stages them."""
+    return staged(spark, f"{folder}:cohorts", lambda: jobs.cohort_columns(
+        cohorts.performance_cohorts(marts(spark, folder), outcome_mart(spark, folder), SPEC), SPEC),
+        ["reporting_month"])
 
 
 def base_cohort(spark: SparkSession, folder: str) -> DataFrame:
-    return cohorts.with_outcomes(base(spark, folder), outcome_mart(spark, folder), SPEC)
+    return staged(spark, f"{folder}:baseline_cohorts", lambda: jobs.cohort_columns(
+        cohorts.with_outcomes(base(spark, folder), outcome_mart(spark, folder), SPEC), SPEC))
 
 
 _runs: dict[tuple[str, str, str], dict[str, DataFrame]] = {}

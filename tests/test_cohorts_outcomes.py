@@ -3,6 +3,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from scorewatch.functions.columns import shift_month_col
 from scorewatch.operators import cohorts, governance, outcomes
 from scorewatch.plans.spine import over_scopes
 from scorewatch.spec import Baseline, Monitoring, SampleRules, Source, shift_month
@@ -245,3 +246,11 @@ def test_availability_counts_rows(spark):
     assert got["r2", "calibration"]["reason"] == governance.NOT_MATURE
     assert got["r2", "stability"]["reason"] is None and not got["r2", "stability"]["available"]
     assert got["r2", "cohort_M12"]["reason"] == governance.NOT_MATURE
+
+
+def test_month_column_moves_like_the_month(spark):
+    df = spark.createDataFrame([("2024-01",), ("1999-12",), ("junk",), (None,)], "m string")
+    for k in (-13, -1, 0, 1, 12, 25):
+        got = rows_by(df.select("m", shift_month_col(F.col("m"), k).alias("to")), "m")
+        assert [got[m]["to"] for m in ("2024-01", "1999-12")] == [shift_month(m, k) for m in ("2024-01", "1999-12")]
+        assert got["junk"]["to"] is None and got[None]["to"] is None
