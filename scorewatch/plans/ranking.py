@@ -21,9 +21,11 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scorewatch.functions.columns import add_all, edges_below, indicator
 from scorewatch.plans.lookup import Sizing, attach, measure
+from scorewatch.plans.staging import stage
 from scorewatch.spec import as_fraction
 
 CELLS = 512
@@ -46,6 +48,17 @@ def add_cell(rows: DataFrame, value: str, edges: str, out: str) -> DataFrame:
     return rows
 
 
+def _position(rows: DataFrame, value: str) -> Column:
+    """A number that never falls as the value rises, to place cells by.
+
+    Text is placed by its first seven bytes; texts that share them share a cell.
+    """
+    if not isinstance(rows.schema[value].dataType, T.StringType):
+        return F.col(value)
+    prefix = F.hex(F.substring(F.col(value).cast("binary"), 1, 7))
+    return F.conv(F.rpad(prefix, 14, "0"), 16, 10).cast("double")
+
+
 def select_ranks(rows: DataFrame, keys: Sequence[str], value: str,
                  ranks: Callable[[Column], Sequence[Column]], fits: bool,
                  null_safe: bool = False) -> DataFrame:
@@ -56,11 +69,11 @@ def select_ranks(rows: DataFrame, keys: Sequence[str], value: str,
     ``n_below`` and ``n_upto`` count the rows below and up to the value.
     """
     keys = list(keys)
-    rows = rows.select(*keys, value)
-    sketch = rows.groupBy(*keys).agg(cell_sketch(value).alias("_edges"),
+    rows = rows.select(*keys, value, _position(rows, value).alias("_at"))
+    sketch = rows.groupBy(*keys).agg(cell_sketch("_at").alias("_edges"),
                                      F.count(value).alias("group_n"))
     placed = add_cell(attach(rows, sketch, keys, fits, null_safe=null_safe, spread=[value]),
-                      value, "_edges", "_cell")
+                      "_at", "_edges", "_cell")
     cells = (placed
              .select(*keys, "group_n", "_cell",
                      F.get("_edges", F.col("_cell") - 1).alias("_low"),
@@ -78,8 +91,8 @@ def select_ranks(rows: DataFrame, keys: Sequence[str], value: str,
            .filter(F.size("_wanted") > 0)
            .select(*keys, "group_n", "_low", "_high", "_before", "_wanted"))
     inside = attach(rows, hit, keys, fits, null_safe=null_safe, spread=[value],
-                    condition=((F.col("_low").isNull() | (F.col(value) > F.col("_low")))
-                               & (F.col("_high").isNull() | (F.col(value) <= F.col("_high")))))
+                    condition=((F.col("_low").isNull() | (F.col("_at") > F.col("_low")))
+                               & (F.col("_high").isNull() | (F.col("_at") <= F.col("_high")))))
     counted = (inside.groupBy(*keys, "group_n", "_before", "_wanted", value)
                .agg(F.count(F.lit(1)).alias("_equal")))
     within = (Window.partitionBy(*keys, "_before").orderBy(value)
@@ -146,8 +159,9 @@ def quantiles(rows: DataFrame, keys: Sequence[str], value: str, fractions: Seque
         found = select_ranks(rows, keys, value, ranks, sizing.broadcast_fits(LOOKUP_BYTES))
         at_rank = [F.max(F.when(F.col("pos") == i + 1, F.col(value)))
                    for i in range(len(fractions))]
-    return found.groupBy(*keys).agg(F.max("group_n").alias("group_n"),
-                                    F.array(*at_rank).alias("edges"))
+    result = found.groupBy(*keys).agg(F.max("group_n").alias("group_n"),
+                                      F.array(*at_rank).alias("edges"))
+    return result if sizing.one_task_holds_a_group else stage(result, "quantiles")
 
 
 def equal_cuts(rows: DataFrame, keys: Sequence[str], value: str, tie: str,
@@ -159,21 +173,25 @@ def equal_cuts(rows: DataFrame, keys: Sequence[str], value: str, tie: str,
     whole run.
     """
     keys = list(keys)
-    found = select_ranks(rows, keys, value, ranks, fits, null_safe=True)
+    # A few rows per group that three scans went into: kept, so that nothing repeats the scans.
+    found = stage(select_ranks(rows, keys, value, ranks, fits, null_safe=True), "cut_ranks")
+    cuts = found.select(*keys, "pos", F.col(value).alias("_value"),
+                        F.lit(None).cast(rows.schema[tie].dataType).alias("_tie"))
     split = (found.filter(F.col("rank") < F.col("n_upto"))
              .select(*keys, value, F.col("pos").alias("_cut"),
                      (F.col("rank") - F.col("n_below")).alias("_want")))
-    tied = attach(rows.select(*keys, value, tie), split, [*keys, value], fits,
-                  null_safe=True, spread=[tie])
-    resolved = (select_ranks(tied, [*keys, "_cut", "_want"], tie, lambda n: [F.col("_want")],
-                             fits, null_safe=True)
-                .select(*keys, F.col("_cut").alias("pos"), F.col(tie).alias("_tie")))
-    both = (found.select(*keys, "pos", F.col(value).alias("_value"), F.lit(None).cast(
-                rows.schema[tie].dataType).alias("_tie"))
-            .unionByName(resolved.withColumn("_value", F.lit(None).cast(rows.schema[value].dataType))))
+    if not split.isEmpty():
+        tied = attach(rows.select(*keys, value, tie), split, [*keys, value], fits,
+                      null_safe=True, spread=[tie])
+        resolved = select_ranks(tied, [*keys, "_cut", "_want"], tie, lambda n: [F.col("_want")],
+                                fits, null_safe=True)
+        cuts = cuts.unionByName(resolved.select(
+            *keys, F.col("_cut").alias("pos"), F.lit(None).cast(rows.schema[value].dataType)
+            .alias("_value"), F.col(tie).alias("_tie")))
+
     def at(column: str) -> Column:
         return F.array(*[F.max(F.when(F.col("pos") == i + 1, F.col(column))) for i in range(n_cuts)])
-    return both.groupBy(*keys).agg(at("_value").alias("_cut_values"), at("_tie").alias("_cut_ties"))
+    return cuts.groupBy(*keys).agg(at("_value").alias("_cut_values"), at("_tie").alias("_cut_ties"))
 
 
 def equal_bins(df: DataFrame, keys: Sequence[str], order_by: str, tie: str | None, out: str,

@@ -11,7 +11,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark(tmp_path_factory):
     warehouse = tmp_path_factory.mktemp("warehouse")
     session = (SparkSession.builder.master("local[4]").appName("scorewatch-tests")
-               .config("spark.sql.shuffle.partitions", "4")
+               .config("spark.sql.shuffle.partitions", "2")
+               .config("spark.python.sql.dataFrameDebugging.enabled", "false")
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.driver.memory", "4g")

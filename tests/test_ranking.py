@@ -26,6 +26,13 @@ def test_equal_bins_match_ntile(spark, plan):
     assert sorted(got.select("id", "bin").collect()) == sorted(want.select("id", "bin").collect())
 
 
+def test_equal_bins_break_ties_by_text_keys(spark, plan):
+    df = sample(spark, 150).withColumn("id", F.concat(F.lit("k"), F.col("id").cast("string")))
+    got = ranking.equal_bins(df, ["g"], "score", "id", "bin", ranking.ntile_ranks(3), 3)
+    want = df.withColumn("bin", F.ntile(3).over(Window.partitionBy("g").orderBy("score", "id")))
+    assert sorted(got.select("id", "bin").collect()) == sorted(want.select("id", "bin").collect())
+
+
 def test_equal_bins_of_few_rows(spark, plan):
     df = spark.createDataFrame([(i, "a", float(i)) for i in range(3)], "id long, g string, score double")
     got = ranking.equal_bins(df, ["g"], "score", "id", "bin", ranking.ntile_ranks(10), 10)
