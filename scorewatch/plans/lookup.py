@@ -50,6 +50,8 @@ def attach(rows: DataFrame, small: DataFrame, keys: Sequence[str], fits: bool, *
     ``spread`` names row columns whose hash picks the salt when a broadcast does
     not fit; ``condition`` may refer to columns of both sides.
     """
+    if not keys:
+        raise ValueError("a lookup needs group keys")
     renamed = small.select(*[F.col(k).alias(f"_on_{k}") for k in keys],
                            *[c for c in small.columns if c not in keys])
     matches = [F.col(k).eqNullSafe(F.col(f"_on_{k}")) if null_safe
@@ -58,8 +60,6 @@ def attach(rows: DataFrame, small: DataFrame, keys: Sequence[str], fits: bool, *
         matches.append(condition)
     dropped = [f"_on_{k}" for k in keys]
     if fits:
-        if not matches:
-            return rows.join(F.broadcast(renamed))
         on = reduce(lambda a, b: a & b, matches)
         return rows.join(F.broadcast(renamed), on, how).drop(*dropped)
     salted = renamed.withColumn("_salt_small", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

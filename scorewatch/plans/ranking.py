@@ -32,6 +32,11 @@ CELLS = 512
 LOOKUP_BYTES = 8 * CELLS + 256
 
 
+def lookup_bytes(n_ranks: int) -> int:
+    """Bytes per group of the largest lookup: cell borders, or one row per wanted rank."""
+    return max(LOOKUP_BYTES, 256 * n_ranks)
+
+
 def cell_sketch(value: str) -> Column:
     """Aggregate: the borders that split a group into CELLS roughly equal parts."""
     return F.percentile_approx(value, [i / CELLS for i in range(1, CELLS)], 4 * CELLS)
@@ -139,6 +144,10 @@ def quantiles(rows: DataFrame, keys: Sequence[str], value: str, fractions: Seque
     rank error of ``1/accuracy``. Null values are left out; a group without any
     value has no row.
     """
+    if not keys:
+        whole = quantiles(rows.withColumn("_all", F.lit(1)), ["_all"], value, fractions,
+                          accuracy=accuracy, sizing=sizing)
+        return whole.drop("_all")
     keys = list(keys)
     rows = rows.select(*keys, value).filter(F.col(value).isNotNull())
     if accuracy is not None:
@@ -156,7 +165,8 @@ def quantiles(rows: DataFrame, keys: Sequence[str], value: str, fractions: Seque
         at_rank = [F.max(F.when(F.col("_row") == rank, F.col(value)))
                    for rank in ranks(F.col("group_n"))]
     else:
-        found = select_ranks(rows, keys, value, ranks, sizing.broadcast_fits(LOOKUP_BYTES))
+        found = select_ranks(rows, keys, value, ranks,
+                             sizing.broadcast_fits(lookup_bytes(len(fractions))))
         at_rank = [F.max(F.when(F.col("pos") == i + 1, F.col(value)))
                    for i in range(len(fractions))]
     result = found.groupBy(*keys).agg(F.max("group_n").alias("group_n"),
@@ -180,11 +190,13 @@ def equal_cuts(rows: DataFrame, keys: Sequence[str], value: str, tie: str,
     split = (found.filter(F.col("rank") < F.col("n_upto"))
              .select(*keys, value, F.col("pos").alias("_cut"),
                      (F.col("rank") - F.col("n_below")).alias("_want")))
-    if not split.isEmpty():
-        tied = attach(rows.select(*keys, value, tie), split, [*keys, value], fits,
+    n_split = split.count()
+    if n_split:
+        tie_fits = Sizing(n_split, 0).broadcast_fits(LOOKUP_BYTES)
+        tied = attach(rows.select(*keys, value, tie), split, [*keys, value], tie_fits,
                       null_safe=True, spread=[tie])
         resolved = select_ranks(tied, [*keys, "_cut", "_want"], tie, lambda n: [F.col("_want")],
-                                fits, null_safe=True)
+                                tie_fits, null_safe=True)
         cuts = cuts.unionByName(resolved.select(
             *keys, F.col("_cut").alias("pos"), F.lit(None).cast(rows.schema[value].dataType)
             .alias("_value"), F.col(tie).alias("_tie")))
@@ -203,6 +215,10 @@ def equal_bins(df: DataFrame, keys: Sequence[str], order_by: str, tie: str | Non
     hash of the row stands in, so equal values are still divided into bins of the
     asked size. Past one task's size, rows that agree on both columns share a bin.
     """
+    if not keys:
+        whole = equal_bins(df.withColumn("_all", F.lit(1)), ["_all"], order_by, tie, out, ranks,
+                           n_bins, sizing)
+        return whole.drop("_all")
     keys = list(keys)
     tie_value = F.xxhash64(*df.columns) if tie is None else F.col(tie)
     ordered = (df.withColumn("_order", F.coalesce(F.col(order_by).cast("double"),
@@ -217,7 +233,7 @@ def equal_bins(df: DataFrame, keys: Sequence[str], order_by: str, tie: str | Non
         above = [indicator(F.col("_row") > rank) for rank in ranks(F.col("_rows"))]
         return (ordered.withColumn(out, F.lit(1) + add_all(above))
                 .drop("_order", "_tie_by", "_row", "_rows"))
-    fits = sizing.broadcast_fits(LOOKUP_BYTES)
+    fits = sizing.broadcast_fits(lookup_bytes(n_bins))
     cuts = equal_cuts(ordered, keys, "_order", "_tie_by", ranks, n_bins - 1, fits)
     above = []
     for i in range(n_bins - 1):

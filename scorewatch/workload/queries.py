@@ -438,7 +438,8 @@ def performance_windows(spark, folder):
 
 @query
 def performance_report(spark, folder):
-    info = cohorts.cohort_info(marts(spark, folder), outcome_mart(spark, folder), SPEC)
+    info = cohorts.cohort_info(marts(spark, folder), outcome_mart(spark, folder), SPEC,
+                               cohorts=cohort(spark, folder))
     table = outcomes.performance_report(outcomes.performance(cohort(spark, folder), SPEC),
                                         outcomes.baseline_performance(base_cohort(spark, folder), SPEC),
                                         info)

@@ -33,6 +33,14 @@ def test_equal_bins_break_ties_by_text_keys(spark, plan):
     assert sorted(got.select("id", "bin").collect()) == sorted(want.select("id", "bin").collect())
 
 
+def test_the_whole_table_may_be_one_group(spark, plan):
+    df = spark.createDataFrame([(i, float(i % 5)) for i in range(20)], "id long, score double")
+    assert ranking.quantiles(df, [], "score", [0.5]).first()["edges"] == [2.0]
+    got = ranking.equal_bins(df, [], "score", "id", "bin", ranking.ntile_ranks(3), 3)
+    want = df.withColumn("bin", F.ntile(3).over(Window.partitionBy(F.lit(1)).orderBy("score", "id")))
+    assert sorted(got.select("id", "bin").collect()) == sorted(want.select("id", "bin").collect())
+
+
 def test_equal_bins_of_few_rows(spark, plan):
     df = spark.createDataFrame([(i, "a", float(i)) for i in range(3)], "id long, g string, score double")
     got = ranking.equal_bins(df, ["g"], "score", "id", "bin", ranking.ntile_ranks(10), 10)
