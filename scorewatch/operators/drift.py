@@ -117,7 +117,7 @@ def feature_psi(current: DataFrame, baseline: DataFrame, source: Source, spec: D
                          or_zero(F.col("current_std")).alias("current_std"))
 
 
-def _bin_rows(pairs: DataFrame, keys: Sequence[str], n_bins: Column) -> DataFrame:
+def _bin_rows(pairs: DataFrame, n_bins: Column) -> DataFrame:
     """One row per bin from paired histograms, with floored shares of both sides."""
     listed = (pairs.filter((F.col("ref_n") > 0) & (F.col("n") > 0))
               .withColumn("bin", F.explode(F.sequence(F.lit(0), n_bins - 1)))
@@ -142,7 +142,7 @@ def psi_table(reference: DataFrame, sample: DataFrame, ref_keys: Sequence[str],
     keys = [*ref_keys, *extra_keys]
     bounds = F.array(*[F.struct(F.lit(float(low)).alias("low"), F.lit(float(high)).alias("high"))
                        for low, high in intervals])
-    rows = (_bin_rows(pairs, keys, F.lit(len(intervals)))
+    rows = (_bin_rows(pairs, F.lit(len(intervals)))
             .withColumn("_bounds", F.get(bounds, F.col("bin"))))
     return rows.select(
         *keys, interval_label(F.col("_bounds.low"), F.col("_bounds.high"), 2).alias("interval"),
@@ -171,7 +171,7 @@ def csi_table(reference: DataFrame, sample: DataFrame, ref_keys: Sequence[str],
              .join(edges, keys)
              .withColumn("_bounds", F.concat(F.array(F.least("ref_low", "low")), "_edges",
                                              F.array(F.greatest("ref_high", "high")))))
-    rows = (_bin_rows(pairs, keys, F.size("_edges") + 1)
+    rows = (_bin_rows(pairs, F.size("_edges") + 1)
             .withColumn("min_value", F.get("_bounds", "bin"))
             .withColumn("max_value", F.get("_bounds", F.col("bin") + 1)))
     return rows.select(

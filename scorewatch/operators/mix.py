@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scorewatch.functions.columns import melt, or_zero, ratio, ratio_or_zero, shift_month_col
+from scorewatch.functions.columns import or_zero, ratio_or_zero, shift_month_col
 from scorewatch.plans.distribution import paired_histograms, tag_sides
 from scorewatch.spec import Attribution, Segment, Source
 

@@ -174,7 +174,7 @@ def calibration_summary(table: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 # Separation of goods and bads
 
-def _sample_note(spec: Monitoring, has_outcome: bool = True):
+def _sample_note(spec: Monitoring):
     accounts, bads = F.col("account_count"), F.col("bad_count")
     rules = spec.sample
     return (F.when(accounts < rules.min_accounts_ks,

@@ -225,5 +225,6 @@ def test_monitoring_run_with_rolling_baseline(spark, marts):
     out = jobs.run_monitoring(*marts, monitoring(Baseline("rolling_window", months=3)), ["2025-05"])
     got = rows_by(out["separation"], "maturity", "scorecard")
     assert got["M6", "overall"]["ks_drop"] == 0.0
-    assert rows_by(out["performance"], "maturity", "scorecard", "channel")["M3", "overall", "all"]["edr_delta"] is not None
+    perf = rows_by(out["performance"], "maturity", "scorecard", "channel")
+    assert perf["M3", "overall", "all"]["edr_delta"] is not None
     jobs.release(out)
