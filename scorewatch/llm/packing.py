@@ -69,7 +69,14 @@ class Tokens(dict):
         if len(self) >= self.LIMIT:
             self.clear()
         if self.PLAIN.fullmatch(chunk):
-            ids = b"".join([self.known.get(p) or self.piece(p) for p in self.pieces.findall(chunk.lower())])
+            low = chunk.lower()
+            body = low[:-1]
+            if low.isalpha():
+                ids = self.known.get(low) or self.piece(low)
+            elif body.isalpha() and not low[-1].isnumeric():  # a word with one mark behind it
+                ids = (self.known.get(body) or self.piece(body)) + (self.known.get(low[-1]) or self.piece(low[-1]))
+            else:
+                ids = b"".join([self.known.get(p) or self.piece(p) for p in self.pieces.findall(low)])
         else:
             ids = array("I", self.whole.encode(chunk, add_special_tokens=False).ids).tobytes()
         self[chunk] = ids
