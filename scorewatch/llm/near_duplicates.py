@@ -259,6 +259,21 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         F.coalesce(F.col("id") == F.col("root"), F.lit(True)).alias("kept"))
 
 
+def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **kinds) -> DataFrame:
+    """The documents without those that repeat an earlier one, all columns unchanged.
+
+    Rows without an id stay. A kept row that occurs more than once stays once.
+    """
+    groups = near_duplicates(docs, id_col=id_col, text_col=text_col, **kinds)
+    gone = (groups.groupBy(id_col).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+            .filter(f"not kept or (n > 1 and {id_col} is not null)"))
+    gone = work_table(gone, "repeated")
+    ids = F.broadcast(gone) if small_enough(gone, 2_000_000) else gone
+    again = docs.join(ids.filter("kept").select(id_col), id_col, "left_semi").select(*docs.columns)
+    return (docs.join(ids.select(id_col), id_col, "left_anti").select(*docs.columns)
+            .unionByName(again.dropDuplicates([id_col])))
+
+
 def op3_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     """Groups of near-duplicate documents by two-word shingles at a similarity of 0.8."""
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=2)

@@ -6,7 +6,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from scorewatch.llm.common import ship_package
+from scorewatch.llm.mixing import op2_source_mixing
 from scorewatch.llm.near_duplicates import op3_minhash_near_dedup
+from scorewatch.llm.packing import op7_packing
+from scorewatch.llm.personal_data import op9_pii
+from scorewatch.llm.quality_rules import op5_quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,7 +25,7 @@ def _shipped(query: Query) -> Query:
 
 def queries() -> dict[str, Query]:
     return {query.__name__: _shipped(query) for query in (
-        op3_minhash_near_dedup,
+        op2_source_mixing, op3_minhash_near_dedup, op5_quality_rules, op7_packing, op9_pii,
     )}
 
 
