@@ -41,7 +41,7 @@ def measures(text: Column) -> dict[str, Column]:
     return counted
 
 
-def votes(m: Column) -> Column:
+def votes(m: dict[str, Column]) -> Column:
     """One vote of each heuristic, in a fixed order."""
     def vote(bad: Column, good: Column) -> Column:
         return F.when(m["words"] == 0, SILENT).when(bad, BAD).when(good, GOOD).otherwise(SILENT)
@@ -53,7 +53,7 @@ def votes(m: Column) -> Column:
         vote(m["upper"] > 0.5 * m["letters"], m["upper"] < 0.2 * m["letters"]),
         vote((n >= 20) & (m["distinct"] < 0.2 * n), (n >= 20) & (m["distinct"] > 0.35 * n)),
         vote(n < 5, n >= 50),
-        vote((m["ends"] > 0.4 * n) | (m["marks"] > 0.1 * n), m["ends"] > 0.02 * n),
+        vote((n >= 20) & (m["ends"] > 0.4 * n) | (m["marks"] > 0.1 * n), m["ends"] > 0.02 * n),
         vote((per_word < 2) | (per_word > 12), per_word.between(3, 10)),
         vote(m["digits"] > 0.2 * chars, m["digits"] < 0.05 * chars)).cast("array<int>")
 
@@ -104,9 +104,9 @@ def classify(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
              training_rows: int = TRAINING_ROWS) -> DataFrame:
     """One row per document: ``<id>, votes, weak_label, score, kept``."""
     texts = docs.select(F.col(id_col), F.col(text_col).alias("_weak_text"))
-    measured = texts.withColumn("_weak_m", F.struct(*[
-        c.alias(n) for n, c in measures(F.col("_weak_text")).items()]))
-    voted = measured.withColumn("votes", votes(F.col("_weak_m"))).drop("_weak_m")
+    found = measures(F.col("_weak_text"))
+    measured = texts.select("*", *[c.alias(f"_weak_{n}") for n, c in found.items()])
+    voted = measured.select(*texts.columns, votes({n: F.col(f"_weak_{n}") for n in found}).alias("votes"))
     counted = voted.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()  # at most 3**7 rows
     n_rows = sum(row["n"] for row in counted)
     counted.sort(key=lambda row: row["votes"])
