@@ -41,10 +41,39 @@ def _gather(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             part = frame.iloc[begin:end]
             texts = part["text"].fillna("").tolist()
             ids = [None if pd.isna(i) else int(i) for i in part["id"]]
-            yield pd.DataFrame({"batch": [batch], "ids": [ids], "texts": [texts], "chars": [sum(map(len, texts))]})
+            yield pd.DataFrame({"batch": [batch], "ids": [ids], "texts": [squeezed(texts)],
+                                "chars": [sum(map(len, texts))], "words": [sum(len(words_of(t)) for t in texts)]})
             batch += 1
 
 
+def squeezed(texts: list[str]) -> bytes:
+    """Texts of a batch as one compressed value: they are stored and shuffled once each."""
+    import zstandard
+    parts = [t.encode("utf-8", "surrogatepass") for t in texts]
+    sizes = np.array([len(texts), *map(len, parts)], np.int64)
+    return zstandard.ZstdCompressor(level=3).compress(sizes.tobytes() + b"".join(parts))
+
+
+def unsqueezed(value: bytes) -> list[str]:
+    import zstandard
+    raw = zstandard.ZstdDecompressor().decompress(value)
+    n = int(np.frombuffer(raw, np.int64, 1)[0])
+    ends = 8 * (n + 1) + np.concatenate([[0], np.cumsum(np.frombuffer(raw, np.int64, n, 8))])
+    return [raw[a:b].decode("utf-8", "surrogatepass") for a, b in zip(ends[:-1], ends[1:])]
+
+
+def small_numbers(counts: np.ndarray) -> bytes:
+    """Counts in a byte each; those from 255 on follow in full."""
+    large = counts >= 255
+    return np.where(large, 255, counts).astype(np.uint8).tobytes() + counts[large].astype(np.int64).tobytes()
+
+
+def numbers(value: bytes, n: int) -> np.ndarray:
+    out = np.frombuffer(value, np.uint8, n).astype(np.int64)
+    out[out == 255] = np.frombuffer(value, np.int64, offset=n)
+    return out
+
+
 class Batch:
     """Unigram and bigram hashes of the texts of a batch, and where each text begins."""
 
@@ -86,26 +115,27 @@ def _explode(buckets: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for batch, texts in zip(frame["batch"], frame["texts"]):
-                grams = Batch(texts)
+                grams = Batch(unsqueezed(texts))
                 bucket = bucket_of(grams.hashes, buckets)
                 cuts = np.flatnonzero(np.diff(bucket, prepend=np.uint64(buckets))) if len(bucket) else []
                 ends = [*cuts[1:], len(bucket)]
                 yield pd.DataFrame({
                     "batch": batch, "bucket": bucket[cuts].astype(np.int64),
                     "hashes": [grams.hashes[a:b].tobytes() for a, b in zip(cuts, ends)],
-                    "counts": [grams.counts[a:b].astype(np.uint32).tobytes() for a, b in zip(cuts, ends)]})
+                    "counts": [small_numbers(grams.counts[a:b]) for a, b in zip(cuts, ends)]})
     return run
 
 
 def _add_up(rows: pd.DataFrame) -> pd.DataFrame:
     """The count table of one bucket, and its totals for each batch that asked."""
     hashes = np.frombuffer(b"".join(rows["hashes"]), np.uint64)
-    counts = np.frombuffer(b"".join(rows["counts"]), np.uint32)
+    counts = np.concatenate([numbers(c, len(h) // 8) for c, h in zip(rows["counts"], rows["hashes"])])
     distinct, at = np.unique(hashes, return_inverse=True)
     totals = np.bincount(at, counts, len(distinct)).astype(np.int64)[at]
     ends = np.cumsum([len(h) // 8 for h in rows["hashes"]])
     return pd.DataFrame({"batch": rows["batch"], "bucket": rows["bucket"],
-                         "totals": [part.tobytes() for part in np.split(totals, ends[:-1])]})
+                         "size": [len(h) // 8 for h in rows["hashes"]],
+                         "totals": [small_numbers(part) for part in np.split(totals, ends[:-1])]})
 
 
 def _score(n: int):
@@ -113,8 +143,9 @@ def _score(n: int):
         parts = []
         for batch, ids, texts in zip(batches["batch"], batches["ids"], batches["texts"]):
             own = totals[totals["batch"] == batch].sort_values("bucket")
-            grams = Batch(texts)
-            counts = np.frombuffer(b"".join(own["totals"]), np.int64)
+            grams = Batch(unsqueezed(texts))
+            counts = np.concatenate([np.empty(0, np.int64), *(
+                numbers(t, size) for t, size in zip(own["totals"], own["size"]))])
             if len(counts) != len(grams.hashes):
                 raise ValueError(f"counts of batch {batch} are incomplete")
             parts.append(pd.DataFrame({"id": pd.array(list(ids), "Int64"), "n_words": grams.sizes,
@@ -130,14 +161,12 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     """One row per document: ``<id>, n_words, score``."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     batches = work_table(texts.mapInPandas(
-        _gather, "batch long, ids array<long>, texts array<string>, chars long"), "batches")
-    chars, words = batches.agg(F.sum("chars"), F.sum(F.aggregate(
-        "texts", F.lit(0).cast("long"),
-        lambda total, t: total + F.regexp_count(t, F.lit(r"[^\x20\x09-\x0D]+"))))).first()
+        _gather, "batch long, ids array<long>, texts binary, chars long, words long"), "batches")
+    chars, words = batches.agg(F.sum("chars"), F.sum("words")).first()
     buckets = max(1, (chars or 0) // bucket_chars)
     exploded = batches.select("batch", "texts").mapInPandas(
         _explode(buckets), "batch long, bucket long, hashes binary, counts binary")
-    totals = exploded.groupBy("bucket").applyInPandas(_add_up, "batch long, bucket long, totals binary")
+    totals = exploded.groupBy("bucket").applyInPandas(_add_up, "batch long, bucket long, size long, totals binary")
     found = (batches.select("batch", "ids", "texts").groupBy("batch").cogroup(totals.groupBy("batch"))
              .applyInPandas(_score(words or 0), "id long, n_words long, score double"))
     return found.withColumnRenamed("id", id_col)

@@ -8,8 +8,8 @@ the full shingle sets. Components of verified links are the duplicate groups.
 
 Only what connects components matters, so candidates come in two rounds. First every class
 meets the smallest and the largest member of its buckets, and the likeliest of those pairs
-is verified. Then, of buckets whose members are still in different components, all pairs
-across components are compared. A bucket full of copies gives a pair for each copy, not
+is verified; those links make a forest. Then, of buckets whose members still have different
+labels in it, all pairs across labels are compared. A bucket full of copies gives a pair for each copy, not
 for each pair of copies.
 
 Nulls and edges: a null or blank text has an empty set and is linked with nothing; a text
@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scorewatch.llm.common import (WordHashes, attach_groups, chained, small_enough, table,
+from scorewatch.llm.common import (BROADCAST_ROWS, WordHashes, attach_groups, chained, small_enough, table,
                                    texts_in_pieces, words_of, work_table)
 
 #: A pair of similarity 0.8 shares no band with probability (1 - 0.8**5)**30 = 7e-6.
@@ -173,6 +173,24 @@ def verified(pairs: DataFrame, texts: DataFrame, length: int, num: int, den: int
     return joined.mapInPandas(_verify(num, den), "a long, b long").distinct()
 
 
+def _with_least(edges: DataFrame, least: DataFrame, n: int) -> DataFrame:
+    """Edges and the smallest neighbour of their ``u``; a vertex may have very many edges."""
+    if n <= BROADCAST_ROWS:
+        return edges.join(F.broadcast(least.drop("_n")), "u")
+    return attach_groups(edges, least, ["u"], 2 * n)
+
+
+def forest_labels(links: DataFrame) -> DataFrame:
+    """``vertex, label`` of links ``a < b`` with one ``a`` for each ``b``: an ancestor of the vertex."""
+    parent = links.select("a", "b")
+    known = F.broadcast(parent) if small_enough(parent, 2_000_000) else parent
+    up = parent.select(F.col("b").alias("vertex"), F.col("a").alias("label"))
+    for _ in range(2):
+        up = (up.join(known, F.col("label") == F.col("b"), "left")
+              .select("vertex", F.coalesce("a", "label").alias("label")))
+    return up
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Smallest vertex of each component, for every vertex of an edge: ``vertex, root``.
 
@@ -192,10 +210,10 @@ def components(edges: DataFrame) -> DataFrame:
                     .unionByName(edges.select("v", "v").toDF("vertex", "root").distinct()))
         state = (n, mark)
         least = least.withColumn("m", F.least("m", "u"))
-        outward = (attach_groups(both, least, ["u"], 2 * n).filter("v > u")
+        outward = (_with_least(both, least, n).filter("v > u")
                    .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         inward = outward.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_n"))
-        joined = attach_groups(outward, inward, ["u"], 2 * n)
+        joined = _with_least(outward, inward, n)
         edges = work_table(joined.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                            .unionByName(inward.select("u", F.col("m").alias("v"))).distinct(), "edges")
 
@@ -231,10 +249,10 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     first = work_table(near.withColumn("_rank", F.row_number().over(best)).filter("_rank = 1")
                        .select("a", "b"), "hub_pairs")
     links = work_table(verified(first, texts, shingle, num, den), "links")
-    found = components(links)
+    found = work_table(forest_labels(links), "labels")
     # Buckets that still hold more than one component.
     members = (hits.select("key", "rep", "n")
-               .join(found.withColumnRenamed("vertex", "rep"), "rep", "left")
+               .join(found.toDF("rep", "root"), "rep", "left")
                .withColumn("root", F.coalesce("root", "rep")))
     open_keys = (members.groupBy("key").agg(F.min("root").alias("_x"), F.max("root").alias("_y"),
                                             F.count(F.lit(1)).alias("_n")).filter("_x <> _y")
@@ -246,11 +264,20 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
               .select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct()
               .join(first, ["a", "b"], "left_anti"))
     rest = work_table(likely(across, classes, num, den, limits, n_hashes).select("a", "b"), "pairs")
-    links = links.unionByName(verified(rest, texts, shingle, num, den))
-    roots = components(links)
-    grouped = classes.select("set_a", "set_b", "rep", "_n").join(
-        roots.withColumnRenamed("vertex", "rep"), "rep", "left").select(
-        "set_a", "set_b", F.coalesce("root", "rep").alias("root"), "_n")
+    # Components of the labels: by the links across them, and by links that labels still have.
+    rest = work_table(verified(rest, texts, shingle, num, den), "rest")
+    across = rest
+    for end in ("a", "b"):
+        across = (across.join(found.toDF("_v", "_label"), F.col(end) == F.col("_v"), "left")
+                  .withColumn(end, F.coalesce("_label", end)).drop("_v", "_label"))
+    onward = found.select(F.col("label").alias("b")).distinct().join(links, "b").select("a", "b")
+    roots = components(across.unionByName(onward))
+    roots = F.broadcast(roots) if small_enough(roots, 2_000_000) else roots
+    grouped = (classes.select("set_a", "set_b", "rep", "_n")
+               .join(found.toDF("rep", "label"), "rep", "left")
+               .withColumn("label", F.coalesce("label", "rep"))
+               .join(roots, F.col("label") == F.col("vertex"), "left")
+               .select("set_a", "set_b", F.coalesce("root", "label").alias("root"), "_n"))
     member = alive.select("id", "n", "set_a", "set_b")
     linked = attach_groups(member, grouped, ["set_a", "set_b"], features.count()).select("id", "n", "root")
     alone = features.filter("n = 0 or id is null").select("id", "n", F.col("id").alias("root"))
