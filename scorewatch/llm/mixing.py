@@ -75,16 +75,16 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
         weights=WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
     """The documents with their part in the mix, one row each.
 
-    Adds ``size``, ``source_size``, ``target``, ``taken`` (words, repeats counted), ``_mix_at``
-    (words of the source before it, in its order) and ``_mix_ramp``.
+    Adds, with the prefix ``_mix_``: ``size``, ``source_size``, ``target``, ``taken`` (words,
+    repeats counted), ``at`` (words of the source before it, in its order) and ``ramp``.
     """
     n_rows = docs.count()
     n_cells = max(1, math.isqrt(n_rows))
-    sized = (docs.withColumn("size", F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long"))
+    sized = (docs.withColumn("_mix_size", F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long"))
              .withColumn("_mix_order", F.xxhash64(F.col(id_col), F.col(source_col), F.lit("mixing order")))
              .withColumn("_mix_cell", F.pmod("_mix_order", F.lit(n_cells))))
     cells = (sized.groupBy(F.col(source_col).alias("source"), "_mix_cell")
-             .agg(F.sum("size").alias("_mix_words")))
+             .agg(F.sum("_mix_size").alias("_mix_words")))
     sizes = cells.groupBy("source").agg(F.sum("_mix_words").alias("source_size"))
     targets = source_targets(sizes, weights, epochs)
     targets = F.broadcast(targets) if small_enough(targets) else targets
@@ -93,20 +93,21 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     bases = (cells.withColumn("_mix_base", F.coalesce(F.sum("_mix_words").over(along), F.lit(0))).alias("c")
              .join(targets.alias("t"), F.col("c.source").eqNullSafe(F.col("t.source")))
              .select(F.col("c.source").alias("_mix_source"), F.col("_mix_cell").alias("_mix_c"), "_mix_base",
-                     "source_size", "target", F.col("ramp").alias("_mix_ramp")))
+                     F.col("source_size").alias("_mix_source_size"), F.col("target").alias("_mix_target"),
+                     F.col("ramp").alias("_mix_ramp")))
     inside = (Window.partitionBy(source_col, "_mix_cell")
-              .orderBy("_mix_order", F.col(id_col), "size").rowsBetween(Window.unboundedPreceding, -1))
-    placed = (sized.withColumn("_mix_at", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+              .orderBy("_mix_order", F.col(id_col), "_mix_size").rowsBetween(Window.unboundedPreceding, -1))
+    placed = (sized.withColumn("_mix_at", F.coalesce(F.sum("_mix_size").over(inside), F.lit(0)))
               .join(bases, F.col(source_col).eqNullSafe(F.col("_mix_source"))
                     & (F.col("_mix_cell") == F.col("_mix_c")))
               .withColumn("_mix_at", F.col("_mix_at") + F.col("_mix_base")))
     # Words of the document in each reading of the source that lie before the target.
-    wanted = F.round("target").cast("long")
-    taken = sum((F.least(F.greatest(wanted - F.col("_mix_at") - F.col("source_size") * k, F.lit(0)), F.col("size"))
+    wanted = F.round("_mix_target").cast("long")
+    taken = sum((F.least(F.greatest(wanted - F.col("_mix_at") - F.col("_mix_source_size") * k, F.lit(0)), F.col("_mix_size"))
                  for k in range(1, epochs)),
-                F.least(F.greatest(wanted - F.col("_mix_at"), F.lit(0)), F.col("size")))
-    return placed.withColumn("taken", taken).select(
-        *docs.columns, "size", "source_size", "target", "taken", "_mix_at", "_mix_ramp")
+                F.least(F.greatest(wanted - F.col("_mix_at"), F.lit(0)), F.col("_mix_size")))
+    return placed.withColumn("_mix_taken", taken).select(*docs.columns, *[
+        f"_mix_{name}" for name in ("size", "source_size", "target", "taken", "at", "ramp")])
 
 
 def training_stream(docs: DataFrame, *, text_col: str = "text", epochs: int = EPOCHS, **kinds) -> DataFrame:
@@ -117,13 +118,13 @@ def training_stream(docs: DataFrame, *, text_col: str = "text", epochs: int = EP
     """
     mixed = mix(docs, text_col=text_col, epochs=epochs, **kinds)
     readings = F.filter(F.transform(F.sequence(F.lit(0), F.lit(epochs - 1)), lambda k: F.struct(
-        k.alias("epoch"), F.least(F.greatest(F.col("taken") - F.col("size") * k, F.lit(0)), F.col("size"))
+        k.alias("epoch"), F.least(F.greatest(F.col("_mix_taken") - F.col("_mix_size") * k, F.lit(0)), F.col("_mix_size"))
         .alias("words"))), lambda r: r["words"] > 0)
     read = mixed.withColumn("_mix_read", F.explode(readings))
-    share = (F.col("_mix_at") + F.col("source_size") * F.col("_mix_read.epoch")
-             + F.col("_mix_read.words") / 2) / F.col("target")
+    share = (F.col("_mix_at") + F.col("_mix_source_size") * F.col("_mix_read.epoch")
+             + F.col("_mix_read.words") / 2) / F.col("_mix_target")
     words = F.regexp_extract_all(F.col(text_col), F.lit(r"[\x20\x09-\x0D]*+" + WORD), F.lit(0))
-    cut = F.when(F.col("_mix_read.words") < F.col("size"),
+    cut = F.when(F.col("_mix_read.words") < F.col("_mix_size"),
                  F.array_join(F.slice(words, F.lit(1), F.col("_mix_read.words").cast("int")), "")
                  ).otherwise(F.col(text_col))
     at = position(F.least(share, F.lit(1.0)), F.col("_mix_ramp"))
@@ -135,7 +136,8 @@ def training_stream(docs: DataFrame, *, text_col: str = "text", epochs: int = EP
 def op2_source_mixing(spark, sf_dir: str) -> DataFrame:
     """Every document's size, its source's size and target, and the words the mix takes of it."""
     mixed = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
-    first = position(F.least((F.col("_mix_at") + F.col("size") / 2) / F.col("target"), F.lit(1.0)),
+    first = position(F.least((F.col("_mix_at") + F.col("_mix_size") / 2) / F.col("_mix_target"), F.lit(1.0)),
                      F.col("_mix_ramp"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken",
-                        F.when(F.col("taken") > 0, first).alias("position")).orderBy("position", "doc_id")
+    names = ("size", "source_size", "target", "taken")
+    return mixed.select("doc_id", *[F.col(f"_mix_{n}").alias(n) for n in names],
+                        F.when(F.col("_mix_taken") > 0, first).alias("position")).orderBy("position", "doc_id")

@@ -110,7 +110,7 @@ def classify(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     counted = voted.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()  # at most 3**7 rows
     n_rows = sum(row["n"] for row in counted)
     counted.sort(key=lambda row: row["votes"])
-    patterns = np.array([row["votes"] for row in counted]).reshape(len(counted), -1)
+    patterns = np.array([row["votes"] for row in counted])
     posterior, _ = estimate(patterns, np.array([row["n"] for row in counted], float)) if counted else ([], None)
     spark = docs.sparkSession
     labels = F.broadcast(spark.createDataFrame(

@@ -239,24 +239,23 @@ def base_failed(stats: str = "_quality") -> Column:
 
 def bands(scores: DataFrame, *, lang_col: str = "lang", below: float = BELOW,
           above: float = ABOVE) -> DataFrame:
-    """``_quality_lang, _low, _high`` from the documents that pass the base rules."""
+    """``_quality_lang, _quality_low, _quality_high`` from the documents that pass the base rules."""
     quartiles = F.percentile_approx(F.col("_quality")["log_perplexity"], [0.25, 0.5, 0.75], 10_000)
     spread = (F.col("q")[2] - F.col("q")[0]) / 1.349
     return (scores.filter(~base_failed()).groupBy(_language(lang_col).alias("_quality_lang"))
             .agg(quartiles.alias("q"))
-            .select("_quality_lang", (F.col("q")[1] - below * spread).alias("_low"),
-                    (F.col("q")[1] + above * spread).alias("_high")))
+            .select("_quality_lang", (F.col("q")[1] - below * spread).alias("_quality_low"),
+                    (F.col("q")[1] + above * spread).alias("_quality_high")))
 
 
 def judged(scores: DataFrame, limits: DataFrame, *, lang_col: str = "lang") -> DataFrame:
-    """Adds ``base_failed`` and ``kept``."""
+    """Adds ``_quality_base_failed`` and ``_quality_kept``."""
     limits = F.broadcast(limits) if small_enough(limits) else limits
     ppl = F.col("_quality")["log_perplexity"]
     joined = scores.join(limits, _language(lang_col) == F.col("_quality_lang"), "left")
-    inside = F.coalesce((ppl >= F.col("_low")) & (ppl <= F.col("_high")), F.lit(True))
-    return (joined.withColumn("base_failed", base_failed())
-            .withColumn("kept", ~F.col("base_failed") & inside)
-            .drop("_quality_lang", "_low", "_high"))
+    inside = F.coalesce((ppl >= F.col("_quality_low")) & (ppl <= F.col("_quality_high")), F.lit(True))
+    return (joined.withColumn("_quality_base_failed", base_failed())
+            .withColumn("_quality_kept", ~F.col("_quality_base_failed") & inside))
 
 
 def quality_rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -266,7 +265,8 @@ def quality_rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     scores = work_table(scores.drop(text_col), "quality_scores")
     found = judged(scores, bands(scores, lang_col=lang_col, **limits), lang_col=lang_col)
     return found.select(id_col, "_quality.n_words", "_quality.word_chars", "_quality.n_symbols",
-                        "_quality.n_dup_lines", "_quality.n_repeat_words", "base_failed", "kept",
+                        "_quality.n_dup_lines", "_quality.n_repeat_words",
+                        F.col("_quality_base_failed").alias("base_failed"), F.col("_quality_kept").alias("kept"),
                         "_quality.log_perplexity")
 
 
@@ -275,7 +275,7 @@ def drop_low_quality(docs: DataFrame, *, text_col: str = "text", lang_col: str =
     """The documents that are kept, unchanged. Texts stay where they are: scores are taken again."""
     scores = scored(docs, text_col=text_col, lang_col=lang_col)
     found = judged(scores, bands(scores, lang_col=lang_col, **limits), lang_col=lang_col)
-    return found.filter("kept").select(*docs.columns)
+    return found.filter("_quality_kept").select(*docs.columns)
 
 
 def op5_quality_rules(spark, sf_dir: str) -> DataFrame:

@@ -89,8 +89,8 @@ def with_templates(pages: DataFrame, *, host: str = "host", path: str = "path",
                   .when(F.col("_url_children") == 1, F.concat(F.lit("/"), F.col("_url_next")))
                   .when(apart, F.concat(F.lit("/"), F.col("_url_next"))).otherwise("/+"))
         branches = known.select(*child, branch.alias("_url_branch"), F.col("_url_n").alias("_n"))
-        rows = (attach_groups(rows, branches, child, n_rows)
-                .withColumn("template", F.concat("template", "_url_branch")).drop("_url_next", "_url_branch"))
+        rows = work_table(attach_groups(rows, branches, child, n_rows).withColumn(
+            "template", F.concat("template", "_url_branch")).drop("_url_next", "_url_branch"), "url_walk")
     deeper = F.when(F.size("_url_segments") > depth, F.concat("template", F.lit("/**"))).otherwise(F.col("template"))
     return rows.withColumn("template", deeper).drop("_url_segments")
 
