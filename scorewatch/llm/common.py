@@ -56,7 +56,7 @@ def attach_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str], total
             .unionByName(rows.join(large.select(*keys), keys, "left_anti").join(small, keys)))
 
 
-def texts_in_pieces(pdf, column: str, chars: int = 4_000_000) -> Iterator[tuple[int, int]]:
+def texts_in_pieces(pdf, column: str, chars: int = 3_000_000) -> Iterator[tuple[int, int]]:
     """Bounds of row runs of about so many characters; a longer text is a run of its own."""
     begin, held = 0, 0
     for i, text in enumerate(pdf[column]):
@@ -72,7 +72,7 @@ def texts_in_pieces(pdf, column: str, chars: int = 4_000_000) -> Iterator[tuple[
 class WordHashes(dict):
     """64-bit hashes of words (as bytes), kept for the words met last."""
 
-    LIMIT = 400_000
+    LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
@@ -82,6 +82,10 @@ class WordHashes(dict):
         return value
 
 
+#: One for each Python worker, whatever it runs.
+HASHES = WordHashes()
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Words with A-Z lower-cased; bytes know ASCII blanks and letters only."""
     return text.encode("utf-8", "surrogatepass").lower().split() if text is not None else []

@@ -23,15 +23,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorewatch.llm.common import (WordHashes, chained, mixed, table, texts_in_pieces, words_of,
+from scorewatch.llm.common import (HASHES, chained, mixed, table, texts_in_pieces, words_of,
                                    work_table)
 
 BACKOFF, LEAST = 0.4, 2
 #: Characters of text that a bucket of the count table answers for.
 BUCKET_CHARS = 8_000_000
 
-_hashes = WordHashes()
-
 
 def _gather(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     from pyspark import TaskContext
@@ -80,7 +78,7 @@ class Batch:
     def __init__(self, texts):
         words = [words_of(t) for t in texts]
         self.sizes = np.array([len(w) for w in words], np.int64)
-        self.words = np.fromiter((_hashes[w] for ws in words for w in ws), np.uint64, int(self.sizes.sum()))
+        self.words = np.fromiter((HASHES[w] for ws in words for w in ws), np.uint64, int(self.sizes.sum()))
         self.ones = mixed(self.words)
         self.pairs = chained(self.words, 2) if len(self.words) > 1 else np.empty(0, np.uint64)
         first = np.zeros(len(self.words), bool)

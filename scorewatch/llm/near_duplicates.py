@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scorewatch.llm.common import (BROADCAST_ROWS, WordHashes, attach_groups, chained, small_enough, table,
+from scorewatch.llm.common import (BROADCAST_ROWS, HASHES, attach_groups, chained, small_enough, table,
                                    texts_in_pieces, words_of, work_table)
 
 #: A pair of similarity 0.8 shares no band with probability (1 - 0.8**5)**30 = 7e-6.
@@ -34,15 +34,13 @@ BANDS, ROWS = 30, 5
 #: Signature values compared at a time, and the chance of losing a link in one comparison.
 BATCH, MISS = 15, 1e-7
 
-_hashes = WordHashes()
-
 
 def shingle_set(text: str | None, length: int) -> np.ndarray:
     """Sorted distinct 64-bit shingle hashes of one text."""
     words = words_of(text)
     if not words:
         return np.empty(0, np.uint64)
-    hashes = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    hashes = np.fromiter(map(HASHES.__getitem__, words), np.uint64, len(words))
     return np.unique(chained(hashes, min(length, len(hashes))))
 
 

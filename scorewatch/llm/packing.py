@@ -42,7 +42,7 @@ class Tokens(dict):
     through the whole tokenizer. Chunks and pieces met are kept, up to a limit.
     """
 
-    LIMIT = 500_000
+    LIMIT = 250_000
     #: Characters that need neither normalization nor special tokens.
     PLAIN = re.compile("[\x21-\x3b=\x3f-\x7b}~\xa1-\u024f]*")
 

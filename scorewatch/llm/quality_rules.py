@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scorewatch.llm.common import (WordHashes, chained, small_enough, table, texts_in_pieces,
+from scorewatch.llm.common import (HASHES, chained, small_enough, table, texts_in_pieces,
                                    work_table)
 
 BITS = 7
@@ -38,7 +38,6 @@ SYMBOLS, BLANKS = "#*$%&|<>", " \t\n\r\v\f"
 STATS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
          "log_perplexity double")
 
-_hashes = WordHashes()
 _classes: list[np.ndarray] = []
 
 
@@ -170,7 +169,7 @@ def text_stats(text: str | None) -> tuple[int, int, int, int, int]:
         return 0, 0, sum(map(text.count, SYMBOLS)), 0, 0
     repeated = 0
     if len(words) >= 4:
-        runs = chained(np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words)), 3)
+        runs = chained(np.fromiter(map(HASHES.__getitem__, words), np.uint64, len(words)), 3)
         order = np.argsort(runs, kind="stable")
         same = runs[order[1:]] == runs[order[:-1]]
         if same.any():
@@ -250,6 +249,7 @@ def bands(scores: DataFrame, *, lang_col: str = "lang", below: float = BELOW,
 
 def judged(scores: DataFrame, limits: DataFrame, *, lang_col: str = "lang") -> DataFrame:
     """Adds ``_quality_base_failed`` and ``_quality_kept``."""
+    limits = work_table(limits, "quality_bands")  # else asking for its size would score again
     limits = F.broadcast(limits) if small_enough(limits) else limits
     ppl = F.col("_quality")["log_perplexity"]
     joined = scores.join(limits, _language(lang_col) == F.col("_quality_lang"), "left")
