@@ -26,13 +26,18 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scorewatch.llm.common import (BROADCAST_ROWS, HASHES, attach_groups, chained, small_enough, table,
-                                   texts_in_pieces, words_of, work_table)
+from scorewatch.llm.common import (BROADCAST_ROWS, HASHES, attach_groups, chained, mixed, small_enough,
+                                   table, texts_in_pieces, words_of, work_table)
 
-#: A pair of similarity 0.8 shares no band with probability (1 - 0.8**5)**30 = 7e-6.
-BANDS, ROWS = 30, 5
-#: Signature values compared at a time, and the chance of losing a link in one comparison.
-BATCH, MISS = 15, 1e-7
+#: A pair of similarity 0.8 shares no band with probability (1 - 0.8**8)**64 = 8e-6. Long bands
+#: keep documents apart that only have a passage in common: at a
+#: similarity of 0.3 they meet in one of 64 bands of eight values with probability 0.004, in one of
+#: 30 bands of five with 0.07, which finds pairs of 0.8 no better.
+BANDS, ROWS = 64, 8
+#: Signature values kept for comparison, how many at a time, and the chance of losing a link in one.
+COMPARED, BATCH, MISS = 150, 15, 1e-7
+#: Bytes of a band's key.
+KEY_BYTES = 6
 
 
 def shingle_set(text: str | None, length: int) -> np.ndarray:
@@ -68,7 +73,19 @@ def signatures(sets: list[np.ndarray], n_hashes: int) -> np.ndarray:
     return out
 
 
-def _features(length: int, n_hashes: int):
+def band_keys(values: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """``KEY_BYTES`` bytes for each band of each signature, side by side."""
+    grouped = values[:, :bands * rows].reshape(len(values), bands, rows).astype(np.uint64)
+    keys = np.zeros((len(values), bands), np.uint64)
+    for i in range(rows):
+        keys = mixed(keys * np.uint64(0xD6E8FEB86659FD93) + grouped[:, :, i] + np.uint64(1))
+    spread = np.ascontiguousarray(keys).view(np.uint8).reshape(len(values), bands, 8)
+    return spread[:, :, :KEY_BYTES].reshape(len(values), -1)
+
+
+def _features(length: int, bands: int, rows: int, compared: int):
+    n_hashes = max(bands * rows, compared)
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
         for frame in frames:
@@ -76,14 +93,17 @@ def _features(length: int, n_hashes: int):
                 part = frame.iloc[begin:end]
                 sets = [shingle_set(t, length) for t in part["text"]]
                 some = [s for s in sets if len(s)]
-                rows = iter(signatures(some, n_hashes)) if some else iter(())
+                values = signatures(some, n_hashes) if some else np.empty((0, n_hashes), np.uint16)
+                drawn = iter(zip(values[:, :compared], band_keys(values, bands, rows)))
                 found = [(len(s), xxhash.xxh3_64_intdigest(s.tobytes(), 1) - 2**63,
                           xxhash.xxh3_64_intdigest(s.tobytes(), 2) - 2**63,
-                          next(rows).tobytes()) if len(s) else (0, None, None, None) for s in sets]
+                          *(x.tobytes() for x in next(drawn))) if len(s) else (0, None, None, None, None)
+                         for s in sets]
                 yield pd.DataFrame({
                     "id": part["id"].astype("Int64").to_numpy(dtype=object, na_value=None),
                     "n": [f[0] for f in found], "set_a": pd.array([f[1] for f in found], "Int64"),
-                    "set_b": pd.array([f[2] for f in found], "Int64"), "sig": [f[3] for f in found]})
+                    "set_b": pd.array([f[2] for f in found], "Int64"), "sig": [f[3] for f in found],
+                    "band_keys": [f[4] for f in found]})
     return run
 
 
@@ -218,31 +238,32 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = 5, num: int = 4, den: int = 5, bands: int = BANDS,
-                    rows: int = ROWS, batch: int = BATCH, miss: float = MISS) -> DataFrame:
+                    rows: int = ROWS, compared: int = COMPARED, batch: int = BATCH,
+                    miss: float = MISS) -> DataFrame:
     """One row per document: ``<id>, n_shingles, component_id, kept``.
 
     Documents with ``den * |common| >= num * |union|`` are linked; ``component_id`` is the
     smallest id that links lead to, and ``kept`` marks the document that has it.
     """
-    n_hashes = bands * rows
-    limits = least_matches(num / den, miss, n_hashes, batch)
+    limits = least_matches(num / den, miss, compared, batch)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     features = work_table(texts.mapInPandas(
-        _features(shingle, n_hashes), "id long, n long, set_a long, set_b long, sig binary"), "features")
+        _features(shingle, bands, rows, compared),
+        "id long, n long, set_a long, set_b long, sig binary, band_keys binary"), "features")
     alive = features.filter("n > 0 and id is not null")
     classes = work_table(alive.groupBy("set_a", "set_b").agg(
         F.min("id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig"),
-        F.count(F.lit(1)).alias("_n")), "classes")
+        F.first("band_keys").alias("band_keys"), F.count(F.lit(1)).alias("_n")), "classes")
     # Pairs within buckets: the band's number and values make its key.
     keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(
-        i, F.col("sig").substr(i * (2 * rows) + 1, F.lit(2 * rows))))
+        i, F.col("band_keys").substr(i * KEY_BYTES + 1, F.lit(KEY_BYTES))))
     placed = classes.select("rep", "n", F.explode(keys).alias("key"))
     buckets = (placed.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high"),
                                          F.count(F.lit(1)).alias("_n")).filter("_n > 1"))
     hits = work_table(attach_groups(placed, buckets, ["key"], bands * classes.count()), "hits")
     hubs = (hits.select("rep", F.explode(F.array("low", "high")).alias("hub")).filter("rep <> hub")
             .select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct())
-    near = likely(hubs, classes, num, den, limits, n_hashes)
+    near = likely(hubs, classes, num, den, limits, compared)
     best = Window.partitionBy("b").orderBy(F.desc("share"), "a")
     first = work_table(near.withColumn("_rank", F.row_number().over(best)).filter("_rank = 1")
                        .select("a", "b"), "hub_pairs")
@@ -261,7 +282,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
               .filter(F.least("a.n", "b.n") * den >= F.greatest("a.n", "b.n") * num)
               .select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct()
               .join(first, ["a", "b"], "left_anti"))
-    rest = work_table(likely(across, classes, num, den, limits, n_hashes).select("a", "b"), "pairs")
+    rest = work_table(likely(across, classes, num, den, limits, compared).select("a", "b"), "pairs")
     # Components of the labels: by the links across them, and by links that labels still have.
     rest = work_table(verified(rest, texts, shingle, num, den), "rest")
     across = rest
