@@ -7,18 +7,27 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scorewatch.functions.columns import or_zero, ratio
+from scorewatch.functions.columns import ratio
 from scorewatch.spec import Source
 
 GROUP = ["vintage_month", "channel"]
 
 
 def _check(df: DataFrame, name: str, value: Column, limit: float, strict: bool = False) -> DataFrame:
-    """One row ``check, value, limit, passed`` from a global aggregate."""
-    measured = df.agg(or_zero(value.cast("double")).alias("value"))
+    """One row ``check, value, limit, passed`` from a global aggregate.
+
+    A check of an empty table, or one that comes to no number, has no value and fails.
+    """
+    measured = df.agg(F.when(F.count(F.lit(1)) > 0, value.cast("double")).alias("value"))
     ok = F.col("value") < limit if strict else F.col("value") <= limit
     return measured.select(F.lit(name).alias("check"), "value", F.lit(float(limit)).alias("limit"),
-                           ok.alias("passed"))
+                           F.coalesce(ok, F.lit(False)).alias("passed"))
+
+
+def _against(expected: DataFrame, found: DataFrame, difference: Column) -> tuple[DataFrame, Column]:
+    """Expected groups with what was found, and the largest difference: infinite for a missing group."""
+    both = expected.join(found.withColumn("_found", F.lit(True)), GROUP, "left")
+    return both, F.max(F.when(F.col("_found").isNull(), float("inf")).otherwise(F.abs(difference)))
 
 
 def promotion_checks(source_rows: DataFrame, account: DataFrame, business: Mapping[str, DataFrame],
@@ -58,8 +67,8 @@ def promotion_checks(source_rows: DataFrame, account: DataFrame, business: Mappi
                              F.max(F.abs(F.coalesce("_n", F.lit(0)) - F.coalesce("_l2", F.lit(0)))), 0))
     summary = business["overall_summary"].select(*GROUP, F.col(f"avg_{source.score}").alias("_l2"),
                                                  F.col("account_count").alias("_accounts"))
-    checks.append(_check(counted.join(summary, GROUP), "summary_average_matches_accounts",
-                         F.max(F.abs(F.col("_avg") - F.col("_l2"))), 1e-4, True))
+    both, gap = _against(counted, summary, F.col("_avg") - F.col("_l2"))
+    checks.append(_check(both, "summary_average_matches_accounts", gap, 1e-4, True))
     distribution = business["score_distribution"]
     per_group = distribution.groupBy(*GROUP).agg(
         F.countDistinct(decile).alias("_bins"), F.count(F.lit(1)).alias("_rows"),
@@ -78,8 +87,9 @@ def promotion_checks(source_rows: DataFrame, account: DataFrame, business: Mappi
     checks.append(_check(drift, "negative_psi_or_ks",
                          F.count_if((F.col("score_psi") < 0) | (F.col("score_ks") < 0)), 0))
     checks.append(_check(drift, "largest_score_psi", F.max("score_psi"), 0.25, True))
-    checks.append(_check(drift.join(summary, GROUP), "drift_mean_matches_summary",
-                         F.max(F.abs(F.col(f"mean_{source.score}") - F.col("_l2"))), 1e-3, True))
+    both, gap = _against(summary, drift.select(*GROUP, f"mean_{source.score}"),
+                         F.col(f"mean_{source.score}") - F.col("_l2"))
+    checks.append(_check(both, "drift_mean_matches_summary", gap, 1e-3, True))
     quality = monitoring["data_quality"]
     checks.append(_check(quality, "largest_missing_score_rate", F.max("missing_score_rate"), 0.01, True))
     for name, columns in (("data_quality", ["missing_score_rate", "outlier_score_rate"]),
@@ -94,6 +104,6 @@ def promotion_checks(source_rows: DataFrame, account: DataFrame, business: Mappi
     shares = mix.groupBy(*GROUP, "segment_type").agg(
         F.sum("pct_of_channel_accounts").alias("_share"), F.sum("account_count").alias("_n"))
     checks.append(_check(shares, "mix_shares_sum_to_one", F.max(F.abs(F.col("_share") - 1)), 1e-9))
-    checks.append(_check(shares.join(summary, GROUP), "mix_accounts_match_summary",
-                         F.max(F.abs(F.col("_n") - F.col("_accounts"))), 0))
+    both, gap = _against(summary, shares, F.col("_n") - F.col("_accounts"))
+    checks.append(_check(both, "mix_accounts_match_summary", gap, 0))
     return reduce(DataFrame.unionByName, checks)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from scorewatch.functions.columns import melt, or_zero
 from scorewatch.operators.drift import population_shift
 from scorewatch.operators.quality import missing_rates, missing_share, outlier_share
-from scorewatch.plans.spine import ALL_CHANNELS, over_scopes
+from scorewatch.plans.spine import ALL_CHANNELS, expected_groups, over_scopes
 from scorewatch.spec import Monitoring
 
 
@@ -56,6 +56,12 @@ def feature_stability(current: DataFrame, baseline: DataFrame, spec: Monitoring,
     shift = population_shift(long(baseline, baseline_by), long(current, ["reporting_month"]),
                              [*baseline_by, "scorecard", "feature_name"], extra, "value",
                              spec.n_bins)
+    cards = over_scopes(current.select(*dict.fromkeys(
+        ["reporting_month", *([spec.scorecard] if spec.scorecard else [])])), None, (), spec.scorecard)
+    keys = ["reporting_month", "scorecard", "feature_name"]
+    # A feature without any value keeps its row, with an index of 0 and no means.
+    shift = (expected_groups(cards, keys[:2], feature_name=features).join(shift, keys, "left")
+             .withColumn("psi", or_zero(F.col("psi"))))
     rank = F.row_number().over(Window.partitionBy("reporting_month", "scorecard")
                                .orderBy(F.col("psi").desc(), "feature_name"))
     return shift.select("reporting_month", "scorecard", "feature_name", "psi", "baseline_mean",

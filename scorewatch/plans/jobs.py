@@ -1,6 +1,7 @@
 """Whole runs: every table of a monthly report or of running-month monitoring."""
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
@@ -14,6 +15,8 @@ from scorewatch.sources.tables import (check_performance_mart, check_score_mart,
                                        stamp)
 from scorewatch.spec import DriftSpec, Enrichment, Monitoring, Source, TableSpec
 
+log = logging.getLogger(__name__)
+
 Writer = Callable[[DataFrame, str], None]
 
 
@@ -93,14 +96,17 @@ def cohort_columns(cohort: DataFrame, spec: Monitoring) -> DataFrame:
 
 
 def run_monitoring(score_mart: DataFrame, performance_mart: DataFrame | None, spec: Monitoring,
-                   reporting_months: Sequence[str] | None = None,
-                   write: Writer | None = None) -> dict[str, DataFrame]:
+                   reporting_months: Sequence[str] | None = None, write: Writer | None = None,
+                   model_version: str | None = None) -> dict[str, DataFrame]:
     """All running-month tables by name, for one month, a list, or the whole history.
 
+    With ``write`` every table is written with its reporting month and ``model_version``.
     Without a performance mart the outcome tables are left out. The outcome
     cohorts feed seven tables and are staged. Result tables that others are drawn
     from hold a few rows per group and are cached; ``release`` frees them.
     """
+    if write is not None and model_version is None:
+        raise ValueError("tables are written by reporting month and model version; name the version")
     warnings = check_score_mart(score_mart, spec)
     if warnings:
         raise ValueError("; ".join(warnings))
@@ -141,9 +147,8 @@ def run_monitoring(score_mart: DataFrame, performance_mart: DataFrame | None, sp
                 "feature_stability": out["feature_stability"], "columns": out["column_quality"]}
 
     if performance_mart is not None:
-        warnings = check_performance_mart(performance_mart, spec)
-        if warnings:
-            raise ValueError("; ".join(warnings))
+        for warning in check_performance_mart(performance_mart, spec):
+            log.warning("performance mart: %s", warning)
         cohort = stage(cohort_columns(
             cohorts.performance_cohorts(score_mart, performance_mart, spec, months), spec),
             "cohorts", ["reporting_month"])
@@ -184,7 +189,7 @@ def run_monitoring(score_mart: DataFrame, performance_mart: DataFrame | None, sp
         # Sections by what they hold: outcome rows with figures, not note rows.
         out["availability"] = governance.availability(spine, {
             "stability": out["score_stability"],
-            "separation": out["separation"],
+            "separation": out["separation"].filter(F.col("ks").isNotNull()),
             "performance": out["performance"].filter(F.col("note").isNull()),
             "calibration": out["calibration"],
             "data_quality": out["score_quality"],
@@ -192,10 +197,17 @@ def run_monitoring(score_mart: DataFrame, performance_mart: DataFrame | None, sp
             "attribution": out["attribution"]}, out["cohort_info"])
     if write is not None:
         for name, df in out.items():
-            write(df, name)
+            write(stamp_run(df, spine, model_version), name)
     return out
 
 
+def stamp_run(df: DataFrame, spine: DataFrame, model_version: str) -> DataFrame:
+    """Add the model version, and the run's reporting months to a table that holds for them all."""
+    if "reporting_month" not in df.columns:
+        df = spine.withColumn("_run", F.lit(1)).join(df.withColumn("_run", F.lit(1)), "_run").drop("_run")
+    return df.withColumn("model_version", F.lit(model_version))
+
+
 def release(tables: dict[str, DataFrame]) -> None:
     for df in tables.values():
         df.unpersist()

@@ -4,7 +4,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,17 +27,22 @@ STRICT = replace(SPEC, sample=SampleRules())
 R = ["reporting_month"]
 
 
+def six_places(value: Column) -> Column:
+    return F.when(F.abs(value) < 1e15, F.round(F.round(value * 1e9) / 1e3) / 1e6).otherwise(value)
+
+
 def query(fn: Callable) -> Callable:
     """Register a query; doubles are given at six places for comparison.
 
-    Halves round up with a hair to spare, so that the last binary digit of a sum
-    does not decide the sixth place.
+    They are rounded at nine places first, so that the last binary digit of a sum
+    does not decide the sixth. Doubles of 1e15 and more have no such places and stay, as
+    do NaN and infinity.
     """
     def run(spark: SparkSession, folder: str) -> DataFrame:
         df = fn(spark, folder)
-        return df.select(*[
-            (F.floor(F.col(f.name) * 1e6 + 0.51) / 1e6).alias(f.name)
-            if isinstance(f.dataType, T.DoubleType) else F.col(f.name) for f in df.schema.fields])
+        return df.select(*[six_places(F.col(f.name)).alias(f.name)
+                           if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+                           for f in df.schema.fields])
 
     REGISTRY[fn.__name__] = run
     return fn

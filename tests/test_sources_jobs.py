@@ -79,6 +79,8 @@ def test_mart_checks(spark):
     assert tables.check_score_mart(df, spec) == []
     assert len(tables.check_score_mart(df.drop("score"), spec)) == 1
     assert len(tables.check_performance_mart(df, spec)) == 2
+    with pytest.raises(ValueError, match="account_id"):
+        tables.check_performance_mart(df.drop("account_id"), spec)
     perf = spark.createDataFrame([], "account_id long, score_month string, edr30_m3 int, is_mature_m6 int")
     assert tables.check_performance_mart(perf, spec) == []
     assert tables.available_maturities(perf) == ["M6"]
@@ -94,6 +96,21 @@ def test_rewriting_a_month_keeps_the_others(spark):
     spark.sql("DROP TABLE result")
 
 
+def test_a_table_without_its_partition_columns_is_not_written(spark):
+    with pytest.raises(ValueError, match="model_version"):
+        tables.write_table(spark.createDataFrame([(1, "2025-01")], "n int, score_month string"), "result")
+    assert not spark.catalog.tableExists("result")
+
+
+def test_six_places_keep_large_and_odd_doubles(spark):
+    from scorewatch.workload.queries import six_places
+    given = [1e13, 1e18, float("inf"), -2.5e-7, 0.0078125, -0.0000005, 0.1 + 0.2, None]
+    rows = spark.createDataFrame([(x,) for x in [*given, float("nan")]], "x double")
+    got = [r[0] for r in rows.select(six_places(F.col("x"))).collect()]
+    assert got[:-1] == [1e13, 1e18, float("inf"), 0.0, 0.007813, -0.000001, 0.3, None]
+    assert got[-1] != got[-1]
+
+
 def test_stage_keeps_types_and_partitions(spark):
     df = spark.createDataFrame([("2025-01", 1.5, None)], "m string, v double, s string")
     back = stage(df, "x", ["m"])
@@ -228,3 +245,55 @@ def test_monitoring_run_with_rolling_baseline(spark, marts):
     perf = rows_by(out["performance"], "maturity", "scorecard", "channel")
     assert perf["M3", "overall", "all"]["edr_delta"] is not None
     jobs.release(out)
+
+
+def test_reporting_months_keep_their_rows_when_others_are_written(spark, marts):
+    kept = ("baseline_info", "cohort_info", "feature_stability")
+    spec = monitoring(Baseline("fixed_window", "2024-05", "2024-11"))
+    for name in kept:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    with pytest.raises(ValueError, match="version"):
+        jobs.run_monitoring(*marts, spec, ["2025-05"], write=lambda df, name: None)
+
+    def write(df, name):
+        if name in kept:
+            tables.write_monitoring_table(df, name)
+
+    wanted = {}
+    for month in ("2025-05", "2025-02", "2025-05"):
+        out = jobs.run_monitoring(*marts, spec, [month], write=write, model_version="v1")
+        wanted |= {(name, month): out[name].count() for name in kept}
+        jobs.release(out)
+    got = {(name, r["reporting_month"]): r["count"] for name in kept
+           for r in spark.table(name).groupBy("reporting_month").count().collect()}
+    assert got == wanted and min(wanted.values()) > 0
+    for name in kept:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_feature_without_values_keeps_its_stability_row(spark, marts):
+    from scorewatch.operators import cohorts, stability
+    spec = monitoring(Baseline("fixed_window", "2024-05", "2024-11"))
+    dead = spec.source.features[0]
+    mart = marts[0].withColumn(dead, F.when(F.col(spec.source.month) != "2025-05", F.col(dead)))
+    rows = stability.feature_stability(cohorts.current_cohort(mart, spec, ["2025-05"]),
+                                       cohorts.baseline_rows(mart, spec, ["2025-05"]), spec)
+    got = rows_by(rows, "scorecard", "feature_name")
+    assert len(got) == 3 * len(spec.source.features)
+    assert got["overall", dead]["psi"] == 0.0 and got["overall", dead]["current_mean"] is None
+
+
+def test_checks_fail_on_empty_and_incomplete_tables(spark):
+    current, out = run(spark)
+    name = "largest_score_psi", "drift_mean_matches_summary", "mix_accounts_match_summary"
+
+    def passed(**spoilt):
+        return {r["check"]: r["passed"] for r in jobs.run_checks(
+            current, out | spoilt, SOURCE, ENRICHMENT).filter(F.col("check").isin(*name)).collect()}
+
+    whole = passed()
+    assert whole["drift_mean_matches_summary"] and whole["mix_accounts_match_summary"]
+    none = passed(score_drift=out["score_drift"].limit(0), population_mix=out["population_mix"].limit(0))
+    assert not any(none.values())
+    part = passed(score_drift=out["score_drift"].filter("channel = 'A'"))
+    assert not part["drift_mean_matches_summary"] and part["mix_accounts_match_summary"]
