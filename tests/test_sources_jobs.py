@@ -247,27 +247,26 @@ def test_monitoring_run_with_rolling_baseline(spark, marts):
     jobs.release(out)
 
 
-def test_reporting_months_keep_their_rows_when_others_are_written(spark, marts):
-    kept = ("baseline_info", "cohort_info", "feature_stability")
-    spec = monitoring(Baseline("fixed_window", "2024-05", "2024-11"))
-    for name in kept:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+def test_writing_a_monitoring_run_needs_a_version(spark, marts):
     with pytest.raises(ValueError, match="version"):
-        jobs.run_monitoring(*marts, spec, ["2025-05"], write=lambda df, name: None)
-
-    def write(df, name):
-        if name in kept:
-            tables.write_monitoring_table(df, name)
-
-    wanted = {}
-    for month in ("2025-05", "2025-02", "2025-05"):
-        out = jobs.run_monitoring(*marts, spec, [month], write=write, model_version="v1")
-        wanted |= {(name, month): out[name].count() for name in kept}
-        jobs.release(out)
-    got = {(name, r["reporting_month"]): r["count"] for name in kept
-           for r in spark.table(name).groupBy("reporting_month").count().collect()}
-    assert got == wanted and min(wanted.values()) > 0
-    for name in kept:
+        jobs.run_monitoring(*marts, monitoring(Baseline("fixed_window", "2024-05", "2024-11")),
+                            ["2025-05"], write=lambda df, name: None)
+
+
+def test_reporting_months_keep_their_rows_when_others_are_written(spark):
+    cohorts = "reporting_month string, score_month string, n int"
+    for name in ("cohort_rows", "run_rows"):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    # The cohort month 2001-02 is M3 of one reporting month and M6 of another.
+    for month, cohort, n in (("2001-05", "2001-02", 1), ("2001-08", "2001-02", 2), ("2001-05", "2001-02", 3)):
+        spine = spark.createDataFrame([(month,)], "reporting_month string")
+        by_cohort = spark.createDataFrame([(month, cohort, n)], cohorts)
+        whole_run = spark.createDataFrame([(n,)], "n int")
+        for name, df in (("cohort_rows", by_cohort), ("run_rows", whole_run)):
+            tables.write_monitoring_table(jobs.stamp_run(df, spine, "v1"), name)
+    for name in ("cohort_rows", "run_rows"):
+        got = {(r["reporting_month"], r["model_version"], r["n"]) for r in spark.table(name).collect()}
+        assert got == {("2001-05", "v1", 3), ("2001-08", "v1", 2)}
         spark.sql(f"DROP TABLE {name}")
 
 
