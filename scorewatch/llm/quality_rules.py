@@ -32,8 +32,8 @@ CLASSES = 1 << BITS
 GRAMS = CLASSES**3
 #: Trigrams of the languages that are scored in one pass; three numbers each.
 MODEL_ROWS = 4 * GRAMS
-#: Robust standard deviations below and above the median.
-BELOW, ABOVE = 6.0, 6.0
+#: Robust standard deviations below and above the median: the usual cut for outliers (Iglewicz and Hoaglin).
+BELOW, ABOVE = 3.5, 3.5
 SYMBOLS, BLANKS = "#*$%&|<>", " \t\n\r\v\f"
 STATS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
          "log_perplexity double")

@@ -190,6 +190,27 @@ def test_quality_statistics(docs, rows, none):
     assert Counter(r.doc_id for r in kept.collect()) == Counter(r.doc_id for r in found if r.kept)
 
 
+def varied_text(seed):
+    """Two kinds of syllables in shares that vary from text to text."""
+    rng = np.random.RandomState(seed)
+    parts = [["an", "ber", "cho", "du", "el", "fi", "gra", "hu", "ist", "ker"], ["wex", "oz", "vip", "jo", "qua"]]
+    share = rng.normal(0.5, 0.08)
+    return " ".join("".join(rng.choice(parts[int(rng.rand() < share)]) for _ in range(rng.randint(1, 4)))
+                    for _ in range(150))
+
+
+def test_bands_reject_junk_and_menus_and_keep_clean_texts(spark):
+    clean = [varied_text(i) for i in range(150)]
+    junk = [" ".join(w + "%%%" if i % 4 == 1 else w for i, w in enumerate(varied_text(seed).split(" ")))
+            for seed in (200, 201, 202)]
+    menus = [varied_text(seed).replace(" ", " | ", 85) for seed in (300, 301, 302)]
+    frame = spark.createDataFrame(list(enumerate(clean + junk + menus)), "doc_id long, text string")
+    found = {r.doc_id: r for r in quality_rules.quality_rules(frame.withColumn("lang", F.lit("en"))).collect()}
+    assert not any(r.base_failed for r in found.values())
+    assert not any(found[i].kept for i in range(150, 156))
+    assert sum(found[i].kept for i in range(150)) >= 148
+
+
 def test_model_probabilities_sum_to_one():
     grams, _ = quality_rules.trigrams([base_text(i) for i in range(20)])
     model = quality_rules.Model(*np.unique(grams, return_counts=True))
