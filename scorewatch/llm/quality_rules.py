@@ -1,15 +1,21 @@
 """Quality rules: text statistics and n-gram perplexity in language-specific bands.
 
-A modified Kneser-Ney model of character trigrams is counted by Spark over all documents, one
-for each value of the language column, and stored as sorted arrays of n-gram hashes with their
-probabilities and backoff weights. Characters are folded into 128 classes first (ASCII as it is,
-digits together, everything else hashed into the classes left), so a language has at most 2**21
-trigrams whatever the corpus holds: that bounds the model, which is broadcast. Languages are
-taken in blocks whose models stay under ``MODEL_ROWS`` trigrams.
-
-A document whose log-perplexity lies outside its language's band is rejected; a band reaches so
-many robust standard deviations (from the quartiles of all its documents) to either side of the
-median.
+A modified Kneser-Ney model of character five-grams is counted by Spark over all documents, one
+for each value of the language column. Code points are taken as they are: a five-gram is two
+longs that hold its 21-bit code points, so nothing is folded and the model grows with the corpus.
+Counts, discounts, contexts and probabilities of every order are tables shuffled by n-gram; no
+model is broadcast. Documents are gathered into batches by their characters; a batch asks for its
+distinct five-grams once, and the answers meet its texts by batch.
+
+Each language has two models, of the texts whose checksum is even and odd, and a text is scored
+by the one that it (with its exact copies) is not part of: else long n-grams make every text look
+familiar. A document has two log-perplexities, of order five (``log_perplexity``), which sees word
+borders and word order, and of a trigram model of the same counts, which sees spelling. It is rejected
+if either lies outside its language's band; a band reaches so many robust standard deviations
+(from the quartiles of all its documents) to either side of the median.
+
+``Model`` is the same estimate over trigrams of folded characters in memory; the operator does
+not use it.
 
 Nulls and edges: a null or blank text has no words and fails the base rules; a null language is
 one of its own; rows are judged one by one, so repeated rows repeat; whole texts are read. Column
@@ -17,26 +23,30 @@ names must not begin with ``_quality``.
 """
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from scorewatch.llm.common import (HASHES, chained, small_enough, table, texts_in_pieces,
+from scorewatch.llm.common import (HASHES, chained, mixed, small_enough, table, texts_in_pieces,
                                    work_table)
 
 BITS = 7
 CLASSES = 1 << BITS
 GRAMS = CLASSES**3
-#: Trigrams of the languages that are scored in one pass; three numbers each.
-MODEL_ROWS = 4 * GRAMS
+ORDER, SHORT, POINT, POINTS = 5, 3, 21, 0x110000
 #: Robust standard deviations below and above the median: the usual cut for outliers (Iglewicz and Hoaglin).
 BELOW, ABOVE = 3.5, 3.5
 SYMBOLS, BLANKS = "#*$%&|<>", " \t\n\r\v\f"
 STATS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-         "log_perplexity double")
+         "log_perplexity double, short_perplexity double")
+GRAM = ["lang", "hi", "lo"]
+PERPLEXITIES = ("log_perplexity", "short_perplexity")
 
 _classes: list[np.ndarray] = []
 
@@ -72,33 +82,6 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return grams[inside[2:]], sizes
 
 
-def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    held: dict[str, np.ndarray] = {}
-
-    def counted() -> Iterator[pd.DataFrame]:
-        for lang, counts in held.items():
-            seen = np.flatnonzero(counts)
-            yield pd.DataFrame({"lang": lang, "gram": seen, "n": counts[seen]})
-        held.clear()
-
-    for frame in frames:
-        for begin, end in texts_in_pieces(frame, "text"):
-            for lang, part in frame.iloc[begin:end].groupby("lang"):
-                texts = [t for t in part["text"] if t]
-                if texts:
-                    if lang not in held and len(held) >= 8:
-                        yield from counted()
-                    counts = np.bincount(trigrams(texts)[0], minlength=GRAMS)
-                    held[lang] = held[lang] + counts if lang in held else counts
-    yield from counted()
-
-
-def gram_counts(docs: DataFrame) -> DataFrame:
-    """``lang, gram, n`` over all documents with columns ``text, lang``."""
-    partial = docs.mapInPandas(_count, "lang string, gram long, n long")
-    return partial.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-
-
 def discounts(counts: np.ndarray) -> np.ndarray:
     """What is taken from counts of 0, 1, 2 and from 3 on, by the modified Kneser-Ney estimate."""
     n1, n2, n3, n4 = (float((counts == i).sum()) for i in (1, 2, 3, 4))
@@ -183,52 +166,195 @@ def text_stats(text: str | None) -> tuple[int, int, int, int, int]:
             len(lines) - len(set(lines)), repeated)
 
 
-def _score(models):
-    def run(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, langs in parts:
-            frame = pd.DataFrame({"text": texts, "lang": langs})
-            found = np.full(len(frame), np.nan)
-            for begin, end in texts_in_pieces(frame, "text"):
-                for lang, part in frame.iloc[begin:end].groupby("lang"):
-                    part = part[part["text"].str.len() > 0]
-                    if len(part) and lang in models.value:
-                        grams, sizes = trigrams(part["text"].tolist())
-                        seen = np.flatnonzero(np.bincount(grams, minlength=1))
-                        logs = np.zeros(int(seen[-1]) + 1)
-                        logs[seen] = models.value[lang].log_probabilities(seen)
-                        sums = np.add.reduceat(logs[grams], np.cumsum(sizes) - sizes)
-                        found[part.index] = -sums / sizes
-            stats = pd.DataFrame([text_stats(t) for t in texts], columns=[
-                "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"], dtype="int64")
-            stats["log_perplexity"] = pd.Series(found).replace(np.nan, None)
-            yield stats
+def _batched(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    from pyspark import TaskContext
+    batch = TaskContext.get().partitionId() << 40
+    for frame in frames:
+        texts = pd.DataFrame({"text": frame.column("_quality_text").to_pylist()})
+        for begin, end in texts_in_pieces(texts, "text"):
+            part = frame.slice(begin, end - begin)
+            numbers = pa.array(np.full(end - begin, batch, np.int64))
+            yield pa.RecordBatch.from_arrays([*part.columns, numbers], [*part.schema.names, "_quality_batch"])
+            batch += 1
+
+
+class Grams:
+    """Five-grams of texts: the distinct ones, and which of them each character ends."""
+
+    def __init__(self, texts: list[str]):
+        pad = "\x00" * (ORDER - 1)
+        points = np.frombuffer("".join([pad + t for t in texts]).encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.sizes = np.array([len(t) for t in texts], np.int64)
+        starts = np.cumsum(self.sizes + ORDER - 1) - self.sizes - ORDER + 1
+        inside = np.ones(len(points), bool)
+        for i in range(ORDER - 1):
+            inside[starts + i] = False
+        inside = inside[ORDER - 1:]
+        at = [points[i:len(points) - ORDER + 1 + i][inside].astype(np.int64) for i in range(ORDER)]
+        hi, lo = at[0] << POINT | at[1], at[2] << 2 * POINT | at[3] << POINT | at[4]
+        self.of, self.keys = pd.factorize(gram_keys(hi, lo))
+        first = np.empty(len(self.keys), np.int64)
+        first[self.of[::-1]] = np.arange(len(lo))[::-1]
+        self.hi, self.lo = hi[first], lo[first]
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.halves = np.array([half_of(t) for t in texts])
+
+
+def gram_keys(hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
+    return mixed(mixed(hi.astype(np.uint64)) + lo.astype(np.uint64))
+
+
+def half_of(text: str) -> int:
+    return zlib.crc32(text.encode("utf-8", "surrogatepass")) & 1
+
+
+def _grams(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Distinct five-grams of each run of a batch's rows, with their counts in both halves."""
+    for frame in frames:
+        frame = frame[frame["text"].str.len() > 0]
+        for (batch, lang), part in frame.groupby(["batch", "lang"]):
+            grams = Grams(part["text"].tolist())
+            half = np.repeat(grams.halves, grams.sizes)
+            counts = [np.bincount(grams.of[half == i], minlength=len(grams.lo)) for i in (0, 1)]
+            yield pd.DataFrame({"batch": batch, "lang": lang, "hi": grams.hi, "lo": grams.lo,
+                                "n0": counts[0], "n1": counts[1]})
+
+
+def _rare(half: int) -> list[Column]:
+    """Sum of a half's counts, and how many are 1, 2, and 3 or more."""
+    n = F.col(f"n{half}")
+    return [n, *[F.when(n == i, 1).otherwise(0) for i in (1, 2)], F.when(n >= 3, 1).otherwise(0)]
+
+
+def _discounts(level: DataFrame) -> DataFrame:
+    """``lang`` and per half the discounts ``d<half>`` of an order, with its totals ``all<half>``."""
+    def figures(half: int) -> list[Column]:
+        n = F.col(f"n{half}")
+        sums = [F.sum(x).cast("double") for x in _rare(half)]
+        seen = [F.sum(F.when(n == i, 1).otherwise(0)).cast("double") for i in (1, 2, 3, 4)]
+        return [F.array(*seen).alias(f"c{half}"), F.array(*sums).alias(f"all{half}")]
+
+    def estimate(half: int) -> Column:
+        c = [F.col(f"c{half}")[i] for i in range(4)]
+        y = c[0] / (c[0] + 2 * c[1])
+        found = [(i + 1) - (i + 2) * y * c[i + 1] / c[i] for i in range(3)]
+        cut = [F.least(F.greatest(d, F.lit(0.05)), F.lit(i + 0.95)) for i, d in enumerate(found)]
+        return F.when(F.least(*c[:3]) > 0, F.array(*cut)).otherwise(F.array(F.lit(0.5), F.lit(1.0), F.lit(1.5)))
+
+    found = level.groupBy("lang").agg(*figures(0), *figures(1))
+    found = work_table(found.select("lang", "all0", "all1", *[estimate(i).alias(f"d{i}") for i in (0, 1)]),
+                       "quality_discounts")
+    return F.broadcast(found) if small_enough(found) else found
+
+
+def _smooth(rows: DataFrame, lower: list[Column], context: Window | None) -> list[Column]:
+    """Both halves' probabilities of an order's n-grams with counts ``n0, n1``, given the shorter ones'."""
+    out = []
+    for i in (0, 1):
+        n, total, d = F.col(f"n{i}"), F.col(f"all{i}"), F.col(f"d{i}")
+        if context is not None:
+            total = F.array(*[F.sum(x).over(context).cast("double") for x in _rare(i)])
+        taken = F.when(n > 0, F.get(d, F.least(n, F.lit(3)).cast("int") - 1)).otherwise(0.0)
+        weight = (d[0] * total[1] + d[1] * total[2] + d[2] * total[3]) / total[0]
+        out.append(F.when(total[0] > 0, (n - taken) / total[0] + weight * lower[i]).otherwise(lower[i]))
+    return out
+
+
+def probabilities(counts: DataFrame) -> DataFrame:
+    """``lang, hi, lo`` of every five-gram, ``p0, p1`` in the models of both halves, and ``s0, s1`` of
+    its last three characters in their trigram models. ``counts`` has ``lang, hi, lo, n0, n1``."""
+    ones, twos, threes = [(1 << i * POINT) - 1 for i in (1, 2, 3)]
+    kept = {4: (ones, threes), 3: (0, threes), 2: (0, twos), 1: (0, ones)}
+    raw = ["r0", "r1"]
+
+    def suffix(order: int) -> list[Column]:
+        return [F.col(c).bitwiseAND(F.lit(mask).cast("long")) for c, mask in zip(("hi", "lo"), kept[order])]
+
+    levels = {ORDER: counts.withColumns({"r0": F.col("n0"), "r1": F.col("n1")})}
+    for order in range(ORDER - 1, 0, -1):  # a shorter n-gram counts its distinct predecessors
+        seen = [F.sum(F.when(F.col(f"n{i}") > 0, 1).otherwise(0)).alias(f"n{i}") for i in (0, 1)]
+        hi, lo = suffix(order)
+        levels[order] = work_table(
+            levels[order + 1].select("lang", hi.alias("hi"), lo.alias("lo"), "n0", "n1", *raw)
+            .groupBy(*GRAM).agg(*seen, *[F.sum(r).alias(r) for r in raw]), f"quality_level{order}")
+    context = Window.partitionBy("lang", "hi", F.shiftright("lo", POINT))
+
+    def below(model: DataFrame, order: int, rows: DataFrame) -> DataFrame:
+        hi, lo = suffix(order)
+        found = model.select("lang", F.col("hi").alias("_hi"), F.col("lo").alias("_lo"),
+                             *[F.col(c).alias(f"_{c}") for c in model.columns if c not in GRAM])
+        return rows.withColumns({"_hi": hi, "_lo": lo}).join(found, ["lang", "_hi", "_lo"])
+
+    def level(order: int, rows: DataFrame, names: str) -> DataFrame:
+        more = [F.col("_s0").alias("s0"), F.col("_s1").alias("s1")] if order > SHORT and names == "p" else []
+        joined = rows.join(_discounts(rows), "lang")
+        if order == 1:
+            found = _smooth(joined, [F.lit(1.0 / POINTS)] * 2, None)
+        else:
+            joined = below(model, order - 1, joined)
+            found = _smooth(joined, [F.col("_p0"), F.col("_p1")], context)
+        return joined.select(*GRAM, *[c.alias(f"{names}{i}") for i, c in enumerate(found)], *more)
+
+    model = None
+    for order in range(1, ORDER + 1):
+        rows = levels[order]
+        found = level(order, rows.drop(*raw), "p")
+        if order == SHORT:  # the longest of the trigram model: its counts are those of the texts
+            plain = rows.select(*GRAM, F.col("r0").alias("n0"), F.col("r1").alias("n1"))
+            found = found.join(level(order, plain, "s"), GRAM)
+        model = found
+    return model
+
+
+def _scores(columns: list[str]):
+    def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        if not rows.num_rows:
+            return rows.select(columns).append_column("_quality", pa.array([], _STATS_TYPE))
+        frame = pd.DataFrame({"text": rows["_quality_text"].to_pylist(), "lang": rows["_quality_lang"].to_pylist()})
+        known = answers.to_pandas().drop_duplicates(GRAM)  # a batch may have asked in several runs
+        stats = pd.DataFrame([text_stats(t) for t in frame["text"]], columns=[
+            "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"], dtype="int64")
+        found = np.full((2, len(frame)), np.nan)
+        for lang, part in frame[frame["text"].str.len() > 0].groupby("lang"):
+            grams, own = Grams(part["text"].tolist()), known[known["lang"] == lang]
+            at = pd.Index(gram_keys(own["hi"].to_numpy(), own["lo"].to_numpy())).get_indexer(grams.keys)
+            if (at < 0).any():
+                raise ValueError(f"probabilities of language {lang!r} are incomplete")
+            other = np.repeat(grams.halves == 0, grams.sizes)
+            for i, name in enumerate("ps"):
+                logs = [np.log(own[f"{name}{half}"].to_numpy())[at] for half in (0, 1)]
+                mine = np.where(other, logs[1][grams.of], logs[0][grams.of])
+                found[i, part.index] = -np.add.reduceat(mine, grams.starts) / grams.sizes
+        arrays = [pa.array(stats[c]) for c in stats] + [pa.array(x, from_pandas=True) for x in found]
+        quality = pa.StructArray.from_arrays(arrays, fields=list(_STATS_TYPE))
+        return rows.select(columns).append_column("_quality", quality)
     return run
 
 
+_STATS_TYPE = pa.struct([(part.split()[0], pa.int64() if part.endswith("long") else pa.float64())
+                         for part in STATS.split(", ")])
+
+
 def _language(lang_col: str) -> Column:
     return F.coalesce(F.col(lang_col), F.lit(""))
 
 
-def scored(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The documents and a struct ``_quality`` of their statistics and log-perplexity."""
-    spark = docs.sparkSession
-    texts = docs.select(F.col(text_col).alias("text"), _language(lang_col).alias("lang"))
-    counts = work_table(gram_counts(texts), "gram_counts")
-    sizes = counts.groupBy("lang").agg(F.count(F.lit(1)).alias("size")).orderBy("lang").toPandas()
-    block = (sizes["size"].cumsum() - sizes["size"]) // MODEL_ROWS
-    blocks = [part["lang"].tolist() for _, part in sizes.groupby(block)] or [[]]
-    out = None
-    for i, listed in enumerate(blocks):
-        rows = counts.filter(F.col("lang").isin(listed)).toPandas()
-        models = {lang: Model(t["gram"].to_numpy(), t["n"].to_numpy()) for lang, t in rows.groupby("lang")}
-        score = F.pandas_udf(_score(spark.sparkContext.broadcast(models)), STATS)
-        mine = _language(lang_col).isin(listed)
-        if i == 0:  # with the languages that have no text at all
-            mine = mine | ~_language(lang_col).isin(sizes["lang"].tolist())
-        part = docs if len(blocks) == 1 else docs.filter(mine)
-        part = part.withColumn("_quality", score(F.col(text_col), _language(lang_col)))
-        out = part if out is None else out.unionByName(part)
-    return out
+def scored(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", keep_text: bool = True) -> DataFrame:
+    """The documents and a struct ``_quality`` of their statistics and log-perplexities."""
+    columns = [c for c in docs.columns if keep_text or c != text_col]
+    rows = docs.select(*columns, F.col(text_col).alias("_quality_text"), _language(lang_col).alias("_quality_lang"))
+    rows = work_table(rows.mapInArrow(_batched, T.StructType([*rows.schema.fields, T.StructField(
+        "_quality_batch", T.LongType())])), "quality_rows")
+    asked = rows.select(F.col("_quality_batch").alias("batch"), F.col("_quality_lang").alias("lang"),
+                        F.col("_quality_text").alias("text")).mapInPandas(
+        _grams, "batch long, lang string, hi long, lo long, n0 long, n1 long")
+    counts = work_table(asked.groupBy(*GRAM).agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "gram_counts")
+    model = work_table(probabilities(counts), "quality_model")
+    answers = asked.select("batch", *GRAM).join(model, GRAM)
+    result = T.StructType([*[rows.schema[c] for c in columns], T.StructField(
+        "_quality", T.StructType.fromDDL(STATS))])
+    return (rows.groupBy("_quality_batch").cogroup(answers.groupBy("batch"))
+            .applyInArrow(_scores(columns), result))
 
 
 def base_failed(stats: str = "_quality") -> Column:
@@ -238,22 +364,28 @@ def base_failed(stats: str = "_quality") -> Column:
 
 def bands(scores: DataFrame, *, lang_col: str = "lang", below: float = BELOW,
           above: float = ABOVE) -> DataFrame:
-    """``_quality_lang, _quality_low, _quality_high`` from the documents that pass the base rules."""
-    quartiles = F.percentile_approx(F.col("_quality")["log_perplexity"], [0.25, 0.5, 0.75], 10_000)
-    spread = (F.col("q")[2] - F.col("q")[0]) / 1.349
-    return (scores.filter(~base_failed()).groupBy(_language(lang_col).alias("_quality_lang"))
-            .agg(quartiles.alias("q"))
-            .select("_quality_lang", (F.col("q")[1] - below * spread).alias("_quality_low"),
-                    (F.col("q")[1] + above * spread).alias("_quality_high")))
+    """``_quality_lang`` and ``_quality_low, _quality_high`` of both log-perplexities, from the
+    documents that pass the base rules."""
+    found = (scores.filter(~base_failed()).groupBy(_language(lang_col).alias("_quality_lang"))
+             .agg(*[F.percentile_approx(F.col("_quality")[name], [0.25, 0.5, 0.75], 10_000).alias(name)
+                    for name in PERPLEXITIES]))
+    spread = {name: (F.col(name)[2] - F.col(name)[0]) / 1.349 for name in PERPLEXITIES}
+    return found.select(
+        "_quality_lang",
+        F.array(*[F.col(n)[1] - below * spread[n] for n in PERPLEXITIES]).alias("_quality_low"),
+        F.array(*[F.col(n)[1] + above * spread[n] for n in PERPLEXITIES]).alias("_quality_high"))
 
 
 def judged(scores: DataFrame, limits: DataFrame, *, lang_col: str = "lang") -> DataFrame:
     """Adds ``_quality_base_failed`` and ``_quality_kept``."""
     limits = work_table(limits, "quality_bands")  # else asking for its size would score again
     limits = F.broadcast(limits) if small_enough(limits) else limits
-    ppl = F.col("_quality")["log_perplexity"]
     joined = scores.join(limits, _language(lang_col) == F.col("_quality_lang"), "left")
-    inside = F.coalesce((ppl >= F.col("_quality_low")) & (ppl <= F.col("_quality_high")), F.lit(True))
+    inside = F.lit(True)
+    for i, name in enumerate(PERPLEXITIES):
+        ppl = F.col("_quality")[name]
+        inside = inside & F.coalesce((ppl >= F.col("_quality_low")[i]) & (ppl <= F.col("_quality_high")[i]),
+                                     F.lit(True))
     return (joined.withColumn("_quality_base_failed", base_failed())
             .withColumn("_quality_kept", ~F.col("_quality_base_failed") & inside))
 
@@ -261,8 +393,8 @@ def judged(scores: DataFrame, limits: DataFrame, *, lang_col: str = "lang") -> D
 def quality_rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                   lang_col: str = "lang", **limits: float) -> DataFrame:
     """One row per document: ``<id>``, its statistics, ``base_failed``, ``kept``, log-perplexity."""
-    scores = scored(docs.select(id_col, text_col, lang_col), text_col=text_col, lang_col=lang_col)
-    scores = work_table(scores.drop(text_col), "quality_scores")
+    scores = work_table(scored(docs.select(id_col, text_col, lang_col), text_col=text_col, lang_col=lang_col,
+                               keep_text=False), "quality_scores")
     found = judged(scores, bands(scores, lang_col=lang_col, **limits), lang_col=lang_col)
     return found.select(id_col, "_quality.n_words", "_quality.word_chars", "_quality.n_symbols",
                         "_quality.n_dup_lines", "_quality.n_repeat_words",
@@ -272,8 +404,8 @@ def quality_rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 
 def drop_low_quality(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
                      **limits: float) -> DataFrame:
-    """The documents that are kept, unchanged. Texts stay where they are: scores are taken again."""
-    scores = scored(docs, text_col=text_col, lang_col=lang_col)
+    """The documents that are kept, unchanged."""
+    scores = work_table(scored(docs, text_col=text_col, lang_col=lang_col), "quality_scores")
     found = judged(scores, bands(scores, lang_col=lang_col, **limits), lang_col=lang_col)
     return found.filter("_quality_kept").select(*docs.columns)
 

@@ -211,6 +211,44 @@ def test_bands_reject_junk_and_menus_and_keep_clean_texts(spark):
     assert sum(found[i].kept for i in range(150)) >= 148
 
 
+def brute_perplexity(texts, text, order):
+    """Modified Kneser-Ney of code points of the asked order; the mean over ``text``."""
+    levels = {order: Counter(p[i + 5 - order:i + 5] for t in texts for p in ["\0" * 4 + t] for i in range(len(t)))}
+    for k in range(order - 1, 0, -1):
+        levels[k] = Counter(g[1:] for g in levels[k + 1])
+
+    def probability(gram):
+        k = len(gram)
+        if not k:
+            return 1 / 0x110000
+        lower, level = probability(gram[1:]), levels[k]
+        n = [sum(c == i for c in level.values()) for i in range(5)]
+        d = [0, 0.5, 1.0, 1.5]
+        if min(n[1:4]):
+            y = n[1] / (n[1] + 2 * n[2])
+            d = [0, *(min(max(i - (i + 1) * y * n[i + 1] / n[i], 0.05), i - 0.05) for i in (1, 2, 3))]
+        follow = [c for g, c in level.items() if g[:-1] == gram[:-1]]
+        if not follow:
+            return lower
+        own = level[gram]
+        return (own - d[min(own, 3)] + sum(d[min(c, 3)] for c in follow) * lower) / sum(follow)
+
+    padded = "\0" * 4 + text
+    return -np.mean([np.log(probability(padded[i + 5 - order:i + 5])) for i in range(len(text))])
+
+
+def test_five_grams_of_code_points_are_those_of_brute_force(spark):
+    texts = [varied_text(i)[:160] for i in range(6)] + ["слово за слово " * 4, "слова злова " * 5, "字典文字 中文"]
+    rows = [(i, t, "en") for i, t in enumerate(texts + texts[:1] + [""])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    found = {r.doc_id: r._quality for r in quality_rules.scored(frame).collect()}
+    for i, t in enumerate(texts):
+        model = [x for x in texts + texts[:1] if quality_rules.half_of(x) != quality_rules.half_of(t)]
+        assert found[i].log_perplexity == pytest.approx(brute_perplexity(model, t, 5))
+        assert found[i].short_perplexity == pytest.approx(brute_perplexity(model, t, 3))
+    assert found[9] == found[0] and found[10].log_perplexity is None
+
+
 def test_model_probabilities_sum_to_one():
     grams, _ = quality_rules.trigrams([base_text(i) for i in range(20)])
     model = quality_rules.Model(*np.unique(grams, return_counts=True))
