@@ -4,8 +4,8 @@ Paths are walked from the root. At every node of a host's tree (the host and the
 far) the distinct next segments are counted. Where they are many for the node's pages, the
 segment is variable and becomes ``*``. Of the remaining branches, those whose labelled share of
 bad pages does not differ significantly from the rest of the node's become one branch, ``+``;
-the others keep their name. After ``DEPTH`` segments the rest of a path is ``**``. A template's
-share of bad labelled pages is smoothed towards its host's, and that towards the share among
+the others keep their name. The walk goes on, level after level, until every page's path has ended
+or is the only one left at its node, which then keeps the rest of it by name. A template's share of bad labelled pages is smoothed towards its host's, and that towards the share among
 all labelled pages; a template above ``BLOCK_FROM`` is blocked.
 
 Rules come first: a rule names a host and the beginning of a path, fits the host and all its
@@ -19,6 +19,7 @@ a url without a label counts for the tree, not for shares. Column names must not
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +29,6 @@ from scorewatch.llm.common import attach_groups, table, work_table
 #: Verdict, host, beginning of the path.
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
          ("block", "net", "/es/"), ("block", "net", "/fr/"))
-DEPTH = 3
 #: A segment is variable if a node has so many different ones, and so many for its pages.
 VARIABLE_FROM, VARIABLE_SHARE = 8, 0.2
 #: Standard errors by which a branch must differ to stay apart.
@@ -60,22 +60,26 @@ def _smoothed(bad: Column, labelled: Column, towards: Column) -> Column:
     return (bad + PRIOR * towards) / (labelled + PRIOR)
 
 
-def with_templates(pages: DataFrame, *, host: str = "host", path: str = "path", bad: str = "bad",
-                   depth: int = DEPTH) -> DataFrame:
+def with_templates(pages: DataFrame, *, host: str = "host", path: str = "path", bad: str = "bad") -> DataFrame:
     """Adds ``template``. ``bad`` is 1 or 0 where a page has a label, else null."""
     n_rows = pages.count()
     rows = (pages.withColumn("_url_segments", F.filter(F.split(path, "/"), lambda s: s != ""))
             .withColumn("template", F.lit("")))
-    for level in range(depth):
-        rows = rows.withColumn("_url_next", F.coalesce(F.get("_url_segments", F.lit(level)), F.lit("")))
+    level, finished = 0, []
+    while True:
+        left = F.slice("_url_segments", level + 1, F.greatest(F.size("_url_segments") - level, F.lit(0)))
+        rows = rows.withColumn("_url_next", F.coalesce(F.get("_url_segments", F.lit(level)), F.lit(""))).withColumn(
+            "_url_rest", F.concat_ws("/", left))
         node, child = [host, "template"], [host, "template", "_url_next"]
         children = (rows.groupBy(*child).agg(
             F.count(F.lit(1)).alias("_n"), F.count(bad).alias("_url_labelled"),
-            F.coalesce(F.sum(bad), F.lit(0)).alias("_url_bad")))
+            F.coalesce(F.sum(bad), F.lit(0)).alias("_url_bad"),
+            F.min(F.xxhash64("_url_rest")).alias("_url_least"), F.max(F.xxhash64("_url_rest")).alias("_url_most")))
         children = work_table(children, "url_branches")
         nodes = children.groupBy(*node).agg(
             F.count(F.lit(1)).alias("_n"), F.sum("_n").alias("_url_pages"),
-            F.sum("_url_labelled").alias("_url_all_labelled"), F.sum("_url_bad").alias("_url_all_bad"))
+            F.sum("_url_labelled").alias("_url_all_labelled"), F.sum("_url_bad").alias("_url_all_bad"),
+            (F.min("_url_least") == F.max("_url_most")).alias("_url_alone"))
         known = attach_groups(children.withColumnRenamed("_n", "_url_n"), nodes.withColumn(
             "_url_children", F.col("_n")), node, n_rows)
         variable = ((F.col("_url_children") >= VARIABLE_FROM)
@@ -88,11 +92,18 @@ def with_templates(pages: DataFrame, *, host: str = "host", path: str = "path",
         branch = (F.when(F.col("_url_next") == "", "").when(variable, "/*")
                   .when(F.col("_url_children") == 1, F.concat(F.lit("/"), F.col("_url_next")))
                   .when(apart, F.concat(F.lit("/"), F.col("_url_next"))).otherwise("/+"))
-        branches = known.select(*child, branch.alias("_url_branch"), F.col("_url_n").alias("_n"))
-        rows = work_table(attach_groups(rows, branches, child, n_rows).withColumn(
-            "template", F.concat("template", "_url_branch")).drop("_url_next", "_url_branch"), "url_walk")
-    deeper = F.when(F.size("_url_segments") > depth, F.concat("template", F.lit("/**"))).otherwise(F.col("template"))
-    return rows.withColumn("template", deeper).drop("_url_segments")
+        branches = known.select(*child, branch.alias("_url_branch"), "_url_alone", F.col("_url_n").alias("_n"))
+        ended = F.col("_url_next") == ""
+        step = F.when(~ended & F.col("_url_alone"), F.concat(F.lit("/"), "_url_rest")).otherwise(F.col("_url_branch"))
+        walked = work_table(attach_groups(rows, branches, child, n_rows).withColumn(
+            "template", F.concat("template", step)).withColumn("_url_done", ended | F.col("_url_alone")).drop(
+            "_url_next", "_url_branch", "_url_rest", "_url_alone"), "url_walk")
+        finished.append(walked.filter("_url_done").drop("_url_done", "_url_segments"))
+        rows = walked.filter("not _url_done").drop("_url_done")
+        n_rows, level = rows.count(), level + 1
+        if not n_rows:
+            break
+    return reduce(DataFrame.unionByName, finished)
 
 
 def filter_urls(pages: DataFrame, *, url_col: str = "url", bad: str = "bad", rules: Sequence = RULES) -> DataFrame:

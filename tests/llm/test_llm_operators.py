@@ -356,6 +356,19 @@ def test_url_rules_and_templates(spark):
     assert url_filters.filter_urls(frame.filter("false")).count() == 0
 
 
+def test_url_sections_part_at_the_fifth_segment(spark):
+    pages = [(first + i, f"http://host.org/a/b/c/d/{s}/{i}", int(s == "spam"))
+             for i in range(60) for first, s in ((100, "spam"), (200, "ham"))]
+    pages.append((1, "http://lone.org/" + "/".join("xyz" * 20), None))
+    frame = spark.createDataFrame(pages, "page_id long, url string, bad int")
+    found = {r.page_id: r for r in url_filters.filter_urls(frame).collect()}
+    assert len(found) == len(pages)
+    assert {(r.template, r.verdict) for r in found.values() if r.page_id >= 200} == {("/a/b/c/d/ham/*", "allow")}
+    assert {(r.template, r.verdict) for r in found.values() if 100 <= r.page_id < 200} == {
+        ("/a/b/c/d/spam/*", "block")}
+    assert found[1].template == "/" + "/".join("xyz" * 20)
+
+
 def test_top_k_with_ties_and_odd_vectors(spark):
     rng = np.random.RandomState(2)
     vectors = [(i, [float(x) for x in rng.normal(0, 0.2, 6)]) for i in range(150)]
