@@ -33,49 +33,51 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scorewatch.llm.common import ship_package, table, texts_in_pieces, work_table
+from scorewatch.llm.common import ship_package, table, work_table
 
-#: Runs of ASCII letters and of characters beyond ASCII.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: Runs of ASCII letters and of characters beyond ASCII; over UTF-8 these are the same bytes.
+TERM_BYTES = rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 SCALE, LEAST_DOCS, TOP_TERMS = 1_000_000_000, 10, 10
 #: Entries of the count matrix in a block of terms.
 BLOCK_ENTRIES = 250_000
 #: Different terms that a worker holds before it hands on their counts.
-HELD_TERMS = 300_000
+HELD_TERMS = 500_000
+#: What one document adds to a term's number, above its occurrences.
+DOCUMENT = 1 << 40
 NAMES = ["section", "grp"]
 
 
-def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Occurrences and documents of every term per group, summed over many documents."""
     import re
-    terms = re.compile(TERM).findall
-    lower = {c: c + 32 for c in range(0x41, 0x5B)}
-
-    def rows(counts: dict, docs: dict) -> pd.DataFrame:
-        return pd.DataFrame(
-            [(*names, term, n, docs[names][term]) for names, found in counts.items() for term, n in found.items()],
-            columns=[*NAMES, "term", "n", "docs"])
-
-    counts: dict[tuple[str, str], Counter] = {}
-    docs: dict[tuple[str, str], Counter] = {}
-    for frame in frames:
-        for begin, end in texts_in_pieces(frame, "text"):
-            part = frame.iloc[begin:end]
-            for section, group, text in zip(part["section"], part["grp"], part["text"]):
-                names = (section, group)
-                if names not in counts:
-                    counts[names], docs[names] = Counter(), Counter()
-                found = Counter(terms(text.translate(lower)))
-                counts[names].update(found)
-                docs[names].update(found.keys())
-            if sum(map(len, counts.values())) > HELD_TERMS:
-                yield rows(counts, docs)
-                counts, docs = {}, {}
-    if counts:
-        yield rows(counts, docs)
+    terms = re.compile(TERM_BYTES).findall
+
+    def rows() -> Iterator[pa.RecordBatch]:
+        for (section, group), found in held.items():
+            both = np.fromiter(found.values(), np.int64, len(found))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name] * len(found), pa.string()) for name in (section, group)]
+                + [pa.array(list(found), pa.binary()).cast(pa.string()),
+                   pa.array(both % DOCUMENT), pa.array(both // DOCUMENT)], names=[*NAMES, "term", "n", "docs"])
+
+    held: dict[tuple[str, str], dict[bytes, int]] = {}
+    size = 0
+    for batch in batches:
+        for section, group, text in zip(*[batch.column(c).to_pylist() for c in (*NAMES, "text")]):
+            total = held.setdefault((section, group), {})
+            size -= len(total)
+            so_far = total.get
+            for term, n in Counter(terms(text.lower())).items():  # bytes lower A-Z only
+                total[term] = so_far(term, 0) + n + DOCUMENT
+            size += len(total)
+            if size > HELD_TERMS:
+                yield from rows()
+                held, size = {}, 0
+    yield from rows()
 
 
 def share(count: Column, total: Column, kept: Column) -> Column:
@@ -137,9 +139,9 @@ def term_counts(docs: DataFrame, section: str, group: str, text_col: str, least:
     """``section, grp, term, n``: occurrences of kept terms in groups that hold them."""
     def read(name: str) -> Column:
         return F.coalesce(F.col(name).cast("string"), F.lit(""))
-    texts = docs.select(read(section).alias("section"), read(group).alias("grp"), read(text_col).alias("text"))
+    texts = docs.select(read(section).alias("section"), read(group).alias("grp"), read(text_col).cast("binary").alias("text"))
     found = work_table(
-        texts.mapInPandas(_count, "section string, grp string, term string, n long, docs long")
+        texts.mapInArrow(_count, "section string, grp string, term string, n long, docs long")
         .groupBy(*NAMES, "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "terms")
     kept = (found.groupBy("section", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("section_n"))
             .filter(F.col("docs") >= least).select("section", "term", "section_n"))
