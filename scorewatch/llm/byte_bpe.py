@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from scorewatch.llm.common import ship_package, table, texts_in_pieces
 
 #: Characters of text in a batch, and those that one bucket of words answers for.
-BATCH_CHARS, BUCKET_CHARS = 16_000_000, 8_000_000
+BATCH_CHARS, BUCKET_CHARS = 10_000_000, 8_000_000
 #: Short maps that the literal rank map is dealt into.
 MAPS = 1 << 14
 #: Stands for the rank of a pair that is no piece.
@@ -206,6 +206,13 @@ BATCH = ("batch long, ids array<long>, sizes binary, numbers binary, order binar
          "words array<binary>")
 
 
+def _ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The words of each batch, a row for every bucket."""
+    for frame in frames:
+        for batch, buckets, words in zip(frame["batch"], frame["buckets"], frame["words"]):
+            yield pd.DataFrame({"batch": batch, "bucket": list(buckets), "words": list(words)})
+
+
 def _distinct(rows: pd.DataFrame) -> pd.DataFrame:
     """The words of a bucket once each, in hexadecimal, and which of them every batch asks for."""
     import zstandard
@@ -268,19 +275,17 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, id_col: st
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(1, chars // bucket_chars)
     parts = max(1, -(-chars // BATCH_CHARS))
-    # One exchange, which the requests and the assembly both read.
+    # Both readers take all columns, so that they share one exchange and texts are cut once.
     batches = texts.mapInPandas(_cut(pattern, buckets), BATCH).repartition(parts, "batch")
-    asked = (batches.select("batch", F.explode(F.arrays_zip("buckets", "words")).alias("w"))
-             .select("batch", F.col("w.buckets").alias("bucket"), F.col("w.words").alias("words"))
+    asked = (batches.mapInPandas(_ask, "batch long, bucket long, words binary")
              .repartition(buckets, "bucket"))  # few bytes, much work: not to be merged by size
     distinct = asked.groupBy("bucket").applyInPandas(
         _distinct, "bucket long, words array<string>, batches array<long>, asked array<binary>")
     found = _bound(rank_maps(ranks), lambda maps: F.transform("words", lambda w: merged_ids(w, maps)))
     answers = (distinct.select("bucket", found.alias("found"), "batches", "asked")
                .mapInPandas(_answer, "batch long, bucket long, sizes binary, found binary"))
-    return (batches.select("batch", "ids", "sizes", "numbers", "order").groupBy("batch")
-            .cogroup(answers.groupBy("batch")).applyInPandas(_assemble, "id long, ids array<int>")
-            .withColumnRenamed("id", id_col))
+    return (batches.groupBy("batch").cogroup(answers.groupBy("batch"))
+            .applyInPandas(_assemble, "id long, ids array<int>").withColumnRenamed("id", id_col))
 
 
 def decoded(ids: Column, ranks: dict[bytes, int]) -> Column:
