@@ -9,8 +9,7 @@
    that a lookup reads a few entries.
 3. The ids of its words go back to each batch, which lays them end to end per document.
 
-Byte runs are written in hexadecimal, two digits a byte. Decoding looks the run of every id up in a
-literal array and joins them.
+Byte runs are written in hexadecimal, two digits a byte. Decoding joins the pieces of all ids.
 
 A word's fold takes as many steps as it has bytes, and each step reads the word once: the time
 grows with the square of the length of one unbroken word, not of a text.
@@ -24,16 +23,19 @@ from __future__ import annotations
 import base64
 import json
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
-from scorewatch.llm.common import ship_package, table, texts_in_pieces
+from scorewatch.llm.common import ship_package, table
 
 #: Characters of text in a batch, and those that one bucket of words answers for.
-BATCH_CHARS, BUCKET_CHARS = 10_000_000, 8_000_000
+BATCH_CHARS, BUCKET_CHARS = 6_000_000, 24_000_000
 #: Short maps that the literal rank map is dealt into.
 MAPS = 1 << 14
 #: Stands for the rank of a pair that is no piece.
@@ -103,41 +105,37 @@ def merged_ids(word: Column, maps: Column) -> Column:
 
 # Cutting texts into words
 
-class Cut:
-    """Numbers of the words of texts; words met in this batch are kept with their numbers.
+class Cut(dict):
+    """Numbers of the words of texts; parts met in this batch are kept with their words' numbers.
 
     A match of the pattern has no blank behind a non-blank, so a text may be cut before every
-    blank that follows a non-blank; the parts are matched once each.
+    blank that follows a non-blank; the parts are matched once each. Keys are the parts that
+    follow a space.
     """
 
     def __init__(self, pattern: str):
         import regex
+        super().__init__()
         self.find = regex.compile(pattern).findall
         self.parts = regex.compile(r"\s*\S+|\s+").findall
         self.blanks = regex.compile(r"\s\s").search
         self.numbers: dict[str, int] = {}
-        self.known: dict[str, tuple[int, ...]] = {}
 
     def of(self, part: str) -> tuple[int, ...]:
-        found = self.known.get(part)
-        if found is None:
-            numbers = self.numbers
-            found = self.known[part] = tuple([numbers.setdefault(w, len(numbers)) for w in self.find(part)])
+        numbers = self.numbers
+        return tuple([numbers.setdefault(w, len(numbers)) for w in self.find(part)])
+
+    def __missing__(self, part: str) -> tuple[int, ...]:
+        found = self[part] = self.of(" " + part)
         return found
 
-    def words(self, text: str) -> list[int]:
-        out: list[int] = []
+    def words(self, text: str) -> np.ndarray:
         if self.blanks(text):
-            for part in self.parts(text):
-                out += self.of(part)
-            return out
-        known = self.known.get
-        first, *rest = text.split(" ")
-        out += self.of(first)
-        for part in rest:
-            part = " " + part
-            out += known(part) or self.of(part)
-        return out
+            found = [self[p[1:]] if p[0] == " " else self.of(p) for p in self.parts(text)]
+        else:
+            first, *rest = text.split(" ")
+            found = [self.of(first), *map(self.__getitem__, rest)]
+        return np.array(list(chain.from_iterable(found)), np.uint32)
 
 
 def squeezed(values: np.ndarray) -> bytes:
@@ -154,56 +152,54 @@ def unsqueezed(value: bytes) -> np.ndarray:
 
 
 def _cut(pattern: str, buckets: int):
-    """Batches: per document the numbers of its words, commonest word first; the words by bucket."""
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Batches: per document the numbers of its words, commonest word first; the words by bucket.
+
+    Texts are cut as they are read; a batch closes after about ``BATCH_CHARS`` characters.
+    """
+    def closed(batch: int, ids: list, found: list[np.ndarray], cut: Cut) -> pd.DataFrame:
         import xxhash
         import zstandard
+        pack = zstandard.ZstdCompressor(level=3).compress
+        numbers = np.concatenate(found)
+        words = [w.encode("utf-8", "surrogatepass") for w in cut.numbers]
+        common = np.argsort(-np.bincount(numbers, minlength=len(words)), kind="stable")
+        place = np.empty(len(words), np.uint32)
+        place[common] = np.arange(len(words), dtype=np.uint32)
+        order = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
+        bucket = np.fromiter((xxhash.xxh3_64_intdigest(words[i]) % buckets for i in order), np.int64, len(words))
+        order, bucket = order[np.argsort(bucket, kind="stable")], np.sort(bucket)
+        starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+        ends = [*starts[1:], len(words)]
+        return pd.DataFrame({
+            "batch": [batch], "ids": [ids], "sizes": [squeezed(np.array([len(f) for f in found]))],
+            "numbers": [squeezed(place[numbers])], "order": [squeezed(place[order])],
+            "buckets": [bucket[starts].tolist()],
+            "words": [[pack(BORDER.join([words[i] for i in order[a:b]])) for a, b in zip(starts, ends)]]})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         batch = TaskContext.get().partitionId() << 32
-        pack = zstandard.ZstdCompressor(level=3).compress
-        for part in _batches(frames):
-            cut = Cut(pattern)
-            found = [np.array(cut.words(t), np.uint32) if t else np.empty(0, np.uint32) for t in part["text"]]
-            sizes = np.array([len(f) for f in found], np.uint32)
-            numbers = np.concatenate(found)
-            words = [w.encode("utf-8", "surrogatepass") for w in cut.numbers]
-            del found, cut
-            common = np.argsort(-np.bincount(numbers, minlength=len(words)), kind="stable")
-            place = np.empty(len(words), np.uint32)
-            place[common] = np.arange(len(words), dtype=np.uint32)
-            bucket = np.fromiter((xxhash.xxh3_64_intdigest(w) % buckets for w in words), np.int64, len(words))
-            order = sorted(range(len(words)), key=lambda i: (bucket[i], words[i]))
-            cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1)) if words else np.empty(0, np.int64)
-            ends = [*cuts[1:], len(words)]
-            yield pd.DataFrame({
-                "batch": [batch], "ids": [[None if pd.isna(i) else int(i) for i in part["id"]]],
-                "sizes": [squeezed(sizes)], "numbers": [squeezed(place[numbers] if len(words) else numbers)],
-                "order": [squeezed(place[order] if len(words) else numbers)],
-                "buckets": [bucket[order][cuts].tolist()],
-                "words": [[pack(BORDER.join([words[i] for i in order[a:b]])) for a, b in zip(cuts, ends)]]})
-            batch += 1
+        ids, found, cut, chars = [], [], Cut(pattern), 0
+        for rows in batches:
+            for at in range(0, rows.num_rows, 200):  # few texts at a time as Python strings
+                part = rows.slice(at, 200)
+                for key, text in zip(part.column("id").to_pylist(), part.column("text").to_pylist()):
+                    ids.append(key)
+                    found.append(cut.words(text) if text else np.empty(0, np.uint32))
+                    chars += len(text or "")
+                    if chars >= BATCH_CHARS:
+                        yield pa.RecordBatch.from_pandas(closed(batch, ids, found, cut), BATCH_TYPE)
+                        batch, ids, found, cut, chars = batch + 1, [], [], Cut(pattern), 0
+        if ids:
+            yield pa.RecordBatch.from_pandas(closed(batch, ids, found, cut), BATCH_TYPE)
     return run
 
 
-def _batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows of about ``BATCH_CHARS`` characters; a longer text is a batch of its own."""
-    held: list[pd.DataFrame] = []
-    chars = 0
-    for frame in frames:
-        for begin, end in texts_in_pieces(frame, "text", BATCH_CHARS):
-            part = frame.iloc[begin:end]
-            size = int(part["text"].str.len().fillna(0).sum())
-            if held and chars + size > BATCH_CHARS:
-                yield pd.concat(held)
-                held, chars = [], 0
-            held.append(part)
-            chars += size
-    if held:
-        yield pd.concat(held)
-
-
 BATCH = ("batch long, ids array<long>, sizes binary, numbers binary, order binary, buckets array<long>, "
          "words array<binary>")
+BATCH_TYPE = pa.schema([("batch", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.binary()),
+                        ("numbers", pa.binary()), ("order", pa.binary()), ("buckets", pa.list_(pa.int64())),
+                        ("words", pa.list_(pa.binary()))])
 
 
 def _ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -259,11 +255,12 @@ def _assemble(batches: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
             ids = np.concatenate([unsqueezed(f) for f in answers["found"]]).astype(np.int32)
         else:
             ids = np.empty(0, np.int32)
-        held = np.concatenate([[0], np.cumsum(lengths[numbers])])
-        ends = held[np.cumsum(sizes, dtype=np.int64)]
-        all_ids = ids[runs(starts[numbers], lengths[numbers])]
-        out.append(pd.DataFrame({"id": pd.array(list(row.ids), "Int64"),
-                                 "ids": np.split(all_ids, ends[:-1]) if len(sizes) else []}))
+        borders = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        found = []
+        for first, last in zip(borders[:-1], borders[1:]):
+            own = numbers[first:last]
+            found.append(ids[runs(starts[own], lengths[own])])
+        out.append(pd.DataFrame({"id": pd.array(list(row.ids), "Int64"), "ids": found}))
     return pd.concat(out) if out else pd.DataFrame({"id": pd.array([], "Int64"), "ids": []})
 
 
@@ -276,7 +273,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, id_col: st
     buckets = max(1, chars // bucket_chars)
     parts = max(1, -(-chars // BATCH_CHARS))
     # Both readers take all columns, so that they share one exchange and texts are cut once.
-    batches = texts.mapInPandas(_cut(pattern, buckets), BATCH).repartition(parts, "batch")
+    batches = texts.mapInArrow(_cut(pattern, buckets), BATCH).repartition(parts, "batch")
     asked = (batches.mapInPandas(_ask, "batch long, bucket long, words binary")
              .repartition(buckets, "bucket"))  # few bytes, much work: not to be merged by size
     distinct = asked.groupBy("bucket").applyInPandas(
@@ -288,21 +285,31 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, id_col: st
             .applyInPandas(_assemble, "id long, ids array<int>").withColumnRenamed("id", id_col))
 
 
-def decoded(ids: Column, ranks: dict[bytes, int]) -> Column:
-    """The bytes that token ids stand for; null where one of them has no piece."""
-    by_id = [""] * (max(ranks.values()) + 1)
-    for piece, rank in ranks.items():
-        by_id[rank] = piece.hex()
-    pieces = F.split(F.lit(",".join(by_id)), ",")
-    runs = F.transform(ids, lambda i: F.nullif(F.get(pieces, i), F.lit("")))
-    return F.when(F.forall(runs, lambda r: r.isNotNull()), F.unhex(F.array_join(runs, "")))
+def decode(encoded: DataFrame, ranks: dict[bytes, int], *, ids_col: str = "ids",
+           out: str = "decoded") -> DataFrame:
+    """Adds the bytes that the ids of a row stand for; null where ids are null or lack a piece."""
+    ship_package(encoded.sparkSession)
+    pieces = {rank: piece for piece, rank in ranks.items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            found = []
+            for ids in rows.column(ids_col):
+                try:
+                    values = ids.values.to_numpy(zero_copy_only=False).tolist() if ids.is_valid else [None]
+                    found.append(b"".join(map(pieces.__getitem__, values)))
+                except KeyError:
+                    found.append(None)
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(found, pa.binary())],
+                                             names=[*rows.schema.names, out])
+    return encoded.mapInArrow(run, StructType([*encoded.schema.fields, StructField(out, BinaryType())]))
 
 
 def op11_byte_bpe(spark, sf_dir: str) -> DataFrame:
     """Ids of every whole document and the bytes they decode to, as checksums."""
     import public_tokenizers
     ranks = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    found = encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    found = decode(encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks)
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-                        F.sha2(decoded(F.col("ids"), ranks), 256).alias("decoded_sha256"))
+                        F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -49,7 +49,7 @@ def test_ids_are_those_of_the_library_and_decode_to_the_text(spark, tokenizer, m
     texts = ODD_TEXTS + random_texts()
     rows = [(i, t, "en", "s", 1) for i, t in enumerate(texts)] + [(5, texts[5], "en", "s", 1), (None, "no id", "", "", 0)]
     encoded = byte_bpe.encode(frame(spark, rows), ranks, pattern, bucket_chars=size)
-    got = encoded.withColumn("bytes", byte_bpe.decoded(F.col("ids"), ranks)).collect()
+    got = byte_bpe.decode(encoded, ranks, out="bytes").collect()
     assert sorted(encoded.columns) == ["doc_id", "ids"]
     found = Counter((r["doc_id"], tuple(r["ids"]), bytes(r["bytes"])) for r in got)
     assert found == Counter((i, tuple(whole.encode_ordinary(t or "")), (t or "").encode()) for i, t, *_ in rows)
@@ -58,8 +58,8 @@ def test_ids_are_those_of_the_library_and_decode_to_the_text(spark, tokenizer, m
 def test_ids_of_an_empty_table_and_unknown_ids(spark, tokenizer):
     ranks, pattern, _ = tokenizer
     assert byte_bpe.encode(frame(spark, []), ranks, pattern).collect() == []
-    row = spark.createDataFrame([([0, 50256],), ([],), ([33],)], "ids array<int>")
-    assert [r[0] for r in row.select(byte_bpe.decoded(F.col("ids"), ranks)).collect()] == [None, b"", b"B"]
+    rows = spark.createDataFrame([([0, 50256],), ([],), ([33],), (None,), ([None],)], "ids array<int>").coalesce(1)
+    assert [r["decoded"] for r in byte_bpe.decode(rows, ranks).collect()] == [None, b"", b"B", None, None]
 
 
 def test_the_fold_takes_the_leftmost_of_equal_pairs(spark):
