@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorewatch.functions.columns import floored_share, indicator, ratio
-from scorewatch.plans.lookup import Sizing, attach, measure
-from scorewatch.plans.ranking import LOOKUP_BYTES, add_cell, cell_sketch
+from scorewatch.plans.lookup import Sizing, measure
+from scorewatch.plans.running import running_totals
 
 
 def tag_sides(reference: DataFrame, sample: DataFrame, extra_keys: Sequence[str]) -> DataFrame:
@@ -58,68 +58,30 @@ def psi(ref_counts: Column, ref_n: Column, counts: Column, n: Column) -> Column:
     return F.when((ref_n > 0) & (n > 0), F.coalesce(total, F.lit(0.0))).otherwise(0.0)
 
 
-def _in_cells(rows: DataFrame, keys: Sequence[str], value: str, sizing: Sizing,
-              totals: dict[str, Column]) -> DataFrame:
-    """Rows with group totals and a cell number that splits large groups by value."""
-    aggregates = [column.alias(name) for name, column in totals.items()]
-    if sizing.one_task_holds_a_group:
-        lookup = rows.groupBy(*keys).agg(*aggregates)
-        joined = attach(rows, lookup, keys, sizing.broadcast_fits(256), null_safe=True,
-                        spread=[value])
-        return joined.withColumn("_cell", F.lit(0))
-    lookup = rows.groupBy(*keys).agg(*aggregates, cell_sketch(value).alias("_edges"))
-    joined = attach(rows, lookup, keys, sizing.broadcast_fits(LOOKUP_BYTES), null_safe=True,
-                    spread=[value])
-    return add_cell(joined, value, "_edges", "_cell").drop("_edges")
-
-
 def ks_to_reference(reference: DataFrame, sample: DataFrame, ref_keys: Sequence[str],
                     extra_keys: Sequence[str], value: str,
                     sample_sizing: Sizing | None = None) -> DataFrame:
     """Two-sample KS of every sample group against its reference: ``ref_keys, extra_keys, ks``.
 
-    Rows are first counted per distinct value. Running counts are taken inside
-    value cells and joined up by a running sum over cells, so no task walks a
-    whole large group. At each sample value both its right and left limits are
+    Rows are first counted per distinct value; running counts come from a hierarchy of cells, so
+    no task walks a whole large group. At each sample value both its right and left limits are
     compared; between sample values the difference cannot be larger.
     """
     keys, extra = list(ref_keys), list(extra_keys)
     reference = reference.select(*keys, value).filter(F.col(value).isNotNull())
     sample = sample.select(*keys, *extra, value).filter(F.col(value).isNotNull())
     sides = tag_sides(reference, sample, extra)
+    counted = sides.groupBy(*keys, *extra, "is_ref", value).agg(F.count(F.lit(1)).alias("_n"))
     sizing = measure(sides, keys)
-    sample_sizing = sample_sizing or measure(sample, [*keys, *extra])
-    own_total = sample.groupBy(*keys, *extra).agg(F.count(F.lit(1)).alias("_own_total"))
-    placed = _in_cells(sides, keys, value, sizing, {"_ref_total": F.count_if("is_ref")})
-    by_value = (placed.groupBy(*keys, *extra, "is_ref", "_ref_total", "_cell", value)
-                .agg(F.count(F.lit(1)).alias("_n")))
-    by_value = attach(by_value, own_total, [*keys, *extra], sample_sizing.broadcast_fits(256),
-                      how="left", null_safe=True, spread=[value])
-    cell = Window.partitionBy(*keys, "_cell")
-    ref_n = F.when(F.col("is_ref"), F.col("_n")).otherwise(0)
-    own = (Window.partitionBy(*keys, "_cell", *extra, "is_ref").orderBy(value)
-           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    running = (by_value
-               .withColumn("_ref_upto", F.sum(ref_n).over(
-                   cell.orderBy(value).rangeBetween(Window.unboundedPreceding, Window.currentRow)))
-               .withColumn("_ref_here", F.sum(ref_n).over(Window.partitionBy(*keys, "_cell", value)))
-               .withColumn("_own_upto", F.sum("_n").over(own)))
-    at = (ratio(F.col("_ref_upto"), F.col("_ref_total"))
-          - ratio(F.col("_own_upto"), F.col("_own_total")))
-    before = (ratio(F.col("_ref_upto") - F.col("_ref_here"), F.col("_ref_total"))
-              - ratio(F.col("_own_upto") - F.col("_n"), F.col("_own_total")))
-    cells = (running.groupBy(*keys, *extra, "is_ref", "_ref_total", "_own_total", "_cell")
-             .agg(F.sum("_n").alias("_n"), F.max(F.greatest(at, before)).alias("_most"),
-                  F.min(F.least(at, before)).alias("_least")))
-    earlier = Window.partitionBy(*keys).orderBy("_cell").rangeBetween(Window.unboundedPreceding, -1)
-    own_earlier = (Window.partitionBy(*keys, *extra, "is_ref").orderBy("_cell")
-                   .rowsBetween(Window.unboundedPreceding, -1))
-    start = (ratio(F.coalesce(F.sum(ref_n).over(earlier), F.lit(0)), F.col("_ref_total"))
-             - ratio(F.coalesce(F.sum("_n").over(own_earlier), F.lit(0)), F.col("_own_total")))
-    widest = F.max(F.greatest(F.abs(F.col("_start") + F.col("_most")),
-                              F.abs(F.col("_start") + F.col("_least"))))
-    return (cells.withColumn("_start", start).filter(~F.col("is_ref"))
-            .groupBy(*keys, *extra).agg(F.coalesce(widest, F.lit(0.0)).alias("ks")))
+    both = running_totals(counted, keys, value, {"ref": F.when(F.col("is_ref"), F.col("_n")).otherwise(0)},
+                          sizing.largest).filter(~F.col("is_ref"))
+    own_most = sample_sizing.largest if sample_sizing else sizing.largest
+    placed = running_totals(both, [*keys, *extra], value, {"own": F.col("_n")}, own_most)
+    at = ratio(F.col("ref_upto"), F.col("ref_all")) - ratio(F.col("own_upto"), F.col("own_all"))
+    before = (ratio(F.col("ref_upto") - F.col("ref_here"), F.col("ref_all"))
+              - ratio(F.col("own_upto") - F.col("own_here"), F.col("own_all")))
+    widest = F.max(F.greatest(F.abs(at), F.abs(before)))
+    return placed.groupBy(*keys, *extra).agg(F.coalesce(widest, F.lit(0.0)).alias("ks"))
 
 
 def separation(rows: DataFrame, keys: Sequence[str], score: str, bad: str) -> DataFrame:
@@ -127,43 +89,27 @@ def separation(rows: DataFrame, keys: Sequence[str], score: str, bad: str) -> Da
 
     Gives ``keys, account_count, bad_count, ks, gini``. Counts cover all rows; KS
     and Gini those with a score and an outcome. Gini uses mid-ranks for equal
-    scores and is null under 10 rows or with one class missing.
+    scores and is null under 10 rows or with one class missing. Ranks are running
+    counts from the same hierarchy of cells as KS.
     """
     keys = list(keys)
     rows = rows.select(*keys, F.col(score).alias("_score"), F.col(bad).alias("_bad"))
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("account_count"),
+                                     F.count_if(F.col("_bad") == 1).alias("bad_count"))
     usable = rows.filter(F.col("_score").isNotNull() & F.col("_bad").isin(0, 1))
-    sizing = measure(usable, keys)
-    placed = _in_cells(usable, keys, "_score", sizing,
-                       {"_goods": F.count_if(F.col("_bad") == 0),
-                        "_bads": F.count_if(F.col("_bad") == 1)})
-    by_value = (placed.groupBy(*keys, "_goods", "_bads", "_cell", "_score")
-                .agg(F.count_if(F.col("_bad") == 0).alias("_g"),
-                     F.count_if(F.col("_bad") == 1).alias("_b")))
-    walk = (Window.partitionBy(*keys, "_cell").orderBy("_score")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    running = (by_value.withColumn("_g_upto", F.sum("_g").over(walk))
-               .withColumn("_b_upto", F.sum("_b").over(walk)))
-    gap = ratio(F.col("_g_upto"), F.col("_goods")) - ratio(F.col("_b_upto"), F.col("_bads"))
+    by_value = usable.groupBy(*keys, "_score").agg(F.count_if(F.col("_bad") == 0).alias("_g"),
+                                                   F.count_if(F.col("_bad") == 1).alias("_b"))
+    placed = running_totals(by_value, keys, "_score", {"goods": F.col("_g"), "bads": F.col("_b")},
+                            measure(usable, keys).largest)
+    gap = ratio(F.col("goods_upto"), F.col("goods_all")) - ratio(F.col("bads_upto"), F.col("bads_all"))
     same = F.col("_g") + F.col("_b")
-    mid_rank = F.col("_g_upto") + F.col("_b_upto") - same + (same + 1) / 2
-    cells = (running.groupBy(*keys, "_goods", "_bads", "_cell")
-             .agg(F.sum("_g").alias("_g"), F.sum("_b").alias("_b"),
-                  F.max(gap).alias("_most"), F.min(gap).alias("_least"),
-                  F.sum(F.col("_b") * mid_rank).alias("_ranks")))
-    earlier = (Window.partitionBy(*keys).orderBy("_cell")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    cells = (cells.withColumn("_g_before", F.coalesce(F.sum("_g").over(earlier), F.lit(0)))
-             .withColumn("_b_before", F.coalesce(F.sum("_b").over(earlier), F.lit(0))))
-    start = (ratio(F.col("_g_before"), F.col("_goods")) - ratio(F.col("_b_before"), F.col("_bads")))
-    stats = cells.groupBy(*keys, "_goods", "_bads").agg(
-        F.max(F.greatest(F.abs(start + F.col("_most")), F.abs(start + F.col("_least")))).alias("_ks"),
-        F.sum(F.col("_ranks") + F.col("_b") * (F.col("_g_before") + F.col("_b_before"))).alias("_ranks"))
-    bads, goods = F.col("_bads").cast("double"), F.col("_goods").cast("double")
+    mid_rank = F.col("goods_upto") + F.col("bads_upto") - same + (same + 1) / 2
+    stats = placed.groupBy(*keys, "goods_all", "bads_all").agg(
+        F.max(F.abs(gap)).alias("_ks"), F.sum(F.col("_b") * mid_rank).alias("_ranks"))
+    bads, goods = F.col("bads_all").cast("double"), F.col("goods_all").cast("double")
     area = F.try_divide(F.col("_ranks") - bads * (bads + 1) / 2, bads * goods)
     stats = stats.select(*keys, F.col("_ks"),
                          F.when(bads + goods >= 10, F.round(2 * area - 1, 6)).alias("gini"))
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("account_count"),
-                                     F.count_if(F.col("_bad") == 1).alias("bad_count"))
     return (counts.join(stats, keys, "left")
             .select(*keys, "account_count", "bad_count",
                     F.coalesce("_ks", F.lit(0.0)).alias("ks"), "gini"))

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_BYTES = 128 * 1024 * 1024
-MAX_ROWS_ONE_TASK = 2_000_000
+#: Rows that one window partition may hold; longer groups are cut into cells of about so many.
+CELL_ROWS = 1_000_000
 SALTS = 64
 
 
@@ -25,10 +26,6 @@ class Sizing:
     groups: int
     largest: int
 
-    @property
-    def one_task_holds_a_group(self) -> bool:
-        return self.largest <= MAX_ROWS_ONE_TASK
-
     def broadcast_fits(self, row_bytes: int) -> bool:
         """Whether a table with one such row per group stays under the broadcast bound."""
         return self.groups * row_bytes <= MAX_BROADCAST_BYTES

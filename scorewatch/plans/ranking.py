@@ -1,19 +1,15 @@
 """Exact order statistics per group, also where one group is a large part of the table.
 
-``ntile``, equal-frequency tiers and quantiles all ask the same question: which
-value stands at rank r of its group? A window over the group answers it by
-sorting the group in one task. That is the plan while the largest group, counted
-first, is small enough for a task. Past that the answer is found by narrowing:
-
-1. a mergeable sketch gives each group about 500 cell borders (any error in them
-   affects only how evenly work is spread, never the result);
-2. rows are counted per cell, and a running sum over a group's cells shows which
-   cell holds each wanted rank;
-3. only the rows of those few cells are counted by value, and a running sum
-   inside the cell gives the exact value.
-
-Each step is a scan with a map-side combined count; nothing sorts or shuffles the
-rows of a group as a whole. A value shared by very many rows is one counted row.
+``ntile``, equal-frequency tiers and quantiles all ask the same question: which value stands at
+rank r of its group? There is one way to answer it, whatever a group's size: rows are
+counted by value, running sums over the counts (``plans/running.py``, where a long group is a
+hierarchy of cells) show which value holds each wanted rank, and a handful of values per group is
+looked up by the rows. A value shared by very many rows is one counted row.
+
+Bins must also part rows of equal value. A cut that falls inside such a run is settled by the
+same counting among the rows of that run only: by the tie column, then by a hash of the row, and
+where rows agree in everything by their place in a written copy of the run. Values keep their
+own type throughout; nulls come first, NaN last.
 """
 from __future__ import annotations
 
@@ -25,89 +21,41 @@ from pyspark.sql import types as T
 
 from scorewatch.functions.columns import add_all, edges_below, indicator
 from scorewatch.plans.lookup import Sizing, attach, measure
+from scorewatch.plans.running import running_totals
 from scorewatch.plans.staging import stage
 from scorewatch.spec import as_fraction
 
-CELLS = 512
-LOOKUP_BYTES = 8 * CELLS + 256
-
-
 def lookup_bytes(n_ranks: int) -> int:
-    """Bytes per group of the largest lookup: cell borders, or one row per wanted rank."""
-    return max(LOOKUP_BYTES, 256 * n_ranks)
-
-
-def cell_sketch(value: str) -> Column:
-    """Aggregate: the borders that split a group into CELLS roughly equal parts."""
-    return F.percentile_approx(value, [i / CELLS for i in range(1, CELLS)], 4 * CELLS)
-
-
-def add_cell(rows: DataFrame, value: str, edges: str, out: str) -> DataFrame:
-    """Number of borders below the value, by binary search over the sorted borders."""
-    rows = rows.withColumn(out, F.lit(0))
-    step = CELLS // 2
-    while step:
-        probe = F.get(edges, F.col(out) + F.lit(step - 1))
-        rows = rows.withColumn(out, F.col(out) + F.when(F.col(value) > probe, step).otherwise(0))
-        step //= 2
-    return rows
-
-
-def _position(rows: DataFrame, value: str) -> Column:
-    """A number that never falls as the value rises, to place cells by.
-
-    Text is placed by its first seven bytes; texts that share them share a cell.
-    """
-    if not isinstance(rows.schema[value].dataType, T.StringType):
-        return F.col(value)
-    prefix = F.hex(F.substring(F.col(value).cast("binary"), 1, 7))
-    return F.conv(F.rpad(prefix, 14, "0"), 16, 10).cast("double")
+    """Bytes per group of a lookup with one entry per wanted rank."""
+    return 256 * (n_ranks + 1)
 
 
-def select_ranks(rows: DataFrame, keys: Sequence[str], value: str,
-                 ranks: Callable[[Column], Sequence[Column]], fits: bool,
-                 null_safe: bool = False) -> DataFrame:
-    """The value at each wanted rank of every group.
+def at_ranks(rows: DataFrame, keys: Sequence[str], value: str,
+             wanted: Callable[[Column], Column] | DataFrame, sizing: Sizing) -> DataFrame:
+    """The value at each wanted rank of every group; null is a value like others.
 
-    ``ranks`` maps the group size to 1-based ranks. Rows must have a non-null
-    value. Gives ``keys, group_n, pos, rank, <value>, n_below, n_upto``, where
+    ``wanted`` gives an array of ``pos, rank`` (ranks from 1) from the group size, or is a table
+    of such arrays by group. Gives ``keys, group_n, pos, rank, <value>, n_below, n_upto``, where
     ``n_below`` and ``n_upto`` count the rows below and up to the value.
     """
     keys = list(keys)
-    rows = rows.select(*keys, value, _position(rows, value).alias("_at"))
-    sketch = rows.groupBy(*keys).agg(cell_sketch("_at").alias("_edges"),
-                                     F.count(value).alias("group_n"))
-    placed = add_cell(attach(rows, sketch, keys, fits, null_safe=null_safe, spread=[value]),
-                      "_at", "_edges", "_cell")
-    cells = (placed
-             .select(*keys, "group_n", "_cell",
-                     F.get("_edges", F.col("_cell") - 1).alias("_low"),
-                     F.get("_edges", F.col("_cell")).alias("_high"))
-             .groupBy(*keys, "group_n", "_cell", "_low", "_high")
-             .agg(F.count(F.lit(1)).alias("_in_cell")))
-    along = (Window.partitionBy(*keys).orderBy("_cell")
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    wanted = F.array(*[F.struct(F.lit(i + 1).alias("pos"), rank.cast("long").alias("rank"))
-                       for i, rank in enumerate(ranks(F.col("group_n")))])
-    hit = (cells
-           .withColumn("_before", F.sum("_in_cell").over(along) - F.col("_in_cell"))
-           .withColumn("_wanted", F.filter(wanted, lambda w: (w["rank"] > F.col("_before"))
-                                           & (w["rank"] <= F.col("_before") + F.col("_in_cell"))))
-           .filter(F.size("_wanted") > 0)
-           .select(*keys, "group_n", "_low", "_high", "_before", "_wanted"))
-    inside = attach(rows, hit, keys, fits, null_safe=null_safe, spread=[value],
-                    condition=((F.col("_low").isNull() | (F.col("_at") > F.col("_low")))
-                               & (F.col("_high").isNull() | (F.col("_at") <= F.col("_high")))))
-    counted = (inside.groupBy(*keys, "group_n", "_before", "_wanted", value)
-               .agg(F.count(F.lit(1)).alias("_equal")))
-    within = (Window.partitionBy(*keys, "_before").orderBy(value)
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (counted
-            .withColumn("n_upto", F.col("_before") + F.sum("_equal").over(within))
-            .withColumn("n_below", F.col("n_upto") - F.col("_equal"))
-            .withColumn("_found", F.explode(F.filter(
-                "_wanted", lambda w: (w["rank"] > F.col("n_below")) & (w["rank"] <= F.col("n_upto")))))
-            .select(*keys, "group_n", "_found.pos", "_found.rank", value, "n_below", "n_upto"))
+    counted = rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    placed = running_totals(counted, keys, value, {"n": F.col("_n")}, sizing.largest)
+    if isinstance(wanted, DataFrame):
+        placed = attach(placed, wanted, keys, sizing.broadcast_fits(lookup_bytes(1)), null_safe=True,
+                        spread=[value])
+    else:
+        placed = placed.withColumn("_wanted", wanted(F.col("n_all")))
+    below = F.col("n_upto") - F.col("_n")
+    hit = F.filter("_wanted", lambda w: (w["rank"] > below) & (w["rank"] <= F.col("n_upto")))
+    return (placed.withColumn("_hit", F.explode(hit))
+            .select(*keys, F.col("n_all").alias("group_n"), "_hit.pos", "_hit.rank", value,
+                    below.alias("n_below"), "n_upto"))
+
+
+def _listed(ranks: Callable[[Column], Sequence[Column]]) -> Callable[[Column], Column]:
+    return lambda n: F.array(*[F.struct(F.lit(i + 1).alias("pos"), rank.cast("long").alias("rank"))
+                               for i, rank in enumerate(ranks(n))])
 
 
 def quantile_ranks(fractions: Sequence) -> Callable[[Column], list[Column]]:
@@ -156,54 +104,36 @@ def quantiles(rows: DataFrame, keys: Sequence[str], value: str, fractions: Seque
                      F.percentile_approx(value, [float(f) for f in fractions],
                                          accuracy).alias("edges"))
                 .filter(F.col("group_n") > 0))
-    sizing = sizing or measure(rows, keys)
-    ranks = quantile_ranks(fractions)
-    if sizing.one_task_holds_a_group:
-        group = Window.partitionBy(*keys)
-        found = (rows.withColumn("_row", F.row_number().over(group.orderBy(value)))
-                 .withColumn("group_n", F.count(F.lit(1)).over(group)))
-        at_rank = [F.max(F.when(F.col("_row") == rank, F.col(value)))
-                   for rank in ranks(F.col("group_n"))]
-    else:
-        found = select_ranks(rows, keys, value, ranks,
-                             sizing.broadcast_fits(lookup_bytes(len(fractions))))
-        at_rank = [F.max(F.when(F.col("pos") == i + 1, F.col(value)))
-                   for i in range(len(fractions))]
-    result = found.groupBy(*keys).agg(F.max("group_n").alias("group_n"),
-                                      F.array(*at_rank).alias("edges"))
-    return result if sizing.one_task_holds_a_group else stage(result, "quantiles")
-
-
-def equal_cuts(rows: DataFrame, keys: Sequence[str], value: str, tie: str,
-               ranks: Callable[[Column], Sequence[Column]], n_cuts: int, fits: bool) -> DataFrame:
-    """Cut points ``(value, tie)`` at the wanted ranks, as two arrays per group.
-
-    Where a cut falls inside a run of equal values, the tie column decides, by
-    the same narrowing among those rows only. A null tie means the cut takes the
-    whole run.
+    found = at_ranks(rows, keys, value, _listed(quantile_ranks(fractions)), sizing or measure(rows, keys))
+    at_rank = [F.max(F.when(F.col("pos") == i + 1, F.col(value))) for i in range(len(fractions))]
+    return found.groupBy(*keys).agg(F.max("group_n").alias("group_n"), F.array(*at_rank).alias("edges"))
+
+
+def equal_cuts(rows: DataFrame, keys: Sequence[str], ranks: Callable[[Column], Sequence[Column]],
+               by: Sequence[str], sizing: Sizing) -> tuple[DataFrame, DataFrame | None]:
+    """Cut points of every group: ``keys, pos, depth`` and the values of the columns ``by``.
+
+    A cut of depth d lies behind the rows whose first d values are its own. Also gives the runs
+    that all of ``by`` leave undivided, with the ranks wanted inside, if there are any.
     """
-    keys = list(keys)
-    # A few rows per group that three scans went into: kept, so that nothing repeats the scans.
-    found = stage(select_ranks(rows, keys, value, ranks, fits, null_safe=True), "cut_ranks")
-    cuts = found.select(*keys, "pos", F.col(value).alias("_value"),
-                        F.lit(None).cast(rows.schema[tie].dataType).alias("_tie"))
-    split = (found.filter(F.col("rank") < F.col("n_upto"))
-             .select(*keys, value, F.col("pos").alias("_cut"),
-                     (F.col("rank") - F.col("n_below")).alias("_want")))
-    n_split = split.count()
-    if n_split:
-        tie_fits = Sizing(n_split, 0).broadcast_fits(LOOKUP_BYTES)
-        tied = attach(rows.select(*keys, value, tie), split, [*keys, value], tie_fits,
-                      null_safe=True, spread=[tie])
-        resolved = select_ranks(tied, [*keys, "_cut", "_want"], tie, lambda n: [F.col("_want")],
-                                tie_fits, null_safe=True)
-        cuts = cuts.unionByName(resolved.select(
-            *keys, F.col("_cut").alias("pos"), F.lit(None).cast(rows.schema[value].dataType)
-            .alias("_value"), F.col(tie).alias("_tie")))
-
-    def at(column: str) -> Column:
-        return F.array(*[F.max(F.when(F.col("pos") == i + 1, F.col(column))) for i in range(n_cuts)])
-    return cuts.groupBy(*keys).agg(at("_value").alias("_cut_values"), at("_tie").alias("_cut_ties"))
+    run_keys, wanted, cuts, runs = list(keys), _listed(ranks), None, None
+    for depth, part in enumerate(by, 1):
+        inside = rows if runs is None else attach(
+            rows, runs.select(*run_keys), run_keys, sizing.broadcast_fits(lookup_bytes(1)), how="left_semi",
+            null_safe=True, spread=[part])
+        # A few rows per group that whole scans went into: kept, so that nothing repeats the scans.
+        found = stage(at_ranks(inside, run_keys, part, wanted, sizing), f"cuts{part}")
+        run_keys = [*run_keys, part]
+        here = found.select(*run_keys, "pos", F.lit(depth).alias("depth"))
+        cuts = here if cuts is None else cuts.unionByName(here, allowMissingColumns=True)
+        split = (found.filter(F.col("rank") < F.col("n_upto"))
+                 .select(*run_keys, F.struct("pos", (F.col("rank") - F.col("n_below")).alias("rank")).alias("_cut")))
+        runs = stage(split.groupBy(*run_keys).agg(F.collect_list("_cut").alias("_wanted")), f"runs{part}")
+        n_runs = runs.count()
+        if not n_runs:
+            return cuts, None
+        wanted, sizing = runs, Sizing(n_runs, sizing.largest)
+    return cuts, runs
 
 
 def equal_bins(df: DataFrame, keys: Sequence[str], order_by: str, tie: str | None, out: str,
@@ -211,39 +141,54 @@ def equal_bins(df: DataFrame, keys: Sequence[str], order_by: str, tie: str | Non
                sizing: Sizing | None = None) -> DataFrame:
     """Number each row's bin 1..n by ascending ``order_by`` then ``tie`` within its group.
 
-    Bin i ends at the i-th of ``ranks``. Nulls sort first. Without a tie column a
-    hash of the row stands in, so equal values are still divided into bins of the
-    asked size. Past one task's size, rows that agree on both columns share a bin.
+    Bin i ends at the i-th of ``ranks``. Nulls sort first. Bins have the asked size whatever rows
+    agree in: rows of equal value and tie are parted by a hash of the row, rows that agree in all
+    columns in any way. The plan is the same for every group size.
     """
     if not keys:
         whole = equal_bins(df.withColumn("_all", F.lit(1)), ["_all"], order_by, tie, out, ranks,
                            n_bins, sizing)
         return whole.drop("_all")
     keys = list(keys)
-    tie_value = F.xxhash64(*df.columns) if tie is None else F.col(tie)
-    ordered = (df.withColumn("_order", F.coalesce(F.col(order_by).cast("double"),
-                                                  F.lit(float("-inf"))))
-               .withColumn("_tie_by", tie_value))
+    hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    by = ["_order", *(["_tie"] if tie else []), "_hash"]
+    parts = {"_order": F.col(order_by), "_hash": F.xxhash64(*hashed)} | ({"_tie": F.col(tie)} if tie else {})
+    ordered = df.withColumns(parts)
+    if n_bins == 1:
+        return df.withColumn(out, F.lit(1))
     sizing = sizing or measure(df, keys)
-    if sizing.one_task_holds_a_group:
-        group = Window.partitionBy(*keys)
-        ordered = (ordered
-                   .withColumn("_row", F.row_number().over(group.orderBy("_order", "_tie_by")))
-                   .withColumn("_rows", F.count(F.lit(1)).over(group)))
-        above = [indicator(F.col("_row") > rank) for rank in ranks(F.col("_rows"))]
-        return (ordered.withColumn(out, F.lit(1) + add_all(above))
-                .drop("_order", "_tie_by", "_row", "_rows"))
     fits = sizing.broadcast_fits(lookup_bytes(n_bins))
-    cuts = equal_cuts(ordered, keys, "_order", "_tie_by", ranks, n_bins - 1, fits)
-    above = []
-    for i in range(n_bins - 1):
-        value, tied = F.get("_cut_values", F.lit(i)), F.get("_cut_ties", F.lit(i))
-        above.append(indicator((F.col("_order") > value)
-                               | ((F.col("_order") == value) & (F.col("_tie_by") > tied))))
-    return (attach(ordered, cuts, keys, fits, how="left", null_safe=True,
-                   spread=["_order", "_tie_by"])
-            .withColumn(out, F.lit(1) + add_all(above))
-            .drop("_order", "_tie_by", "_cut_values", "_cut_ties"))
+    cuts, same = equal_cuts(ordered, keys, ranks, by, sizing)
+    if same is not None:
+        # Rows that agree in everything: numbered in a written copy, which a retry cannot renumber.
+        run_keys, few = [*keys, *by], Sizing(same.count(), sizing.largest)
+        runs, run_fits = same.select(*run_keys), few.broadcast_fits(lookup_bytes(1))
+        copy = stage(attach(ordered, runs, run_keys, run_fits, how="left_semi", null_safe=True)
+                     .withColumn("_place", F.monotonically_increasing_id()), "equal_rows")
+        found = at_ranks(copy, run_keys, "_place", same, few)
+        by = [*by, "_place"]
+        cuts = cuts.unionByName(stage(found.select(*run_keys, "_place", "pos", F.lit(len(by)).alias("depth")),
+                                      "cuts_place"), allowMissingColumns=True)
+        ordered = (attach(ordered, runs, run_keys, run_fits, how="left_anti", null_safe=True)
+                   .unionByName(copy, allowMissingColumns=True))
+    by = [c for c in by if c in cuts.columns]
+    # Of a cut's entries the deepest counts; the others name the run that it lies in.
+    entry = F.max_by(F.struct("depth", *by), "depth")
+    cuts = (cuts.groupBy(*keys, "pos").agg(entry.alias("_cut"))
+            .groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("pos", "_cut"))).alias("_cuts"))
+            .select(*keys, F.transform(F.sequence(F.lit(1), F.lit(n_bins - 1)),
+                                       lambda i: F.try_element_at("_cuts", i)).alias("_cuts")))
+
+    def above(cut: Column) -> Column:
+        found = F
+        for depth in range(1, len(by) + 1):  # structs compare with nulls first, NaN last
+            found = found.when(cut["depth"] == depth, F.struct(*by[:depth]) > F.struct(
+                *[cut[c].alias(c) for c in by[:depth]]))
+        return found
+
+    passed = [indicator(above(F.get("_cuts", F.lit(i)))) for i in range(n_bins - 1)]
+    return (attach(ordered, cuts, keys, fits, how="left", null_safe=True, spread=by)
+            .withColumn(out, add_all([F.lit(1), *passed])).select(*df.columns, out))
 
 
 def attach_quantile_bin(rows: DataFrame, edges: DataFrame, keys: Sequence[str], value: str,

@@ -10,7 +10,7 @@ from scorewatch.workload import specs
 
 def d(expression: str, name: str) -> str:
     """A double column at six places, by the same arithmetic as on the Spark side."""
-    return f"round(round(({expression}) * 1e9) / 1e3) / 1e6 AS {name}"
+    return f"round(round(({expression}) * 1e9) / 1e3) / 1e6 + 0.0 AS {name}"
 
 
 MART = """

@@ -340,7 +340,7 @@ UNION ALL SELECT reporting_month, scorecard, 'ks_degradation', maturity, ks_drop
 UNION ALL SELECT reporting_month, scorecard, 'calibration_divergence', 'M12', count(*) FROM cal_ok
   WHERE abs(calibration_gap) >= 0.05 GROUP BY ALL"""
 
-SECTIONS = {"stability": "stability", "separation": "sep",
+SECTIONS = {"stability": "stability", "separation": "(SELECT * FROM sep WHERE ks IS NOT NULL)",
             "performance": "(SELECT * FROM perf_report WHERE note IS NULL)", "calibration": "cal_ok",
             "data_quality": f"(SELECT DISTINCT reporting_month, scorecard, channel FROM {by_scope('cur')})",
             "governance_flags": "(SELECT * FROM governed WHERE status IN ('ALERT', 'WARNING'))",

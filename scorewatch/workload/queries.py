@@ -28,7 +28,7 @@ R = ["reporting_month"]
 
 
 def six_places(value: Column) -> Column:
-    return F.when(F.abs(value) < 1e15, F.round(F.round(value * 1e9) / 1e3) / 1e6).otherwise(value)
+    return F.when(F.abs(value) < 1e15, F.round(F.round(value * 1e9) / 1e3) / 1e6 + F.lit(0.0)).otherwise(value)
 
 
 def query(fn: Callable) -> Callable:

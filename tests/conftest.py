@@ -24,12 +24,13 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-@pytest.fixture(params=["one_task", "narrowing", "salted"])
+@pytest.fixture(params=["one_cell", "cells", "salted"])
 def plan(request, monkeypatch):
-    """Run a test on each of the plans that group sizes choose between."""
-    from scorewatch.plans import lookup
-    if request.param != "one_task":
-        monkeypatch.setattr(lookup, "MAX_ROWS_ONE_TASK", 1)
+    """Run a test with groups in one cell, in a hierarchy of small cells, and with salted lookups."""
+    from scorewatch.plans import lookup, running
+    if request.param != "one_cell":
+        monkeypatch.setattr(lookup, "CELL_ROWS", 60)
+        monkeypatch.setattr(running, "DRAWN", 4)
     if request.param == "salted":
         monkeypatch.setattr(lookup, "MAX_BROADCAST_BYTES", 1)
         monkeypatch.setattr(lookup, "SALTS", 4)

@@ -2,6 +2,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from scorewatch.operators import drift
 from scorewatch.plans.distribution import ks_to_reference, separation
@@ -117,3 +118,30 @@ def test_csi_table_bins(spark):
     assert [got[i]["baseline_count"] for i in range(3)] == [0, 2, 2]
     assert [got[i]["compare_count"] for i in range(3)] == [1, 0, 2]
     assert got[0]["interval"] == "0.0000-1.0000"
+
+
+def test_ks_and_gini_of_a_million_distinct_values(spark, monkeypatch):
+    """Goods at even, bads at odd places of the upper half: KS and Gini are known exactly."""
+    from scorewatch.plans import lookup
+    monkeypatch.setattr(lookup, "CELL_ROWS", 50_000)
+    n = 1_000_000
+    rows = spark.range(n).select(F.lit("a").alias("g"), (F.col("id") / n).alias("v"),
+                                 F.when(F.col("id") < n // 2, 0).otherwise(F.col("id") % 2).alias("bad"))
+    got = separation(rows, ["g"], "v", "bad").first()
+    goods, bads = n - n // 4, n // 4
+    assert got["ks"] == pytest.approx((n // 2) / goods + 1 / goods, abs=1e-12)
+    # A bad is above all lower goods: n/2 below the middle, and one more for every place from there.
+    above = bads * (n // 2) + bads * (bads + 1) / 2
+    assert got["gini"] == pytest.approx(2 * above / (goods * bads) - 1, abs=1e-6)
+    low = spark.range(n).select(F.lit("a").alias("g"), (F.col("id") / n).alias("v"))
+    high = low.select("g", F.lit("m").alias("m"), (F.col("v") + 0.25).alias("v"))
+    assert ks_to_reference(low, high, ["g"], ["m"], "v").first()["ks"] == pytest.approx(0.25, abs=2e-6)  # sums of doubles tie or not
+
+
+def test_gini_of_tied_and_of_distinct_scores(spark, plan):
+    def gini(pairs):
+        df = spark.createDataFrame([("a", v, b) for v, b in pairs], "g string, v double, bad int")
+        return separation(df, ["g"], "v", "bad").first()["gini"]
+    assert gini([(0.5, i % 2) for i in range(40)]) == 0.0
+    assert gini([(i / 40, int(i >= 20)) for i in range(40)]) == 1.0
+    assert gini([(i / 40, int(i < 20)) for i in range(40)]) == -1.0

@@ -3,8 +3,9 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from scorewatch.plans import ranking
+from scorewatch.plans import lookup, ranking, running
 from scorewatch.plans.lookup import measure
+from scorewatch.plans.running import running_totals
 from tests.conftest import rows_by
 
 
@@ -87,11 +88,96 @@ def test_measure_counts_groups_and_the_largest(spark):
     assert (sizing.groups, sizing.largest) == (2, 300)
 
 
-def test_narrowing_has_no_window_over_raw_rows(spark, monkeypatch):
-    from scorewatch.plans import lookup
-    monkeypatch.setattr(lookup, "MAX_ROWS_ONE_TASK", 1)
-    df = sample(spark)
-    binned = ranking.equal_bins(df, ["g"], "score", "id", "bin", ranking.ntile_ranks(10), 10)
-    plan = binned._jdf.queryExecution().optimizedPlan().toString()
-    assert "row_number(" not in plan and " ntile(" not in plan
-    assert "cross" not in plan.lower()
+def same_as_ntile(df, n_bins, tie="id"):
+    got = ranking.equal_bins(df, ["g"], "score", tie, "bin", ranking.ntile_ranks(n_bins), n_bins)
+    want = df.withColumn("bin", F.ntile(n_bins).over(Window.partitionBy("g").orderBy("score", tie)))
+    columns = df.columns + ["bin"]
+    assert (sorted(map(repr, got.select(*columns).collect()))
+            == sorted(map(repr, want.select(*columns).collect())))
+
+
+def test_null_ties_take_their_place_before_others(spark, plan):
+    rows = [(i if i % 2 else None, "a", 0.5, i) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, g string, score double, row long")
+    got = ranking.equal_bins(df, ["g"], "score", "id", "bin", ranking.ntile_ranks(4), 4)
+    assert sorted((r["bin"], r["count"]) for r in got.groupBy("bin").count().collect()) == [
+        (b, 10) for b in (1, 2, 3, 4)]
+    assert {r["bin"] for r in got.filter("id is null").collect()} == {1, 2}
+    assert got.columns == [*df.columns, "bin"]
+
+
+def test_scores_keep_their_own_type(spark, plan):
+    # Longs that a double cannot tell apart, decimals, texts, and the places of null and NaN.
+    longs = spark.createDataFrame([(i, "a", 2**53 + (i * 7) % 30) for i in range(30)], "id long, g string, score long")
+    same_as_ntile(longs, 7)
+    same_as_ntile(longs.withColumn("score", F.col("score").cast("decimal(38,18)") / 10**9), 4)
+    same_as_ntile(longs.withColumn("score", F.concat(F.lit("common prefix "), F.col("score"))), 5)
+    odd = [float("nan"), None, float("-inf"), float("inf"), -0.0, 0.0]
+    same_as_ntile(spark.createDataFrame([(i, "a", odd[i % 6]) for i in range(30)], "id long, g string, score double"), 6)
+
+
+def test_long_common_prefixes_of_keys(spark, plan):
+    df = spark.range(20000).select(F.concat(F.lit("prefix-ten"), F.col("id")).alias("id"), F.lit("a").alias("g"),
+                                   (F.col("id") % 2).alias("score"))
+    if plan == "one_cell":
+        same_as_ntile(df, 10)
+    else:
+        same_as_ntile(df.limit(300), 10)
+
+
+def test_bins_of_rows_that_agree_in_everything(spark, plan):
+    rows = [(1, "a", 0.5)] * 25 + [(None, "a", None)] * 10 + [(2, "b", 1.0)] * 3 + [(1, "a", 0.25)]
+    df = spark.createDataFrame(rows, "id long, g string, score double").repartition(3)
+    for tie in ("id", None):
+        got = ranking.equal_bins(df, ["g"], "score", tie, "bin", ranking.ntile_ranks(4), 4)
+        counts = {(r["g"], r["bin"]): r["count"] for r in got.groupBy("g", "bin").count().collect()}
+        assert counts == {("a", b): 9 for b in (1, 2, 3, 4)} | {("b", b): 1 for b in (1, 2, 3)}
+        assert got.filter("score is null and bin = 1").count() == 9
+
+
+def test_bins_carry_columns_that_cannot_be_hashed(spark):
+    df = spark.createDataFrame([(i % 2, {"k": i}) for i in range(12)], "score int, m map<string,int>")
+    got = ranking.equal_bins(df, [], "score", None, "bin", ranking.ntile_ranks(3), 3)
+    assert sorted(r["count"] for r in got.groupBy("bin").count().collect()) == [4, 4, 4]
+
+
+def test_quantiles_of_texts_and_of_longs_beyond_doubles(spark, plan):
+    df = spark.createDataFrame([("a", 2**53 + i, f"t{i:03d}") for i in range(101)], "g string, n long, t string")
+    assert ranking.quantiles(df, ["g"], "n", [0.5, 1.0]).first()["edges"] == [2**53 + 50, 2**53 + 100]
+    assert ranking.quantiles(df, ["g"], "t", [0.1, 0.9]).first()["edges"] == ["t010", "t090"]
+
+
+def test_running_totals_over_cells_of_cells(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "CELL_ROWS", 12)
+    monkeypatch.setattr(running, "DRAWN", 3)
+    rng = random.Random(2)
+    rows = [(rng.choice(["a", "a", None]), rng.choice([None, *range(60)]), rng.randint(0, 9)) for _ in range(900)]
+    df = spark.createDataFrame(rows, "g string, v long, n long").repartition(4)
+    want = df.withColumns({"x_upto": F.sum("n").over(Window.partitionBy("g").orderBy("v")),
+                           "x_here": F.sum("n").over(Window.partitionBy("g", "v")),
+                           "x_all": F.sum("n").over(Window.partitionBy("g"))})
+    got = running_totals(df, ["g"], "v", {"x": F.col("n")}, df.count())
+    assert sorted(map(repr, got.select(*want.columns).collect())) == sorted(map(repr, want.collect()))
+
+
+def test_no_cell_is_long(spark, monkeypatch):
+    """A group of 300,000 values: the windows see cells, and cells stay near the asked size."""
+    monkeypatch.setattr(lookup, "CELL_ROWS", 5000)
+    df = spark.range(300_000).select(F.lit("a").alias("g"), F.xxhash64("id").alias("v"))
+    borders = running.cell_borders(df, ["g"], "v", {})
+    placed = running.add_cell(df.crossJoin(F.broadcast(borders.select("_borders"))), "v", "_borders",
+                              len(borders.first()["_borders"]), "_cell")
+    sizes = [r["count"] for r in placed.groupBy("_cell").count().collect()]
+    assert sum(sizes) == 300_000 and max(sizes) < 4 * 5000 and len(sizes) > 30
+    got = ranking.quantiles(df, ["g"], "v", [0.25, 0.5]).first()["edges"]
+    values = sorted(r["v"] for r in df.collect())
+    assert got == [values[74_999], values[149_999]]
+
+
+def test_every_window_over_a_long_group_is_by_cell(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "CELL_ROWS", 60)
+    df = spark.createDataFrame([("a", float(i)) for i in range(200)], "g string, v double")
+    got = running_totals(df, ["g"], "v", {"x": F.lit(1)}, 200)
+    lines = got._jdf.queryExecution().optimizedPlan().toString().split("windowspecdefinition(")[1:]
+    over_values = [spec.split(" ASC")[0] for spec in lines if ", v#" in spec.split(" ASC")[0]]
+    assert over_values and all("_cell0#" in spec for spec in over_values)
