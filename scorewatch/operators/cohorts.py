@@ -74,7 +74,32 @@ def baseline_rows(mart: DataFrame, spec: Monitoring,
                   reporting_months: Sequence[str] | None = None) -> DataFrame:
     """Baseline accounts: a fixed window, the months before each reporting month, or the
     first months on record (also when a fixed window has no bounds)."""
-    rows, month, setting = monitored(mart, spec), F.col(spec.source.month), spec.baseline
+    return _in_windows(monitored(mart, spec), mart, spec, reporting_months)
+
+
+def monthly_counts(mart: DataFrame, spec: Monitoring, columns: Sequence[str]) -> DataFrame:
+    """Monitored accounts per month and value of the columns: ``<month>, columns, n``.
+
+    One map-side combined count over the whole history. Counts of months add up, so any window of
+    months comes from this table without reading accounts again.
+    """
+    by = dict.fromkeys([spec.source.month, *columns])
+    return monitored(mart, spec).groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+
+
+def baseline_counts(monthly: DataFrame, spec: Monitoring,
+                    reporting_months: Sequence[str] | None = None) -> DataFrame:
+    """The counts of each baseline window: monthly counts merged over its months."""
+    keys, month = baseline_keys(spec.baseline), spec.source.month
+    columns = [c for c in monthly.columns if c not in (month, "n")]
+    windows = _in_windows(monthly, monthly, spec, reporting_months)
+    return windows.groupBy(*keys, *columns).agg(F.sum("n").alias("n"))
+
+
+def _in_windows(rows: DataFrame, mart: DataFrame, spec: Monitoring,
+                reporting_months: Sequence[str] | None) -> DataFrame:
+    """Rows, or counts of rows, by the baseline windows that their month is in."""
+    month, setting = F.col(spec.source.month), spec.baseline
     kind = _kind(setting)
     if kind == "fixed_window":
         return rows.filter(month.between(setting.start, setting.end))
@@ -98,11 +123,11 @@ def baseline_info(mart: DataFrame, spec: Monitoring,
     """Kind, bounds, months and row count of the baseline (per reporting month if rolling)."""
     kind, setting = _kind(spec.baseline), spec.baseline
     keys, month = baseline_keys(setting), F.col(spec.source.month)
-    rows = baseline_rows(mart, spec, reporting_months)
-    info = rows.groupBy(*keys).agg(
+    counts = monthly_counts(mart, spec, [])
+    info = _in_windows(counts, counts, spec, reporting_months).groupBy(*keys).agg(
         F.min(month).alias("_first"), F.max(month).alias("_last"),
         F.array_sort(F.collect_set(month)).alias("months"),
-        F.count(F.lit(1)).alias("account_count"))
+        F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("account_count"))
     if kind == "fixed_window":
         start, end = F.lit(setting.start), F.lit(setting.end)
     elif kind == "rolling_window":

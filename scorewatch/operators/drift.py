@@ -19,9 +19,11 @@ from scorewatch.spec import DriftSpec, Source, as_fraction
 
 def population_shift(reference: DataFrame, sample: DataFrame, ref_keys: Sequence[str],
                      extra_keys: Sequence[str], value: str, n_bins: int,
-                     accuracy: int | None = None, sizing: Sizing | None = None) -> DataFrame:
+                     accuracy: int | None = None, sizing: Sizing | None = None,
+                     weight: str | None = None) -> DataFrame:
     """Stability index by reference quantile bins, with both sides' means and deviations.
 
+    ``weight`` names a column that says how many accounts each row stands for.
     One row per sample group: ``ref_keys, extra_keys, psi, baseline_mean,
     current_mean, baseline_std, current_std, baseline_count, current_count``.
     """
@@ -29,12 +31,13 @@ def population_shift(reference: DataFrame, sample: DataFrame, ref_keys: Sequence
     sample = sample.filter(F.col(value).isNotNull())
     sizing = sizing or measure(reference, ref_keys)
     edges = quantiles(reference, ref_keys, value, bin_fractions(n_bins), accuracy=accuracy,
-                      sizing=sizing)
-    sides = tag_sides(reference.select(*ref_keys, value),
-                      sample.select(*ref_keys, *extra_keys, value), extra_keys)
+                      sizing=sizing, weight=weight)
+    taken = [value, *([weight] if weight else [])]
+    sides = tag_sides(reference.select(*ref_keys, *taken),
+                      sample.select(*ref_keys, *extra_keys, *taken), extra_keys)
     binned = attach_quantile_bin(sides, edges, ref_keys, value, n_bins,
-                                 sizing.broadcast_fits(8 * n_bins + 256), "bin")
-    pairs = paired_histograms(binned, ref_keys, extra_keys, "bin", n_bins, value)
+                                 sizing.broadcast_fits(8 * n_bins + 256), "bin", "middle")
+    pairs = paired_histograms(binned, ref_keys, extra_keys, "bin", n_bins, value, weight, "middle")
     index = psi(F.col("ref_counts"), F.col("ref_n"), F.col("counts"), F.col("n"))
     return pairs.select(*ref_keys, *extra_keys, index.alias("psi"),
                         F.col("ref_mean").alias("baseline_mean"), F.col("mean").alias("current_mean"),

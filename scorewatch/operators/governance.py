@@ -15,20 +15,29 @@ ALERT, WARNING, OK, NOT_JUDGED = "ALERT", "WARNING", "OK", "N/A"
 # Reason codes of a section without figures.
 NO_ACTUALS = "NOT_AVAILABLE_NO_ACTUALS"
 NOT_MATURE = "NOT_AVAILABLE_MATURITY"
+DATA_MODE = "NOT_AVAILABLE_DATA_MODE"
+EMPTY_SEGMENT = "NOT_AVAILABLE_EMPTY_SEGMENT"
+SAMPLE_SIZE = "NOT_AVAILABLE_SAMPLE_SIZE"
+NOT_M12 = "NOT_AVAILABLE_NOT_M12"
+
+
+GENERAL = ""
 
 
 def threshold_table(spark: SparkSession, thresholds: Thresholds) -> DataFrame:
-    """Configured limits, one row per metric and per scorecard override."""
-    rows = [(None, m, *_limits(thresholds, m, None), m in LOWER_IS_WORSE)
-            for m in sorted(thresholds.metrics())]
-    rows += [(card, m, *_limits(thresholds, m, card), m in LOWER_IS_WORSE)
-             for card, limits in sorted(thresholds.scorecard.items()) for m in sorted(limits)]
+    """The limits that hold for every metric at every level, resolved beforehand.
+
+    A level is a scorecard that overrides some limit, or ``GENERAL`` for all others.
+    """
+    metrics = sorted(set(thresholds.metrics()) | {m for limits in thresholds.scorecard.values() for m in limits})
+    rows = [(m, level, *_limits(thresholds, m, level), m in LOWER_IS_WORSE)
+            for m in metrics for level in [GENERAL, *sorted(thresholds.scorecard)]]
     return spark.createDataFrame(
-        rows, "scorecard string, metric string, warning double, alert double, lower_is_worse boolean")
+        rows, "_metric string, _at string, _warning double, _alert double, _lower boolean")
 
 
-def _limits(thresholds: Thresholds, metric: str, scorecard: str | None) -> tuple[float, float]:
-    limit = thresholds.resolve(metric, scorecard)
+def _limits(thresholds: Thresholds, metric: str, level: str) -> tuple[float, float]:
+    limit = thresholds.resolve(metric, level or None)
     return float(limit.warning), float(limit.alert)
 
 
@@ -40,42 +49,47 @@ def status_of(value: Column, warning: Column, alert: Column, lower_is_worse: Col
             .when(hits(warning), WARNING).otherwise(OK))
 
 
-def judge(df: DataFrame, thresholds: Thresholds, metric: Column, value: Column,
+def judge(df: DataFrame, thresholds: Thresholds, metric: str | Column, value: Column,
           status: str = "status") -> DataFrame:
     """Add the resolved ``warning`` and ``alert`` limits and the status of a value.
 
-    A scorecard's own limit wins over the general one; a metric configured
-    nowhere gets limits of 0.0. The limit table has one row per configured
-    metric and level, so it is broadcast.
+    A scorecard's own limit wins over the general one; a metric configured nowhere gets limits of
+    0.0. The limits of a named metric are literals of the plan. Where a column names it, they
+    come from one equi-join on metric and level; that table has one row per configured metric and
+    level, so it is broadcast.
     """
-    limits = threshold_table(df.sparkSession, thresholds)
-    own = F.broadcast(limits.filter(F.col("scorecard").isNotNull()).select(
-        F.col("scorecard").alias("_card"), F.col("metric").alias("_own_metric"),
-        F.col("warning").alias("_own_warning"), F.col("alert").alias("_own_alert")))
-    general = F.broadcast(limits.filter(F.col("scorecard").isNull()).select(
-        F.col("metric").alias("_metric"), F.col("warning").alias("_warning"),
-        F.col("alert").alias("_alert"), F.col("lower_is_worse").alias("_lower")))
-    df = df.withColumn("_key", metric)
-    joined = (df.join(general, F.col("_key") == F.col("_metric"), "left")
-              .join(own, (F.col("_key") == F.col("_own_metric"))
-                    & (F.col("scorecard") == F.col("_card")), "left"))
-    warning = or_zero(F.coalesce("_own_warning", "_warning"))
-    alert = or_zero(F.coalesce("_own_alert", "_alert"))
+    cards = sorted(thresholds.scorecard)
+    if isinstance(metric, str):
+        found = []
+        for i in range(2):
+            limit = F
+            for card in cards:
+                limit = limit.when(F.col("scorecard") == card, F.lit(_limits(thresholds, metric, card)[i]))
+            general = F.lit(_limits(thresholds, metric, GENERAL)[i])
+            found.append(limit.otherwise(general) if cards else general)
+        return (df.withColumn("warning", found[0]).withColumn("alert", found[1])
+                .withColumn(status, status_of(value, F.col("warning"), F.col("alert"),
+                                              F.lit(metric in LOWER_IS_WORSE))))
+    level = F.when(F.col("scorecard").isin(*cards), F.col("scorecard")).otherwise(GENERAL)
+    limits = F.broadcast(threshold_table(df.sparkSession, thresholds))
+    joined = (df.withColumn("_key", metric).withColumn("_level", level)
+              .join(limits, (F.col("_key") == F.col("_metric")) & (F.col("_level") == F.col("_at")), "left"))
     lower = F.coalesce("_lower", F.lit(False))
-    return (joined.withColumn("warning", warning).withColumn("alert", alert)
+    return (joined.withColumn("warning", or_zero(F.col("_warning"))).withColumn("alert", or_zero(F.col("_alert")))
             .withColumn(status, status_of(value, F.col("warning"), F.col("alert"), lower))
-            .drop("_key", "_metric", "_warning", "_alert", "_lower", "_card", "_own_metric",
-                  "_own_warning", "_own_alert"))
+            .drop("_key", "_level", "_metric", "_at", "_warning", "_alert", "_lower"))
 
 
-def _evaluated(df: DataFrame, metric: str, label: Column, value: Column, source: str,
-               judged: Column | None = None, channel: Column | None = None) -> DataFrame:
-    judged = value if judged is None else judged
+def _evaluated(df: DataFrame, thresholds: Thresholds, metric: str, status: str, label: Column, value: Column,
+               source: str, judged: Column | None = None, channel: Column | None = None) -> DataFrame:
+    """A table's values with their limits; judged here only if the table was not judged before."""
+    if not {"warning", "alert", status} <= set(df.columns):
+        df = judge(df, thresholds, metric, value if judged is None else judged, status)
     return (df.filter(value.isNotNull())
             .select("reporting_month", "scorecard",
                     (F.lit(ALL_CHANNELS) if channel is None else channel).alias("channel"),
-                    F.lit(metric).alias("metric_key"), label.alias("metric"), value.alias("value"),
-                    judged.alias("_judged"), F.lit(source).alias("source")))
+                    label.alias("metric"), value.alias("value"), "warning", "alert",
+                    F.col(status).alias("status"), F.lit(source).alias("source")))
 
 
 def governance_table(thresholds: Thresholds, *, score_stability: DataFrame | None = None,
@@ -87,35 +101,32 @@ def governance_table(thresholds: Thresholds, *, score_stability: DataFrame | Non
     The score's stability is judged overall, not per channel; calibration by the
     absolute gap.
     """
+    def labelled(text: str, *names: str) -> Column:
+        return F.concat_ws(":", F.lit(text), *names)
+
     parts = []
     if score_stability is not None:
         overall = score_stability.filter(F.col("channel") == ALL_CHANNELS)
-        parts.append(_evaluated(overall, "psi", F.lit("score_psi"), F.col("score_psi"), "stability"))
+        parts.append(_evaluated(overall, thresholds, "psi", "score_psi_status", F.lit("score_psi"),
+                                F.col("score_psi"), "stability"))
     if feature_stability is not None:
-        parts.append(_evaluated(feature_stability, "feature_psi",
-                                F.concat(F.lit("feature_psi:"), "feature_name"), F.col("psi"),
-                                "stability"))
+        parts.append(_evaluated(feature_stability, thresholds, "feature_psi", "status",
+                                labelled("feature_psi", "feature_name"), F.col("psi"), "stability"))
     if ks_drop is not None:
-        parts.append(_evaluated(ks_drop, "ks_drop", F.concat(F.lit("ks_drop:"), "maturity"),
-                                F.col("ks_drop"), "separation"))
+        parts.append(_evaluated(ks_drop, thresholds, "ks_drop", "ks_drop_status",
+                                labelled("ks_drop", "maturity"), F.col("ks_drop"), "separation"))
     if performance is not None:
-        parts.append(_evaluated(performance, "edr_delta",
-                                F.concat_ws(":", F.lit("edr_delta"), "maturity", "channel"),
-                                F.col("edr_delta"), "performance", channel=F.col("channel")))
+        parts.append(_evaluated(performance, thresholds, "edr_delta", "edr_delta_status",
+                                labelled("edr_delta", "maturity", "channel"), F.col("edr_delta"),
+                                "performance", channel=F.col("channel")))
     if calibration is not None:
-        parts.append(_evaluated(
-            calibration, "calibration_gap",
-            F.concat(F.lit("calibration_gap:"), "maturity", F.lit(":bin"),
-                     F.col("score_bin").cast("string")),
-            F.col("calibration_gap"), "calibration", F.abs("calibration_gap"), F.col("channel")))
+        label = F.concat(F.lit("calibration_gap:"), "maturity", F.lit(":bin"), F.col("score_bin").cast("string"))
+        parts.append(_evaluated(calibration, thresholds, "calibration_gap", "gap_status", label,
+                                F.col("calibration_gap"), "calibration", F.abs("calibration_gap"), F.col("channel")))
     if columns is not None:
-        parts.append(_evaluated(columns, "missing_rate",
-                                F.concat(F.lit("missing_rate:"), "column_name"),
-                                F.col("missing_rate"), "data_quality"))
-    rows = reduce(DataFrame.unionByName, parts)
-    return (judge(rows, thresholds, F.col("metric_key"), F.col("_judged"))
-            .select("reporting_month", "scorecard", "channel", "metric", "value", "warning", "alert",
-                    "status", "source"))
+        parts.append(_evaluated(columns, thresholds, "missing_rate", "missing_status",
+                                labelled("missing_rate", "column_name"), F.col("missing_rate"), "data_quality"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def flags(governed: DataFrame) -> DataFrame:
@@ -133,26 +144,49 @@ def overall_health(governed: DataFrame) -> DataFrame:
         F.when(alerts > 0, ALERT).when(warnings > 0, WARNING).otherwise(OK).alias("overall_health"))
 
 
-def availability(spine: DataFrame, sections: dict[str, DataFrame], info: DataFrame) -> DataFrame:
+#: Sections whose figures come from outcomes.
+OUTCOME_SECTIONS = ("separation", "performance", "calibration", "attribution")
+
+
+def missing_reason(section: Column, has_actuals: bool, reached: Column, m12: Column) -> Column:
+    """Why a section has no rows, the first reason that holds.
+
+    ``reached`` says whether any outcome window of the month has mature accounts, ``m12`` whether
+    that of twelve months has. A section that may be empty for want of findings has no reason.
+    """
+    if not has_actuals:
+        outcome = F.lit(DATA_MODE)
+    else:
+        outcome = (F.when(section == "calibration", F.when(m12, SAMPLE_SIZE).when(reached, NOT_M12).otherwise(NOT_MATURE))
+                   .when(section == "separation", F.when(reached, SAMPLE_SIZE).otherwise(NO_ACTUALS))
+                   .when(section == "performance", NO_ACTUALS))
+    return (F.when(section.isin("stability", "data_quality"), EMPTY_SEGMENT)
+            .when(section.isin(*OUTCOME_SECTIONS), outcome))
+
+
+def availability(spine: DataFrame, sections: dict[str, DataFrame], info: DataFrame | None) -> DataFrame:
     """Rows of every report section per reporting month, and the reason where there are none.
 
-    Outcome sections without rows miss actuals, or maturity for calibration;
-    unavailable outcome windows are listed with their note.
+    ``info`` tells which outcome windows have mature accounts; those that have none are listed with
+    their note. Without it no outcomes were loaded, which is the outcome sections' reason.
     """
-    reasons = {"separation": NO_ACTUALS, "performance": NO_ACTUALS, "calibration": NOT_MATURE}
+    names = list(dict.fromkeys([*sections, *(OUTCOME_SECTIONS if info is None else ())]))
     counted = reduce(DataFrame.unionByName, [
         table.groupBy("reporting_month").agg(F.count(F.lit(1)).alias("rows"))
         .withColumn("section", F.lit(name)) for name, table in sections.items()])
-    listed = spine.select("reporting_month",
-                          F.explode(F.array(*[F.lit(s) for s in sections])).alias("section"))
-    reason = F.lit(None).cast("string")
-    for name, text in reasons.items():
-        reason = F.when(F.col("section") == name, text).otherwise(reason)
+    listed = spine.select("reporting_month", F.explode(F.array(*[F.lit(s) for s in names])).alias("section"))
     rows = F.coalesce("rows", F.lit(0).cast("long"))
-    by_section = (listed.join(counted, ["reporting_month", "section"], "left")
-                  .select("reporting_month", "section", rows.alias("rows"),
-                          (rows > 0).alias("available"),
-                          F.when(rows == 0, reason).alias("reason")))
+    joined = listed.join(counted, ["reporting_month", "section"], "left")
+    if info is not None:
+        joined = joined.join(info.groupBy("reporting_month").agg(
+            F.max("available").alias("_reached"),
+            F.max(F.col("available") & (F.col("maturity") == "M12")).alias("_m12")), "reporting_month", "left")
+    facts = [F.coalesce(c, F.lit(False)) if info is not None else F.lit(False) for c in ("_reached", "_m12")]
+    by_section = joined.select(
+        "reporting_month", "section", rows.alias("rows"), (rows > 0).alias("available"),
+        F.when(rows == 0, missing_reason(F.col("section"), info is not None, *facts)).alias("reason"))
+    if info is None:
+        return by_section
     windows = info.filter(~F.col("available")).select(
         "reporting_month", F.concat(F.lit("cohort_"), "maturity").alias("section"),
         F.lit(0).cast("long").alias("rows"), F.lit(False).alias("available"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from scorewatch.functions.columns import melt, or_zero
 from scorewatch.operators.drift import population_shift
 from scorewatch.operators.quality import missing_rates, missing_share, outlier_share
-from scorewatch.plans.spine import ALL_CHANNELS, expected_groups, over_scopes
+from scorewatch.plans.spine import ALL_CHANNELS, expected_groups, over_scopes, scoped_counts
 from scorewatch.spec import Monitoring
 
 
@@ -22,25 +22,30 @@ def _columns(spec: Monitoring, *more: str) -> list[str]:
 
 def score_stability(current: DataFrame, baseline: DataFrame, spec: Monitoring,
                     baseline_by: Sequence[str] = ()) -> DataFrame:
-    """Score stability index per reporting month, scorecard and channel (``all`` included)."""
+    """Score stability index per reporting month, scorecard and channel (``all`` included).
+
+    Either side may hold accounts or, with a column ``n``, counts of accounts by value, such as
+    ``cohorts.monthly_counts`` and ``cohorts.baseline_counts`` give.
+    """
     source, score = spec.source, spec.source.score
 
-    def scoped(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-        narrow = df.select(*dict.fromkeys([*keys, source.channel, score,
-                                           *([spec.scorecard] if spec.scorecard else [])]))
-        return over_scopes(narrow, source.channel, source.channels, spec.scorecard)
+    def counted(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        return scoped_counts(df, keys, source.channel, source.channels, spec.scorecard, score)
 
-    now = scoped(current, ["reporting_month"])
+    now = counted(current, ["reporting_month"])
     ref_keys = [*baseline_by, "scorecard", "channel"]
     extra = [k for k in ("reporting_month",) if k not in baseline_by]
-    shift = population_shift(scoped(baseline, baseline_by), now, ref_keys, extra, score, spec.n_bins)
+    shift = population_shift(counted(baseline, baseline_by), now, ref_keys, extra, score, spec.n_bins,
+                             weight="n")
     keys = ["reporting_month", "scorecard", "channel"]
-    # Accounts count whether scored or not; a scope without a single score keeps its row.
-    accounts = now.groupBy(*keys).agg(F.count(F.lit(1)).alias("account_count"))
-    return accounts.join(shift, keys, "left").select(
+    # Accounts count whether scored or not; a scope without a single score or account keeps its row.
+    accounts = now.groupBy(*keys).agg(F.sum("n").alias("account_count"))
+    listed = expected_groups(accounts, keys[:2], channel=[ALL_CHANNELS, *source.channels])
+    return listed.join(accounts, keys, "left").join(shift, keys, "left").select(
         *keys, or_zero(F.col("psi")).alias("score_psi"),
         or_zero(F.col("current_mean")).alias("mean_score"),
-        or_zero(F.col("current_std")).alias("std_score"), "account_count")
+        or_zero(F.col("current_std")).alias("std_score"),
+        F.coalesce("account_count", F.lit(0).cast("long")).alias("account_count"))
 
 
 def feature_stability(current: DataFrame, baseline: DataFrame, spec: Monitoring,
@@ -49,13 +54,15 @@ def feature_stability(current: DataFrame, baseline: DataFrame, spec: Monitoring,
     features = list(spec.source.features)
 
     def long(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-        scoped = over_scopes(df.select(*_columns(spec, *keys)), None, (), spec.scorecard)
-        return melt(scoped, [*keys, "scorecard"], features, "feature_name", "value")
+        card = [spec.scorecard] if spec.scorecard and spec.scorecard in df.columns else []
+        values = melt(df.select(*dict.fromkeys([*keys, *card, *features])), dict.fromkeys([*keys, *card]),
+                      features, "feature_name", "value")
+        return scoped_counts(values, [*keys, "feature_name"], None, (), spec.scorecard, "value")
 
     extra = [k for k in ("reporting_month",) if k not in baseline_by]
     shift = population_shift(long(baseline, baseline_by), long(current, ["reporting_month"]),
                              [*baseline_by, "scorecard", "feature_name"], extra, "value",
-                             spec.n_bins)
+                             spec.n_bins, weight="n")
     cards = over_scopes(current.select(*dict.fromkeys(
         ["reporting_month", *([spec.scorecard] if spec.scorecard else [])])), None, (), spec.scorecard)
     keys = ["reporting_month", "scorecard", "feature_name"]
@@ -92,10 +99,8 @@ def portfolio_summary(stability: DataFrame, baseline: DataFrame, spec: Monitorin
                       baseline_by: Sequence[str] = ()) -> DataFrame:
     """Current and baseline accounts and the average score per reporting month and scorecard."""
     keys = [*baseline_by, "scorecard"]
-    narrow = baseline.select(*baseline_by, *([spec.scorecard] if spec.scorecard else []),
-                             F.lit(1).alias("_row"))
-    base = (over_scopes(narrow, None, (), spec.scorecard).groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("baseline_accounts")))
+    counted = scoped_counts(baseline.withColumn("_any", F.lit(1)), baseline_by, None, (), spec.scorecard, "_any")
+    base = counted.groupBy(*keys).agg(F.sum("n").alias("baseline_accounts"))
     return (stability.filter(F.col("channel") == ALL_CHANNELS).join(base, keys, "left")
             .select("reporting_month", "scorecard", F.col("account_count").alias("current_accounts"),
                     F.coalesce("baseline_accounts", F.lit(0)).alias("baseline_accounts"),

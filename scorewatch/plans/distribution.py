@@ -24,19 +24,30 @@ def tag_sides(reference: DataFrame, sample: DataFrame, extra_keys: Sequence[str]
 
 
 def paired_histograms(sides: DataFrame, ref_keys: Sequence[str], extra_keys: Sequence[str],
-                      bin_col: str, n_bins: int, value: str | None = None) -> DataFrame:
+                      bin_col: str, n_bins: int, value: str | None = None,
+                      weight: str | None = None, pivot: str | None = None) -> DataFrame:
     """Per sample group: both sides' row counts, counts per 0-based bin and value moments.
 
     ``sides`` are tagged rows with their bin. Gives ``ref_keys, extra_keys, ref_n,
     ref_counts, n, counts`` and, with a value column, ``mean, std, low, high`` of
     both sides (``ref_`` for the reference). Rows whose bin is null count in ``n``
-    only.
+    only. ``weight`` names a column that says how many rows each row stands for; moments are
+    then taken around ``pivot``, a value of the group near its middle.
     """
-    counts = F.array(*[F.sum(indicator(F.col(bin_col) == i)) for i in range(n_bins)])
-    measures = {"n": F.count(F.lit(1)), "counts": counts}
+    times = F.col(weight) if weight else F.lit(1)
+    counts = F.array(*[F.sum(F.when(F.col(bin_col) == i, times).otherwise(0)) for i in range(n_bins)])
+    measures = {"n": F.sum(times), "counts": counts}
     if value:
         measures |= {"mean": F.avg(value), "std": F.stddev(value),
                      "low": F.min(value), "high": F.max(value)}
+    if value and weight:
+        centre = F.coalesce(F.col(pivot).cast("double"), F.lit(0.0))
+        off, n = F.col(value).cast("double") - centre, F.sum(times)
+        total, squares = F.sum(off * times), F.sum(off * off * times)
+        spread = F.greatest(squares - F.try_divide(total * total, n), F.lit(0.0))
+        # One row has no deviation, as in the unweighted case.
+        measures |= {"mean": F.max(centre) + F.try_divide(total, n),
+                     "std": F.when(n > 1, F.sqrt(F.try_divide(spread, n - 1)))}
     grouped = (sides.groupBy(*ref_keys, *extra_keys, "is_ref")
                .agg(*[column.alias(name) for name, column in measures.items()]))
     group = Window.partitionBy(*ref_keys)

@@ -13,7 +13,7 @@ from scorewatch.plans.spine import over_scopes
 from scorewatch.plans.staging import stage
 from scorewatch.sources.tables import (check_performance_mart, check_score_mart, require_columns,
                                        stamp)
-from scorewatch.spec import DriftSpec, Enrichment, Monitoring, Source, TableSpec
+from scorewatch.spec import DriftSpec, Enrichment, Monitoring, Segment, Source, TableSpec
 
 log = logging.getLogger(__name__)
 
@@ -81,9 +81,12 @@ def report_views(tables: dict[str, DataFrame], source: Source,
 
 
 def run_checks(source_rows: DataFrame, tables: dict[str, DataFrame], source: Source,
-               enrichment: Enrichment) -> DataFrame:
+               enrichment: Enrichment, segments: Sequence[Segment] = ()) -> DataFrame:
+    """The promotion gate over a full run; ``segments`` are those its population mix must list."""
+    buckets = [f"by_{b.name}" for b in enrichment.buckets if f"by_{b.name}" in tables]
     return checks.promotion_checks(source_rows, tables["account"], tables, tables, source,
-                                   enrichment.decile_col, enrichment.n_bins)
+                                   enrichment.decile_col, enrichment.n_bins,
+                                   [s.segment_type for s in segments], buckets)
 
 
 def cohort_columns(cohort: DataFrame, spec: Monitoring) -> DataFrame:
@@ -119,12 +122,15 @@ def run_monitoring(score_mart: DataFrame, performance_mart: DataFrame | None, sp
     out: dict[str, DataFrame] = {
         "baseline_info": cohorts.baseline_info(score_mart, spec, months)}
 
-    judged = governance.judge(stability.score_stability(current, baseline, spec, by),
-                              spec.thresholds, F.lit("psi"), F.col("score_psi"), "score_psi_status")
+    # Baseline accounts are counted by month first; windows of months add up those counts.
+    wanted = [source.channel, source.score, *([spec.scorecard] if spec.scorecard in score_mart.columns else [])]
+    base_counts = cohorts.baseline_counts(cohorts.monthly_counts(score_mart, spec, wanted), spec, months)
+    judged = governance.judge(stability.score_stability(current, base_counts, spec, by),
+                              spec.thresholds, "psi", F.col("score_psi"), "score_psi_status")
     out["score_stability"] = judged.cache()
     out["feature_stability"] = governance.judge(
         stability.feature_stability(current, baseline, spec, by), spec.thresholds,
-        F.lit("feature_psi"), F.col("psi")).cache()
+        "feature_psi", F.col("psi")).cache()
     scoped = over_scopes(current, None, (), spec.scorecard)
     scoped_base = over_scopes(baseline, None, (), spec.scorecard)
     out["psi_table"] = drift.psi_table(scoped_base, scoped, [*by, "scorecard"], extra, source.score,
@@ -137,10 +143,10 @@ def run_monitoring(score_mart: DataFrame, performance_mart: DataFrame | None, sp
     out["column_quality"] = governance.judge(
         quality.column_quality(scoped, ["reporting_month", "scorecard"], columns,
                                {source.score: (0.0, 1.0)}),
-        spec.thresholds, F.lit("missing_rate"), F.col("missing_rate"), "missing_status").cache()
+        spec.thresholds, "missing_rate", F.col("missing_rate"), "missing_status").cache()
     out["record_quality"] = quality.record_quality(scoped, ["reporting_month", "scorecard"],
                                                    [source.keys[0]], columns)
-    out["portfolio"] = stability.portfolio_summary(out["score_stability"], baseline, spec, by)
+    out["portfolio"] = stability.portfolio_summary(out["score_stability"], base_counts, spec, by)
     if spec.decile_col in score_mart.columns:
         out["mix_shift"] = mix.mix_shift(baseline, current, by, extra, spec.decile_col)
     governed = {"score_stability": out["score_stability"],
@@ -158,7 +164,7 @@ def run_monitoring(score_mart: DataFrame, performance_mart: DataFrame | None, sp
                                                  cohort).cache()
         out["separation"] = governance.judge(
             outcomes.ks_drop(outcomes.separation(cohort, spec), base, spec, by), spec.thresholds,
-            F.lit("ks_drop"), F.col("ks_drop"), "ks_drop_status").cache()
+            "ks_drop", F.col("ks_drop"), "ks_drop_status").cache()
         out["odds"] = outcomes.odds(cohort, spec).cache()
         out["separation"] = outcomes.with_odds_order(out["separation"], out["odds"])
         out["ks_table"] = outcomes.ks_table(cohort, spec)
@@ -166,11 +172,11 @@ def run_monitoring(score_mart: DataFrame, performance_mart: DataFrame | None, sp
             outcomes.performance_report(outcomes.performance(cohort, spec),
                                         outcomes.baseline_performance(base, spec, by),
                                         out["cohort_info"]),
-            spec.thresholds, F.lit("edr_delta"), F.col("edr_delta"), "edr_delta_status").cache()
+            spec.thresholds, "edr_delta", F.col("edr_delta"), "edr_delta_status").cache()
         out["rank_ordering"] = outcomes.rank_ordering(cohort, spec)
         out["risk_capture"] = outcomes.risk_capture(cohort, spec)
         out["calibration"] = governance.judge(
-            outcomes.calibration(cohort, spec), spec.thresholds, F.lit("calibration_gap"),
+            outcomes.calibration(cohort, spec), spec.thresholds, "calibration_gap",
             F.abs("calibration_gap"), "gap_status").cache()
         out["calibration_summary"] = outcomes.calibration_summary(out["calibration"],
                                                                   outcomes.COHORT)
@@ -186,15 +192,14 @@ def run_monitoring(score_mart: DataFrame, performance_mart: DataFrame | None, sp
         out["diagnosis"] = reports.monitoring_diagnosis(
             spec, out["cohort_info"], out["score_stability"], out["feature_stability"],
             out["separation"], out["calibration"])
-        # Sections by what they hold: outcome rows with figures, not note rows.
-        out["availability"] = governance.availability(spine, {
-            "stability": out["score_stability"],
-            "separation": out["separation"].filter(F.col("ks").isNotNull()),
-            "performance": out["performance"].filter(F.col("note").isNull()),
-            "calibration": out["calibration"],
-            "data_quality": out["score_quality"],
-            "governance_flags": out["flags"],
-            "attribution": out["attribution"]}, out["cohort_info"])
+    # Sections by what they hold: outcome rows with figures, not note rows.
+    sections = {"stability": out["score_stability"].filter(F.col("account_count") > 0),
+                "data_quality": out["score_quality"], "governance_flags": out["flags"]}
+    if performance_mart is not None:
+        sections |= {"separation": out["separation"].filter(F.col("ks").isNotNull()),
+                     "performance": out["performance"].filter(F.col("note").isNull()),
+                     "calibration": out["calibration"], "attribution": out["attribution"]}
+    out["availability"] = governance.availability(spine, sections, out.get("cohort_info"))
     if write is not None:
         for name, df in out.items():
             write(stamp_run(df, spine, model_version), name)

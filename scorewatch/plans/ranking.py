@@ -31,15 +31,18 @@ def lookup_bytes(n_ranks: int) -> int:
 
 
 def at_ranks(rows: DataFrame, keys: Sequence[str], value: str,
-             wanted: Callable[[Column], Column] | DataFrame, sizing: Sizing) -> DataFrame:
+             wanted: Callable[[Column], Column] | DataFrame, sizing: Sizing,
+             weight: str | None = None) -> DataFrame:
     """The value at each wanted rank of every group; null is a value like others.
 
+    ``weight`` names a column that says how many rows each row stands for.
+
     ``wanted`` gives an array of ``pos, rank`` (ranks from 1) from the group size, or is a table
     of such arrays by group. Gives ``keys, group_n, pos, rank, <value>, n_below, n_upto``, where
     ``n_below`` and ``n_upto`` count the rows below and up to the value.
     """
     keys = list(keys)
-    counted = rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    counted = rows.groupBy(*keys, value).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_n"))
     placed = running_totals(counted, keys, value, {"n": F.col("_n")}, sizing.largest)
     if isinstance(wanted, DataFrame):
         placed = attach(placed, wanted, keys, sizing.broadcast_fits(lookup_bytes(1)), null_safe=True,
@@ -85,26 +88,30 @@ def ntile_ranks(n_bins: int) -> Callable[[Column], list[Column]]:
 
 
 def quantiles(rows: DataFrame, keys: Sequence[str], value: str, fractions: Sequence, *,
-              accuracy: int | None = None, sizing: Sizing | None = None) -> DataFrame:
+              accuracy: int | None = None, sizing: Sizing | None = None,
+              weight: str | None = None) -> DataFrame:
     """One row per group: ``keys, group_n, edges`` with the quantiles in the order asked.
 
     Exact by default. ``accuracy`` switches to Spark's single-scan sketch with a
     rank error of ``1/accuracy``. Null values are left out; a group without any
-    value has no row.
+    value has no row. ``weight`` names a column that says how many rows each row stands for.
     """
     if not keys:
         whole = quantiles(rows.withColumn("_all", F.lit(1)), ["_all"], value, fractions,
-                          accuracy=accuracy, sizing=sizing)
+                          accuracy=accuracy, sizing=sizing, weight=weight)
         return whole.drop("_all")
     keys = list(keys)
-    rows = rows.select(*keys, value).filter(F.col(value).isNotNull())
+    rows = rows.select(*keys, value, *([weight] if weight else [])).filter(F.col(value).isNotNull())
     if accuracy is not None:
+        if weight:
+            raise ValueError("the sketch takes rows, not counts")
         return (rows.groupBy(*keys)
                 .agg(F.count(value).alias("group_n"),
                      F.percentile_approx(value, [float(f) for f in fractions],
                                          accuracy).alias("edges"))
                 .filter(F.col("group_n") > 0))
-    found = at_ranks(rows, keys, value, _listed(quantile_ranks(fractions)), sizing or measure(rows, keys))
+    found = at_ranks(rows, keys, value, _listed(quantile_ranks(fractions)), sizing or measure(rows, keys),
+                     weight)
     at_rank = [F.max(F.when(F.col("pos") == i + 1, F.col(value))) for i in range(len(fractions))]
     return found.groupBy(*keys).agg(F.max("group_n").alias("group_n"), F.array(*at_rank).alias("edges"))
 
@@ -192,9 +199,14 @@ def equal_bins(df: DataFrame, keys: Sequence[str], order_by: str, tie: str | Non
 
 
 def attach_quantile_bin(rows: DataFrame, edges: DataFrame, keys: Sequence[str], value: str,
-                        n_bins: int, fits: bool, out: str) -> DataFrame:
-    """0-based bin of each row by its group's edges; rows of groups without edges are kept."""
+                        n_bins: int, fits: bool, out: str, middle: str | None = None) -> DataFrame:
+    """0-based bin of each row by its group's edges; rows of groups without edges are kept.
+
+    ``middle`` names a column for the group's middle edge.
+    """
     joined = attach(rows, edges.select(*keys, F.col("edges").alias("_bin_edges")), keys, fits,
                     how="left", spread=[value])
+    if middle:
+        joined = joined.withColumn(middle, F.get("_bin_edges", F.lit((n_bins - 1) // 2)))
     return (joined.withColumn(out, edges_below(F.col(value), F.col("_bin_edges"), n_bins - 1))
             .drop("_bin_edges"))

@@ -337,6 +337,7 @@ def checks_sql() -> str:
         return _check(f"{name}_accounts_match", "max(abs(n - c))", "0.0", False,
                       f"{l2} JOIN {inner} USING (vintage_month, channel)")
 
+    absent = "3 - count(DISTINCT channel) FILTER (channel IN ('F', 'O', 'P'))"
     rows = [
         _check("account_rows_match_source",
                "abs((SELECT count(*) FROM l1) - (SELECT count(*) FROM orders))", "0.0", False, "(SELECT 1)"),
@@ -369,14 +370,24 @@ def checks_sql() -> str:
         _check("feature_quality_rates_out_of_bounds", "count(*)", "0.0", False,
                "(SELECT * FROM feature_quality WHERE missing_rate NOT BETWEEN 0 AND 1 "
                "OR outlier_rate NOT BETWEEN 0 AND 1)"),
-        *[_check(f"{t}_groups_incomplete", "count(*)", "0.0", False,
+        *[_check(f"{name}_groups_incomplete", "count(*)", "0.0", False,
                  f"(SELECT vintage_month, channel FROM {t} GROUP BY ALL HAVING count(*) <> 5)")
-          for t in ("feature_psi", "feature_quality")],
+          for name, t in (("feature_psi", "feature_psi"), ("feature_quality", "feature_quality"),
+                          ("feature_score_relationship", "corr"))],
+        _check("duplicate_data_quality_rows", "count(*)", "0.0", False,
+               "(SELECT vintage_month, channel FROM dq GROUP BY ALL HAVING count(*) > 1)"),
+        _check("segment_types_absent", f"{len(specs.DRIFT.segments)} - count(DISTINCT segment_type)", "0.0", False, "mix"),
+        _check("business_channels_absent", absent, "0.0", False, "l1"),
+        _check("monitoring_channels_absent", "max(n)", "0.0", False, "(" + " UNION ALL ".join(
+            f"SELECT {absent} AS n FROM {t}" for t in ("drift", "dq", "feature_quality", "feature_psi", "mix", "corr"))
+            + ")"),
+        _check("bucket_tables_empty", "sum(CASE WHEN n = 0 THEN 1 ELSE 0 END)", "0.0", False, "(" + " UNION ALL ".join(
+            f"SELECT count({b.name}) AS n FROM l1" for b in specs.ENRICHMENT.buckets) + ")"),
         _check("mix_shares_sum_to_one", "round(max(abs(share - 1)), 9)", "1e-9", False, mix),
         _check("mix_accounts_match_summary", "max(abs(n_mix - n))", "0.0", False,
                f"{mix} JOIN {l2} USING (vintage_month, channel)"),
     ]
-    return (f"WITH {DRIFT}, {DISTRIBUTION} {FEATURE_PSI} {QUALITY} {BOUNDS} {MIX} "
+    return (f"WITH {DRIFT}, {DISTRIBUTION} {FEATURE_PSI} {QUALITY} {BOUNDS} {MIX} {corr_ctes()} "
             + " UNION ALL ".join(rows))
 
 

@@ -64,16 +64,22 @@ def status(value: str, warning: str, alert: str, lower: bool = False) -> str:
 
 # Stability
 
+# Every configured channel of a month and scorecard, with its accounts if there are any.
+LISTED = """(SELECT * FROM (SELECT DISTINCT reporting_month, scorecard FROM cs),
+    (VALUES ('all'), ('F'), ('O'), ('P')) v(channel))
+  LEFT JOIN (SELECT reporting_month, scorecard, channel, count(*) AS account_count FROM cs GROUP BY ALL)
+    USING (reporting_month, scorecard, channel)"""
+
 SCORE_STABILITY = f""",
 cs AS (SELECT reporting_month, scorecard, channel, lfs_score AS value FROM {by_scope('cur')}),
 ss_cur AS (SELECT * FROM cs WHERE value IS NOT NULL),
 ss_ref AS (SELECT scorecard, channel, lfs_score AS value FROM {by_scope('base')} WHERE lfs_score IS NOT NULL),
 """ + psi_ctes("ss", "ss_ref", "ss_cur", ["scorecard", "channel"],
-               ["reporting_month", "scorecard", "channel"]) + """,
+               ["reporting_month", "scorecard", "channel"]) + f""",
 stability AS (
   SELECT reporting_month, scorecard, channel, coalesce(psi, 0) AS score_psi, coalesce(mean, 0) AS mean_score,
-         coalesce(std, 0) AS std_score, account_count
-  FROM (SELECT reporting_month, scorecard, channel, count(*) AS account_count FROM cs GROUP BY ALL)
+         coalesce(std, 0) AS std_score, coalesce(account_count, 0) AS account_count
+  FROM {LISTED}
   LEFT JOIN ss_stat USING (reporting_month, scorecard, channel)
   LEFT JOIN ss_psi USING (reporting_month, scorecard, channel)),
 judged_stability AS (
@@ -340,7 +346,7 @@ UNION ALL SELECT reporting_month, scorecard, 'ks_degradation', maturity, ks_drop
 UNION ALL SELECT reporting_month, scorecard, 'calibration_divergence', 'M12', count(*) FROM cal_ok
   WHERE abs(calibration_gap) >= 0.05 GROUP BY ALL"""
 
-SECTIONS = {"stability": "stability", "separation": "(SELECT * FROM sep WHERE ks IS NOT NULL)",
+SECTIONS = {"stability": "(SELECT * FROM stability WHERE account_count > 0)", "separation": "(SELECT * FROM sep WHERE ks IS NOT NULL)",
             "performance": "(SELECT * FROM perf_report WHERE note IS NULL)", "calibration": "cal_ok",
             "data_quality": f"(SELECT DISTINCT reporting_month, scorecard, channel FROM {by_scope('cur')})",
             "governance_flags": "(SELECT * FROM governed WHERE status IN ('ALERT', 'WARNING'))",
@@ -354,9 +360,17 @@ def availability_sql() -> str:
     names = ", ".join(f"('{n}')" for n in SECTIONS)
     return (f"WITH {GOVERNED} {ATTRIBUTION}, counted AS ({counted}) "
             "SELECT reporting_month, section, coalesce(n, 0) AS rows, coalesce(n, 0) > 0 AS available, "
-            "CASE WHEN coalesce(n, 0) > 0 THEN NULL WHEN section IN ('separation', 'performance') "
-            "THEN 'NOT_AVAILABLE_NO_ACTUALS' WHEN section = 'calibration' THEN 'NOT_AVAILABLE_MATURITY' END AS reason "
+            "CASE WHEN coalesce(n, 0) > 0 THEN NULL "
+            "WHEN section IN ('stability', 'data_quality') THEN 'NOT_AVAILABLE_EMPTY_SEGMENT' "
+            "WHEN section = 'calibration' THEN CASE WHEN m12 THEN 'NOT_AVAILABLE_SAMPLE_SIZE' "
+            "WHEN reached THEN 'NOT_AVAILABLE_NOT_M12' ELSE 'NOT_AVAILABLE_MATURITY' END "
+            "WHEN section = 'separation' THEN CASE WHEN reached THEN 'NOT_AVAILABLE_SAMPLE_SIZE' "
+            "ELSE 'NOT_AVAILABLE_NO_ACTUALS' END "
+            "WHEN section = 'performance' THEN 'NOT_AVAILABLE_NO_ACTUALS' END AS reason "
             f"FROM months CROSS JOIN (VALUES {names}) s(section) "
+            "LEFT JOIN (SELECT reporting_month, bool_or(available) AS reached, "
+            "bool_or(available AND maturity = 'M12') AS m12 FROM info GROUP BY reporting_month) "
+            "USING (reporting_month) "
             "LEFT JOIN counted USING (reporting_month, section) "
             "UNION ALL SELECT reporting_month, 'cohort_' || maturity, 0, false, note FROM info WHERE NOT available")
 
@@ -410,8 +424,8 @@ rs_ref AS (SELECT reporting_month, scorecard, channel, lfs_score AS value FROM {
         "backfill_readiness": w + "SELECT count(*) AS months, 12 AS required, count(*) >= 12 AS is_ready "
         "FROM months",
         "backfill_psi": w + rolling_ctes + f"SELECT {scope}, {d('coalesce(psi, 0)', 'score_psi')}, "
-        f"{d('coalesce(mean, 0)', 'mean_score')}, {d('coalesce(std, 0)', 'std_score')}, account_count "
-        f"FROM (SELECT {scope}, count(*) AS account_count FROM cs GROUP BY ALL) "
+        f"{d('coalesce(mean, 0)', 'mean_score')}, {d('coalesce(std, 0)', 'std_score')}, "
+        f"coalesce(account_count, 0) AS account_count FROM {LISTED} "
         f"LEFT JOIN rs_stat USING ({scope}) LEFT JOIN rs_psi USING ({scope})",
         "stability_status": w + SCORE_STABILITY + f"SELECT {scope}, account_count, "
         + columns("score_psi", "mean_score", "std_score", "warning", "alert") + ", "

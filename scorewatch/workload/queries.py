@@ -12,7 +12,7 @@ from scorewatch.operators import (binning, cohorts, drift, enrich, governance, m
                                   reports, stability, summaries)
 from scorewatch.plans import jobs
 from scorewatch.plans.spine import over_scopes
-from scorewatch.plans.staging import staged
+from scorewatch.plans.staging import stage, staged
 from scorewatch.sources import order_marts
 from scorewatch.spec import Baseline, SampleRules
 from scorewatch.workload import specs
@@ -304,7 +304,7 @@ def diagnosis_v1(spark, folder):
 @query
 def checks(spark, folder):
     return jobs.run_checks(report_rows(spark, folder), report_run(spark, folder), specs.SOURCE,
-                           specs.ENRICHMENT)
+                           specs.ENRICHMENT, specs.DRIFT.segments)
 
 
 @query
@@ -348,7 +348,11 @@ def backfill_readiness(spark, folder):
 @query
 def backfill_psi(spark, folder):
     """Score stability of every month against its own rolling baseline."""
-    return stability.score_stability(current(spark, folder), base(spark, folder, ROLLING), ROLLING, R)
+    source = ROLLING.source
+    columns = [source.channel, source.score, *([ROLLING.scorecard] if ROLLING.scorecard else [])]
+    monthly = stage(cohorts.monthly_counts(marts(spark, folder), ROLLING, columns), "monthly_counts")
+    now = monthly.withColumn("reporting_month", F.col(source.month))
+    return stability.score_stability(now, cohorts.baseline_counts(monthly, ROLLING), ROLLING, R)
 
 
 # Running-month stability and quality
@@ -356,14 +360,14 @@ def backfill_psi(spark, folder):
 @query
 def stability_status(spark, folder):
     table = stability.score_stability(current(spark, folder), base(spark, folder), SPEC)
-    return governance.judge(table, SPEC.thresholds, F.lit("psi"), F.col("score_psi"),
+    return governance.judge(table, SPEC.thresholds, "psi", F.col("score_psi"),
                             "score_psi_status")
 
 
 @query
 def feature_stability(spark, folder):
     table = stability.feature_stability(current(spark, folder), base(spark, folder), SPEC)
-    return governance.judge(table, SPEC.thresholds, F.lit("feature_psi"), F.col("psi")).drop("psi_rank")
+    return governance.judge(table, SPEC.thresholds, "feature_psi", F.col("psi")).drop("psi_rank")
 
 
 def _scoped(df: DataFrame) -> DataFrame:
@@ -407,7 +411,7 @@ QUALITY_COLUMNS = ["lfs_score", "channel", *specs.FEATURES]
 def column_quality(spark, folder):
     table = quality.column_quality(_scoped(current(spark, folder)), ["reporting_month", "scorecard"],
                                    QUALITY_COLUMNS, COLUMN_BOUNDS)
-    return governance.judge(table, SPEC.thresholds, F.lit("missing_rate"), F.col("missing_rate"),
+    return governance.judge(table, SPEC.thresholds, "missing_rate", F.col("missing_rate"),
                             "missing_status")
 
 
@@ -448,7 +452,7 @@ def performance_report(spark, folder):
     table = outcomes.performance_report(outcomes.performance(cohort(spark, folder), SPEC),
                                         outcomes.baseline_performance(base_cohort(spark, folder), SPEC),
                                         info)
-    return governance.judge(table, SPEC.thresholds, F.lit("edr_delta"), F.col("edr_delta"),
+    return governance.judge(table, SPEC.thresholds, "edr_delta", F.col("edr_delta"),
                             "edr_delta_status")
 
 
@@ -465,7 +469,7 @@ def risk_capture(spark, folder):
 @query
 def calibration_m12(spark, folder):
     table = outcomes.calibration(cohort(spark, folder), SPEC)
-    return governance.judge(table, SPEC.thresholds, F.lit("calibration_gap"), F.abs("calibration_gap"),
+    return governance.judge(table, SPEC.thresholds, "calibration_gap", F.abs("calibration_gap"),
                             "gap_status")
 
 
@@ -500,7 +504,7 @@ def gini(spark, folder):
 def ks_drop(spark, folder):
     separated = outcomes.separation(cohort(spark, folder), SPEC)
     table = outcomes.ks_drop(separated, base_cohort(spark, folder), SPEC)
-    return governance.judge(table, SPEC.thresholds, F.lit("ks_drop"), F.col("ks_drop"),
+    return governance.judge(table, SPEC.thresholds, "ks_drop", F.col("ks_drop"),
                             "ks_drop_status").select(
         *outcomes.COHORT, "ks", "baseline_ks", "ks_drop", "ks_drop_status")
 

@@ -244,10 +244,45 @@ def test_availability_counts_rows(spark):
                   "reporting_month", "section")
     assert got["r1", "calibration"]["available"] and got["r1", "calibration"]["reason"] is None
     assert got["r2", "calibration"]["reason"] == governance.NOT_MATURE
-    assert got["r2", "stability"]["reason"] is None and not got["r2", "stability"]["available"]
+    assert got["r2", "stability"]["reason"] == governance.EMPTY_SEGMENT and not got["r2", "stability"]["available"]
     assert got["r2", "cohort_M12"]["reason"] == governance.NOT_MATURE
 
 
+def test_each_reason_code(spark):
+    spine = spark.createDataFrame([(f"r{i}",) for i in range(4)], "reporting_month string")
+    info = spark.createDataFrame(
+        [("r0", "M3", False, ""), ("r0", "M12", False, "note"), ("r1", "M3", True, ""), ("r1", "M12", False, ""),
+         ("r2", "M12", True, "")], "reporting_month string, maturity string, available boolean, note string")
+    none = spine.limit(0)
+    sections = {n: none for n in ("stability", "separation", "performance", "calibration", "attribution", "flags")}
+    got = {k: r["reason"] for k, r in rows_by(governance.availability(spine, sections, info),
+                                              "reporting_month", "section").items()}
+    assert [got[f"r{i}", "calibration"] for i in range(4)] == [
+        governance.NOT_MATURE, governance.NOT_M12, governance.SAMPLE_SIZE, governance.NOT_MATURE]
+    assert [got[f"r{i}", "separation"] for i in range(4)] == [
+        governance.NO_ACTUALS, governance.SAMPLE_SIZE, governance.SAMPLE_SIZE, governance.NO_ACTUALS]
+    assert got["r1", "performance"] == governance.NO_ACTUALS and got["r1", "stability"] == governance.EMPTY_SEGMENT
+    assert got["r1", "attribution"] is None and got["r1", "flags"] is None and got["r0", "cohort_M12"] == "note"
+    without = rows_by(governance.availability(spine, {"stability": spine}, None), "reporting_month", "section")
+    assert {without["r0", s]["reason"] for s in governance.OUTCOME_SECTIONS} == {governance.DATA_MODE}
+    assert without["r0", "stability"]["available"]
+
+
+def test_merged_monthly_counts_are_the_baseline_rows(spark):
+    rows = [(i, f"2024-{1 + i % 5:02d}", "A" if i % 3 else "B", (i % 7) / 10) for i in range(60)]
+    mart = spark.createDataFrame(rows, "id long, month string, channel string, score double")
+    for kind in ("rolling_window", "initial_val"):
+        spec = replace(SPEC, baseline=Baseline(kind, months=2), source=replace(
+            SPEC.source, month="month", score="score", channel="channel"), scorecard=None)
+        for months in (None, ["2024-03", "2024-06"]):
+            by = cohorts.baseline_keys(spec.baseline)
+            columns = ["channel", "score"]
+            counted = cohorts.baseline_counts(cohorts.monthly_counts(mart, spec, columns), spec, months)
+            direct = cohorts.baseline_rows(mart, spec, months).groupBy(*by, *columns).agg(
+                F.count(F.lit(1)).alias("n"))
+            assert sorted(counted.collect()) == sorted(direct.select(*counted.columns).collect())
+
+
 def test_month_column_moves_like_the_month(spark):
     df = spark.createDataFrame([("2024-01",), ("1999-12",), ("junk",), (None,)], "m string")
     for k in (-13, -1, 0, 1, 12, 25):

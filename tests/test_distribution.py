@@ -145,3 +145,18 @@ def test_gini_of_tied_and_of_distinct_scores(spark, plan):
     assert gini([(0.5, i % 2) for i in range(40)]) == 0.0
     assert gini([(i / 40, int(i >= 20)) for i in range(40)]) == 1.0
     assert gini([(i / 40, int(i < 20)) for i in range(40)]) == -1.0
+
+
+def test_counts_give_the_figures_of_their_rows(spark, plan):
+    rng = random.Random(4)
+    base = [1000 + round(rng.gauss(0, 1), 1) for _ in range(200)]
+    now = [1000 + round(rng.gauss(0.3, 2), 1) for _ in range(90)]
+    rows = drift.population_shift(frame(spark, base), frame(spark, now, m="x"), ["g"], ["m"], "v", 10)
+    def counted(df):
+        return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n"))
+    counts = drift.population_shift(counted(frame(spark, base)), counted(frame(spark, now, m="x")), ["g"], ["m"],
+                                    "v", 10, weight="n")
+    want, got = rows.first().asDict(), counts.first().asDict()
+    assert want.keys() == got.keys()
+    for name, value in want.items():
+        assert got[name] == (pytest.approx(value, abs=1e-9) if isinstance(value, float) else value), name

@@ -92,3 +92,24 @@ def test_monthly_flags_health_and_diagnosis(spark):
                      ("m", "source_share", "organic"), ("m", "calibration_gap", None),
                      ("m", "channel_gap", "overestimating"), ("m", "missing_score", None),
                      ("q", "no_issues", None)}
+
+
+def test_a_named_metric_is_judged_like_a_column_of_it_and_without_loops(spark):
+    rows = [(card, v) for card in ("overall", "SC001", "SC002") for v in (0.0, 0.09, 0.13, 0.26, 0.4, None)]
+    df = spark.createDataFrame(rows, "scorecard string, value double")
+    for metric in ("psi", "own", "ks_drop", "unheard_of"):
+        named = governance.judge(df, LIMITS, metric, F.col("value"))
+        by_column = governance.judge(df, LIMITS, F.concat(F.lit(metric), F.substring("scorecard", 1, 0)), F.col("value"))
+        assert sorted(map(repr, named.collect())) == sorted(map(repr, by_column.collect()))
+        for judged in (named, by_column):
+            assert "NestedLoop" not in judged._jdf.queryExecution().executedPlan().toString()
+
+
+def test_governance_takes_the_status_that_a_table_has(spark):
+    df = spark.createDataFrame([("r1", "overall", "all", 0.3, 9.0, 9.9, "OK")],
+                               "reporting_month string, scorecard string, channel string, score_psi double, "
+                               "warning double, alert double, score_psi_status string")
+    row = governance.governance_table(LIMITS, score_stability=df).first()
+    assert (row["status"], row["warning"], row["alert"]) == ("OK", 9.0, 9.9)
+    fresh = governance.governance_table(LIMITS, score_stability=df.drop("warning", "alert")).first()
+    assert fresh["status"] == "ALERT"

@@ -296,3 +296,26 @@ def test_checks_fail_on_empty_and_incomplete_tables(spark):
     assert not any(none.values())
     part = passed(score_drift=out["score_drift"].filter("channel = 'A'"))
     assert not part["drift_mean_matches_summary"] and part["mix_accounts_match_summary"]
+
+
+def test_checks_see_absent_channels_segments_and_repeated_rows(spark):
+    current, out = run(spark)
+    names = ["business_channels_absent", "monitoring_channels_absent", "bucket_tables_empty", "segment_types_absent",
+             "duplicate_data_quality_rows", "feature_score_relationship_groups_incomplete"]
+
+    def value(name, segments=(), **spoilt):
+        found = rows_by(jobs.run_checks(current, out | spoilt, SOURCE, ENRICHMENT, segments), "check")
+        assert set(names) <= set(found)
+        return found[name]["value"], found[name]["passed"]
+
+    for name in names:
+        assert value(name) == (0.0, True)
+    only_a = "channel = 'A'"
+    assert value(names[0], by_source=out["by_source"].filter(only_a)) == (1.0, False)
+    assert value(names[1], feature_psi=out["feature_psi"].filter(only_a)) == (1.0, False)
+    kinds = out["population_mix"].select("segment_type").distinct().collect()
+    wanted = [Segment(k[0], k[0]) for k in kinds] + [Segment("x", "elsewhere")]
+    assert value(names[3], wanted) == (1.0, False) and value(names[3], wanted[:-1]) == (0.0, True)
+    assert value(names[4], data_quality=out["data_quality"].union(out["data_quality"])) == (2.0, False)
+    fewer = out["feature_score_relationship"].limit(3)
+    assert not value(names[5], feature_score_relationship=fewer)[1]
