@@ -305,19 +305,38 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         F.coalesce(F.col("id") == F.col("root"), F.lit(True)).alias("kept"))
 
 
+def _own_ids(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows with ``_own``: the id, or a new one beyond all ids for further texts under the same id."""
+    marked = docs.withColumn("_text", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    first = marked.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(
+        F.min("_text").alias("_first"), F.max("_text").alias("_last"))
+    several = work_table(first.filter("_first <> _last").select("_id", "_first"), "repeated_ids")
+    if several.isEmpty():
+        return docs.withColumn("_own", F.col(id_col).cast("long"))
+    last = docs.agg(F.max(id_col)).first()[0]
+    further = work_table(
+        marked.join(several, F.col(id_col) == F.col("_id")).filter("_text <> _first")
+        .select("_id", F.col("_text").alias("_further")).distinct()
+        .withColumn("_new", F.lit(last + 1) + F.monotonically_increasing_id()), "further_texts")
+    return (marked.join(further, (F.col(id_col) == F.col("_id")) & (F.col("_text") == F.col("_further")), "left")
+            .withColumn("_own", F.coalesce("_new", F.col(id_col).cast("long"))).select(*docs.columns, "_own"))
+
+
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **kinds) -> DataFrame:
     """The documents without those that repeat an earlier one, all columns unchanged.
 
-    Rows without an id stay. A kept row that occurs more than once stays once.
+    Rows without an id stay. Rows that share an id but not their text are documents of their own.
+    A kept row that occurs more than once, with the same id and text, stays once.
     """
-    groups = near_duplicates(docs, id_col=id_col, text_col=text_col, **kinds)
-    gone = (groups.groupBy(id_col).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
-            .filter(f"not kept or (n > 1 and {id_col} is not null)"))
+    own = _own_ids(docs, id_col, text_col)
+    groups = near_duplicates(own, id_col="_own", text_col=text_col, **kinds)
+    gone = (groups.groupBy("_own").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+            .filter("not kept or (n > 1 and _own is not null)"))
     gone = work_table(gone, "repeated")
     ids = F.broadcast(gone) if small_enough(gone, 2_000_000) else gone
-    again = docs.join(ids.filter("kept").select(id_col), id_col, "left_semi").select(*docs.columns)
-    return (docs.join(ids.select(id_col), id_col, "left_anti").select(*docs.columns)
-            .unionByName(again.dropDuplicates([id_col])))
+    again = own.join(ids.filter("kept").select("_own"), "_own", "left_semi")
+    return (own.join(ids.select("_own"), "_own", "left_anti").select(*docs.columns)
+            .unionByName(again.dropDuplicates(["_own"]).select(*docs.columns)))
 
 
 def op3_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:

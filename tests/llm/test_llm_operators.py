@@ -85,6 +85,14 @@ def test_one_of_each_group_stays(docs, rows, none):
     assert near_duplicates.keep_one(none).count() == 0
 
 
+def test_texts_that_share_an_id_are_documents_of_their_own(spark):
+    a, b = base_text(1), base_text(2)
+    rows = [(1, a), (1, b), (2, a), (3, b + " word"), (1, a), (1, None)]
+    kept = near_duplicates.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.text or "")[:20] for r in kept) == sorted(["", a[:20], b[:20]])
+    assert {(r.doc_id, r.text) for r in kept} <= set(rows) and len(kept) == 3
+
+
 def test_a_large_group_of_near_copies_is_one_component(spark):
     words = base_text(3, 300).split(" ")
     rng = np.random.RandomState(1)
