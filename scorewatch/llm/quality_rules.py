@@ -3,23 +3,25 @@
 A modified Kneser-Ney model of character five-grams is counted by Spark over all documents, one
 for each value of the language column. Code points are taken as they are: a five-gram is two
 longs that hold its 21-bit code points, so nothing is folded and the model grows with the corpus.
-Counts, discounts, contexts and probabilities of every order are tables shuffled by n-gram; no
-model is broadcast. Documents are gathered into batches by their characters; a batch asks for its
-distinct five-grams once, and the answers meet its texts by batch.
+The model is kept in sorted hash arrays, one row for each language and hash bucket. An n-gram's bucket
+is that of its third and fourth code points, so that a five-gram, the shorter ones it ends in down to
+three, and all their contexts share a bucket: those orders are counted and smoothed inside one.
+Bigrams and single code points are small tables joined to the buckets that use them; no model is broadcast.
+Documents are dealt by a hash into batches of one language and half; a batch asks each bucket for its
+distinct five-grams once, and the answers, three bytes a figure, meet its texts by batch.
 
 Each language has two models, of the texts whose checksum is even and odd, and a text is scored
 by the one that it (with its exact copies) is not part of: else long n-grams make every text look
 familiar. A document has two log-perplexities, of order five (``log_perplexity``), which sees word
 borders and word order, and of a trigram model of the same counts, which sees spelling. It is rejected
 if either lies outside its language's band; a band reaches so many robust standard deviations
-(from the quartiles of all its documents) to either side of the median.
-
-``Model`` is the same estimate over trigrams of folded characters in memory; the operator does
-not use it.
+(from the quartiles of all its documents) to either side of the median. Where all texts of a language
+have checksums of one kind there is no other model: its log-perplexities are null and no band rejects.
+No character's figure exceeds 64.
 
 Nulls and edges: a null or blank text has no words and fails the base rules; a null language is
 one of its own; rows are judged one by one, so repeated rows repeat; whole texts are read. Column
-names must not begin with ``_quality``.
+names must not begin with ``_quality``. Rows that are equal in every column share a batch.
 """
 from __future__ import annotations
 
@@ -33,58 +35,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scorewatch.llm.common import (HASHES, chained, mixed, small_enough, table, texts_in_pieces,
-                                   work_table)
+from scorewatch.llm.common import HASHES, chained, mixed, small_enough, table, work_table
 
-BITS = 7
-CLASSES = 1 << BITS
-GRAMS = CLASSES**3
 ORDER, SHORT, POINT, POINTS = 5, 3, 21, 0x110000
+ONE, TWO = (1 << POINT) - 1, (1 << 2 * POINT) - 1
+#: Characters of a batch, of a language for each of its buckets, held while counting, and of a run.
+BATCH_CHARS, BUCKET_CHARS, HELD_CHARS, RUN = 8_000_000, 8_000_000, 16_000_000, 2_000_000
+#: Steps of a stored figure and the value that stands for none.
+STEPS, NONE = 1 << 18, 0xFFFFFF
 #: Robust standard deviations below and above the median: the usual cut for outliers (Iglewicz and Hoaglin).
 BELOW, ABOVE = 3.5, 3.5
 SYMBOLS, BLANKS = "#*$%&|<>", " \t\n\r\v\f"
 STATS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
          "log_perplexity double, short_perplexity double")
-GRAM = ["lang", "hi", "lo"]
+BUCKET = ["lang", "bucket"]
+BATCH = ["_quality_lang", "_quality_half", "_quality_batch"]
 PERPLEXITIES = ("log_perplexity", "short_perplexity")
 
-_classes: list[np.ndarray] = []
-
-
-def classes() -> np.ndarray:
-    """Class of every code point; 0 is the border of a text."""
-    if not _classes:
-        shown = [c for c in range(0x20, 0x7F) if not chr(c).isdigit() or c == 0x30]
-        free = np.array([c for c in range(1, CLASSES) if c not in set(shown)], np.uint8)
-        points = np.arange(0x110000, dtype=np.uint64)
-        spread = (points * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
-        found = free[(spread % np.uint64(len(free))).astype(np.int64)]
-        found[shown] = shown
-        found[0x30:0x3A] = 0x30
-        found[[ord(c) for c in BLANKS]] = 0x20
-        _classes.append(found)
-    return _classes[0]
-
-
-def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Trigram of each character, its two predecessors first, and each text's number of them."""
-    points = np.frombuffer("".join(["\x00\x00" + t for t in texts]).encode("utf-32-le", "surrogatepass"),
-                           np.uint32)
-    sizes = np.array([len(t) for t in texts], np.int64)
-    folded = classes()[points]
-    starts = np.cumsum(sizes + 2) - sizes - 2
-    folded[starts] = folded[starts + 1] = 0
-    grams = folded[2:].astype(np.int32)
-    grams += folded[1:-1].astype(np.int32) << BITS
-    grams += folded[:-2].astype(np.int32) << (2 * BITS)
-    inside = np.ones(len(folded), bool)
-    inside[starts] = inside[starts + 1] = False
-    return grams[inside[2:]], sizes
-
-
-def discounts(counts: np.ndarray) -> np.ndarray:
+def discounts(n1: float, n2: float, n3: float, n4: float) -> np.ndarray:
     """What is taken from counts of 0, 1, 2 and from 3 on, by the modified Kneser-Ney estimate."""
-    n1, n2, n3, n4 = (float((counts == i).sum()) for i in (1, 2, 3, 4))
     if min(n1, n2, n3) == 0:  # too few rare n-grams to estimate from
         return np.array([0.0, 0.5, 1.0, 1.5])
     y = n1 / (n1 + 2 * n2)
@@ -92,57 +61,6 @@ def discounts(counts: np.ndarray) -> np.ndarray:
     return np.array([0.0, *(min(max(d, 0.05), i + 0.95) for i, d in enumerate(found))])
 
 
-def _level(grams: np.ndarray, counts: np.ndarray, lower: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Probabilities of n-grams and backoff weights of all contexts. ``lower`` has each shorter one's."""
-    taken = discounts(counts)
-    context = grams >> BITS
-    size = int(context.max()) + 1 if len(context) else 1
-    total = np.bincount(context, counts, size)
-    held_back = np.bincount(context, taken[np.minimum(counts, 3)], size)
-    weight = np.divide(held_back, total, out=np.ones(size), where=total > 0)
-    own = (counts - taken[np.minimum(counts, 3)]) / total[context]
-    return own + weight[context] * lower, weight
-
-
-class Model:
-    """One language's model: sorted n-gram hashes of each order with their values."""
-
-    SPREAD = np.uint32(0x9E3779B1)  # odd, so that different n-grams have different hashes
-
-    def __init__(self, grams: np.ndarray, counts: np.ndarray):
-        order = np.argsort(grams)
-        grams, counts = grams[order].astype(np.int64), counts[order].astype(np.int64)
-        pairs, pair_counts = np.unique(grams & (CLASSES**2 - 1), return_counts=True)
-        ones, one_counts = np.unique(pairs & (CLASSES - 1), return_counts=True)
-        taken = discounts(one_counts)[np.minimum(one_counts, 3)]
-        self.floor = float(taken.sum() / one_counts.sum() / CLASSES)
-        p1 = (one_counts - taken) / one_counts.sum() + self.floor
-        p2, w1 = _level(pairs, pair_counts, p1[np.searchsorted(ones, pairs & (CLASSES - 1))])
-        p3, w2 = _level(grams, counts, p2[np.searchsorted(pairs, grams & (CLASSES**2 - 1))])
-        contexts = np.flatnonzero(w2 < 1)
-        self.p1, self.p2, self.p3 = self.stored(ones, p1), self.stored(pairs, p2), self.stored(grams, p3)
-        self.w1, self.w2 = self.stored(np.arange(len(w1)), w1), self.stored(contexts, w2[contexts])
-
-    def stored(self, grams: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        hashes = grams.astype(np.uint32) * self.SPREAD
-        order = np.argsort(hashes)
-        return hashes[order], values[order].astype(np.float32)
-
-    def find(self, stored: tuple[np.ndarray, np.ndarray], grams: np.ndarray, default) -> np.ndarray:
-        hashes, values = stored
-        wanted = grams.astype(np.uint32) * self.SPREAD
-        at = np.minimum(np.searchsorted(hashes, wanted), len(hashes) - 1)
-        return np.where(hashes[at] == wanted, values[at], default).astype(np.float64)
-
-    def log_probabilities(self, grams: np.ndarray) -> np.ndarray:
-        """Natural logarithms for distinct trigrams, backing off where one is unseen."""
-        one = self.find(self.p1, grams & (CLASSES - 1), self.floor)
-        two = self.find(self.p2, grams & (CLASSES**2 - 1), -1)
-        two = np.where(two < 0, one * self.find(self.w1, (grams >> BITS) & (CLASSES - 1), 1.0), two)
-        three = self.find(self.p3, grams, -1)
-        return np.log(np.where(three < 0, two * self.find(self.w2, grams >> BITS, 1.0), three))
-
-
 def text_stats(text: str | None) -> tuple[int, int, int, int, int]:
     """Words, characters in words, symbols, repeated lines, words in repeated runs of three."""
     if text is None:
@@ -166,38 +84,21 @@ def text_stats(text: str | None) -> tuple[int, int, int, int, int]:
             len(lines) - len(set(lines)), repeated)
 
 
-def _batched(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from pyspark import TaskContext
-    batch = TaskContext.get().partitionId() << 40
-    for frame in frames:
-        texts = pd.DataFrame({"text": frame.column("_quality_text").to_pylist()})
-        for begin, end in texts_in_pieces(texts, "text"):
-            part = frame.slice(begin, end - begin)
-            numbers = pa.array(np.full(end - begin, batch, np.int64))
-            yield pa.RecordBatch.from_arrays([*part.columns, numbers], [*part.schema.names, "_quality_batch"])
-            batch += 1
-
-
-class Grams:
-    """Five-grams of texts: the distinct ones, and which of them each character ends."""
-
-    def __init__(self, texts: list[str]):
-        pad = "\x00" * (ORDER - 1)
-        points = np.frombuffer("".join([pad + t for t in texts]).encode("utf-32-le", "surrogatepass"), np.uint32)
-        self.sizes = np.array([len(t) for t in texts], np.int64)
-        starts = np.cumsum(self.sizes + ORDER - 1) - self.sizes - ORDER + 1
-        inside = np.ones(len(points), bool)
-        for i in range(ORDER - 1):
-            inside[starts + i] = False
-        inside = inside[ORDER - 1:]
-        at = [points[i:len(points) - ORDER + 1 + i][inside].astype(np.int64) for i in range(ORDER)]
-        hi, lo = at[0] << POINT | at[1], at[2] << 2 * POINT | at[3] << POINT | at[4]
-        self.of, self.keys = pd.factorize(gram_keys(hi, lo))
-        first = np.empty(len(self.keys), np.int64)
-        first[self.of[::-1]] = np.arange(len(lo))[::-1]
-        self.hi, self.lo = hi[first], lo[first]
-        self.starts = np.cumsum(self.sizes) - self.sizes
-        self.halves = np.array([half_of(t) for t in texts])
+def five_grams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Runs of five-grams, one for each character with its four predecessors: its text's number and
+    two longs of the code points, two in the first and three in the second."""
+    pad = "\x00" * (ORDER - 1)
+    points = np.frombuffer("".join([pad + t for t in texts]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    sizes = np.array([len(t) + ORDER - 1 for t in texts], np.int64)
+    begins = np.cumsum(sizes) - sizes
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
+    for i in range(ORDER - 1):
+        owner[begins + i] = -1
+    for begin in range(ORDER - 1, len(points), RUN):
+        end = min(begin + RUN, len(points))
+        of = owner[begin:end]
+        at = [points[begin - i:end - i][of >= 0].astype(np.int64) for i in range(ORDER - 1, -1, -1)]
+        yield of[of >= 0], at[0] << POINT | at[1], at[2] << 2 * POINT | at[3] << POINT | at[4]
 
 
 def gram_keys(hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
@@ -208,16 +109,183 @@ def half_of(text: str) -> int:
     return zlib.crc32(text.encode("utf-8", "surrogatepass")) & 1
 
 
-def _grams(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Distinct five-grams of each run of a batch's rows, with their counts in both halves."""
+def first_of(codes: np.ndarray, n: int) -> np.ndarray:
+    """Where each of the codes 0 to n - 1 stands first."""
+    out = np.empty(n, np.int64)
+    out[codes[::-1]] = np.arange(len(codes))[::-1]
+    return out
+
+
+class Grams:
+    """Distinct five-grams of texts by bucket, their counts, and which of them each character ends."""
+
+    def __init__(self, texts: list[str], buckets: int):
+        empty = np.empty(0, np.int64)
+        his, los, counts, self.runs, codes = [empty], [empty], [empty], [], []
+        for owner, hi, lo in five_grams(texts):
+            of, keys = pd.factorize(gram_keys(hi, lo))
+            first = first_of(of, len(keys))
+            his.append(hi[first]), los.append(lo[first]), counts.append(np.bincount(of, minlength=len(keys)))
+            self.runs.append(owner), codes.append(of.astype(np.int32))
+        hi, lo = np.concatenate(his), np.concatenate(los)
+        of, keys = pd.factorize(gram_keys(hi, lo))
+        total = np.bincount(of, np.concatenate(counts), len(keys)).astype(np.int64)
+        first = first_of(of, len(keys))
+        hi, lo = hi[first], lo[first]
+        bucket = (mixed((lo >> POINT).astype(np.uint64)) >> np.uint64(11)) % np.uint64(buckets)
+        order = np.lexsort((hi, lo, bucket))
+        self.hi, self.lo, self.counts, self.bucket = hi[order], lo[order], total[order], bucket[order].astype(np.int64)
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
+        place = place[of]
+        begins = np.cumsum([len(x) for x in his[1:]]) - [len(x) for x in his[1:]]
+        self.codes = [place[int(a) + c] for a, c in zip(begins, codes)]
+
+    def parts(self) -> Iterator[tuple[int, slice]]:
+        """Each bucket that has n-grams, and where they are."""
+        cuts = np.flatnonzero(np.diff(self.bucket, prepend=-1))
+        for a, b in zip(cuts, [*cuts[1:], len(self.bucket)]):
+            yield int(self.bucket[a]), slice(a, b)
+
+
+def planes(values: np.ndarray, width: int) -> np.ndarray:
+    """The low bytes of numbers, byte by byte: sorted code points make long runs."""
+    return np.stack([(values >> 8 * i).astype(np.uint8) for i in range(width)])
+
+
+def joined(value: np.ndarray) -> np.ndarray:
+    return sum(plane.astype(np.int64) << 8 * i for i, plane in enumerate(value))
+
+
+def squeeze(value: bytes) -> bytes:
+    import zstandard
+    return zstandard.ZstdCompressor(level=1).compress(value)
+
+
+def unsqueeze(value: bytes, rows: int) -> np.ndarray:
+    import zstandard
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(value), np.uint8).reshape(rows, -1)
+
+
+def stored_grams(hi: np.ndarray, lo: np.ndarray) -> bytes:
+    at = [hi >> POINT, hi & ONE, lo >> 2 * POINT, (lo >> POINT) & ONE, lo & ONE]
+    return squeeze(np.concatenate([planes(x, 3) for x in at]).tobytes())
+
+
+def read_grams(value: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = unsqueeze(value, 3 * ORDER)
+    at = [joined(raw[3 * i:3 * i + 3]) for i in range(ORDER)]
+    return at[0] << POINT | at[1], at[2] << 2 * POINT | at[3] << POINT | at[4]
+
+
+def stored_counts(n: np.ndarray) -> bytes:
+    return squeeze(planes(n, 8).tobytes())
+
+
+def read_counts(value: bytes) -> np.ndarray:
+    return joined(unsqueeze(value, 8))
+
+
+def _counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Distinct five-grams of runs of a partition's rows with their counts, by language, half and bucket."""
+    held: dict[tuple, list[str]] = {}
+    chars: dict[tuple, int] = {}
+
+    def counted(key: tuple) -> pd.DataFrame:
+        lang, half, buckets = key
+        grams, parts = Grams(held.pop(key), int(buckets)), []
+        del chars[key]
+        for bucket, at in grams.parts():
+            parts.append((lang, bucket, half, stored_grams(grams.hi[at], grams.lo[at]),
+                          stored_counts(grams.counts[at])))
+        return pd.DataFrame(parts, columns=["lang", "bucket", "half", "grams", "counts"])
+
     for frame in frames:
-        frame = frame[frame["text"].str.len() > 0]
-        for (batch, lang), part in frame.groupby(["batch", "lang"]):
-            grams = Grams(part["text"].tolist())
-            half = np.repeat(grams.halves, grams.sizes)
-            counts = [np.bincount(grams.of[half == i], minlength=len(grams.lo)) for i in (0, 1)]
-            yield pd.DataFrame({"batch": batch, "lang": lang, "hi": grams.hi, "lo": grams.lo,
-                                "n0": counts[0], "n1": counts[1]})
+        for key, text in zip(zip(frame["lang"], frame["half"], frame["buckets"]), frame["text"]):
+            held.setdefault(key, []).append(text)
+            chars[key] = chars.get(key, 0) + len(text)
+            if chars[key] >= BATCH_CHARS:
+                yield counted(key)
+            elif sum(chars.values()) >= HELD_CHARS:
+                yield counted(max(chars, key=chars.get))
+    for key in list(held):
+        yield counted(key)
+
+
+def _shorter(hi: np.ndarray, lo: np.ndarray, n: list[np.ndarray]) -> dict:
+    """From distinct five-grams of a bucket and both halves' counts: of each order from three to five the
+    contexts and counts of its n-grams, of three also the counts in the texts (first), and each longer
+    one's number in the next shorter order (``four``, ``three``)."""
+    four, keys = pd.factorize(gram_keys(hi & ONE, lo))
+    first4 = first_of(four, len(keys))
+    three, shorts = pd.factorize(lo[first4])
+    n4 = [np.bincount(four, x > 0, len(keys)) for x in n]
+    n3 = [np.bincount(three, x > 0, len(shorts)) for x in n4]
+    raw = [np.bincount(three[four], x, len(shorts)) for x in n]
+    return {"three": three, "four": four, "shorts": shorts, "n": [raw, n3, n4, n],
+            "context": [shorts >> POINT, shorts >> POINT, gram_keys(hi & ONE, lo >> POINT)[first4],
+                        gram_keys(hi, lo >> POINT)]}
+
+
+def _merged(rows: pd.DataFrame) -> pd.DataFrame:
+    """One bucket's n-grams with both halves' counts, how many counts are 1 to 4 and positive in each
+    order, and its bigrams with the number of their distinct predecessors."""
+    read = [read_grams(g) for g in rows["grams"]]
+    hi, lo = (np.concatenate([r[i] for r in read]) for i in (0, 1))
+    of, keys = pd.factorize(gram_keys(hi, lo))
+    halves = np.repeat(rows["half"].to_numpy(), [len(r[0]) for r in read])
+    counts = np.concatenate([read_counts(c) for c in rows["counts"]])
+    n = [np.bincount(of[halves == i], counts[halves == i], len(keys)).astype(np.int64) for i in (0, 1)]
+    first = first_of(of, len(keys))
+    order = np.lexsort((hi[first], lo[first]))
+    hi, lo, n = hi[first][order], lo[first][order], [x[order] for x in n]
+    found = _shorter(hi, lo, n)
+    rare = [int((x == i).sum()) for level in found["n"] for x in level for i in (1, 2, 3, 4)]
+    rare += [int((x > 0).sum()) for x in n]
+    two, pairs = pd.factorize(found["shorts"] & TWO)
+    seen = [np.bincount(two, x > 0, len(pairs)).astype(np.int64) for x in found["n"][1]]
+    return pd.DataFrame({"lang": rows["lang"].iloc[:1], "bucket": rows["bucket"].iloc[:1], "grams": [stored_grams(hi, lo)],
+                         "n0": [stored_counts(n[0])], "n1": [stored_counts(n[1])], "rare": [rare],
+                         "lo": [pairs.tolist()], "m0": [seen[0].tolist()], "m1": [seen[1].tolist()]})
+
+
+def smoothed(n: np.ndarray, context: np.ndarray, taken: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    """Probabilities of an order's n-grams, given its discounts and the shorter ones' probabilities."""
+    of, keys = pd.factorize(context)
+    total = np.bincount(of, n, len(keys))
+    off = taken[np.minimum(n, 3).astype(np.int64)]
+    weight = np.bincount(of, off, len(keys))[of]
+    total = total[of]
+    return np.where(total > 0, (n - off + weight * lower) / np.maximum(total, 1), lower)
+
+
+def _modelled(counts: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
+    """One bucket of a language's model: sorted hashes, and each half's negative log probabilities."""
+    if not len(counts):
+        return pd.DataFrame({c: [] for c in ("lang", "bucket", "hashes", "p0", "s0", "p1", "s1")})
+    row = counts.iloc[0]
+    hi, lo = read_grams(row["grams"])
+    found = _shorter(hi, lo, [read_counts(row["n0"]), read_counts(row["n1"])])
+    at = pd.Index(pairs["lo"].to_numpy()).get_indexer(found["shorts"] & TWO)
+    if (at < 0).any():
+        raise ValueError(f"bigrams of language {row['lang']!r} are incomplete")
+    rare, out = np.asarray(row["all_rare"]), {}
+    three, four = found["three"], found["four"]
+    hashes = gram_keys(hi, lo)
+    order = np.argsort(hashes)
+    for half in (0, 1):
+        def level(i: int, lower: np.ndarray) -> np.ndarray:
+            taken = discounts(*rare[8 * i + 4 * half:8 * i + 4 * half + 4].astype(float))
+            return smoothed(found["n"][i][half], found["context"][i], taken, lower)
+
+        two = pairs[f"p{half}"].to_numpy()[at]
+        short, p3 = level(0, two), level(1, two)
+        p4 = level(2, p3[three])
+        p5 = level(3, p4[four])
+        for name, p in (("p", p5), ("s", short[three][four])):
+            p = p if rare[32 + half] else np.full(len(p), np.nan)
+            out[f"{name}{half}"] = [(-np.log(p))[order].astype(np.float32).tobytes()]
+    return pd.DataFrame({"lang": [row["lang"]], "bucket": [row["bucket"]], "hashes": [hashes[order].tobytes()], **out})
 
 
 def _rare(half: int) -> list[Column]:
@@ -260,71 +328,98 @@ def _smooth(rows: DataFrame, lower: list[Column], context: Window | None) -> lis
     return out
 
 
-def probabilities(counts: DataFrame) -> DataFrame:
-    """``lang, hi, lo`` of every five-gram, ``p0, p1`` in the models of both halves, and ``s0, s1`` of
-    its last three characters in their trigram models. ``counts`` has ``lang, hi, lo, n0, n1``."""
-    ones, twos, threes = [(1 << i * POINT) - 1 for i in (1, 2, 3)]
-    kept = {4: (ones, threes), 3: (0, threes), 2: (0, twos), 1: (0, ones)}
-    raw = ["r0", "r1"]
-
-    def suffix(order: int) -> list[Column]:
-        return [F.col(c).bitwiseAND(F.lit(mask).cast("long")) for c, mask in zip(("hi", "lo"), kept[order])]
-
-    levels = {ORDER: counts.withColumns({"r0": F.col("n0"), "r1": F.col("n1")})}
-    for order in range(ORDER - 1, 0, -1):  # a shorter n-gram counts its distinct predecessors
-        seen = [F.sum(F.when(F.col(f"n{i}") > 0, 1).otherwise(0)).alias(f"n{i}") for i in (0, 1)]
-        hi, lo = suffix(order)
-        levels[order] = work_table(
-            levels[order + 1].select("lang", hi.alias("hi"), lo.alias("lo"), "n0", "n1", *raw)
-            .groupBy(*GRAM).agg(*seen, *[F.sum(r).alias(r) for r in raw]), f"quality_level{order}")
-    context = Window.partitionBy("lang", "hi", F.shiftright("lo", POINT))
-
-    def below(model: DataFrame, order: int, rows: DataFrame) -> DataFrame:
-        hi, lo = suffix(order)
-        found = model.select("lang", F.col("hi").alias("_hi"), F.col("lo").alias("_lo"),
-                             *[F.col(c).alias(f"_{c}") for c in model.columns if c not in GRAM])
-        return rows.withColumns({"_hi": hi, "_lo": lo}).join(found, ["lang", "_hi", "_lo"])
-
-    def level(order: int, rows: DataFrame, names: str) -> DataFrame:
-        more = [F.col("_s0").alias("s0"), F.col("_s1").alias("s1")] if order > SHORT and names == "p" else []
-        joined = rows.join(_discounts(rows), "lang")
-        if order == 1:
-            found = _smooth(joined, [F.lit(1.0 / POINTS)] * 2, None)
-        else:
-            joined = below(model, order - 1, joined)
-            found = _smooth(joined, [F.col("_p0"), F.col("_p1")], context)
-        return joined.select(*GRAM, *[c.alias(f"{names}{i}") for i, c in enumerate(found)], *more)
-
-    model = None
-    for order in range(1, ORDER + 1):
-        rows = levels[order]
-        found = level(order, rows.drop(*raw), "p")
-        if order == SHORT:  # the longest of the trigram model: its counts are those of the texts
-            plain = rows.select(*GRAM, F.col("r0").alias("n0"), F.col("r1").alias("n1"))
-            found = found.join(level(order, plain, "s"), GRAM)
-        model = found
-    return model
-
-
-def _scores(columns: list[str]):
+def short_probabilities(pairs: DataFrame) -> DataFrame:
+    """``lang, lo`` of every bigram and ``p0, p1`` in both halves' models; ``pairs`` has ``lang, lo,
+    n0, n1``, the numbers of distinct predecessors."""
+    pairs = work_table(pairs, "quality_pairs")
+    seen = [F.sum(F.when(F.col(f"n{i}") > 0, 1).otherwise(0)).alias(f"n{i}") for i in (0, 1)]
+    last = F.col("lo").bitwiseAND(F.lit(ONE).cast("long")).alias("last")
+    ones = pairs.groupBy("lang", last).agg(*seen)
+    found = _smooth(ones.join(_discounts(ones), "lang"), [F.lit(1.0 / POINTS)] * 2, None)
+    ones = work_table(ones.join(_discounts(ones), "lang").select(
+        "lang", "last", *[c.alias(f"_p{i}") for i, c in enumerate(found)]), "quality_points")
+    rows = pairs.withColumn("last", last).join(ones, ["lang", "last"]).join(_discounts(pairs), "lang")
+    context = Window.partitionBy("lang", F.shiftright("lo", POINT))
+    found = _smooth(rows, [F.col("_p0"), F.col("_p1")], context)
+    return rows.select("lang", "lo", *[c.alias(f"p{i}") for i, c in enumerate(found)])
+
+
+def model(texts: DataFrame) -> DataFrame:
+    """``lang, bucket, hashes, p0, s0, p1, s1``: each language's models of five-grams and trigrams in sorted
+    arrays. ``texts`` has ``lang, half, buckets, text``, no text of it null or empty."""
+    counts = work_table(
+        texts.mapInPandas(_counted, "lang string, bucket long, half int, grams binary, counts binary")
+        .groupBy(*BUCKET).applyInPandas(_merged, "lang string, bucket long, grams binary, n0 binary, n1 binary, "
+                                        "rare array<long>, lo array<long>, m0 array<long>, m1 array<long>"),
+        "quality_counts")
+    pairs = counts.select(*BUCKET, F.inline(F.arrays_zip("lo", "m0", "m1")))
+    short = short_probabilities(pairs.groupBy("lang", "lo").agg(F.sum("m0").alias("n0"), F.sum("m1").alias("n1")))
+    rare = (counts.select("lang", F.posexplode("rare").alias("at", "n")).groupBy("lang", "at").agg(F.sum("n").alias("n"))
+            .groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("at", "n")))["n"].alias("all_rare")))
+    rare = work_table(rare, "quality_rare")
+    rare = F.broadcast(rare) if small_enough(rare) else rare
+    rows = counts.select(*BUCKET, "grams", "n0", "n1").join(rare, "lang")
+    own = pairs.join(short, ["lang", "lo"]).select(
+        F.col("lang").alias("own_lang"), F.col("bucket").alias("own_bucket"), "lo", "p0", "p1")
+    return work_table(rows.groupBy(*BUCKET).cogroup(own.groupBy("own_lang", "own_bucket")).applyInPandas(
+        _modelled, "lang string, bucket long, hashes binary, p0 binary, s0 binary, p1 binary, s1 binary"),
+        "quality_model")
+
+
+def _asked(text_col: str):
+    def run(rows: pa.Table) -> pa.Table:
+        lang, half, batch, buckets = (rows[c][0].as_py() for c in [*BATCH, "_quality_buckets"])
+        grams = Grams([t for t in rows[text_col].to_pylist() if t], buckets)
+        parts = [(bucket, stored_grams(grams.hi[at], grams.lo[at])) for bucket, at in grams.parts()]
+        return pa.table({"lang": pa.array([lang] * len(parts), pa.string()), "half": pa.array([half] * len(parts), pa.int32()),
+                         "batch": pa.array([batch] * len(parts), pa.int64()),
+                         "bucket": pa.array([p[0] for p in parts], pa.int64()),
+                         "grams": pa.array([p[1] for p in parts], pa.binary())})
+    return run
+
+
+def _answered(asked: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
+    """A bucket's answers to each batch: its n-grams' figures in the other half's models, in their order."""
+    out = []
+    if len(asked):
+        hashes = np.frombuffer(model["hashes"].iloc[0], np.uint64)
+        stored = {c: np.frombuffer(model[c].iloc[0], np.float32) for c in ("p0", "s0", "p1", "s1")}
+        for lang, half, batch, bucket, grams in zip(*[asked[c] for c in ("lang", "half", "batch", "bucket", "grams")]):
+            keys = gram_keys(*read_grams(grams))
+            at = np.minimum(np.searchsorted(hashes, keys), len(hashes) - 1)
+            if (hashes[at] != keys).any():
+                raise ValueError(f"the model of language {lang!r} is incomplete")
+            parts = []
+            for name in "ps":
+                found = stored[f"{name}{1 - half}"][at].astype(np.float64) * STEPS
+                whole = np.where(np.isnan(found), NONE, np.minimum(np.rint(found), NONE - 1)).astype(np.int64)
+                parts.append(planes(whole, 3))
+            out.append((lang, half, batch, bucket, len(keys), squeeze(np.concatenate(parts).tobytes())))
+    return pd.DataFrame(out, columns=[*BATCH, "bucket", "size", "figures"])
+
+
+def _scores(columns: list[str], text_col: str):
     def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
         if not rows.num_rows:
             return rows.select(columns).append_column("_quality", pa.array([], _STATS_TYPE))
-        frame = pd.DataFrame({"text": rows["_quality_text"].to_pylist(), "lang": rows["_quality_lang"].to_pylist()})
-        known = answers.to_pandas().drop_duplicates(GRAM)  # a batch may have asked in several runs
-        stats = pd.DataFrame([text_stats(t) for t in frame["text"]], columns=[
+        texts = rows[text_col].to_pylist()
+        stats = pd.DataFrame([text_stats(t) for t in texts], columns=[
             "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"], dtype="int64")
-        found = np.full((2, len(frame)), np.nan)
-        for lang, part in frame[frame["text"].str.len() > 0].groupby("lang"):
-            grams, own = Grams(part["text"].tolist()), known[known["lang"] == lang]
-            at = pd.Index(gram_keys(own["hi"].to_numpy(), own["lo"].to_numpy())).get_indexer(grams.keys)
-            if (at < 0).any():
-                raise ValueError(f"probabilities of language {lang!r} are incomplete")
-            other = np.repeat(grams.halves == 0, grams.sizes)
-            for i, name in enumerate("ps"):
-                logs = [np.log(own[f"{name}{half}"].to_numpy())[at] for half in (0, 1)]
-                mine = np.where(other, logs[1][grams.of], logs[0][grams.of])
-                found[i, part.index] = -np.add.reduceat(mine, grams.starts) / grams.sizes
+        texts = [t or "" for t in texts]
+        grams = Grams(texts, rows["_quality_buckets"][0].as_py())
+        own = answers.select(["bucket", "size", "figures"]).to_pandas().sort_values("bucket")
+        if own["size"].sum() != len(grams.lo):
+            raise ValueError("answers of a batch are incomplete")
+        found = np.zeros((2, len(texts)))
+        if len(own):
+            raw = [unsqueeze(x, 6) for x in own["figures"]]
+            for i in (0, 1):
+                figures = np.concatenate([joined(x[3 * i:3 * i + 3]) for x in raw])
+                figures = np.where(figures == NONE, np.nan, figures / STEPS)
+                for owner, codes in zip(grams.runs, grams.codes):
+                    found[i] += np.bincount(owner, figures[codes], len(texts))
+        sizes = np.array([len(t) for t in texts], np.float64)
+        found = np.divide(found, sizes, out=np.full(found.shape, np.nan), where=sizes > 0)
         arrays = [pa.array(stats[c]) for c in stats] + [pa.array(x, from_pandas=True) for x in found]
         quality = pa.StructArray.from_arrays(arrays, fields=list(_STATS_TYPE))
         return rows.select(columns).append_column("_quality", quality)
@@ -339,22 +434,40 @@ def _language(lang_col: str) -> Column:
     return F.coalesce(F.col(lang_col), F.lit(""))
 
 
+def dealt(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
+    """The documents with language, half, batch and the number of buckets of their language."""
+    half = F.coalesce(F.crc32(F.col(text_col).cast("binary")).bitwiseAND(F.lit(1).cast("long")), F.lit(0)).cast("int")
+    rows = docs.withColumns({BATCH[0]: _language(lang_col), BATCH[1]: half})
+    chars = [F.sum(F.when(F.col(BATCH[1]) == i, F.length(text_col)).otherwise(0)) for i in (0, 1)]
+    sizes = rows.groupBy(BATCH[0]).agg(*[F.coalesce(c, F.lit(0)).cast("long").alias(f"_quality_chars{i}")
+                                         for i, c in enumerate(chars)])
+    each = [F.col(f"_quality_chars{i}") for i in (0, 1)]
+    sizes = work_table(sizes.select(
+        BATCH[0], ((each[0] + each[1]) / BUCKET_CHARS + 1).cast("long").alias("_quality_buckets"),
+        F.array(*[(c / BATCH_CHARS + 1).cast("long") for c in each]).alias("_quality_batches")), "quality_sizes")
+    plain = [f.name for f in docs.schema if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType, T.VariantType))]
+    rows = rows.join(F.broadcast(sizes) if small_enough(sizes) else sizes, BATCH[0])
+    batch = F.pmod(F.xxhash64(*[F.col(c) for c in plain]), F.get("_quality_batches", F.col(BATCH[1])))
+    return rows.withColumn(BATCH[2], batch).drop("_quality_batches")
+
+
 def scored(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", keep_text: bool = True) -> DataFrame:
     """The documents and a struct ``_quality`` of their statistics and log-perplexities."""
     columns = [c for c in docs.columns if keep_text or c != text_col]
-    rows = docs.select(*columns, F.col(text_col).alias("_quality_text"), _language(lang_col).alias("_quality_lang"))
-    rows = work_table(rows.mapInArrow(_batched, T.StructType([*rows.schema.fields, T.StructField(
-        "_quality_batch", T.LongType())])), "quality_rows")
-    asked = rows.select(F.col("_quality_batch").alias("batch"), F.col("_quality_lang").alias("lang"),
-                        F.col("_quality_text").alias("text")).mapInPandas(
-        _grams, "batch long, lang string, hi long, lo long, n0 long, n1 long")
-    counts = work_table(asked.groupBy(*GRAM).agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "gram_counts")
-    model = work_table(probabilities(counts), "quality_model")
-    answers = asked.select("batch", *GRAM).join(model, GRAM)
+    rows = dealt(docs, text_col, lang_col)
+    found = model(rows.filter(F.length(text_col) > 0).select(
+        F.col(BATCH[0]).alias("lang"), F.col(BATCH[1]).alias("half"), F.col("_quality_buckets").alias("buckets"),
+        F.col(text_col).alias("text")))
+    if not keep_text:
+        rows = rows.withColumnRenamed(text_col, "_quality_text")
+    text = text_col if keep_text else "_quality_text"
+    rows = rows.select(*columns, *([] if keep_text else [text]), *BATCH, "_quality_buckets")
+    asked = rows.groupBy(*BATCH).applyInArrow(_asked(text), "lang string, half int, batch long, bucket long, grams binary")
+    answers = asked.groupBy(*BUCKET).cogroup(found.groupBy(*BUCKET)).applyInPandas(
+        _answered, "_quality_lang string, _quality_half int, _quality_batch long, bucket long, size long, figures binary")
     result = T.StructType([*[rows.schema[c] for c in columns], T.StructField(
         "_quality", T.StructType.fromDDL(STATS))])
-    return (rows.groupBy("_quality_batch").cogroup(answers.groupBy("batch"))
-            .applyInArrow(_scores(columns), result))
+    return rows.groupBy(*BATCH).cogroup(answers.groupBy(*BATCH)).applyInArrow(_scores(columns, text), result)
 
 
 def base_failed(stats: str = "_quality") -> Column:

@@ -257,12 +257,51 @@ def test_five_grams_of_code_points_are_those_of_brute_force(spark):
     assert found[9] == found[0] and found[10].log_perplexity is None
 
 
-def test_model_probabilities_sum_to_one():
-    grams, _ = quality_rules.trigrams([base_text(i) for i in range(20)])
-    model = quality_rules.Model(*np.unique(grams, return_counts=True))
-    context = int(grams[50]) >> quality_rules.BITS
-    follow = (context << quality_rules.BITS) + np.arange(quality_rules.CLASSES)
-    assert np.exp(model.log_probabilities(follow)).sum() == pytest.approx(1, abs=1e-4)
+def test_model_is_sorted_hash_arrays_whose_probabilities_sum_to_one(spark, monkeypatch):
+    monkeypatch.setattr(quality_rules, "BUCKET_CHARS", 700)
+    texts = [varied_text(i)[:300] for i in range(8)]
+    frame = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    rows = quality_rules.dealt(frame, "text", "lang").selectExpr(
+        "_quality_lang lang", "_quality_half half", "_quality_buckets buckets", "text").repartition(3)
+    found = quality_rules.model(rows).collect()
+    assert len({r.bucket for r in found}) == len(found) > 1
+    known = {}
+    for r in found:
+        hashes = np.frombuffer(r.hashes, np.uint64)
+        assert (np.diff(hashes.astype(object)) > 0).all()
+        known |= dict(zip(hashes.tolist(), np.exp(-np.frombuffer(r.p0, np.float32))))
+    grams = quality_rules.Grams(texts, 1)
+    keys = quality_rules.gram_keys(grams.hi, grams.lo)
+    assert set(known) == set(keys.tolist())
+    model = [t for t in texts if quality_rules.half_of(t) == 0]
+    for t in texts[:2]:
+        own = quality_rules.Grams([t], 1)
+        mean = -np.repeat([np.log(known[k]) for k in quality_rules.gram_keys(own.hi, own.lo).tolist()], own.counts).mean()
+        assert mean == pytest.approx(brute_perplexity(model, t, 5), rel=1e-5)
+
+
+def test_batches_runs_and_buckets_change_no_figure(spark, monkeypatch):
+    texts = [varied_text(i)[:200 + 40 * i] for i in range(12)] + ["", None, "a", "é" * 500]
+    rows = [(i, t, "de" if i % 3 else None, i) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, bucket long").repartition(2)
+    whole = {r.doc_id: r._quality for r in quality_rules.scored(frame).collect()}
+    for name, value in (("BATCH_CHARS", 500), ("BUCKET_CHARS", 300), ("HELD_CHARS", 700), ("RUN", 64)):
+        monkeypatch.setattr(quality_rules, name, value)
+    parts = quality_rules.scored(frame)
+    assert parts.columns == [*frame.columns, "_quality"]
+    for r in parts.collect():
+        for name in quality_rules.PERPLEXITIES:
+            expected = whole[r.doc_id][name]
+            assert (r._quality[name] is None) == (expected is None)
+            assert expected is None or r._quality[name] == pytest.approx(expected, rel=1e-6)
+    assert len(whole) == len(texts) and whole[12].log_perplexity is whole[13].log_perplexity is None
+
+
+def test_a_language_with_one_kind_of_checksum_has_no_figure_and_passes(spark):
+    texts = [t for t in map(varied_text, range(40)) if quality_rules.half_of(t)][:8]
+    frame = spark.createDataFrame([(i, t, "xx") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    for r in quality_rules.quality_rules(frame).collect():
+        assert r.log_perplexity is None and r.kept
 
 
 def brute_spans(text):
