@@ -84,21 +84,48 @@ def text_stats(text: str | None) -> tuple[int, int, int, int, int]:
             len(lines) - len(set(lines)), repeated)
 
 
-def five_grams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Runs of five-grams, one for each character with its four predecessors: its text's number and
-    two longs of the code points, two in the first and three in the second."""
+def five_grams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Runs of five-grams, one for each character with its four predecessors: its text's number, its place
+    among the run's distinct ones, and those as two longs of code points, two in the first and three in the second."""
     pad = "\x00" * (ORDER - 1)
     points = np.frombuffer("".join([pad + t for t in texts]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    seen = np.zeros(POINTS, bool)
+    seen[points] = True
+    alphabet = np.flatnonzero(seen)
+    places = np.zeros(POINTS, np.uint32)
+    places[alphabet] = np.arange(len(alphabet))
     sizes = np.array([len(t) + ORDER - 1 for t in texts], np.int64)
     begins = np.cumsum(sizes) - sizes
     owner = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
     for i in range(ORDER - 1):
         owner[begins + i] = -1
+    dense = len(alphabet) ** ORDER < 1 << 64  # else places as digits do not fit 64 bits
     for begin in range(ORDER - 1, len(points), RUN):
         end = min(begin + RUN, len(points))
         of = owner[begin:end]
-        at = [points[begin - i:end - i][of >= 0].astype(np.int64) for i in range(ORDER - 1, -1, -1)]
-        yield of[of >= 0], at[0] << POINT | at[1], at[2] << 2 * POINT | at[3] << POINT | at[4]
+        own = of >= 0
+        at = [points[begin - i:end - i] for i in range(ORDER - 1, -1, -1)]
+        if dense:
+            keys = np.zeros(end - begin, np.uint64)
+            for x in at:
+                keys *= np.uint64(len(alphabet))
+                keys += places[x]
+            codes, keys = pd.factorize(keys[own])
+            at = []
+            for _ in range(ORDER):
+                keys, digit = np.divmod(keys, np.uint64(len(alphabet)))
+                at.insert(0, alphabet[digit.astype(np.int64)])
+            hi, lo = long_pair(at)
+        else:
+            hi, lo = long_pair([x[own].astype(np.int64) for x in at])
+            codes, keys = pd.factorize(gram_keys(hi, lo))
+            first = first_of(codes, len(keys))
+            hi, lo = hi[first], lo[first]
+        yield of[own], codes.astype(np.int32), hi, lo
+
+
+def long_pair(at: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    return at[0] << POINT | at[1], at[2] << 2 * POINT | at[3] << POINT | at[4]
 
 
 def gram_keys(hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
@@ -122,11 +149,9 @@ class Grams:
     def __init__(self, texts: list[str], buckets: int):
         empty = np.empty(0, np.int64)
         his, los, counts, self.runs, codes = [empty], [empty], [empty], [], []
-        for owner, hi, lo in five_grams(texts):
-            of, keys = pd.factorize(gram_keys(hi, lo))
-            first = first_of(of, len(keys))
-            his.append(hi[first]), los.append(lo[first]), counts.append(np.bincount(of, minlength=len(keys)))
-            self.runs.append(owner), codes.append(of.astype(np.int32))
+        for owner, of, hi, lo in five_grams(texts):
+            his.append(hi), los.append(lo), counts.append(np.bincount(of, minlength=len(hi)))
+            self.runs.append(owner), codes.append(of)
         hi, lo = np.concatenate(his), np.concatenate(los)
         of, keys = pd.factorize(gram_keys(hi, lo))
         total = np.bincount(of, np.concatenate(counts), len(keys)).astype(np.int64)
@@ -175,7 +200,7 @@ def stored_grams(hi: np.ndarray, lo: np.ndarray) -> bytes:
 def read_grams(value: bytes) -> tuple[np.ndarray, np.ndarray]:
     raw = unsqueeze(value, 3 * ORDER)
     at = [joined(raw[3 * i:3 * i + 3]) for i in range(ORDER)]
-    return at[0] << POINT | at[1], at[2] << 2 * POINT | at[3] << POINT | at[4]
+    return long_pair(at)
 
 
 def stored_counts(n: np.ndarray) -> bytes:

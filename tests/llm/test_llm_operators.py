@@ -280,6 +280,24 @@ def test_model_is_sorted_hash_arrays_whose_probabilities_sum_to_one(spark, monke
         assert mean == pytest.approx(brute_perplexity(model, t, 5), rel=1e-5)
 
 
+@pytest.mark.parametrize("letters", [30, 9000])  # more than 7131 do not fit as digits of 64 bits
+def test_distinct_five_grams_of_small_and_large_alphabets(letters, monkeypatch):
+    monkeypatch.setattr(quality_rules, "RUN", 5000)
+    rng = np.random.RandomState(letters)
+    texts = ["".join(map(chr, 0x4E00 + rng.randint(0, letters, n))) for n in (12_000, 1, 700)] + ["", "\U0010ffff" * 9]
+    texts.append("".join(map(chr, range(0x4E00, 0x4E00 + letters))))
+    grams = quality_rules.Grams(texts, 7)
+    expected = Counter(tuple(map(ord, p[i:i + 5])) for t in texts for p in ["\0" * 4 + t] for i in range(len(t)))
+    ones = quality_rules.ONE
+    found = [(int(h) >> 21, int(h) & ones, int(l) >> 42, (int(l) >> 21) & ones, int(l) & ones)
+             for h, l in zip(grams.hi, grams.lo)]
+    assert dict(zip(found, grams.counts)) == expected and len(found) == len(expected)
+    read = quality_rules.read_grams(quality_rules.stored_grams(grams.hi, grams.lo))
+    assert (read[0] == grams.hi).all() and (read[1] == grams.lo).all()
+    ends = [found[c] for codes in grams.codes for c in codes]
+    assert ends == [tuple(map(ord, p[i:i + 5])) for t in texts for p in ["\0" * 4 + t] for i in range(len(t))]
+
+
 def test_batches_runs_and_buckets_change_no_figure(spark, monkeypatch):
     texts = [varied_text(i)[:200 + 40 * i] for i in range(12)] + ["", None, "a", "é" * 500]
     rows = [(i, t, "de" if i % 3 else None, i) for i, t in enumerate(texts)]
