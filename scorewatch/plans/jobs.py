@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from scorewatch.operators import (checks, cohorts, drift, enrich, governance, mix, outcomes, quality,
                                   reports, stability, summaries)
-from scorewatch.plans.spine import over_scopes
+from scorewatch.plans.spine import OVERALL, over_scopes
 from scorewatch.plans.staging import stage
 from scorewatch.sources.tables import (check_performance_mart, check_score_mart, require_columns,
                                        stamp)
@@ -148,7 +148,8 @@ def run_monitoring(score_mart: DataFrame, performance_mart: DataFrame | None, sp
                                                    [source.keys[0]], columns)
     out["portfolio"] = stability.portfolio_summary(out["score_stability"], base_counts, spec, by)
     if spec.decile_col in score_mart.columns:
-        out["mix_shift"] = mix.mix_shift(baseline, current, by, extra, spec.decile_col)
+        out["mix_shift"] = mix.mix_shift(scoped_base, scoped, [*by, "scorecard"], extra, spec.decile_col)
+        out["mix_shift_summary"] = mix.mix_shift_summary(out["mix_shift"], ["reporting_month", "scorecard"])
     governed = {"score_stability": out["score_stability"],
                 "feature_stability": out["feature_stability"], "columns": out["column_quality"]}
 
@@ -181,7 +182,9 @@ def run_monitoring(score_mart: DataFrame, performance_mart: DataFrame | None, sp
         out["calibration_summary"] = outcomes.calibration_summary(out["calibration"],
                                                                   outcomes.COHORT)
         target = cohort.filter(F.col("maturity") == spec.attribution.target_maturity)
-        out["attribution"] = mix.attribution(target, spec.attribution)
+        target = over_scopes(target, None, (), spec.scorecard)
+        out["attribution"] = mix.attribution(target, spec.attribution, "scorecard")
+        out["attribution_overview"] = mix.attribution_overview(target, spec.attribution, "scorecard")
         governed |= {"ks_drop": out["separation"], "performance": out["performance"],
                      "calibration": out["calibration"]}
 
@@ -198,7 +201,8 @@ def run_monitoring(score_mart: DataFrame, performance_mart: DataFrame | None, sp
     if performance_mart is not None:
         sections |= {"separation": out["separation"].filter(F.col("ks").isNotNull()),
                      "performance": out["performance"].filter(F.col("note").isNull()),
-                     "calibration": out["calibration"], "attribution": out["attribution"]}
+                     "calibration": out["calibration"],
+                     "attribution": out["attribution"].filter(F.col("scorecard") == OVERALL)}
     out["availability"] = governance.availability(spine, sections, out.get("cohort_info"))
     if write is not None:
         for name, df in out.items():

@@ -457,6 +457,10 @@ def report_sql() -> dict[str, str]:
         + d("current_mean - baseline_mean", "mean_shift") + ", CASE WHEN max_psi >= 0.25 THEN 'ALERT' "
         "WHEN max_psi >= 0.10 THEN 'WARNING' ELSE 'OK' END AS level, CAST(rank AS INTEGER) AS rank "
         "FROM top_features WHERE rank <= 5",
+        "leading_features": with_l1 + FEATURE_PSI + TOP + "SELECT vintage_month, feature_name, "
+        + d("max_psi", "max_psi") + ", CASE WHEN max_psi >= 0.25 THEN 'ALERT' "
+        "WHEN max_psi >= 0.10 THEN 'WARNING' ELSE 'OK' END AS level, CAST(rank AS INTEGER) AS rank "
+        "FROM top_features WHERE rank <= 2",
         "top_features_by_channel": with_l1 + FEATURE_PSI + "SELECT vintage_month, channel, "
         "CAST(row_number() OVER (PARTITION BY vintage_month, channel ORDER BY psi DESC, feature_name) "
         f"AS INTEGER) AS rank, feature_name, {d('psi', 'psi')} FROM feature_psi "

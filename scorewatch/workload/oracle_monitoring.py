@@ -171,6 +171,21 @@ ms AS (
         SELECT reporting_month, score_bin FROM (SELECT DISTINCT reporting_month FROM cur), ms_r)
   LEFT JOIN ms_r r USING (score_bin) LEFT JOIN ms_q q USING (reporting_month, score_bin))"""
 
+CARD_MIX_SHIFT = f""",
+ms_r AS (SELECT scorecard, score_decile_static AS score_bin,
+           count(*) / sum(count(*)) OVER (PARTITION BY scorecard) AS share
+         FROM {by_card('base')} GROUP BY scorecard, score_decile_static),
+ms_q AS (SELECT reporting_month, scorecard, score_decile_static AS score_bin,
+           count(*) / sum(count(*)) OVER (PARTITION BY reporting_month, scorecard) AS share
+         FROM {by_card('cur')} GROUP BY reporting_month, scorecard, score_decile_static),
+ms AS (
+  SELECT reporting_month, scorecard, score_bin, coalesce(r.share, 0) AS baseline_pct,
+    coalesce(q.share, 0) AS current_pct
+  FROM (SELECT reporting_month, scorecard, score_bin FROM ms_q UNION
+        SELECT reporting_month, scorecard, score_bin
+        FROM (SELECT DISTINCT reporting_month, scorecard FROM ms_q) JOIN ms_r USING (scorecard))
+  LEFT JOIN ms_r r USING (scorecard, score_bin) LEFT JOIN ms_q q USING (reporting_month, scorecard, score_bin))"""
+
 # Outcomes
 
 PERFORMANCE = f""",
@@ -284,36 +299,49 @@ tier_table AS (
     CAST(sum(goods_n) AS BIGINT), 1.0, CAST(sum(bads_n) AS BIGINT), 1.0, sum(bads_n) / sum(accounts_n),
     max(abs(goods_pct - bads_pct)), 1.0 FROM tier_shares GROUP BY ALL)"""
 
-DRIVERS = " UNION ALL ".join(
-    [f"SELECT reporting_month, edr, '{c}' AS dimension, CAST({c} AS VARCHAR) AS segment FROM target "
-     f"WHERE {c} IS NOT NULL" for c in ("channel", "source", "score_decile_static")])
-ATTRIBUTION = f""",
-target AS (SELECT * FROM cohort WHERE maturity = 'M9'),
-month_rate AS (SELECT reporting_month, avg(edr) AS rate FROM target GROUP BY ALL),
+def attribution_ctes(source: str = "cohort", card: bool = False) -> str:
+    keys = "reporting_month, scorecard" if card else "reporting_month"
+    drivers = " UNION ALL ".join(
+        f"SELECT {keys}, edr, '{c}' AS dimension, CAST({c} AS VARCHAR) AS segment FROM target "
+        f"WHERE {c} IS NOT NULL" for c in ("channel", "source", "score_decile_static"))
+
+    def same(a: str, b: str) -> str:
+        return f" AND {a}.scorecard = {b}.scorecard" if card else ""
+
+    def of(table: str) -> str:
+        return ", ".join(f"{table}.{k}" for k in keys.split(", "))
+
+    return f""",
+target AS (SELECT * FROM {source} WHERE maturity = 'M9'),
+month_rate AS (SELECT {keys}, avg(edr) AS rate FROM target GROUP BY ALL),
 moved AS (
-  SELECT a.reporting_month, {shift('a.reporting_month', '-1')} AS prior_month, a.rate, b.rate AS prior_rate,
+  SELECT {of('a')}, {shift('a.reporting_month', '-1')} AS prior_month, a.rate, b.rate AS prior_rate,
     a.rate - b.rate AS delta
-  FROM month_rate a JOIN month_rate b ON b.reporting_month = {shift('a.reporting_month', '-1')}),
-seg AS (SELECT reporting_month, dimension, segment, count(*) AS n, avg(edr) AS r FROM ({DRIVERS}) GROUP BY ALL),
-seg_share AS (SELECT *, n / sum(n) OVER (PARTITION BY reporting_month, dimension) AS w FROM seg),
+  FROM month_rate a JOIN month_rate b ON b.reporting_month = {shift('a.reporting_month', '-1')}{same('a', 'b')}),
+seg AS (SELECT {keys}, dimension, segment, count(*) AS n, avg(edr) AS r FROM ({drivers}) GROUP BY ALL),
+seg_share AS (SELECT *, n / sum(n) OVER (PARTITION BY {keys}, dimension) AS w FROM seg),
 seg_keys AS (
-  SELECT m.reporting_month, m.prior_month, m.delta, dimension, segment
-  FROM moved m JOIN seg s ON s.reporting_month IN (m.reporting_month, m.prior_month)
+  SELECT {of('m')}, m.prior_month, m.delta, dimension, segment
+  FROM moved m JOIN seg s ON s.reporting_month IN (m.reporting_month, m.prior_month){same('m', 's')}
   WHERE abs(m.delta) >= 0.02 GROUP BY ALL),
 effects AS (
   SELECT k.*, (coalesce(c.w, 0) - coalesce(p.w, 0)) * coalesce(p.r, 0) AS mix_effect,
     (coalesce(c.r, 0) - coalesce(p.r, 0)) * coalesce(c.w, 0) AS rate_effect
   FROM seg_keys k
   LEFT JOIN seg_share c ON c.reporting_month = k.reporting_month AND c.dimension = k.dimension
-    AND c.segment = k.segment
+    AND c.segment = k.segment{same('c', 'k')}
   LEFT JOIN seg_share p ON p.reporting_month = k.prior_month AND p.dimension = k.dimension
-    AND p.segment = k.segment),
+    AND p.segment = k.segment{same('p', 'k')}),
 drivers AS (
-  SELECT *, row_number() OVER (PARTITION BY reporting_month ORDER BY abs(round(mix_effect + rate_effect, 6)) DESC,
+  SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY abs(round(mix_effect + rate_effect, 6)) DESC,
     dimension, segment) AS driver_rank
   FROM effects WHERE abs(mix_effect + rate_effect) >= 0.001 QUALIFY driver_rank <= 3)"""
 
 
+ATTRIBUTION = attribution_ctes()
+CARD_ATTRIBUTION = attribution_ctes(by_card("cohort"), card=True)
+
+
 # Governance
 
 EVALUATED = f"""
@@ -469,6 +497,12 @@ rs_ref AS (SELECT reporting_month, scorecard, channel, lfs_score AS value FROM {
         "mix_shift_summary": w + MIX_SHIFT + "SELECT reporting_month, "
         "count(*) FILTER (current_pct - baseline_pct > 0.02) AS bins_grown, "
         "count(*) FILTER (current_pct - baseline_pct < -0.02) AS bins_shrunk FROM ms GROUP BY ALL",
+        "mix_shift_by_scorecard": w + CARD_MIX_SHIFT + "SELECT reporting_month, scorecard, "
+        "CAST(score_bin AS INTEGER) AS score_bin, "
+        + columns("baseline_pct", "current_pct") + ", " + d("current_pct - baseline_pct", "shift") + " FROM ms",
+        "csi_table_totals": w + CSI_TABLE + "SELECT reporting_month, scorecard, feature, "
+        + d("sum((compare_pct - baseline_pct) * ln(compare_pct / baseline_pct))", "total_iv")
+        + " FROM ct GROUP BY ALL",
         "portfolio": w + f"SELECT reporting_month, scorecard, current_accounts, baseline_accounts, "
         f"{d('coalesce(m, 0)', 'mean_score')} FROM (SELECT reporting_month, scorecard, count(*) AS current_accounts, "
         f"avg(lfs_score) AS m FROM {by_card('cur')} GROUP BY ALL) JOIN (SELECT scorecard, count(*) AS "
@@ -517,6 +551,13 @@ rs_ref AS (SELECT reporting_month, scorecard, channel, lfs_score AS value FROM {
         "dimension, segment, " + columns("delta", "mix_effect", "rate_effect") + ", "
         + d("round(mix_effect + rate_effect, 6)", "contribution")
         + ", CASE WHEN mix_effect + rate_effect > 0 THEN 'up' ELSE 'down' END AS direction FROM drivers",
+        "attribution_by_scorecard": w + CARD_ATTRIBUTION + "SELECT reporting_month, scorecard, "
+        "CAST(driver_rank AS INTEGER) AS driver_rank, dimension, segment, "
+        + columns("delta", "mix_effect", "rate_effect") + ", "
+        + d("round(mix_effect + rate_effect, 6)", "contribution")
+        + ", CASE WHEN mix_effect + rate_effect > 0 THEN 'up' ELSE 'down' END AS direction FROM drivers",
+        "attribution_overview_by_scorecard": w + CARD_ATTRIBUTION + "SELECT reporting_month, scorecard, "
+        + columns("rate", "prior_rate", "delta") + ", abs(delta) >= 0.02 AS is_material FROM moved",
         "attribution_overview": w + ATTRIBUTION + "SELECT reporting_month, "
         + columns("rate", "prior_rate", "delta") + ", abs(delta) >= 0.02 AS is_material FROM moved",
         "governance": f"WITH {GOVERNED} SELECT reporting_month, scorecard, channel, metric, "

@@ -274,6 +274,13 @@ def top_features(spark, folder):
     return report_view("top_features", spark, folder)
 
 
+@query
+def leading_features(spark, folder):
+    """The two features that moved most, so that the ranking cuts."""
+    return reports.top_features(report_run(spark, folder)["feature_psi"], k=2).select(
+        "vintage_month", "feature_name", "max_psi", "level", "rank")
+
+
 @query
 def top_features_by_channel(spark, folder):
     return report_view("top_features_by_channel", spark, folder).select(
@@ -393,6 +400,14 @@ def csi_table(spark, folder):
                            ["scorecard"], R, specs.FEATURES)
 
 
+@query
+def csi_table_totals(spark, folder):
+    """Information value of every feature: its bins' contributions added up."""
+    table = drift.csi_table(_scoped(base(spark, folder)), _scoped(current(spark, folder)),
+                            ["scorecard"], R, specs.FEATURES)
+    return drift.table_totals(table, ["reporting_month", "scorecard", "feature"], "information_value", "total_iv")
+
+
 @query
 def score_quality(spark, folder):
     return stability.score_quality(current(spark, folder), SPEC)
@@ -426,6 +441,12 @@ def mix_shift(spark, folder):
     return mix.mix_shift(base(spark, folder), current(spark, folder), [], R, SPEC.decile_col)
 
 
+@query
+def mix_shift_by_scorecard(spark, folder):
+    return mix.mix_shift(_scoped(base(spark, folder)), _scoped(current(spark, folder)), ["scorecard"], R,
+                         SPEC.decile_col)
+
+
 @query
 def mix_shift_summary(spark, folder):
     shifts = mix.mix_shift(base(spark, folder), current(spark, folder), [], R, SPEC.decile_col)
@@ -529,6 +550,16 @@ def attribution(spark, folder):
     return mix.attribution(_target_cohort(spark, folder), SPEC.attribution)
 
 
+@query
+def attribution_by_scorecard(spark, folder):
+    return mix.attribution(_scoped(_target_cohort(spark, folder)), SPEC.attribution, "scorecard")
+
+
+@query
+def attribution_overview_by_scorecard(spark, folder):
+    return mix.attribution_overview(_scoped(_target_cohort(spark, folder)), SPEC.attribution, "scorecard")
+
+
 @query
 def attribution_overview(spark, folder):
     return mix.attribution_overview(_target_cohort(spark, folder), SPEC.attribution)

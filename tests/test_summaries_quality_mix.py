@@ -2,6 +2,7 @@ import pytest
 
 from scorewatch.functions.columns import numeric_columns
 from scorewatch.operators import mix, quality, summaries
+from scorewatch.plans.spine import over_scopes
 from scorewatch.spec import Attribution, DriftSpec, Metric, Segment, Share, Source, TableSpec
 from tests.conftest import rows_by
 
@@ -138,3 +139,19 @@ def test_attribution_by_hand(spark):
     assert got["x"]["delta"] == pytest.approx(delta)
     quiet = mix.attribution(df, Attribution(drivers=("source",), min_materiality=0.5))
     assert quiet.count() == 0
+
+
+def test_attribution_by_scorecard_sees_what_the_whole_hides(spark):
+    """Two scorecards move against each other; the whole rate stands still."""
+    rows = [(month, card, source, float(i < bad))
+            for month, card, source, bad in (("2024-01", "a", "x", 2), ("2024-02", "a", "x", 6),
+                                             ("2024-01", "b", "y", 6), ("2024-02", "b", "y", 2)) for i in range(10)]
+    df = spark.createDataFrame(rows, "reporting_month string, card string, source string, edr double")
+    scoped = over_scopes(df, None, (), "card")
+    spec = Attribution(drivers=("source",))
+    got = {(r.scorecard, r.segment): r for r in mix.attribution(scoped, spec, "scorecard").collect()}
+    assert set(got) == {("a", "x"), ("b", "y")}
+    assert got["a", "x"].contribution == 0.4 and got["a", "x"].direction == "up"
+    assert got["b", "y"].contribution == -0.4 and got["b", "y"].driver_rank == 1
+    seen = {r.scorecard: r for r in mix.attribution_overview(scoped, spec, "scorecard").collect()}
+    assert not seen["overall"].is_material and seen["a"].is_material and seen["b"].is_material
