@@ -20,15 +20,19 @@ from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scorewatch.llm.common import table, texts_in_pieces, work_table
+from scorewatch.llm.common import table, work_table
 
 LENGTH, OPEN_WINDOWS, END_ID = 4096, 64, 2
 #: Leftover windows that are merged with each other.
 MERGED_WINDOWS = 2048
+#: Bytes of text whose chunks are looked up together.
+BATCH_BYTES = 4_000_000
 PIECES = ("id long, start long, length long, ids binary, doc_tokens long, window long, offset long, "
           "closed boolean")
 
@@ -39,10 +43,11 @@ class Tokens(dict):
     For tokenizers that lower-case, drop white space and never join tokens across it, so that
     a text's ids are those of its chunks in order. A new chunk of Latin letters is split by the
     tokenizer's own pattern and its pieces go straight to the merge model; any other chunk goes
-    through the whole tokenizer. Chunks and pieces met are kept, up to a limit.
+    through the whole tokenizer. Chunks met are kept, up to a limit, and those met before them,
+    so that frequent ones outlast the limit.
     """
 
-    LIMIT = 250_000
+    LIMIT = 400_000
     #: Characters that need neither normalization nor special tokens.
     PLAIN = re.compile("[\x21-\x3b=\x3f-\x7b}~\xa1-\u024f]*")
 
@@ -55,40 +60,60 @@ class Tokens(dict):
         with open(path, encoding="utf-8") as file:
             splits = json.load(file)["pre_tokenizer"]["pretokenizers"]
         self.pieces = regex.compile(next(x["pattern"]["Regex"] for x in splits if x["type"] == "Split"))
-        self.model, self.known = self.whole.model, {}
+        self.model, self.known, self.before = self.whole.model, {}, {}
         # Byte-level alphabet: printable bytes stand for themselves, the others for 256 upwards.
         shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         hidden = [b for b in range(256) if b not in set(shown)]
         self.letters = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
-    @staticmethod
-    def chunks(text: str) -> list[str]:
-        return text.replace("\n", " ").split(" ")
+    def of_texts(self, texts: pa.Array) -> tuple[memoryview, list[int]]:
+        """Ids of all texts end to end, and where each text's begin and end among them.
+
+        Each different chunk of the batch is looked up once.
+        """
+        lists = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        chunks = lists.flatten().dictionary_encode()
+        laid = pa.array(map(self.__getitem__, chunks.dictionary.to_numpy(zero_copy_only=False)), pa.large_binary()).take(
+            chunks.indices)
+        _, begins, data = laid.buffers()
+        edges = lists.offsets.to_numpy()
+        at = np.frombuffer(begins, np.int64)[laid.offset + edges - edges[0]]
+        return memoryview(data if data is not None else b""), at.tolist()
 
     def __missing__(self, chunk: str) -> bytes:
+        ids = self.before.get(chunk)
+        if ids is None:
+            ids = self.encoded(chunk)
         if len(self) >= self.LIMIT:
+            self.before = dict(self)
             self.clear()
-        if self.PLAIN.fullmatch(chunk):
-            low = chunk.lower()
-            body = low[:-1]
-            if low.isalpha():
-                ids = self.known.get(low) or self.piece(low)
-            elif body.isalpha() and not low[-1].isnumeric():  # a word with one mark behind it
-                ids = (self.known.get(body) or self.piece(body)) + (self.known.get(low[-1]) or self.piece(low[-1]))
-            else:
-                ids = b"".join([self.known.get(p) or self.piece(p) for p in self.pieces.findall(low)])
-        else:
-            ids = array("I", self.whole.encode(chunk, add_special_tokens=False).ids).tobytes()
         self[chunk] = ids
         return ids
 
+    def encoded(self, chunk: str) -> bytes:
+        if not self.PLAIN.fullmatch(chunk):
+            return array("I", self.whole.encode(chunk, add_special_tokens=False).ids).tobytes()
+        low = chunk.lower()
+        body = low[:-1]
+        if low.isalpha():
+            return self.spelt(low) if low == chunk else self[low]
+        if body.isalpha() and not low[-1].isnumeric():  # a word with one mark behind it
+            return self[body] + self.piece(low[-1])
+        return b"".join([self[p] if p.isalpha() else self.piece(p) for p in self.pieces.findall(low)])
+
     def piece(self, piece: str) -> bytes:
-        if len(self.known) >= self.LIMIT:
-            self.known.clear()
-        spelt = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
-        ids = self.known[piece] = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
+        """Ids of a part of a chunk."""
+        ids = self.known.get(piece)
+        if ids is None:
+            if len(self.known) >= self.LIMIT:
+                self.known.clear()
+            ids = self.known[piece] = self.spelt(piece)
         return ids
 
+    def spelt(self, piece: str) -> bytes:
+        letters = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+
 
 _tokens: dict[str, Tokens] = {}
 
@@ -126,26 +151,40 @@ class OpenWindows:
         return window, self.length - room, emitted
 
 
+def _runs(texts: pa.Array, most: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
+    """Bounds of row runs of about so many bytes; a longer text is a run of its own."""
+    begin, held = 0, 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if held and held + n > most:
+            yield begin, i
+            begin, held = i, 0
+        held += n
+    if begin < len(texts):
+        yield begin, len(texts)
+
+
 def _pack(path: str, length: int, limit: int, end_id: int):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         context = TaskContext.get()
         ids_of, end = tokens(path), array("I", [end_id]).tobytes()
         windows = OpenWindows(length, limit, context.partitionId() << 40)
         held: dict[int, list[tuple]] = {}  # pieces of open windows
-
-        def frame_of(pieces: list[tuple], closed: bool) -> pd.DataFrame:
-            return pd.DataFrame([(*p, closed) for p in pieces], columns=[
-                "id", "start", "length", "ids", "doc_tokens", "window", "offset", "closed"]).astype(
-                {"id": "Int64"})
-
-        for frame in frames:
-            for begin, upto in texts_in_pieces(frame, "text"):
-                part, out = frame.iloc[begin:upto], []
-                chunked = [ids_of.chunks(t) if t else [] for t in part["text"]]
-                for key, chunks in zip(part["id"], chunked):
-                    ids = b"".join(map(ids_of.__getitem__, chunks)) + end
-                    key, n = None if pd.isna(key) else int(key), len(ids) // 4
+        schema = pa.schema([(name, pa.binary() if name == "ids" else pa.bool_() if name == "closed" else pa.int64())
+                            for name, _ in (column.split() for column in PIECES.split(", "))])
+
+        def batch_of(pieces: list[tuple], closed: bool) -> pa.RecordBatch:
+            columns = [*zip(*pieces), [closed] * len(pieces)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, kind) for c, kind in zip(columns, schema.types)], schema=schema)
+
+        for batch in batches:
+            for begin, upto in _runs(batch.column("text")):
+                out = []
+                data, at = ids_of.of_texts(batch.column("text").slice(begin, upto - begin))
+                for key, since, until in zip(batch.column("id").slice(begin, upto - begin).to_pylist(), at, at[1:]):
+                    ids = bytes(data[since:until]) + end
+                    n = len(ids) // 4
                     whole = n - n % length
                     for start in range(0, whole, length):
                         out.append((key, start, length, ids[4 * start:4 * (start + length)], n,
@@ -159,9 +198,9 @@ def _pack(path: str, length: int, limit: int, end_id: int):
                         if offset + n - whole == length:
                             out += held.pop(window)
                 if out:
-                    yield frame_of(out, True)
+                    yield batch_of(out, True)
         for pieces in held.values():
-            yield frame_of(pieces, False)
+            yield batch_of(pieces, False)
     return run
 
 
@@ -173,7 +212,7 @@ def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: s
     The pieces of a sequence, by ``offset``, fill it from 0 without gaps.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    pieces = work_table(texts.mapInPandas(_pack(tokenizer, length, open_windows, end_id), PIECES), "pieces")
+    pieces = work_table(texts.mapInArrow(_pack(tokenizer, length, open_windows, end_id), PIECES), "pieces")
     closed = pieces.filter("closed").select("*", F.col("window").alias("sequence_id"))
     left = pieces.filter("not closed")
     # A few windows for each partition: laid end to end within merge groups.

@@ -148,12 +148,21 @@ def test_packing_round_trip(docs, rows, none):
     assert packing.pack(none, path).count() == 0
 
 
-def test_chunks_give_the_tokenizers_own_ids():
+@pytest.mark.parametrize("limit", [400_000, 2])
+def test_chunks_give_the_tokenizers_own_ids(limit, monkeypatch):
+    import pyarrow as pa
     import public_tokenizers
+    monkeypatch.setattr(packing.Tokens, "LIMIT", limit)
     tokens = packing.Tokens(public_tokenizers.path("word_bpe_49k.json"))
-    for text in ("It's o'Neil's don't <|endoftext|>x", "ΣΑΣ é e\u0301 a\u00a0b ½² \x85 q\x1cq 漢字 😀\tt", "'''s ..'s I'LL ª"):
-        ids = b"".join(tokens[c] for c in tokens.chunks(text))
-        assert ids == np.array(tokens.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    texts = ["It's o'Neil's don't <|endoftext|>x", None, "ΣΑΣ é é a b ½² \x85 q\x1cq 漢字 😀\tt", "",
+             "'''s ..'s I'LL ª", "Word word, WORD word! a--b  a--b\n\nword$$$ wörd WÖRD"]
+    for cut in (texts, texts[2:], [None], [""], []):
+        array = pa.array(texts + cut, pa.string()).slice(len(texts))  # begins within its buffers
+        data, at = tokens.of_texts(array)
+        assert len(at) == len(cut) + 1
+        for text, since, until in zip(cut, at, at[1:]):
+            whole = tokens.whole.encode(text or "", add_special_tokens=False).ids
+            assert bytes(data[since:until]) == np.array(whole, "<u4").tobytes()
 
 
 def test_mix_meets_its_targets(docs, rows, none):
@@ -403,6 +412,47 @@ def test_weak_labels(docs, rows, none):
     assert posterior[0] > 0.9 and posterior[3] < 0.1
 
 
+def test_votes_and_posteriors_are_those_of_brute_force(spark, rows):
+    import unicodedata
+    extra = ["A1 b2! " * 30, "ǅ Σ ʰ ª 漢字 \U00010400 ́ ½ # " * 9, "", None, None]
+    texts = [(r[0], r[1]) for r in rows] + [(10_000, text) for text in extra]
+
+    def votes(text):
+        text = text or ""
+        kinds = [unicodedata.category(c) for c in text]
+        words = WORD.findall(text)
+        n, distinct, chars = len(words), len(set(words)), max(1, len(text))
+        upper, letters = kinds.count("Lu"), sum(k[0] == "L" for k in kinds)
+        ends = len(re.findall(r"[.!?](?=[ \t\n\x0b\f\r]|\Z)", text))
+        symbols, digits = (sum(c in kept for c in text) for kept in ("#*$%&|<>", "0123456789"))
+        per_word = letters / max(1, n)
+        bad_good = [(symbols > 0.1 * n, symbols == 0), (upper > 0.5 * letters, upper < 0.2 * letters),
+                    (n >= 20 and distinct < 0.2 * n, n >= 20 and distinct > 0.35 * n), (n < 5, n >= 50),
+                    (n >= 20 and ends > 0.4 * n or text.count("!") > 0.1 * n, ends > 0.02 * n),
+                    (per_word < 2 or per_word > 12, 3 <= per_word <= 10),
+                    (digits > 0.2 * chars, digits < 0.05 * chars)]
+        return tuple(0 if not n else -1 if bad else int(good) for bad, good in bad_good)
+
+    found = quality_classifier.classify(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    expected = [votes(text) for _, text in texts]
+    assert Counter((r.doc_id, tuple(r.votes)) for r in found) == Counter(zip([i for i, _ in texts], expected))
+    good = {v: min(0.95, max(0.05, 0.5 + sum(v) / 14)) for v in expected}
+    for _ in range(quality_classifier.ROUNDS):  # one document at a time, without logarithms
+        mass = {c: [{-1: 1.0, 1: 1.0} for _ in range(7)] for c in (0, 1)}
+        prior = {0: 1.0, 1: 1.0}
+        for v in expected:
+            for c, share in ((1, good[v]), (0, 1 - good[v])):
+                prior[c] += share
+                for h, vote in enumerate(v):
+                    if vote:
+                        mass[c][h][vote] += share
+        like = {v: [prior[c] * np.prod([mass[c][h][x] / sum(mass[c][h].values()) for h, x in enumerate(v) if x])
+                    for c in (0, 1)] for v in good}
+        good = {v: both[1] / sum(both) for v, both in like.items()}
+    for r in found:
+        assert r.weak_label == pytest.approx(good[tuple(r.votes)], abs=1e-5)
+
+
 def test_url_rules_and_templates(spark):
     urls = ["http://WWW.Example.COM/en/x?q", "http://a.example.com/en/", "http://net/fr/", "http://xnet/fr/",
             "a://b://c/d", "http://com", None, "nohost", "http://é.com/a\nb#x"]
