@@ -35,9 +35,13 @@ def measures(text: Column) -> dict[str, Column]:
     words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
     counted = {"words": F.size(words), "distinct": F.size(F.array_distinct(words)),
                "chars": F.length(text)}
-    for name, pattern in (("symbols", r"[#*$%&|<>]"), ("upper", r"\p{Lu}"), ("letters", r"\p{L}"),
-                          ("digits", r"[0-9]"), ("marks", r"!"), ("ends", r"[.!?](?=\s|$)")):
+    for name, pattern in (("symbols", r"[#*$%&|<>]"), ("digits", r"[0-9]"), ("marks", r"!"),
+                          ("ends", r"[.!?](?=\s|$)")):
         counted[name] = F.regexp_count(text, F.lit(pattern))
+    # Dense kinds are counted by what is left without the others: regexp_count lists every match.
+    letters = F.regexp_replace(text, r"\P{L}+", "")
+    counted["letters"] = F.length(letters)
+    counted["upper"] = F.length(F.regexp_replace(letters, r"\P{Lu}+", ""))
     return counted
 
 
