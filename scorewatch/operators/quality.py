@@ -13,6 +13,9 @@ from scorewatch.plans.ranking import quantiles
 from scorewatch.plans.spine import expected_groups
 from scorewatch.spec import DriftSpec, Source
 
+#: Distinct-value sketches have ``2 ** SKETCH_BITS`` registers: a standard error of 0.8 %.
+SKETCH_BITS = 14
+
 
 def missing_share(df: DataFrame, name: str) -> Column:
     return or_zero(F.avg(F.when(is_missing(df, name), 1.0).otherwise(0.0)))
@@ -151,3 +154,49 @@ def column_quality(df: DataFrame, scopes: Sequence[str], columns: Sequence[str],
         or_zero(ratio(F.sum(F.col("_n") * F.col("outside")),
                       F.sum(F.when(present, F.col("_n")).otherwise(0)))).alias("outlier_rate"),
         F.count_if(present).alias("unique_count"))
+
+
+def column_sketches(df: DataFrame, scopes: Sequence[str], columns: Sequence[str],
+                    bounds: dict[str, tuple[float, float]] | None = None,
+                    bits: int = SKETCH_BITS) -> DataFrame:
+    """Mergeable counts and a distinct-value sketch of every column per scope.
+
+    One scan, one row per scope in the shuffle whatever the number of values: rows are neither
+    exploded by column nor grouped by value. Values are hashed in their own type. A table kept per
+    month and segment gives the figures of any coarser scope through ``merge_sketches`` without
+    its accounts. A sketch has at most ``2 ** bits`` bytes.
+    """
+    bounds = bounds or {}
+    parts = []
+    for c in columns:
+        missing = is_missing(df, c)
+        outside = (F.col(c) < bounds[c][0]) | (F.col(c) > bounds[c][1]) if c in bounds else F.lit(False)
+        parts.append(F.struct(
+            F.lit(c).alias("column_name"), F.count(F.lit(1)).alias("total_count"),
+            F.count_if(missing).alias("missing_count"), F.count_if(outside).alias("outlier_count"),
+            F.hll_sketch_agg(F.when(~missing, F.xxhash64(c)), bits).alias("distinct_values")))
+    wide = df.groupBy(*scopes).agg(F.array(*parts).alias("_parts"))
+    return wide.select(*scopes, F.explode("_parts").alias("_p")).select(*scopes, "_p.*")
+
+
+def merge_sketches(sketches: DataFrame, scopes: Sequence[str]) -> DataFrame:
+    """Sketches of coarser scopes, or of tables put end to end, from finer ones."""
+    return sketches.groupBy(*scopes, "column_name").agg(
+        *[F.sum(c).alias(c) for c in ("total_count", "missing_count", "outlier_count")],
+        F.hll_union_agg("distinct_values").alias("distinct_values"))
+
+
+def sketched_quality(sketches: DataFrame) -> DataFrame:
+    """The figures of ``column_quality``, its distinct count as ``unique_estimate``."""
+    total, missing = F.col("total_count"), F.col("missing_count")
+    kept = [c for c in sketches.columns
+            if c not in ("total_count", "missing_count", "outlier_count", "distinct_values")]
+    return sketches.select(
+        *kept, "total_count", or_zero(ratio(missing, total)).alias("missing_rate"),
+        or_zero(ratio(F.col("outlier_count"), total - missing)).alias("outlier_rate"),
+        F.hll_sketch_estimate("distinct_values").alias("unique_estimate"))
+
+
+def within_sketch_error(estimate: Column, exact: Column, bits: int = SKETCH_BITS) -> Column:
+    """Whether an estimate lies within five standard errors (1.04 / sqrt(2 ** bits)) and one."""
+    return F.abs(estimate - exact) <= exact * (5 * 1.04 / 2 ** (bits / 2)) + 1

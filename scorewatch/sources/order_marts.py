@@ -39,9 +39,9 @@ def score_mart(spark: SparkSession, folder: str) -> DataFrame:
                   F.count(F.lit(1)).alias("lines"),
                   F.max("l_linenumber").alias("last_line")))
     price = F.col("o_totalprice")
-    orders = orders.withColumn("lfs_score", F.when(price >= 6000, price / 479909))
+    orders = orders.withColumn("risk_score", F.when(price >= 6000, price / 479909))
     # Binned before the joins: deciles depend on the orders alone.
-    orders = equal_bins(orders, ["o_orderstatus"], "lfs_score", "o_orderkey", "score_decile_static",
+    orders = equal_bins(orders, ["o_orderstatus"], "risk_score", "o_orderkey", "score_decile_static",
                         ntile_ranks(10), 10)
     return (orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
             .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
@@ -52,7 +52,7 @@ def score_mart(spark: SparkSession, folder: str) -> DataFrame:
                 F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED",
                        F.col("o_orderpriority")).alias("source"),
                 F.col("c_mktsegment").alias("line"),
-                "lfs_score", "score_decile_static",
+                "risk_score", "score_decile_static",
                 F.when(F.col("c_nationkey") < 12, "SC001").otherwise("SC002").alias("scorecard_id"),
                 indicator(F.col("c_acctbal") < -900).alias("is_excluded_from_monitoring"),
                 price.alias("saleamount"),

@@ -57,12 +57,12 @@ class Bucket:
 class Enrichment:
     dynamic_partition: tuple[str, ...]
     n_bins: int = 10
-    decile_col: str = "lfs_decile_dyn"
-    band_col: str | None = "lfs_band_dyn"
+    decile_col: str = "risk_decile_dyn"
+    band_col: str | None = "risk_band_dyn"
     bands: Mapping[str, tuple[int, ...]] = field(default_factory=dict)
     static_partition: tuple[str, ...] = ("channel",)
     static_bins: int = 10
-    static_col: str = "lfs_decile_static"
+    static_col: str = "risk_decile_static"
     buckets: tuple[Bucket, ...] = ()
     flags: Mapping[str, str] = field(default_factory=dict)
     hook: Callable | None = None

@@ -24,7 +24,7 @@ mart AS (
          strftime(o_orderdate, '%Y-%m') AS score_month, o_orderstatus AS channel,
          CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN o_orderpriority END AS source,
          c_mktsegment AS line,
-         CASE WHEN o_totalprice >= 6000 THEN o_totalprice / 479909 END AS lfs_score,
+         CASE WHEN o_totalprice >= 6000 THEN o_totalprice / 479909 END AS risk_score,
          CASE WHEN c_nationkey < 12 THEN 'SC001' ELSE 'SC002' END AS scorecard_id,
          CASE WHEN c_acctbal < -900 THEN 1 ELSE 0 END AS is_excluded,
          o_totalprice AS saleamount, CAST(lines AS INTEGER) AS salecount,
@@ -51,21 +51,21 @@ outcome AS (
 
 L1 = MART + """,
 static_edges AS (
-  SELECT channel, quantile_disc(lfs_score, [0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9]) AS edges
-  FROM mart WHERE score_month BETWEEN '1995-01' AND '1996-12' AND lfs_score IS NOT NULL
+  SELECT channel, quantile_disc(risk_score, [0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9]) AS edges
+  FROM mart WHERE score_month BETWEEN '1995-01' AND '1996-12' AND risk_score IS NOT NULL
   GROUP BY channel),
 deciled AS (
   SELECT mart.*, score_month AS vintage_month,
          CAST(ntile(10) OVER (PARTITION BY score_month, channel
-           ORDER BY lfs_score NULLS FIRST, creditaccountid) AS INTEGER) AS lfs_decile_dyn
+           ORDER BY risk_score NULLS FIRST, creditaccountid) AS INTEGER) AS risk_decile_dyn
   FROM mart),
 l1 AS (
   SELECT deciled.*,
-    CASE WHEN lfs_decile_dyn <= 3 THEN 'Low' WHEN lfs_decile_dyn <= 7 THEN 'Medium'
-         ELSE 'High' END AS lfs_band_dyn,
-    CASE WHEN lfs_score IS NOT NULL AND edges IS NOT NULL
-         THEN CAST(1 + len(list_filter(edges, lambda e: lfs_score > e)) AS INTEGER) END
-      AS lfs_decile_static,
+    CASE WHEN risk_decile_dyn <= 3 THEN 'Low' WHEN risk_decile_dyn <= 7 THEN 'Medium'
+         ELSE 'High' END AS risk_band_dyn,
+    CASE WHEN risk_score IS NOT NULL AND edges IS NOT NULL
+         THEN CAST(1 + len(list_filter(edges, lambda e: risk_score > e)) AS INTEGER) END
+      AS risk_decile_static,
     CASE WHEN endingreceivable <= 0 THEN '0 or less' WHEN endingreceivable <= 500 THEN '0-500'
          WHEN endingreceivable <= 1000 THEN '500-1K' WHEN endingreceivable <= 2500 THEN '1K-2.5K'
          WHEN endingreceivable <= 5000 THEN '2.5K-5K' WHEN endingreceivable > 5000 THEN '5K+' END
@@ -77,15 +77,15 @@ l1 AS (
          WHEN salecount > 5 THEN '6+' END AS salecount_bucket,
     CASE WHEN mob_pti <= 2 THEN '0-2' WHEN mob_pti <= 4 THEN '3-4' WHEN mob_pti <= 6 THEN '5-6'
          WHEN mob_pti > 6 THEN '7+' END AS mob_pti_bucket,
-    CASE WHEN lfs_score IS NULL THEN 1 ELSE 0 END AS dq_missing_flag,
-    CASE WHEN lfs_score < 0 OR lfs_score > 1 THEN 1 ELSE 0 END AS dq_outlier_flag
+    CASE WHEN risk_score IS NULL THEN 1 ELSE 0 END AS dq_missing_flag,
+    CASE WHEN risk_score < 0 OR risk_score > 1 THEN 1 ELSE 0 END AS dq_outlier_flag
   FROM deciled LEFT JOIN static_edges USING (channel)),
 report_base AS (SELECT * FROM mart WHERE score_month BETWEEN '1995-01' AND '1996-12'),
 spine AS (SELECT DISTINCT vintage_month, c.channel FROM l1, (VALUES ('F'),('O'),('P')) c(channel))"""
 
 STANDARD = ", ".join([
-    "count(*) AS account_count", d("avg(lfs_score)", "avg_lfs_score"),
-    d("sum(lfs_score)", "sum_lfs_score"),
+    "count(*) AS account_count", d("avg(risk_score)", "avg_risk_score"),
+    d("sum(risk_score)", "sum_risk_score"),
     d("sum(endingreceivable)", "total_endingreceivable"),
     d("avg(endingreceivable)", "avg_endingreceivable"), d("sum(saleamount)", "total_saleamount"),
     d("avg(saleamount)", "avg_saleamount"), "CAST(sum(salecount) AS BIGINT) AS total_salecount",
@@ -93,10 +93,10 @@ STANDARD = ", ".join([
 
 DISTRIBUTION = """
 distribution AS (
-  SELECT vintage_month, channel, lfs_decile_dyn, count(*) AS account_count,
-         avg(lfs_score) AS avg_lfs_score, sum(lfs_score) AS sum_lfs_score,
+  SELECT vintage_month, channel, risk_decile_dyn, count(*) AS account_count,
+         avg(risk_score) AS avg_risk_score, sum(risk_score) AS sum_risk_score,
          count(*) / sum(count(*)) OVER (PARTITION BY vintage_month, channel) AS share
-  FROM l1 GROUP BY vintage_month, channel, lfs_decile_dyn)"""
+  FROM l1 GROUP BY vintage_month, channel, risk_decile_dyn)"""
 
 
 def unpivot(table: str, keys: str, columns, cast: str = "DOUBLE", name: str = "feature_name",
@@ -133,8 +133,8 @@ def psi_ctes(prefix: str, ref: str, cur: str, ref_keys: list[str], keys: list[st
 
 
 DRIFT = L1 + """,
-ref AS (SELECT channel, lfs_score AS value FROM report_base WHERE lfs_score IS NOT NULL),
-cur AS (SELECT vintage_month, channel, lfs_score AS value FROM l1 WHERE lfs_score IS NOT NULL),
+ref AS (SELECT channel, risk_score AS value FROM report_base WHERE risk_score IS NOT NULL),
+cur AS (SELECT vintage_month, channel, risk_score AS value FROM l1 WHERE risk_score IS NOT NULL),
 """ + psi_ctes("s", "ref", "cur", ["channel"], ["vintage_month", "channel"]) + """,
 points AS (
   SELECT DISTINCT c.vintage_month, c.channel, v.value FROM (SELECT DISTINCT vintage_month, channel FROM cur) c
@@ -165,7 +165,7 @@ levels AS (
   FROM cur JOIN own USING (vintage_month, channel) LEFT JOIN tails USING (channel)
   GROUP BY vintage_month, channel),
 drift AS (
-  SELECT vintage_month, channel, coalesce(mean, 0) AS mean_lfs_score, coalesce(std, 0) AS std_lfs_score,
+  SELECT vintage_month, channel, coalesce(mean, 0) AS mean_risk_score, coalesce(std, 0) AS std_risk_score,
     coalesce(psi, 0) AS score_psi, coalesce(ks, 0) AS score_ks, coalesce(q50, 0) AS q50_score,
     coalesce(q80, 0) AS q80_score, coalesce(q90, 0) AS q90_score, coalesce(q95, 0) AS q95_score,
     coalesce(t10, 0) AS mean_top10pct_score, coalesce(t5, 0) AS mean_top5pct_score,
@@ -173,7 +173,7 @@ drift AS (
     coalesce(a95, 0) AS pct_accounts_above_p95_baseline
   FROM spine LEFT JOIN levels USING (vintage_month, channel)
        LEFT JOIN s_psi USING (vintage_month, channel) LEFT JOIN ks USING (vintage_month, channel))"""
-DRIFT_COLUMNS = ["mean_lfs_score", "std_lfs_score", "score_psi", "score_ks", "q50_score", "q80_score",
+DRIFT_COLUMNS = ["mean_risk_score", "std_risk_score", "score_psi", "score_ks", "q50_score", "q80_score",
                  "q90_score", "q95_score", "mean_top10pct_score", "mean_top5pct_score",
                  "pct_accounts_above_p90_baseline", "pct_accounts_above_p95_baseline"]
 
@@ -204,7 +204,7 @@ dq AS (
          coalesce(outl, 0) AS outlier_score_rate
   FROM spine LEFT JOIN (
     SELECT vintage_month, channel, avg(dq_missing_flag) AS miss,
-           avg(dq_outlier_flag) FILTER (lfs_score IS NOT NULL) AS outl
+           avg(dq_outlier_flag) FILTER (risk_score IS NOT NULL) AS outl
     FROM l1 GROUP BY vintage_month, channel) USING (vintage_month, channel))"""
 
 BOUNDS = """,
@@ -224,11 +224,11 @@ feature_quality AS (
 
 def corr_ctes() -> str:
     pairs_now = " UNION ALL ".join(
-        f"SELECT vintage_month, channel, '{c}' AS feature_name, CAST({c} AS DOUBLE) AS x, lfs_score AS y "
-        f"FROM l1 WHERE {c} IS NOT NULL AND lfs_score IS NOT NULL" for c in specs.FEATURES)
+        f"SELECT vintage_month, channel, '{c}' AS feature_name, CAST({c} AS DOUBLE) AS x, risk_score AS y "
+        f"FROM l1 WHERE {c} IS NOT NULL AND risk_score IS NOT NULL" for c in specs.FEATURES)
     pairs_then = " UNION ALL ".join(
-        f"SELECT channel, '{c}' AS feature_name, CAST({c} AS DOUBLE) AS x, lfs_score AS y "
-        f"FROM report_base WHERE {c} IS NOT NULL AND lfs_score IS NOT NULL" for c in specs.FEATURES)
+        f"SELECT channel, '{c}' AS feature_name, CAST({c} AS DOUBLE) AS x, risk_score AS y "
+        f"FROM report_base WHERE {c} IS NOT NULL AND risk_score IS NOT NULL" for c in specs.FEATURES)
     corr = ("CASE WHEN count(*) >= 2 THEN covar_pop(x, y) / nullif(stddev_pop(x) * stddev_pop(y), 0) END")
     return f""",
 corr AS (
@@ -257,14 +257,14 @@ v1 AS (
   FROM l1 LEFT JOIN outcome o ON l1.creditaccountid = o.creditaccountid
        AND l1.vintage_month = o.score_month),
 perf1 AS (
-  SELECT vintage_month, channel, count(*) AS account_count, avg(lfs_score) AS avg_lfs_score,
+  SELECT vintage_month, channel, count(*) AS account_count, avg(risk_score) AS avg_risk_score,
     avg(is_bad) AS actual_bad_rate, avg(edr30) AS edr30, avg(edr60) AS edr60, avg(edr90) AS edr90,
-    avg(is_bad) - avg(lfs_score) AS calibration_gap
+    avg(is_bad) - avg(risk_score) AS calibration_gap
   FROM v1 GROUP BY vintage_month, channel),
 cal1 AS (
-  SELECT vintage_month, channel, lfs_decile_static AS score_bin, count(*) AS account_count,
-    avg(lfs_score) AS predicted_rate, avg(is_bad) AS actual_rate,
-    avg(is_bad) - avg(lfs_score) AS calibration_gap
+  SELECT vintage_month, channel, risk_decile_static AS score_bin, count(*) AS account_count,
+    avg(risk_score) AS predicted_rate, avg(is_bad) AS actual_rate,
+    avg(is_bad) - avg(risk_score) AS calibration_gap
   FROM v1 GROUP BY ALL)"""
 
 TOP = """,
@@ -323,11 +323,11 @@ def _check(name: str, value: str, limit: str, strict: bool, source: str) -> str:
 
 
 def checks_sql() -> str:
-    nulls = ["creditaccountid", "customerid", "score_month", "lfs_score", "channel", *specs.FEATURES,
+    nulls = ["creditaccountid", "customerid", "score_month", "risk_score", "channel", *specs.FEATURES,
              *specs.BUSINESS]
-    per_group = ("(SELECT vintage_month, channel, count(DISTINCT lfs_decile_dyn) AS bins, count(*) AS n_rows, "
+    per_group = ("(SELECT vintage_month, channel, count(DISTINCT risk_decile_dyn) AS bins, count(*) AS n_rows, "
                  "sum(share) AS share FROM distribution GROUP BY ALL)")
-    l2 = ("(SELECT vintage_month, channel, count(*) AS n, avg(lfs_score) AS a FROM l1 GROUP BY ALL)")
+    l2 = ("(SELECT vintage_month, channel, count(*) AS n, avg(risk_score) AS a FROM l1 GROUP BY ALL)")
     mix = ("(SELECT vintage_month, channel, segment_type, sum(share) AS share, sum(account_count) AS n_mix "
            "FROM mix GROUP BY ALL)")
 
@@ -351,7 +351,7 @@ def checks_sql() -> str:
             f"avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END)" for c in nulls) + ")", "0.05", True, "l1"),
         matched("overall_summary", "1"), matched("by_source", "source"), matched("by_line", "line"),
         _check("summary_average_matches_accounts", "max(abs(a - b))", "0.0001", True,
-               f"{l2} JOIN (SELECT vintage_month, channel, sum(lfs_score) / count(lfs_score) AS b FROM l1 "
+               f"{l2} JOIN (SELECT vintage_month, channel, sum(risk_score) / count(risk_score) AS b FROM l1 "
                "GROUP BY ALL) USING (vintage_month, channel)"),
         _check("groups_without_all_deciles", "count(*) FILTER (bins <> 10)", "0.0", False, per_group),
         _check("duplicate_decile_rows", "sum(n_rows - bins)", "0.0", False, per_group),
@@ -361,7 +361,7 @@ def checks_sql() -> str:
         _check("negative_psi_or_ks", "count(*)", "0.0", False,
                "(SELECT * FROM drift WHERE score_psi < 0 OR score_ks < 0)"),
         _check("largest_score_psi", "max(score_psi)", "0.25", True, "drift"),
-        _check("drift_mean_matches_summary", "max(abs(mean_lfs_score - a))", "0.001", True,
+        _check("drift_mean_matches_summary", "max(abs(mean_risk_score - a))", "0.001", True,
                f"drift JOIN {l2} USING (vintage_month, channel)"),
         _check("largest_missing_score_rate", "max(missing_score_rate)", "0.01", True, "dq"),
         _check("data_quality_rates_out_of_bounds", "count(*)", "0.0", False,
@@ -395,30 +395,30 @@ def report_sql() -> dict[str, str]:
     with_l1 = f"WITH {L1} "
     flag = f"{d('value', 'value')}"
     out = {
-        "score_distribution": f"WITH {L1}, {DISTRIBUTION} SELECT vintage_month, channel, lfs_decile_dyn, "
-        f"account_count, {d('avg_lfs_score', 'avg_lfs_score')}, {d('sum_lfs_score', 'sum_lfs_score')}, "
+        "score_distribution": f"WITH {L1}, {DISTRIBUTION} SELECT vintage_month, channel, risk_decile_dyn, "
+        f"account_count, {d('avg_risk_score', 'avg_risk_score')}, {d('sum_risk_score', 'sum_risk_score')}, "
         f"{d('share', 'pct_of_channel_vintage_accounts')} FROM distribution",
         "dynamic_deciles": with_l1 + "SELECT creditaccountid, vintage_month AS month, channel, "
-        "lfs_decile_dyn, lfs_band_dyn FROM l1",
+        "risk_decile_dyn, risk_band_dyn FROM l1",
         "static_deciles": with_l1 + "SELECT creditaccountid, vintage_month AS month, channel, "
-        "lfs_decile_static FROM l1",
+        "risk_decile_static FROM l1",
         "buckets": with_l1 + "SELECT creditaccountid, receivable_bucket, saleamount_bucket, "
         "salecount_bucket, mob_pti_bucket FROM l1",
         "dq_flags": with_l1 + "SELECT creditaccountid, dq_missing_flag, dq_outlier_flag FROM l1",
         "enriched_accounts": with_l1 + "SELECT creditaccountid, customerid, channel, source, line, "
-        + ", ".join(d(c, c) for c in ["lfs_score", "saleamount", "endingreceivable", "quantity", "discount",
+        + ", ".join(d(c, c) for c in ["risk_score", "saleamount", "endingreceivable", "quantity", "discount",
                                       "tax", "balance"])
         + ", scorecard_id, is_excluded AS is_excluded_from_monitoring, salecount, mob_pti, lines, "
         "vintage_month AS month, '2001-05' AS score_month, 'v1.0' AS model_version, vintage_month, "
-        "lfs_decile_dyn, lfs_band_dyn, lfs_decile_static, receivable_bucket, saleamount_bucket, "
+        "risk_decile_dyn, risk_band_dyn, risk_decile_static, receivable_bucket, saleamount_bucket, "
         "salecount_bucket, mob_pti_bucket, dq_missing_flag, dq_outlier_flag FROM l1",
         "overall_summary": with_l1 + f"SELECT vintage_month, channel, {STANDARD} FROM l1 GROUP BY ALL",
         "band_shares": f"WITH {L1}, {DISTRIBUTION} SELECT vintage_month, channel, "
         + ", ".join(d(f"coalesce(sum(share) FILTER ({c}), 0)", n) for n, c in (
-            ("low_share", "lfs_decile_dyn <= 3"), ("medium_share", "lfs_decile_dyn BETWEEN 4 AND 7"),
-            ("high_share", "lfs_decile_dyn >= 8"))) + " FROM distribution GROUP BY ALL",
+            ("low_share", "risk_decile_dyn <= 3"), ("medium_share", "risk_decile_dyn BETWEEN 4 AND 7"),
+            ("high_share", "risk_decile_dyn >= 8"))) + " FROM distribution GROUP BY ALL",
         "channel_profile": f"WITH {MART} SELECT score_month AS month, channel, count(*) AS account_count, "
-        + ", ".join(d(f"{f}(lfs_score)", n) for f, n in (
+        + ", ".join(d(f"{f}(risk_score)", n) for f, n in (
             ("avg", "mean_score"), ("stddev_samp", "std_score"), ("min", "min_score"), ("max", "max_score")))
         + " FROM mart GROUP BY ALL",
         "period_mix": f"WITH {MART}, both_periods AS (SELECT 'current' AS period, source FROM mart UNION ALL "
@@ -442,15 +442,15 @@ def report_sql() -> dict[str, str]:
         "population_mix": with_l1 + MIX + "SELECT vintage_month, channel, segment_type, segment_value, "
         f"account_count, {d('share', 'pct_of_channel_accounts')} FROM mix",
         "performance_v1": with_l1 + ACTUALS + "SELECT vintage_month, channel, account_count, "
-        + ", ".join(d(c, c) for c in ("avg_lfs_score", "actual_bad_rate", "edr30", "edr60", "edr90",
+        + ", ".join(d(c, c) for c in ("avg_risk_score", "actual_bad_rate", "edr30", "edr60", "edr90",
                                       "calibration_gap"))
-        + ", " + d("avg_lfs_score", "predicted_bad_rate") + " FROM perf1",
+        + ", " + d("avg_risk_score", "predicted_bad_rate") + " FROM perf1",
         "calibration_v1": with_l1 + ACTUALS + "SELECT vintage_month, channel, score_bin, account_count, "
         + ", ".join(d(c, c) for c in ("predicted_rate", "actual_rate", "calibration_gap")) + " FROM cal1",
-        "drift_trend": f"WITH {DRIFT} SELECT channel, vintage_month, {d('mean_lfs_score', 'mean_score')}, "
+        "drift_trend": f"WITH {DRIFT} SELECT channel, vintage_month, {d('mean_risk_score', 'mean_score')}, "
         f"{d('score_psi', 'score_psi')}, "
         + ", ".join(d(f"{c} - lag({c}) OVER (PARTITION BY channel ORDER BY vintage_month)", n)
-                    for c, n in (("mean_lfs_score", "mean_change"), ("score_psi", "psi_change")))
+                    for c, n in (("mean_risk_score", "mean_change"), ("score_psi", "psi_change")))
         + " FROM drift",
         "top_features": with_l1 + FEATURE_PSI + TOP + "SELECT vintage_month, feature_name, "
         + ", ".join(d(c, c) for c in ("max_psi", "baseline_mean", "current_mean")) + ", "

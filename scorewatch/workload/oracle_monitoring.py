@@ -71,9 +71,9 @@ LISTED = """(SELECT * FROM (SELECT DISTINCT reporting_month, scorecard FROM cs),
     USING (reporting_month, scorecard, channel)"""
 
 SCORE_STABILITY = f""",
-cs AS (SELECT reporting_month, scorecard, channel, lfs_score AS value FROM {by_scope('cur')}),
+cs AS (SELECT reporting_month, scorecard, channel, risk_score AS value FROM {by_scope('cur')}),
 ss_cur AS (SELECT * FROM cs WHERE value IS NOT NULL),
-ss_ref AS (SELECT scorecard, channel, lfs_score AS value FROM {by_scope('base')} WHERE lfs_score IS NOT NULL),
+ss_ref AS (SELECT scorecard, channel, risk_score AS value FROM {by_scope('base')} WHERE risk_score IS NOT NULL),
 """ + psi_ctes("ss", "ss_ref", "ss_cur", ["scorecard", "channel"],
                ["reporting_month", "scorecard", "channel"]) + f""",
 stability AS (
@@ -107,10 +107,10 @@ def interval_case(column: str) -> str:
 
 
 PSI_TABLE = f""",
-pt_cur AS (SELECT reporting_month, scorecard, {interval_case('lfs_score')} AS bin FROM {by_card('cur')}
-           WHERE lfs_score IS NOT NULL),
-pt_ref AS (SELECT scorecard, {interval_case('lfs_score')} AS bin FROM {by_card('base')}
-           WHERE lfs_score IS NOT NULL),
+pt_cur AS (SELECT reporting_month, scorecard, {interval_case('risk_score')} AS bin FROM {by_card('cur')}
+           WHERE risk_score IS NOT NULL),
+pt_ref AS (SELECT scorecard, {interval_case('risk_score')} AS bin FROM {by_card('base')}
+           WHERE risk_score IS NOT NULL),
 pt AS (
   SELECT g.reporting_month, g.scorecard, i AS bin, i / 10 AS min_score, (i + 1) / 10 AS max_score,
          coalesce(r.c, 0) AS baseline_count, coalesce(q.c, 0) AS compare_count,
@@ -150,13 +150,13 @@ ct AS (
   LEFT JOIN ct_q q ON q.reporting_month = g.reporting_month AND q.scorecard = g.scorecard
     AND q.feature = g.feature AND q.bin = i)"""
 
-COLUMNS = ["lfs_score", "channel", *FEATURES]
+COLUMNS = ["risk_score", "channel", *FEATURES]
 COLUMN_QUALITY = ", cq AS (SELECT reporting_month, scorecard, column_name, count(*) AS total_count, " \
     "avg(CASE WHEN value IS NULL THEN 1.0 ELSE 0.0 END) AS missing_rate, " \
     "coalesce(avg(outside) FILTER (value IS NOT NULL), 0) AS outlier_rate, " \
     "count(DISTINCT value) AS unique_count FROM (" + " UNION ALL ".join(
         f"SELECT reporting_month, scorecard, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, "
-        + ("CASE WHEN lfs_score < 0 OR lfs_score > 1 THEN 1 ELSE 0 END" if c == "lfs_score" else "0")
+        + ("CASE WHEN risk_score < 0 OR risk_score > 1 THEN 1 ELSE 0 END" if c == "risk_score" else "0")
         + f" AS outside FROM {by_card('cur')}" for c in COLUMNS) + ") GROUP BY ALL)"
 
 MIX_SHIFT = """,
@@ -191,7 +191,7 @@ ms AS (
 PERFORMANCE = f""",
 perf AS (
   SELECT reporting_month, maturity, scorecard, channel, max(score_month) AS score_month,
-    count(*) AS account_count, coalesce(avg(lfs_score), 0) AS avg_score, avg(edr) AS edr,
+    count(*) AS account_count, coalesce(avg(risk_score), 0) AS avg_score, avg(edr) AS edr,
     CAST(sum(edr) AS BIGINT) AS edr_count, avg(bad) AS bad_rate, CAST(sum(bad) AS BIGINT) AS bad_count
   FROM {by_scope('cohort')} GROUP BY ALL),
 base_perf AS (SELECT maturity, scorecard, channel, avg(edr) AS edr FROM {by_scope('base_cohort')} GROUP BY ALL),
@@ -208,8 +208,8 @@ def calibration_ctes(decile: str = "score_decile_static", source: str = "cohort"
 cal AS (
   SELECT reporting_month, maturity, scorecard, channel, max(score_month) AS score_month,
     coalesce({decile}, 0) AS score_bin, count(*) AS account_count, CAST(coalesce(sum(bad), 0) AS BIGINT) AS bad_count,
-    coalesce(avg(lfs_score), 0) AS predicted_rate, coalesce(avg(bad), 0) AS actual_rate,
-    coalesce(avg(bad), 0) - coalesce(avg(lfs_score), 0) AS calibration_gap
+    coalesce(avg(risk_score), 0) AS predicted_rate, coalesce(avg(bad), 0) AS actual_rate,
+    coalesce(avg(bad), 0) - coalesce(avg(risk_score), 0) AS calibration_gap
   FROM {by_scope(source)} WHERE maturity = 'M12' GROUP BY reporting_month, maturity, scorecard, channel, {decile}),
 cal_ok AS (
   SELECT *, min(account_count) FILTER (channel = 'all') OVER (PARTITION BY reporting_month, maturity, scorecard)
@@ -220,17 +220,17 @@ CALIBRATION = calibration_ctes()
 OWN_DECILES = """,
 own_edges AS (
   SELECT reporting_month, maturity,
-    list_distinct(quantile_disc(lfs_score, [0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9])) AS edges
-  FROM cohort WHERE lfs_score IS NOT NULL GROUP BY ALL),
+    list_distinct(quantile_disc(risk_score, [0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9])) AS edges
+  FROM cohort WHERE risk_score IS NOT NULL GROUP BY ALL),
 own_cohort AS (
-  SELECT cohort.*, CASE WHEN lfs_score IS NOT NULL
-    THEN CAST(1 + len(list_filter(edges, lambda e: lfs_score > e)) AS INTEGER) END AS own_decile
+  SELECT cohort.*, CASE WHEN risk_score IS NOT NULL
+    THEN CAST(1 + len(list_filter(edges, lambda e: risk_score > e)) AS INTEGER) END AS own_decile
   FROM cohort LEFT JOIN own_edges USING (reporting_month, maturity))"""
 
 
 def separation_ctes(prefix: str, rows: str, keys: str, accounts: int = 100, bads: int = 10) -> str:
     return f""",
-{prefix}_rows AS (SELECT {keys}, lfs_score AS s, bad FROM {rows}),
+{prefix}_rows AS (SELECT {keys}, risk_score AS s, bad FROM {rows}),
 {prefix}_values AS (
   SELECT {keys}, s, count(*) FILTER (bad = 0) AS g, count(*) FILTER (bad = 1) AS b
   FROM {prefix}_rows WHERE s IS NOT NULL AND bad IN (0, 1) GROUP BY ALL),
@@ -275,11 +275,11 @@ odds_rows AS (
 
 KS_TABLE = SEPARATION + f""",
 tier_rows AS (
-  SELECT {KEYS}, lfs_score AS s, bad,
-    least(((row_number() OVER (PARTITION BY {KEYS} ORDER BY lfs_score, creditaccountid) - 1) * 20)
+  SELECT {KEYS}, risk_score AS s, bad,
+    least(((row_number() OVER (PARTITION BY {KEYS} ORDER BY risk_score, creditaccountid) - 1) * 20)
       // count(*) OVER (PARTITION BY {KEYS}) + 1, 20) AS tier
   FROM {by_card('cohort')} JOIN (SELECT {KEYS} FROM sep WHERE note IS NULL) USING ({KEYS})
-  WHERE lfs_score IS NOT NULL AND bad IS NOT NULL),
+  WHERE risk_score IS NOT NULL AND bad IS NOT NULL),
 tiers AS (
   SELECT {KEYS}, tier, min(s) AS min_score, max(s) AS max_score, count(*) AS accounts_n,
     count(*) FILTER (bad <> 1) AS goods_n, count(*) FILTER (bad = 1) AS bads_n
@@ -421,10 +421,10 @@ def monitoring_sql() -> dict[str, str]:
     cal_columns = (f"SELECT {KEYS}, channel, score_month, score_bin, account_count, bad_count, "
                    + columns("predicted_rate", "actual_rate", "calibration_gap") + ", sample_sufficient")
     rolling_ctes = f""",
-cs AS (SELECT reporting_month, scorecard, channel, lfs_score AS value FROM {by_scope('cur')}),
+cs AS (SELECT reporting_month, scorecard, channel, risk_score AS value FROM {by_scope('cur')}),
 rs_cur AS (SELECT * FROM cs WHERE value IS NOT NULL),
-rs_ref AS (SELECT reporting_month, scorecard, channel, lfs_score AS value FROM {by_scope('roll')}
-           WHERE lfs_score IS NOT NULL),
+rs_ref AS (SELECT reporting_month, scorecard, channel, risk_score AS value FROM {by_scope('roll')}
+           WHERE risk_score IS NOT NULL),
 """ + psi_ctes("rs", "rs_ref", "rs_cur", ["reporting_month", "scorecard", "channel"],
                ["reporting_month", "scorecard", "channel"])
     return {
@@ -478,9 +478,9 @@ rs_ref AS (SELECT reporting_month, scorecard, channel, lfs_score AS value FROM {
         + d("compare_pct - baseline_pct", "difference") + ", "
         + d("(compare_pct - baseline_pct) * ln(compare_pct / baseline_pct)", "information_value") + " FROM ct",
         "score_quality": w + f"SELECT {scope}, "
-        + d("avg(CASE WHEN lfs_score IS NULL THEN 1.0 ELSE 0.0 END)", "score_missing_rate") + ", "
-        + d("coalesce(avg(CASE WHEN lfs_score < 0 OR lfs_score > 1 THEN 1.0 ELSE 0.0 END) "
-            "FILTER (lfs_score IS NOT NULL), 0)", "score_outlier_rate")
+        + d("avg(CASE WHEN risk_score IS NULL THEN 1.0 ELSE 0.0 END)", "score_missing_rate") + ", "
+        + d("coalesce(avg(CASE WHEN risk_score < 0 OR risk_score > 1 THEN 1.0 ELSE 0.0 END) "
+            "FILTER (risk_score IS NOT NULL), 0)", "score_outlier_rate")
         + f", count(*) AS total_accounts FROM {by_scope('cur')} GROUP BY ALL",
         "feature_missing": w + "SELECT reporting_month, scorecard, feature_name, count(*) AS total_count, "
         "count(*) - count(value) AS missing_count, " + d("(count(*) - count(value)) / count(*)", "missing_rate")
@@ -488,6 +488,9 @@ rs_ref AS (SELECT reporting_month, scorecard, channel, lfs_score AS value FROM {
         "column_quality": w + COLUMN_QUALITY + "SELECT reporting_month, scorecard, column_name, total_count, "
         + columns("missing_rate", "outlier_rate") + f", unique_count, {d('0.01', 'warning')}, {d('0.05', 'alert')}, "
         + status("missing_rate", "0.01", "0.05") + " AS missing_status FROM cq",
+        "column_quality_sketched": w + COLUMN_QUALITY + "SELECT reporting_month, column_name, total_count, "
+        + columns("missing_rate", "outlier_rate") + ", unique_count, true AS within_error FROM cq "
+        "WHERE scorecard = 'overall'",
         "record_quality": w + "SELECT reporting_month, scorecard, count(*) AS total_records, "
         + d("1 - count(DISTINCT creditaccountid) / count(*)", "duplicate_rate") + ", "
         + d("(" + " + ".join(f"count(*) - count({c})" for c in COLUMNS) + f") / (count(*) * {len(COLUMNS)})",
@@ -505,7 +508,7 @@ rs_ref AS (SELECT reporting_month, scorecard, channel, lfs_score AS value FROM {
         + " FROM ct GROUP BY ALL",
         "portfolio": w + f"SELECT reporting_month, scorecard, current_accounts, baseline_accounts, "
         f"{d('coalesce(m, 0)', 'mean_score')} FROM (SELECT reporting_month, scorecard, count(*) AS current_accounts, "
-        f"avg(lfs_score) AS m FROM {by_card('cur')} GROUP BY ALL) JOIN (SELECT scorecard, count(*) AS "
+        f"avg(risk_score) AS m FROM {by_card('cur')} GROUP BY ALL) JOIN (SELECT scorecard, count(*) AS "
         f"baseline_accounts FROM {by_card('base')} GROUP BY ALL) USING (scorecard)",
         "performance_windows": w + PERFORMANCE + f"SELECT {KEYS}, channel, score_month, account_count, edr_count, "
         "bad_count, " + columns("avg_score", "edr", "bad_rate") + " FROM perf",
@@ -514,7 +517,7 @@ rs_ref AS (SELECT reporting_month, scorecard, channel, lfs_score AS value FROM {
         + " ".join(f"WHEN '{m}' THEN '{label}'" for m, _, _, _, _, label in WINDOWS)
         + f" END AS display_label, {d('0.01', 'warning')}, {d('0.03', 'alert')}, "
         + status("edr_delta", "0.01", "0.03") + " AS edr_delta_status FROM perf_report",
-        "edr_rank_ordering": w + f", b AS (SELECT {KEYS}, {interval_case('lfs_score')} AS bin, edr "
+        "edr_rank_ordering": w + f", b AS (SELECT {KEYS}, {interval_case('risk_score')} AS bin, edr "
         f"FROM {by_card('cohort')}), g AS (SELECT {KEYS}, count(*) AS n FROM b GROUP BY ALL), "
         f"t AS (SELECT g.*, i, coalesce(c, 0) AS accounts_n, coalesce(r, 0) AS observation_pct FROM g, range(10) t(i) "
         f"LEFT JOIN (SELECT {KEYS}, bin, count(*) AS c, avg(edr) AS r FROM b GROUP BY ALL) x "
@@ -525,8 +528,8 @@ rs_ref AS (SELECT reporting_month, scorecard, channel, lfs_score AS value FROM {
         + f", CASE WHEN observation_pct < lag(observation_pct) OVER (PARTITION BY {KEYS} ORDER BY i) THEN 'YES' "
         "ELSE 'NO' END AS misrank FROM t",
         "risk_capture": w + f"SELECT {KEYS}, {d('0.5', 'threshold')}, "
-        + d("count(*) FILTER (lfs_score >= 0.5) / count(*)", "pct_population_flagged") + ", "
-        + d("coalesce(count(*) FILTER (lfs_score >= 0.5 AND edr = 1) / nullif(count(*) FILTER (edr = 1), 0), 0)",
+        + d("count(*) FILTER (risk_score >= 0.5) / count(*)", "pct_population_flagged") + ", "
+        + d("coalesce(count(*) FILTER (risk_score >= 0.5 AND edr = 1) / nullif(count(*) FILTER (edr = 1), 0), 0)",
             "pct_bad_captured") + f" FROM {by_card('cohort')} GROUP BY ALL",
         "calibration_m12": w + CALIBRATION + cal_columns + f", {d('0.02', 'warning')}, {d('0.05', 'alert')}, "
         + status("abs(calibration_gap)", "0.02", "0.05") + " AS gap_status FROM cal_ok",
@@ -573,7 +576,7 @@ rs_ref AS (SELECT reporting_month, scorecard, channel, lfs_score AS value FROM {
         f"{d('value', 'value')} FROM found UNION ALL SELECT DISTINCT reporting_month, NULL, 'no_issues', NULL, NULL "
         "FROM stability WHERE reporting_month NOT IN (SELECT reporting_month FROM found)",
         "availability": availability_sql(),
-        "by_scorecard": w + f"SELECT {scope}, count(*) AS account_count, {d('avg(lfs_score)', 'avg_score')} "
+        "by_scorecard": w + f"SELECT {scope}, count(*) AS account_count, {d('avg(risk_score)', 'avg_score')} "
         f"FROM {by_scope('cur')} GROUP BY ALL",
         "top_drifting": w + FEATURE_STABILITY + "SELECT reporting_month, scorecard, feature_name, "
         f"{d('psi', 'psi')}, CAST(psi_rank AS INTEGER) AS psi_rank FROM (SELECT *, row_number() OVER "

@@ -142,7 +142,7 @@ def report_view(name: str, spark: SparkSession, folder: str) -> DataFrame:
 def score_distribution(spark, folder):
     rows = report_rows(spark, folder).withColumn("vintage_month", F.col("month"))
     e = specs.ENRICHMENT
-    rows = binning.dynamic_bins(rows, "lfs_score", e.n_bins, e.dynamic_partition, e.decile_col,
+    rows = binning.dynamic_bins(rows, "risk_score", e.n_bins, e.dynamic_partition, e.decile_col,
                                 "creditaccountid")
     return summaries.business_table(rows, specs.TABLES[1])
 
@@ -151,7 +151,7 @@ def score_distribution(spark, folder):
 def dynamic_deciles(spark, folder):
     rows = report_rows(spark, folder)
     e = specs.ENRICHMENT
-    rows = binning.dynamic_bins(rows, "lfs_score", e.n_bins, e.dynamic_partition, e.decile_col,
+    rows = binning.dynamic_bins(rows, "risk_score", e.n_bins, e.dynamic_partition, e.decile_col,
                                 "creditaccountid")
     rows = binning.with_band(rows, e.decile_col, e.bands, e.band_col)
     return rows.select("creditaccountid", "month", "channel", e.decile_col, e.band_col)
@@ -159,9 +159,9 @@ def dynamic_deciles(spark, folder):
 
 @query
 def static_deciles(spark, folder):
-    rows = binning.static_bins(report_rows(spark, folder), report_baseline(spark, folder), "lfs_score",
-                               10, ["channel"], "lfs_decile_static")
-    return rows.select("creditaccountid", "month", "channel", "lfs_decile_static")
+    rows = binning.static_bins(report_rows(spark, folder), report_baseline(spark, folder), "risk_score",
+                               10, ["channel"], "risk_decile_static")
+    return rows.select("creditaccountid", "month", "channel", "risk_decile_static")
 
 
 @query
@@ -204,12 +204,12 @@ for _name in ("overall_summary", "by_source", "by_line", "by_receivable_bucket",
 @query
 def band_shares(spark, folder):
     table = summaries.business_table(account(spark, folder), specs.TABLES[1])
-    return summaries.band_shares(table, "lfs_decile_dyn", "pct_of_channel_vintage_accounts", specs.BANDS)
+    return summaries.band_shares(table, "risk_decile_dyn", "pct_of_channel_vintage_accounts", specs.BANDS)
 
 
 @query
 def channel_profile(spark, folder):
-    return summaries.score_profile(report_rows(spark, folder), ["month", "channel"], "lfs_score")
+    return summaries.score_profile(report_rows(spark, folder), ["month", "channel"], "risk_score")
 
 
 @query
@@ -261,7 +261,7 @@ def performance_v1(spark, folder):
 @query
 def calibration_v1(spark, folder):
     return outcomes.vintage_calibration(account(spark, folder), actuals(spark, folder), specs.SOURCE,
-                                        "lfs_decile_static")
+                                        "risk_decile_static")
 
 
 @query
@@ -384,13 +384,13 @@ def _scoped(df: DataFrame) -> DataFrame:
 @query
 def psi_table(spark, folder):
     return drift.psi_table(_scoped(base(spark, folder)), _scoped(current(spark, folder)), ["scorecard"],
-                           R, "lfs_score", SPEC.intervals)
+                           R, "risk_score", SPEC.intervals)
 
 
 @query
 def psi_table_totals(spark, folder):
     table = drift.psi_table(_scoped(base(spark, folder)), _scoped(current(spark, folder)),
-                            ["scorecard"], R, "lfs_score", SPEC.intervals)
+                            ["scorecard"], R, "risk_score", SPEC.intervals)
     return drift.table_totals(table, ["reporting_month", "scorecard"], "contribution", "total_psi")
 
 
@@ -418,8 +418,8 @@ def feature_missing(spark, folder):
     return stability.feature_missing(current(spark, folder), SPEC)
 
 
-COLUMN_BOUNDS = {"lfs_score": (0.0, 1.0)}
-QUALITY_COLUMNS = ["lfs_score", "channel", *specs.FEATURES]
+COLUMN_BOUNDS = {"risk_score": (0.0, 1.0)}
+QUALITY_COLUMNS = ["risk_score", "channel", *specs.FEATURES]
 
 
 @query
@@ -430,6 +430,20 @@ def column_quality(spark, folder):
                             "missing_status")
 
 
+@query
+def column_quality_sketched(spark, folder):
+    """Figures of all channels and scorecards merged from sketches of each; estimates are held against exact counts."""
+    rows = current(spark, folder)
+    fine = quality.column_sketches(rows.withColumn("segment", F.col("channel")),
+                                   ["reporting_month", "segment", SPEC.scorecard], QUALITY_COLUMNS, COLUMN_BOUNDS)
+    merged = quality.sketched_quality(quality.merge_sketches(fine, R))
+    exact = quality.column_quality(rows, R, QUALITY_COLUMNS, COLUMN_BOUNDS).select(
+        *R, "column_name", "unique_count")
+    return (merged.join(exact, [*R, "column_name"])
+            .withColumn("within_error", quality.within_sketch_error(F.col("unique_estimate"), F.col("unique_count")))
+            .drop("unique_estimate"))
+
+
 @query
 def record_quality(spark, folder):
     return quality.record_quality(_scoped(current(spark, folder)), ["reporting_month", "scorecard"],
@@ -584,7 +598,7 @@ def by_scorecard(spark, folder):
     """Accounts and average score per scope: overall, scorecard, all and each channel."""
     rows = over_scopes(current(spark, folder), "channel", specs.CHANNELS, SPEC.scorecard)
     return rows.groupBy("reporting_month", "scorecard", "channel").agg(
-        F.count(F.lit(1)).alias("account_count"), F.avg("lfs_score").alias("avg_score"))
+        F.count(F.lit(1)).alias("account_count"), F.avg("risk_score").alias("avg_score"))
 
 
 @query

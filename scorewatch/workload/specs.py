@@ -14,7 +14,7 @@ REPORT_BASELINE = ("1995-01", "1996-12")
 RUN_MONTH, RUN_VERSION = "2001-05", "v1.0"
 WATCHED_SOURCE = "1-URGENT"
 
-SOURCE = Source(keys=KEYS, month="month", score="lfs_score", channel="channel", channels=CHANNELS,
+SOURCE = Source(keys=KEYS, month="month", score="risk_score", channel="channel", channels=CHANNELS,
                 features=FEATURES, business=BUSINESS)
 
 BANDS = {"Low": (1, 2, 3), "Medium": (4, 5, 6, 7), "High": (8, 9, 10)}
@@ -31,15 +31,15 @@ ENRICHMENT = Enrichment(
         Bucket("mob_pti_bucket", "mob_pti", (2, 4, 6), ("0-2", "3-4", "5-6", "7+")),
     ),
     flags={
-        "dq_missing_flag": "CASE WHEN lfs_score IS NULL THEN 1 ELSE 0 END",
-        "dq_outlier_flag": "CASE WHEN lfs_score < 0 OR lfs_score > 1 THEN 1 ELSE 0 END",
+        "dq_missing_flag": "CASE WHEN risk_score IS NULL THEN 1 ELSE 0 END",
+        "dq_outlier_flag": "CASE WHEN risk_score < 0 OR risk_score > 1 THEN 1 ELSE 0 END",
     },
 )
 
 STANDARD_METRICS = (
     Metric("count", "account_count"),
-    Metric("avg", "avg_lfs_score", "lfs_score"),
-    Metric("sum", "sum_lfs_score", "lfs_score"),
+    Metric("avg", "avg_risk_score", "risk_score"),
+    Metric("sum", "sum_risk_score", "risk_score"),
     Metric("sum", "total_endingreceivable", "endingreceivable"),
     Metric("avg", "avg_endingreceivable", "endingreceivable"),
     Metric("sum", "total_saleamount", "saleamount"),
@@ -55,7 +55,7 @@ def _by(name: str, *extra: str) -> TableSpec:
 
 TABLES = (
     _by("overall_summary"),
-    TableSpec("score_distribution", ("vintage_month", "channel", "lfs_decile_dyn"),
+    TableSpec("score_distribution", ("vintage_month", "channel", "risk_decile_dyn"),
               STANDARD_METRICS[:3],
               (Share("pct_of_channel_vintage_accounts", "account_count",
                      ("vintage_month", "channel")),)),
@@ -81,7 +81,7 @@ THRESHOLDS = Thresholds(
 )
 
 MONITORING = Monitoring(
-    source=Source(keys=KEYS, month="score_month", score="lfs_score", channel="channel",
+    source=Source(keys=KEYS, month="score_month", score="risk_score", channel="channel",
                   channels=CHANNELS, features=FEATURES),
     thresholds=THRESHOLDS,
     baseline=Baseline("fixed_window", "1996-01", "1996-12"),

@@ -5,7 +5,7 @@ from scorewatch.operators import binning
 from scorewatch.spec import Bucket
 from tests.conftest import rows_by
 
-BANDS = {"Low": [1, 2, 3], "Medium": [4, 5, 6, 7], "High": [8, 9, 10]}
+BANDS = {"calm": [1, 2], "watch": [3, 4, 5, 6], "act": [7, 8, 9]}
 
 
 def scores(spark, rows):
@@ -65,19 +65,19 @@ def test_fallback_deciles_spread_over_all_bins(spark):
 
 
 def test_bucket_is_right_closed(spark):
-    bucket = Bucket("b", "amount", (100, 500), ("Low", "Mid", "High"))
-    df = spark.createDataFrame([(1, 50.0), (2, 100.0), (3, 300.0), (4, 500.0), (5, 900.0), (6, None)],
-                               "id long, amount double")
+    bucket = Bucket("b", "hours", (7.5, 40, 61), ("short", "part", "full", "over"))
+    df = spark.createDataFrame([(1, -3.0), (2, 7.5), (3, 7.6), (4, 40.0), (5, 61.0), (6, 61.5), (7, None)],
+                               "id long, hours double")
     got = rows_by(binning.with_bucket(df, bucket), "id")
-    assert [got[i]["b"] for i in range(1, 7)] == ["Low", "Low", "Mid", "Mid", "High", None]
+    assert [got[i]["b"] for i in range(1, 8)] == ["short", "short", "part", "part", "full", "over", None]
 
 
 def test_bucket_needs_one_more_label_than_boundaries():
     with pytest.raises(ValueError):
-        Bucket("b", "amount", (100, 500), ("Low", "High"))
+        Bucket("b", "hours", (7.5, 40), ("short", "full"))
 
 
 def test_bands(spark):
     df = spark.createDataFrame([(1, 2), (2, 7), (3, 9), (4, None), (5, 11)], "id long, decile int")
     got = rows_by(binning.with_band(df, "decile", BANDS, "band"), "id")
-    assert [got[i]["band"] for i in range(1, 6)] == ["Low", "Medium", "High", None, None]
+    assert [got[i]["band"] for i in range(1, 6)] == ["calm", "act", "act", None, None]

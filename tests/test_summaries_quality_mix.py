@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from scorewatch.functions.columns import numeric_columns
 from scorewatch.operators import mix, quality, summaries
@@ -102,6 +103,29 @@ def test_column_and_record_quality(spark):
     assert row["overall_missing_rate"] == pytest.approx(2 / 6)
 
 
+def test_sketches_merge_to_the_figures_of_exact_counts(spark):
+    n = 60_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 10 == 0, None).otherwise(F.col("id") % 20_011).cast("double").alias("v"),
+        F.when(F.col("id") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("id") % 3).alias("w"),
+        F.concat(F.lit("t"), F.col("id") % 400).alias("t"), F.lit(None).cast("int").alias("empty"),
+        (F.col("id") % 12).alias("month"), F.when(F.col("id") % 3 > 0, F.lit("hot")).alias("part"))
+    columns, bounds = ["v", "w", "t", "empty"], {"v": (100.0, 20_000.0)}
+    fine = quality.column_sketches(df, ["month", "part"], columns, bounds)
+    for scopes in ([], ["part"], ["month", "part"]):
+        got = quality.sketched_quality(quality.merge_sketches(fine, scopes))
+        exact = quality.column_quality(df, scopes, columns, bounds)
+        same = rows_by(got, *scopes, "column_name")
+        wanted = rows_by(exact, *scopes, "column_name")
+        assert set(same) == set(wanted)
+        for key, row in wanted.items():
+            for name in ("total_count", "missing_rate", "outlier_rate"):
+                assert same[key][name] == pytest.approx(row[name])
+            assert abs(same[key]["unique_estimate"] - row["unique_count"]) <= 0.04 * row["unique_count"] + 1
+    none = quality.column_sketches(df.limit(0), ["part"], columns, bounds)
+    assert quality.sketched_quality(quality.merge_sketches(none, ["part"])).count() == 0
+
+
 def test_population_mix(spark):
     df = spark.createDataFrame([("m", "A", "x", 1), ("m", "A", None, 1), ("m", "B", "x", 2)],
                                "vintage_month string, channel string, source string, code int")
