@@ -168,7 +168,10 @@ def op9_pii(spark, sf_dir: str) -> DataFrame:
     docs = with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
     spans = F.col("spans")
     base = F.filter(spans, lambda s: s["rank"] < len(PLAIN))
+
+    def number(rank: int) -> Column:  # a second lambda parameter would be the place in the array
+        return F.size(F.filter(spans, lambda s: s["rank"] == rank)).cast("long")
+
     return docs.select(
-        "doc_id", *[F.size(F.filter(spans, lambda s, i=i: s["rank"] == i)).cast("long").alias(f"n_{k.name}")
-                    for i, k in enumerate(PLAIN)],
+        "doc_id", *[number(i).alias(f"n_{k.name}") for i, k in enumerate(PLAIN)],
         F.sha2(_joined(base), 256).alias("base_sha256"), _joined(spans).alias("spans"))

@@ -366,6 +366,17 @@ def test_personal_data(spark, docs, none):
     assert personal_data.with_spans(none).count() == 0
 
 
+def test_personal_data_counts_by_kind(spark, tmp_path):
+    texts = ["a@b.c d@e.f 1.2.3.4", "+1 (620) 555-8424", "4111 1111 1111 1111 x@y.z", "nothing", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    for r in personal_data.op9_pii(spark, str(tmp_path)).collect():
+        base = brute_spans(texts[r.doc_id])
+        kinds = [name for *_, name in base]
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [kinds.count(k) for k in ("email", "ip", "card", "phone")]
+        assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for a, _, b, k in base).encode()).hexdigest()
+
+
 def test_language_profiles(docs, none, spark):
     held = language_id.held_out()
     docs = docs.withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "xx").otherwise(F.col("lang")))
