@@ -289,3 +289,13 @@ def test_month_column_moves_like_the_month(spark):
         got = rows_by(df.select("m", shift_month_col(F.col("m"), k).alias("to")), "m")
         assert [got[m]["to"] for m in ("2024-01", "1999-12")] == [shift_month(m, k) for m in ("2024-01", "1999-12")]
         assert got["junk"]["to"] is None and got[None]["to"] is None
+
+
+def plan_lines(df):
+    """Lines of the physical plan; of an aggregate's, the deepest reads the rows."""
+    return df._jdf.queryExecution().executedPlan().toString().split("\n")
+
+
+def test_months_are_shifted_once_a_month(spark, marts):
+    split = [line for line in plan_lines(cohorts.performance_cohorts(*marts, SPEC)) if "Generate explode" in line]
+    assert split and not any("lpad" in line for line in split if "edr" in line)
