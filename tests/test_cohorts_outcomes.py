@@ -296,6 +296,14 @@ def plan_lines(df):
     return df._jdf.queryExecution().executedPlan().toString().split("\n")
 
 
+def test_outcome_totals_do_not_sort_rows(spark, marts):
+    rows = cohorts.performance_cohorts(*marts, SPEC, ["2025-05"])
+    rows = rows.withColumn(SPEC.decile_col, F.lit(1))
+    for table in (outcomes.performance(rows, SPEC), outcomes.calibration(rows, SPEC)):
+        over_rows = [line for line in plan_lines(table) if "Aggregate(" in line and "sum(" in line][-1]
+        assert "HashAggregate" in over_rows
+
+
 def test_months_are_shifted_once_a_month(spark, marts):
     split = [line for line in plan_lines(cohorts.performance_cohorts(*marts, SPEC)) if "Generate explode" in line]
     assert split and not any("lpad" in line for line in split if "edr" in line)
