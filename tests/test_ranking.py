@@ -181,3 +181,11 @@ def test_every_window_over_a_long_group_is_by_cell(spark, monkeypatch):
     lines = got._jdf.queryExecution().optimizedPlan().toString().split("windowspecdefinition(")[1:]
     over_values = [spec.split(" ASC")[0] for spec in lines if ", v#" in spec.split(" ASC")[0]]
     assert over_values and all("_cell0#" in spec for spec in over_values)
+
+
+def test_rows_meet_a_cut_per_halving(spark):
+    """One projection that compares a row with every cut is too long for the JVM to compile."""
+    got = ranking.equal_bins(sample(spark), ["g"], "score", "id", "bin", ranking.ntile_ranks(100), 100)
+    longest = max(line.count("isnotnull(") + line.count(".depth") for line in
+                  got._jdf.queryExecution().executedPlan().toString().split("\n") if "Project" in line)
+    assert longest < 20
