@@ -189,3 +189,19 @@ def test_rows_meet_a_cut_per_halving(spark):
     longest = max(line.count("isnotnull(") + line.count(".depth") for line in
                   got._jdf.queryExecution().executedPlan().toString().split("\n") if "Project" in line)
     assert longest < 20
+
+
+def test_no_generated_method_is_too_long_to_compile(spark):
+    """The JVM interprets methods above 8000 bytes; the columns worked out behind the bins add to theirs."""
+    rows = sample(spark).select("id", "g", "score", *[(F.col("score") * i).alias(f"c{i}") for i in range(20)])
+    got = ranking.equal_bins(rows, ["g"], "score", "id", "bin", ranking.ntile_ranks(40), 40)
+    got = got.withColumns({f"b{i}": F.when(F.col(f"c{i}") > 1, F.col("bin") + i).when(F.col(f"c{i}") > 0, i)
+                           for i in range(20)})
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = got._jdf.queryExecution().executedPlan()
+        stages = spark._jvm.org.apache.spark.sql.execution.debug.__getattr__("package").codegenStringSeq(plan)
+        sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sizes and max(sizes) <= 8000, sizes
