@@ -319,3 +319,25 @@ def test_checks_see_absent_channels_segments_and_repeated_rows(spark):
     assert value(names[4], data_quality=out["data_quality"].union(out["data_quality"])) == (2.0, False)
     fewer = out["feature_score_relationship"].limit(3)
     assert not value(names[5], feature_score_relationship=fewer)[1]
+
+
+def test_report_builds_the_wanted_tables_only(spark, monkeypatch):
+    monkeypatch.setattr(jobs.drift, "feature_psi", None)
+    monkeypatch.setattr(jobs.enrich, "enrich", None)
+    account = spark.createDataFrame([("2025-04", "web", 0.5, 0.1)],
+                                    "vintage_month string, channel string, mean_score double, score_psi double")
+    monkeypatch.setattr(jobs, "require_columns", lambda *_: None)
+    monkeypatch.setattr(jobs.drift, "score_drift", lambda account, *_: account)
+    out = jobs.run_report(account, account, SOURCE, ENRICHMENT, TABLES, DRIFT, "2025-05", "v1", layers=(3,),
+                          only=["score_drift"], account=account)
+    assert list(out) == ["score_drift"]
+    assert list(jobs.report_views(out, SOURCE)) == ["drift_trend"]
+
+
+def test_monitoring_sizes_no_unwanted_leaf_table(spark, marts, monkeypatch):
+    monkeypatch.setattr(jobs.drift, "psi_table", None)
+    monkeypatch.setattr(jobs.drift, "csi_table", None)
+    monkeypatch.setattr(jobs.outcomes, "ks_table", None)
+    out = jobs.run_monitoring(*marts, monitoring(Baseline("fixed_window", "2024-05", "2024-11")), ["2025-05"],
+                              only=["diagnosis", "availability"])
+    assert {"diagnosis", "availability"} <= set(out) and not {"psi_table", "csi_table", "ks_table"} & set(out)
