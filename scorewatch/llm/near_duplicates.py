@@ -8,9 +8,13 @@ the full shingle sets. Components of verified links are the duplicate groups.
 
 Only what connects components matters, so candidates come in two rounds. First every class
 meets the smallest and the largest member of its buckets, and the likeliest of those pairs
-is verified; those links make a forest. Then, of buckets whose members still have different
-labels in it, all pairs across labels are compared. A bucket full of copies gives a pair for each copy, not
-for each pair of copies.
+is verified; those links make a forest. Then the buckets whose members still have different
+labels in it are compared across labels, in cells of bounded size that give a forest of what
+the posterior leaves, never its pairs; the components of these forests are the clusters in
+which links are still open. A cluster's full shingle sets are compared across labels, again in
+cells, and a cell gives the links that join labels, at most one for each of them. Rows grow
+with the members of buckets and clusters, not with their pairs. The comparisons in a cell do grow with
+the pairs of alike documents that are no links, as any exact answer must tell those from links.
 
 Nulls and edges: a null or blank text has an empty set and is linked with nothing; a text
 shorter than a shingle counts as one shingle; rows that share an id follow their own texts;
@@ -23,7 +27,7 @@ from math import comb
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorewatch.llm.common import (BROADCAST_ROWS, HASHES, attach_groups, chained, mixed, small_enough,
@@ -38,6 +42,10 @@ BANDS, ROWS = 64, 8
 COMPARED, BATCH, MISS = 150, 15, 1e-7
 #: Bytes of a band's key.
 KEY_BYTES = 6
+#: Of a large bucket or cluster two blocks meet in a cell: members of a bucket's block, shingles of a cluster's.
+BLOCK_MEMBERS, BLOCK_SHINGLES = 2_000, 300_000
+#: Cells that are compared together have about so many members, or so many shingles.
+BIN_MEMBERS, BIN_SHINGLES = 20_000, 1_000_000
 
 
 def shingle_set(text: str | None, length: int) -> np.ndarray:
@@ -191,6 +199,135 @@ def verified(pairs: DataFrame, texts: DataFrame, length: int, num: int, den: int
     return joined.mapInPandas(_verify(num, den), "a long, b long").distinct()
 
 
+def paired_blocks(member: Column, blocks: Column) -> Column:
+    """The cells of a group that a member is in: its block beside each other one, or the only block.
+
+    Any two members of the group meet in some cell.
+    """
+    blocks = F.greatest(blocks.cast("long"), F.lit(1).cast("long"))
+    own = F.pmod(F.xxhash64(member), blocks)
+    others = F.filter(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda block: block != own)
+    return F.when(blocks == 1, F.array(F.lit(0).cast("long"))).otherwise(
+        F.transform(others, lambda block: F.least(block, own) * blocks + F.greatest(block, own)))
+
+
+def cell_forest(labels: np.ndarray, n: np.ndarray, values: np.ndarray, num: int, den: int,
+                limits) -> list[tuple[int, int]]:
+    """A forest of the pairs of different label that sizes and posterior leave: places in the cell.
+
+    Its components are those of all such pairs. A member that was reached is not looked for again.
+    """
+    out, unseen = [], np.arange(len(n))
+    while len(unseen) > 1:
+        reached, unseen = [unseen[0]], unseen[1:]
+        while reached and len(unseen):
+            at = reached.pop()
+            size = n[unseen]
+            fits = unseen[(labels[unseen] != labels[at])
+                          & (np.minimum(size, n[at]) * den >= np.maximum(size, n[at]) * num)]
+            if not len(fits):
+                continue
+            alive, _ = posterior_survivors(values[fits], np.broadcast_to(values[at], (len(fits), values.shape[1])), limits)
+            if len(alive):
+                near = fits[alive]
+                out += [(at, i) for i in near]
+                reached += list(near)
+                unseen = np.setdiff1d(unseen, near, assume_unique=True)
+    return out
+
+
+def cell_links(labels: np.ndarray, sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
+    """Links between full sets that join all labels which links join: places in the cell."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    starts = np.cumsum(sizes) - sizes
+    numbers = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    has = np.zeros(len(numbers), bool)
+    labels, out = np.unique(labels, return_inverse=True)[1], []
+    for x in range(len(sets) - 1):
+        others = np.arange(x + 1, len(sets))
+        size = sizes[others]
+        others = others[(labels[others] != labels[x])
+                        & (np.minimum(size, sizes[x]) * den >= np.maximum(size, sizes[x]) * num)]
+        if not len(others):
+            continue
+        size = sizes[others]
+        first = np.cumsum(size) - size
+        at = np.arange(size.sum()) + np.repeat(starts[others] - first, size)
+        own = numbers[starts[x]:starts[x] + sizes[x]]
+        has[own] = True
+        common = np.add.reduceat(has[numbers[at]], first, dtype=np.int64)
+        has[own] = False
+        for y in others[den * common >= num * (sizes[x] + size - common)]:
+            if labels[y] != labels[x]:
+                out.append((x, y))
+                labels[labels == labels[y]] = labels[x]
+    return out
+
+
+def _each_cell(frame: pd.DataFrame, pairs) -> pd.DataFrame:
+    """Links ``a, b`` between the ids of a frame's cells; ``pairs`` gives those of a cell by place."""
+    frame = frame.sort_values(["cell", "rep"], ignore_index=True)
+    reps, cells = frame["rep"].to_numpy(), frame["cell"].to_numpy()
+    borders = np.flatnonzero(np.diff(cells)) + 1
+    found = [(reps[begin + a], reps[begin + b])
+             for begin, end in zip([0, *borders], [*borders, len(cells)]) if end - begin > 1
+             for a, b in pairs(frame.iloc[begin:end])]
+    ends = np.array(found, np.int64).reshape(-1, 2)
+    return pd.DataFrame({"a": ends.min(axis=1), "b": ends.max(axis=1)})
+
+
+def _forests(num: int, den: int, limits, n_hashes: int):
+    def pairs(cell: pd.DataFrame) -> list[tuple[int, int]]:
+        values = np.frombuffer(b"".join(cell["sig"]), np.uint16).reshape(-1, n_hashes)
+        return cell_forest(cell["root"].to_numpy(), cell["n"].to_numpy(), values, num, den, limits)
+    return lambda frame: _each_cell(frame, pairs)
+
+
+def _cell_links(num: int, den: int):
+    def pairs(cell: pd.DataFrame) -> list[tuple[int, int]]:
+        return cell_links(cell["root"].to_numpy(), [np.frombuffer(s, np.uint64) for s in cell["shingles"]], num, den)
+    return lambda frame: _each_cell(frame, pairs)
+
+
+def open_clusters(unsettled: DataFrame, classes: DataFrame, labels: DataFrame, num: int, den: int, limits,
+                  n_hashes: int) -> DataFrame:
+    """``rep, cluster`` of the classes that the posterior leaves a pair of another label.
+
+    ``unsettled`` has the members ``rep`` of every bucket ``key`` and their number ``held``. Buckets of
+    the same members are compared once.
+    """
+    blocks = F.ceil(F.col("held") / BLOCK_MEMBERS)
+    cells = (unsettled.withColumn("cell", F.explode(paired_blocks(F.col("rep"), blocks)))
+             .groupBy("key", "cell").agg(F.array_sort(F.collect_set("rep")).alias("members"))
+             .select("members").distinct())
+    cells = work_table(cells.select(F.xxhash64("members").alias("cell"), F.explode("members").alias("rep")), "cells")
+    bins = cells.count() // BIN_MEMBERS + 1
+    members = (cells.join(classes.select("rep", "n", "sig"), "rep").join(labels.toDF("rep", "root"), "rep", "left")
+               .select(F.pmod("cell", F.lit(bins)).alias("bin"), "cell", "rep", F.coalesce("root", "rep").alias("root"),
+                       "n", "sig"))
+    forest = members.groupBy("bin").applyInPandas(_forests(num, den, limits, n_hashes), "a long, b long")
+    return components(forest).toDF("rep", "cluster")
+
+
+def links_across(clusters: DataFrame, classes: DataFrame, labels: DataFrame, texts: DataFrame, length: int,
+                 num: int, den: int) -> DataFrame:
+    """Links ``a < b`` of the clusters' full sets that join all labels which links join."""
+    placed = work_table(clusters.join(classes.select("rep", "n"), "rep").join(labels.toDF("rep", "root"), "rep", "left")
+                        .withColumn("root", F.coalesce("root", "rep")), "clusters")
+    sizes = placed.groupBy("cluster").agg(F.sum("n").alias("held"), F.count(F.lit(1)).alias("_n"))
+    cells = attach_groups(placed, sizes, ["cluster"], placed.count())
+    cells = work_table(cells.withColumn("block", F.explode(
+        paired_blocks(F.col("rep"), F.ceil(F.col("held") / BLOCK_SHINGLES))))
+        .select("rep", "root", "n", F.xxhash64("cluster", "block").alias("cell")), "cluster_cells")
+    bins = (cells.agg(F.sum("n")).first()[0] or 0) // BIN_SHINGLES + 1
+    ids = placed.select(F.col("rep").alias("id")).distinct()
+    ids = F.broadcast(ids) if small_enough(ids, 2_000_000) else ids
+    sets = texts.join(ids, "id", "left_semi").mapInPandas(_sets(length), "id long, shingles binary")
+    members = (cells.join(sets.filter(F.length("shingles") > 0).withColumnRenamed("id", "rep"), "rep")
+               .select(F.pmod("cell", F.lit(bins)).alias("bin"), "cell", "rep", "root", "shingles"))
+    return members.groupBy("bin").applyInPandas(_cell_links(num, den), "a long, b long").distinct()
+
+
 def _with_least(edges: DataFrame, least: DataFrame, n: int) -> DataFrame:
     """Edges and the smallest neighbour of their ``u``; a vertex may have very many edges."""
     if n <= BROADCAST_ROWS:
@@ -270,21 +407,16 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     links = work_table(verified(first, texts, shingle, num, den), "links")
     found = work_table(forest_labels(links), "labels")
     # Buckets that still hold more than one component.
-    members = (hits.select("key", "rep", "n")
+    members = (hits.select("key", "rep")
                .join(found.toDF("rep", "root"), "rep", "left")
                .withColumn("root", F.coalesce("root", "rep")))
     open_keys = (members.groupBy("key").agg(F.min("root").alias("_x"), F.max("root").alias("_y"),
                                             F.count(F.lit(1)).alias("_n")).filter("_x <> _y")
-                 .select("key", "_n"))
-    unsettled = work_table(attach_groups(members, open_keys, ["key"], hits.count()), "unsettled")
-    a, b = unsettled.alias("a"), unsettled.alias("b")
-    across = (a.join(b, "key").filter("a.rep < b.rep and a.root <> b.root")
-              .filter(F.least("a.n", "b.n") * den >= F.greatest("a.n", "b.n") * num)
-              .select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct()
-              .join(first, ["a", "b"], "left_anti"))
-    rest = work_table(likely(across, classes, num, den, limits, compared).select("a", "b"), "pairs")
+                 .select("key", "_n", F.col("_n").alias("held")))
+    unsettled = attach_groups(members, open_keys, ["key"], hits.count())
+    clusters = open_clusters(unsettled, classes, found, num, den, limits, compared)
     # Components of the labels: by the links across them, and by links that labels still have.
-    rest = work_table(verified(rest, texts, shingle, num, den), "rest")
+    rest = work_table(links_across(clusters, classes, found, texts, shingle, num, den), "rest")
     across = rest
     for end in ("a", "b"):
         across = (across.join(found.toDF("_v", "_label"), F.col(end) == F.col("_v"), "left")

@@ -107,6 +107,52 @@ def test_a_large_group_of_near_copies_is_one_component(spark):
     assert {r.doc_id: r.component_id for r in found.collect()} == root
 
 
+def test_alike_documents_that_are_no_links_give_no_row_for_each_pair(spark, monkeypatch):
+    words, rng, texts = base_text(3, 300).split(" "), np.random.RandomState(1), {}
+    for i in range(300):
+        own = list(words)
+        for at in rng.choice(300, rng.randint(9, 13), replace=False):
+            own[at] = f"own{i}x{at}"
+        texts[i] = " ".join(own)
+    _, root = brute_groups(texts, 2)
+    assert 10 < len(set(root.values())) < 290
+    docs, written, write = spark.createDataFrame(list(texts.items()), "doc_id long, text string"), [], near_duplicates.work_table
+
+    def counted(df, name):
+        found = write(df, name)
+        written.append((name, found.count()))
+        return found
+    monkeypatch.setattr(near_duplicates, "work_table", counted)
+    for name, size in [(None, None), ("BLOCK_MEMBERS", 70), ("BLOCK_SHINGLES", 20_000), ("BIN_MEMBERS", 500)]:
+        if name:
+            monkeypatch.setattr(near_duplicates, name, size)
+        found = near_duplicates.near_duplicates(docs, shingle=2)
+        assert {r.doc_id: r.component_id for r in found.collect()} == root
+        assert name or max(n for _, n in written) <= near_duplicates.BANDS * len(texts), written
+
+
+def test_cells_join_what_all_their_pairs_join():
+    rng = np.random.RandomState(4)
+    base = np.unique(rng.randint(0, 2**62, 90).astype(np.uint64))
+    sets = [np.unique(np.concatenate([rng.permutation(base)[:rng.randint(76, 90)],
+                                      rng.randint(0, 2**62, rng.randint(1, 9)).astype(np.uint64)])) for _ in range(60)]
+    before = rng.randint(0, 40, 60)
+
+    def joined(pairs):
+        labels = before.copy()
+        for a, b in pairs:
+            labels[labels == labels[b]] = labels[a]
+        return [labels.tolist().index(x) for x in labels]
+    common = {(a, b): len(np.intersect1d(sets[a], sets[b])) for b in range(60) for a in range(b)}
+    links = [(a, b) for (a, b), n in common.items() if 5 * n >= 4 * (len(sets[a]) + len(sets[b]) - n)]
+    found = near_duplicates.cell_links(before, sets, 4, 5)
+    assert set(found) <= set(links) and len(found) < 40 and joined(found) == joined(links)
+    values = near_duplicates.signatures(sets, 150)
+    limits = near_duplicates.least_matches(0.8, 1e-7, 150, 15)
+    forest = near_duplicates.cell_forest(before, np.array([len(s) for s in sets]), values, 4, 5, limits)
+    assert len(forest) < 60 and joined(forest) == joined([*forest, *links])
+
+
 def test_posterior_keeps_pairs_at_the_threshold():
     limits = near_duplicates.least_matches(0.8, 1e-7, 150, 15)
     rng = np.random.RandomState(0)
