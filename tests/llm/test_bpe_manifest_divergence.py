@@ -72,6 +72,63 @@ def test_the_fold_takes_the_leftmost_of_equal_pairs(spark):
     assert longer.select(byte_bpe.merged_ids(F.col("w"), byte_bpe.rank_maps(ranks))).first()[0] == [400, 120]
 
 
+def brute_merges(word, ranks):
+    """Ids of a word that is no piece, a merge at a time."""
+    parts = [bytes([b]) for b in word]
+    while len(parts) > 1:
+        rank, at = min((ranks.get(parts[i] + parts[i + 1], 2**31 - 1), i) for i in range(len(parts) - 1))
+        if rank == 2**31 - 1:
+            break
+        parts[at:at + 2] = [parts[at] + parts[at + 1]]
+    return [ranks.get(part, 2**31 - 1) for part in parts]
+
+
+def test_ids_laid_out_and_decoded_in_small_parts(spark, tokenizer, monkeypatch):
+    ranks, pattern, whole = tokenizer
+    monkeypatch.setattr(byte_bpe, "PART_IDS", 3)
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(ODD_TEXTS)]
+    edges = byte_bpe.np.array([0, 0, 2, 2, 9, 10, 11, 12, 13, 13])
+    assert list(byte_bpe.in_parts(edges)) == [(0, 3), (3, 4), (4, 7), (7, 9)]
+    got = byte_bpe.decode(byte_bpe.encode(frame(spark, rows), ranks, pattern), ranks, out="bytes").collect()
+    assert {r["doc_id"]: (r["ids"], bytes(r["bytes"])) for r in got} == {
+        i: (whole.encode_ordinary(t or ""), (t or "").encode()) for i, t, *_ in rows}
+
+
+def test_matrix_and_heap_merge_as_one_pair_at_a_time(monkeypatch):
+    rng = random.Random(8)
+    pieces = sorted({bytes(rng.choice(b"abcd") for _ in range(rng.randint(2, 6))) for _ in range(400)})
+    order = rng.sample(range(1000), len(pieces))  # of any order, so a merge may make a pair of lower rank
+    ranks = {bytes([b]): 2000 + b for b in range(256) if b != ord("d")} | dict(zip(pieces, order))
+    words = list({bytes(rng.choice(b"abcde") for _ in range(rng.randint(1, 40))) for _ in range(600)} - set(ranks))
+    expected = [brute_merges(word, ranks) for word in words]
+    assert [ids.tolist() for ids in byte_bpe.Merges(ranks)(words)] == expected
+    monkeypatch.setattr(byte_bpe, "LONG", 1)
+    assert [ids.tolist() for ids in byte_bpe.Merges(ranks)(words)] == [brute_merges(word, ranks) for word in words]
+
+
+def test_unbroken_words_of_any_length(tokenizer):
+    ranks, _, whole = tokenizer
+    word = "".join(random.Random(3).choice("abcdefghijklmnop") for _ in range(40_000))
+    assert byte_bpe.Merges(ranks)([word.encode()])[0].tolist() == whole.encode_ordinary(word)
+
+
+def test_words_of_many_texts_are_those_of_the_pattern(tokenizer):
+    import regex
+    _, pattern, _ = tokenizer
+    texts = ODD_TEXTS + random_texts() + [" a  b\n\nc d ", "x\u3000\u3000y z", " ", "a\u00a0 b", "  ", "\n a"]
+    cut = byte_bpe.Cut(pattern)
+    for part in (texts, texts[:1], texts[40:90]):
+        numbers, sizes = cut.words(part)
+        words, ends = list(cut.numbers), sizes.cumsum()
+        got = [[words[n] for n in numbers[end - size:end]] for size, end in zip(sizes, ends)]
+        assert got == [regex.findall(pattern, text or "") for text in part]
+
+
+def test_decoding_of_batches_without_any_id(spark, tokenizer):
+    rows = spark.createDataFrame([([],), ([],), (None,)], "ids array<int>").coalesce(1)
+    assert [r["decoded"] for r in byte_bpe.decode(rows, tokenizer[0]).collect()] == [b"", b"", None]
+
+
 def test_numbers_by_planes():
     import numpy as np
     for values in ([], [0], [1, 2**32 - 1, 70000]):
