@@ -19,6 +19,7 @@ import re
 from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +48,7 @@ class Tokens(dict):
     so that frequent ones outlast the limit.
     """
 
-    LIMIT = 400_000
+    LIMIT, KEPT = 400_000, 60_000
     #: Characters that need neither normalization nor special tokens.
     PLAIN = re.compile("[\x21-\x3b=\x3f-\x7b}~\xa1-\u024f]*")
 
@@ -90,6 +91,16 @@ class Tokens(dict):
         self[chunk] = ids
         return ids
 
+    def rest(self) -> None:
+        """Keeps ``KEPT`` chunks and pieces only, for a worker outlives its task.
+
+        The first ones met since the last clearing are the frequent ones.
+        """
+        few, known = dict(islice(self.items(), self.KEPT)), dict(islice(self.known.items(), self.KEPT))
+        self.clear()
+        self.update(few)
+        self.known, self.before = known, {}
+
     def encoded(self, chunk: str) -> bytes:
         if not self.PLAIN.fullmatch(chunk):
             return array("I", self.whole.encode(chunk, add_special_tokens=False).ids).tobytes()
@@ -199,6 +210,7 @@ def _pack(path: str, length: int, limit: int, end_id: int):
                             out += held.pop(window)
                 if out:
                     yield batch_of(out, True)
+        ids_of.rest()
         for pieces in held.values():
             yield batch_of(pieces, False)
     return run

@@ -211,6 +211,22 @@ def test_chunks_give_the_tokenizers_own_ids(limit, monkeypatch):
             assert bytes(data[since:until]) == np.array(whole, "<u4").tobytes()
 
 
+def test_a_worker_keeps_few_chunks_after_its_task(monkeypatch):
+    import pyarrow as pa
+    import public_tokenizers
+    monkeypatch.setattr(packing.Tokens, "LIMIT", 300)
+    monkeypatch.setattr(packing.Tokens, "KEPT", 20)
+    held = packing.Tokens(public_tokenizers.path("word_bpe_49k.json"))
+    texts = pa.array([base_text(i) + " 12,5 a-b" for i in range(12)])
+    first, at = held.of_texts(texts)
+    first = bytes(first)
+    assert len(held) + len(held.before) > 300
+    held.rest()
+    assert max(len(held), len(held.known)) <= 20 and not held.before
+    again, upto = held.of_texts(texts)
+    assert bytes(again) == first and upto == at
+
+
 def test_mix_meets_its_targets(docs, rows, none):
     sizes = defaultdict(int)
     for r in rows:
