@@ -1,10 +1,11 @@
+import math
 from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from scorewatch.functions.columns import shift_month_col
-from scorewatch.operators import cohorts, governance, outcomes
+from scorewatch.operators import cohorts, governance, outcomes, stability
 from scorewatch.plans.spine import over_scopes
 from scorewatch.spec import Baseline, Monitoring, SampleRules, Source, shift_month
 from tests.conftest import rows_by
@@ -283,6 +284,33 @@ def test_merged_monthly_counts_are_the_baseline_rows(spark):
             assert sorted(counted.collect()) == sorted(direct.select(*counted.columns).collect())
 
 
+def test_stability_of_windows_reads_each_month_once(spark, plan):
+    rows = [(i, f"2024-{1 + i % 6:02d}", ["A", "B", "x", None][i % 4], None if i % 11 == 0 else (i * i % 37) / 37,
+             "S1" if i % 5 else None) for i in range(400)]
+    mart = spark.createDataFrame(rows, "id long, score_month string, channel string, score double, card string")
+    columns = ["channel", "score", "card"]
+    for setting in (Baseline("rolling_window", months=2), Baseline("fixed_window", "2024-01", "2024-03")):
+        spec = replace(SPEC, baseline=setting, scorecard="card", n_bins=4)
+        by, monthly = cohorts.baseline_keys(setting), cohorts.monthly_counts(mart, spec, columns)
+        now = cohorts.current_cohort(mart, spec)
+        once = stability.score_stability(now, monthly, spec, by, cohorts.baseline_windows(monthly, spec))
+        baseline = cohorts.baseline_rows(mart, spec)
+        key = ["reporting_month", "scorecard", "channel"]
+        got, want = rows_by(once, *key), rows_by(stability.score_stability(now, baseline, spec, by), *key)
+        assert got.keys() == want.keys()
+        assert all(got[k][c] == pytest.approx(want[k][c], abs=1e-12) for k in got for c in once.columns[3:])
+        # By hand: the two months before, all accounts of one month.
+        scores = sorted(r[3] for r in rows if r[1] in (("2024-02", "2024-03") if by else
+                                                      ("2024-01", "2024-02", "2024-03")) and r[3] is not None)
+        edges = [scores[-(-len(scores) * i // 4) - 1] for i in (1, 2, 3)]
+        parts = []
+        for side in (scores, [r[3] for r in rows if r[1] == "2024-04" and r[3] is not None]):
+            bins = [sum(e < v for e in edges) for v in side]
+            parts.append([max(bins.count(b) / len(bins), 1e-4) for b in range(4)])
+        psi = sum((b - a) * math.log(b / a) for a, b in zip(*parts))
+        assert got["2024-04", "overall", "all"]["score_psi"] == pytest.approx(psi, abs=1e-9)
+
+
 def test_month_column_moves_like_the_month(spark):
     df = spark.createDataFrame([("2024-01",), ("1999-12",), ("junk",), (None,)], "m string")
     for k in (-13, -1, 0, 1, 12, 25):

@@ -205,3 +205,32 @@ def test_no_generated_method_is_too_long_to_compile(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert sizes and max(sizes) <= 8000, sizes
+
+
+def test_ranks_of_unions_of_cells(spark, plan):
+    # Groups overlap: "ab" holds the cells a and b, "bc" the cells b and null.
+    rng = random.Random(3)
+    values = [None, float("nan"), 0.5, *[round(rng.random(), 2) for _ in range(60)]]
+    rows = [(rng.choice(["a", "b", None]), rng.choice(values), 1 + i % 3) for i in range(900)]
+    df = spark.createDataFrame(rows, "cell string, v double, n long").repartition(3)
+    table = spark.createDataFrame([("a", "ab"), ("b", "ab"), ("b", "bc"), (None, "bc"), ("d", "none")],
+                                  "cell string, g string")
+    whole = df.join(table, df["cell"].eqNullSafe(table["cell"])).select("g", "v", "n")
+    fractions = [0.1, 0.5, 0.55, 0.999]
+    got = ranking.quantiles(df, ["g"], "v", fractions, weight="n", unions=ranking.Unions(["cell"], table))
+    want = ranking.quantiles(whole, ["g"], "v", fractions, weight="n", sizing=lookup.Sizing(2, 0))
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert {r["g"] for r in got.collect()} == {"ab", "bc"}
+
+
+def test_only_buckets_with_a_wanted_rank_are_sorted(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "CELL_ROWS", 500)
+    sorted_rows, sort = [], ranking._sorted_ranks
+    monkeypatch.setattr(ranking, "_sorted_ranks", lambda rows, keys, value, *rest: (
+        sorted_rows.append((value, rows.count())), sort(rows, keys, value, *rest))[1])
+    df = spark.range(20000).select((F.col("id") % 2).alias("g"), F.xxhash64("id").alias("v"))
+    got = rows_by(ranking.quantiles(df, ["g"], "v", [0.25, 0.5]), "g")
+    assert sum(n for value, n in sorted_rows if value == "v") < 2000
+    values = [sorted(r["v"] for r in df.filter(F.col("g") == g).collect()) for g in (0, 1)]
+    assert all(got[g]["edges"] == [values[g][2499], values[g][4999]] and got[g]["upto"] == [2500, 5000]
+               for g in (0, 1))
