@@ -1,3 +1,4 @@
+import bisect
 import math
 import random
 
@@ -5,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from scorewatch.operators import drift
+from scorewatch.plans import distribution, lookup
 from scorewatch.plans.distribution import ks_to_reference, separation
 from tests.conftest import rows_by
 
@@ -63,6 +65,36 @@ def test_ks_against_one_reference_for_many_samples(spark, plan, seed):
         assert got[str(m)]["ks"] == pytest.approx(brute_ks(base, values))
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_ks_by_few_buckets(spark, plan, monkeypatch, seed):
+    monkeypatch.setattr(distribution, "KS_BUCKETS", 6)
+    monkeypatch.setattr(lookup, "CELL_ROWS", min(lookup.CELL_ROWS, 300))
+    rng, odd = random.Random(seed), [float("-inf"), float("inf"), 0.0]
+    base = {g: [round(rng.gauss(0, 1), 1) for _ in range(200)] + odd for g in "ab"}
+    samples = {(g, m): [round(rng.gauss(m / 9, 1 + m), 1) for _ in range(80)] + odd[m:] for g in "ac" for m in range(3)}
+    then = spark.createDataFrame([(g, v) for g, vs in base.items() for v in vs], "g string, v double")
+    now = spark.createDataFrame([(g, str(m), v) for (g, m), vs in samples.items() for v in [*vs, None]],
+                                "g string, m string, v double").repartition(3)
+    got = rows_by(ks_to_reference(then, now, ["g"], ["m"], "v"), "g", "m")
+    assert {k: r["ks"] for k, r in got.items()} == {
+        (g, str(m)): pytest.approx(brute_ks(base[g], vs) if g in base else 0.0) for (g, m), vs in samples.items()}
+
+
+def test_ks_goes_through_few_buckets_by_value(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "CELL_ROWS", 5000)
+    monkeypatch.setattr(distribution, "KS_BUCKETS", 64)
+    by_value, run = [], distribution._both_running
+    monkeypatch.setattr(distribution, "_both_running", lambda counted, keys, extra, value, *most: (
+        by_value.append((value, counted.count())), run(counted, keys, extra, value, *most))[1])
+    low = spark.range(10000).select(F.lit("a").alias("g"), (F.col("id") / 10000).alias("v"))
+    high = low.select("g", F.lit("m").alias("m"), (F.col("v") * F.col("v")).alias("v"))
+    got = ks_to_reference(low, high, ["g"], ["m"], "v").first()["ks"]
+    assert sum(n for value, n in by_value if value == "v") < 8000  # of 20,000 values
+    values, squares = [i / 10000 for i in range(10000)], [i / 10000 * (i / 10000) for i in range(10000)]
+    gaps = [abs(bisect.bisect_right(values, x) - bisect.bisect_right(squares, x)) / 10000 for x in squares]
+    assert got == pytest.approx(max(gaps), abs=1e-12)
+
+
 def test_ks_of_disjoint_samples_is_one(spark):
     for base, now in (([1.0, 2.0], [5.0, 6.0]), ([5.0, 6.0], [1.0, 2.0])):
         got = ks_to_reference(frame(spark, base), frame(spark, now, m="x"), ["g"], ["m"], "v")
