@@ -68,7 +68,7 @@ def test_ks_against_one_reference_for_many_samples(spark, plan, seed):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_ks_by_few_buckets(spark, plan, monkeypatch, seed):
     monkeypatch.setattr(distribution, "KS_BUCKETS", 6)
-    monkeypatch.setattr(lookup, "CELL_ROWS", min(lookup.CELL_ROWS, 300))
+    monkeypatch.setattr(lookup, "CELL_ROWS", min(lookup.CELL_ROWS, 80))
     rng, odd = random.Random(seed), [float("-inf"), float("inf"), 0.0]
     base = {g: [round(rng.gauss(0, 1), 1) for _ in range(200)] + odd for g in "ab"}
     samples = {(g, m): [round(rng.gauss(m / 9, 1 + m), 1) for _ in range(80)] + odd[m:] for g in "ac" for m in range(3)}
@@ -81,7 +81,7 @@ def test_ks_by_few_buckets(spark, plan, monkeypatch, seed):
 
 
 def test_ks_goes_through_few_buckets_by_value(spark, monkeypatch):
-    monkeypatch.setattr(lookup, "CELL_ROWS", 5000)
+    monkeypatch.setattr(lookup, "CELL_ROWS", 2000)
     monkeypatch.setattr(distribution, "KS_BUCKETS", 64)
     by_value, run = [], distribution._both_running
     monkeypatch.setattr(distribution, "_both_running", lambda counted, keys, extra, value, *most: (
